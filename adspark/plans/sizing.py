@@ -1,0 +1,22 @@
+"""Size checks for broadcast decisions.
+
+A side is broadcast only behind a bounded count (``limit(n + 1).count()`` reads at most n + 1 rows)
+that proves it small; beyond the bound the join is left to the planner (sort-merge, or AQE's
+runtime switch to broadcast when the shuffled side turns out small).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_count(df: DataFrame, bound: int) -> int:
+    """Exact row count when it is at most ``bound``, else ``bound + 1``."""
+    return df.limit(bound + 1).count()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df

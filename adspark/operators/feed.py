@@ -75,13 +75,15 @@ def chunk_messages(df: DataFrame, *, size: int = CHUNK_SIZE, message_id: str = "
 
 
 def feed_documents(messages: DataFrame, *, seller: str = "seller_id", seller_label: str | None = None) -> DataFrame:
-    """L-19 document form: one row per (seller, chunk) with header and the sorted messages.
-    Each document holds at most ``CHUNK_SIZE`` messages (bounded group)."""
+    """L-19 document form: one row per (seller, chunk) with header and the messages in id order.
+    Messages come as a ``message`` struct or as ``message_json`` text with ``message_id``. Each
+    document holds at most ``CHUNK_SIZE`` messages (a bounded group)."""
     label = _q(seller_label or seller).cast("string")
-    msg_json = F.to_json(_q("message"))
+    text = _q("message_json") if "message_json" in messages.columns else F.to_json(_q("message"))
+    mid = _q("message_id") if "message_id" in messages.columns else F.col("message.messageId")
     docs = messages.groupBy(_q(seller), "chunk_id").agg(
         F.first(label).alias("_label"),
-        F.sort_array(F.collect_list(F.struct(F.col("message.messageId").alias("id"), msg_json.alias("m")))).alias("_ms"))
+        F.sort_array(F.collect_list(F.struct(mid.alias("id"), text.alias("m")))).alias("_ms"))
     return docs.select(
         _q(seller), "chunk_id",
         F.concat(F.lit('{"header":'),
@@ -136,24 +138,29 @@ def parse_feed_result(raw: DataFrame, *, text: str = "value", keys=("seller_id",
 
 
 def apply_feed_results(history: DataFrame, results: DataFrame, *, batch_id: str, now: Column,
-                       sku: str = "sku") -> DataFrame:
+                       keys=("sku",)) -> DataFrame:
     """L-16: every history row of the batch becomes ``processed`` with an end time; then SKUs with
     a result get ``success`` / ``failed``, the error text (sanitised, at most 65535 characters)
-    and the end time. Only rows of this batch change (the reference matched by SKU alone)."""
+    and the end time. Only rows of this batch change (the reference matched by SKU alone).
+    ``keys`` identify a history row across sellers (e.g. ``("seller_id", "sku")``)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     in_batch = F.col("batch_id") == F.lit(batch_id)
-    res = results.filter(F.col(sku).isNotNull()).select(
-        F.col(sku).alias("_r_sku"),
+    res = results.filter(F.col(keys[-1]).isNotNull()).select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys],
         F.when(F.col("status") == "SUCCESS", F.lit("success")).otherwise(F.lit("failed")).alias("_r_status"),
         truncate_with_ellipsis(F.coalesce(F.col("errorMessage"), F.lit("")), 65535).alias("_r_error"))
-    j = history.join(res, (history[sku] == res["_r_sku"]) & in_batch, "left")
-    hit = F.col("_r_sku").isNotNull()
+    cond = in_batch
+    for k in keys:
+        cond = cond & (history[k] == res[f"_r_{k}"])
+    j = history.join(res, cond, "left")
+    hit = F.col(f"_r_{keys[-1]}").isNotNull()
     out = j.withColumns({
         "status": F.when(hit, sanitize_string(F.col("_r_status"), 255))
         .when(in_batch, F.lit("processed")).otherwise(F.col("status")),
         "error_description": F.when(hit, F.col("_r_error")).otherwise(F.col("error_description")),
         "ended_at": F.when(in_batch, now).otherwise(F.col("ended_at")),
     })
-    return out.drop("_r_sku", "_r_status", "_r_error")
+    return out.drop(*[f"_r_{k}" for k in keys], "_r_status", "_r_error")
 
 
 def batch_totals(batches: DataFrame, totals: DataFrame, *, now: Column) -> DataFrame:

@@ -46,26 +46,29 @@ def join_new_columns(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right.select(*[_q(c) for c in on + new]), on, "left")
 
 
-def join_brand_rules(products: DataFrame, rules: DataFrame | None, *, brand: str = "Brand",
-                     rule_brand: str = "brand_name", prefix: str = "brand_rules_") -> DataFrame:
-    """J-03: LEFT JOIN the brand rules on the normalised brand (lower + trim). Rule columns come
-    back prefixed. The rule table is optional; it is broadcast only when proven small."""
+def join_brand_rules(products: DataFrame, rules: DataFrame | None, *, brand: str = "brand",
+                     rule_brand: str = "brand_name", prefix: str = "brand_rules_", on=()) -> DataFrame:
+    """J-03: LEFT JOIN the brand rules on the normalised brand (lower + trim) and the extra keys
+    ``on`` (e.g. the seller). Rule columns come back prefixed. The rule table is optional; it is
+    broadcast only when a bounded count proves it small."""
     if rules is None:
         return products
+    on = [on] if isinstance(on, str) else list(on)
     r = rules.drop("id") if "id" in rules.columns else rules
-    renamed = r.select(*[F.col(_q(c)).alias(prefix + c) for c in r.columns]) \
+    renamed = r.select(*[F.col(_q(c)).alias(c if c in on else prefix + c) for c in r.columns]) \
         .withColumn("_brand_key", normalize_text_key(F.col(_q(prefix + rule_brand))))
     return products.withColumn("_brand_key", normalize_text_key(F.col(_q(brand)))) \
-        .join(broadcast_if_small(renamed), "_brand_key", "left").drop("_brand_key")
+        .join(broadcast_if_small(renamed), on + ["_brand_key"], "left").drop("_brand_key")
 
 
-def join_override_price(products: DataFrame, overrides: DataFrame, *, on: str = "P1Moto SKU",
-                        map_col: str = "MAP Price", seq: str = "seq",
+def join_override_price(products: DataFrame, overrides: DataFrame, *, on="sku",
+                        map_col: str = "map_price", seq: str = "seq",
                         suffix: str = "_overwrite") -> DataFrame:
     """J-04: bring the override MAP price as ``<map_col><suffix>``. Overrides are first reduced to
     one row per SKU (the latest non-missing value by ``seq``, D6), so products never fan out."""
+    on = _on(on)
     valid = ~is_missing(F.col(_q(map_col)))
-    one = overrides.groupBy(_q(on)).agg(
+    one = overrides.groupBy(*[_q(k) for k in on]).agg(
         F.max_by(F.when(valid, F.col(_q(map_col))), F.when(valid, F.col(_q(seq)))).alias(map_col + suffix))
     return products.join(one, on, "left")
 

@@ -112,18 +112,22 @@ def select_load_columns(df: DataFrame, spec) -> DataFrame:
 
 
 # Type families treated as compatible when comparing a live schema to the expected one.
-_COMPAT = {
-    "string": {"string", "varchar", "text", "char"},
-    "double": {"double", "float", "decimal"},
-    "timestamp": {"timestamp", "timestamp_ntz", "datetime", "date"},
-    "bigint": {"bigint", "int", "integer", "smallint", "long"},
-    "int": {"bigint", "int", "integer", "smallint", "long"},
-    "boolean": {"boolean"},
-}
+_COMPAT_GROUPS = (
+    {"string", "varchar", "text", "char"},
+    {"double", "float", "decimal"},
+    {"timestamp", "timestamp_ntz", "datetime", "date"},
+    {"bigint", "int", "integer", "smallint", "long", "tinyint"},
+    {"boolean", "bool"},
+)
 
 
 def _family(type_name: str) -> str:
-    return type_name.split("(")[0].lower()
+    return type_name.split("(")[0].strip().lower()
+
+
+def _compatible(expected: str, actual: str) -> bool:
+    e, a = _family(expected), _family(actual)
+    return e == a or any(e in g and a in g for g in _COMPAT_GROUPS)
 
 
 def schema_compat(spark: SparkSession, df: DataFrame, expected) -> DataFrame:
@@ -136,8 +140,7 @@ def schema_compat(spark: SparkSession, df: DataFrame, expected) -> DataFrame:
         if act is None:
             verdict = "add"
         else:
-            fam = _family(exp)
-            verdict = "ok" if _family(act) in _COMPAT.get(fam, {fam}) else "mismatch"
+            verdict = "ok" if _compatible(exp, act) else "mismatch"
         rows.append((name, exp, act, verdict))
     return spark.createDataFrame(rows, "column string, expected string, actual string, verdict string")
 
@@ -277,7 +280,7 @@ def publish_partitions(df: DataFrame, table_root: str, partition_by: str, *, sta
     if cluster_by:
         out = out.repartition(_q(partition_by)).sortWithinPartitions(*[_q(c) for c in _on(cluster_by)])
     write_parquet(out, stage_path, by=partition_by)
-    staged = spark.read.parquet(stage_path)
+    staged = spark.read.schema(df.schema).parquet(stage_path)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:

@@ -81,13 +81,13 @@ def _bad_value(c: Column, dtype: T.DataType, config_type: str) -> Column:
     """True where a non-blank input value could not be cast (it is replaced by the default)."""
     text = F.trim(c.cast("string")) if not isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)) \
         else F.lit(None).cast("string")
-    present = text.isNotNull() & (text != "")
+    present = text.isNotNull() & ~F.lower(text).isin("", "nan", "null", "none")
     if config_type == "INT64":
         return present & to_long(c).isNull()
     if config_type == "FLOAT64":
         return present & to_double(c).isNull()
     if config_type == "TIMESTAMP" and not isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return present & ~F.lower(text).isin("none", "null") & parse_timestamp(c).isNull()
+        return present & parse_timestamp(c).isNull()
     return F.lit(False)
 
 

@@ -64,12 +64,13 @@ def mpn_block(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
                          F.when(F.lower(_c(cols.mpn_match)) == "false", F.lit("No")).otherwise(_c(cols.push_marketplace)))
 
 
-def cell_overrides(products: DataFrame, overrides: DataFrame, on: str, *, seq: str, cols=None) -> DataFrame:
+def cell_overrides(products: DataFrame, overrides: DataFrame, on, *, seq: str, cols=None) -> DataFrame:
     """K-11: for every column present in both frames, a non-missing override replaces the cell.
     Several override rows per SKU: per column the latest (by ``seq``) non-missing value wins.
     Unknown SKUs are ignored. The override table is reduced by a grouped aggregate (partial
-    aggregation before the shuffle) and joined once."""
-    common = [c for c in overrides.columns if c in products.columns and c not in (on, seq)]
+    aggregation before the shuffle) and joined once. ``on`` is the key (e.g. seller and SKU)."""
+    on = [on] if isinstance(on, str) else list(on)
+    common = [c for c in overrides.columns if c in products.columns and c not in on and c != seq]
     if cols is not None:
         common = [c for c in common if c in cols]
     if not common:
@@ -78,25 +79,25 @@ def cell_overrides(products: DataFrame, overrides: DataFrame, on: str, *, seq: s
     for c in common:
         valid = ~is_missing(_c(c))
         aggs.append(F.max_by(F.when(valid, _c(c).cast("string")), F.when(valid, _c(seq))).alias(f"_ov_{c}"))
-    reduced = overrides.groupBy(_c(on)).agg(*aggs)
+    reduced = overrides.groupBy(*[_c(k) for k in on]).agg(*aggs)
     joined = products.join(reduced, on, "left")
     out = joined.withColumns({c: F.coalesce(_c(f"_ov_{c}"), _c(c).cast("string")) for c in common})
     return out.drop(*[f"_ov_{c}" for c in common])
 
 
 def brand_rules(df: DataFrame, rules: DataFrame | None, cols: ProductColumns = PC, rc: RuleColumns = RC,
-                *, check_unique: bool = True) -> DataFrame:
+                *, check_unique: bool = True, on=()) -> DataFrame:
     """K-12: where a brand rule matches (normalised brand), the site flag takes the rule value if
     valid; the marketplace flag likewise unless already ``No``; MAP becomes
     ``round((1 - fraction) * retail, 2)`` when the fraction is valid, else stays."""
     if rules is None:
         return df
     if check_unique:
-        dup = rules.groupBy(normalize_text_key(_c(rc.brand)).alias("b")).count().filter("count > 1")
+        dup = rules.groupBy(*[_c(k) for k in on], normalize_text_key(_c(rc.brand)).alias("b")).count().filter("count > 1")
         if dup.limit(1).count() > 0:
             raise ValueError("more than one brand rule for a brand")
     p = "brand_rules_"
-    j = join_brand_rules(df, rules, brand=cols.brand, rule_brand=rc.brand, prefix=p)
+    j = join_brand_rules(df, rules, brand=cols.brand, rule_brand=rc.brand, prefix=p, on=on)
     matched = _c(p + rc.brand).isNotNull()
     r_mkt, r_site, r_frac = _c(p + rc.push_marketplace), _c(p + rc.push_site), _c(p + rc.map_fraction)
     frac = to_double(r_frac)
@@ -121,19 +122,20 @@ def apply_map_floor(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
 
 
 def apply_override_prices(df: DataFrame, overrides: DataFrame, cols: ProductColumns = PC, *, seq: str = "seq",
-                          override_price: str | None = None) -> DataFrame:
+                          override_price: str | None = None, on=None) -> DataFrame:
     """K-15 and K-16: the override MAP floors the price (no positivity test), then a valid numeric
     override price replaces it. Bad override numbers are ignored (counted by ``override_rejects``)."""
     override_price = override_price or cols.price
-    j = join_override_price(df, overrides, on=cols.sku, map_col=cols.map_price, seq=seq)
+    on = [cols.sku] if on is None else ([on] if isinstance(on, str) else list(on))
+    j = join_override_price(df, overrides, on=on, map_col=cols.map_price, seq=seq)
     j = j.withColumn(cols.price, override_map_floor(_c(cols.price), _c(cols.map_price + "_overwrite"))) \
         .drop(cols.map_price + "_overwrite")
     if override_price not in overrides.columns:
         return j
     valid = ~is_missing(_c(override_price)) & to_double(_c(override_price)).isNotNull()
-    ov = overrides.groupBy(_c(cols.sku)).agg(
+    ov = overrides.groupBy(*[_c(k) for k in on]).agg(
         F.max_by(F.when(valid, _c(override_price)), F.when(valid, _c(seq))).alias("_price_ov"))
-    return j.join(ov, cols.sku, "left") \
+    return j.join(ov, on, "left") \
         .withColumn(cols.price, explicit_price_override(_c(cols.price), _c("_price_ov"))).drop("_price_ov")
 
 

@@ -610,7 +610,8 @@ def write_json_array_files(df: DataFrame, path: str, *, files: int = 8) -> None:
     parts = df.repartition(files)
     docs = parts.groupBy(F.spark_partition_id().alias("_part")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*df.columns))), ","), F.lit("]")).alias("value"))
-    docs.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
+    # One folder per array, so every file holds exactly one JSON array.
+    docs.write.mode("overwrite").option("compression", "gzip").partitionBy("_part").text(path)
 
 
 @query("read_json_report", "SELECT * FROM orders")

@@ -23,9 +23,11 @@ def _paths(paths):
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def whole_files(spark: SparkSession, paths, *, fallback: str = "ISO-8859-1") -> DataFrame:
-    """One row per file: ``_file``, ``_mtime`` and the decoded text ``value``."""
-    raw = spark.read.option("wholetext", True).text(_paths(paths))
+def whole_files(spark: SparkSession, paths, *, fallback: str = "ISO-8859-1", recursive: bool = True) -> DataFrame:
+    """One row per file: ``_file``, ``_mtime`` and the decoded text ``value``. Folders are read
+    recursively (the report layout nests files several folders deep)."""
+    # ``text(..., wholetext=True)``: the keyword must be passed, ``text`` resets the option otherwise.
+    raw = spark.read.option("recursiveFileLookup", recursive).text(_paths(paths), wholetext=True)
     return raw.select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_mtime"),
@@ -77,7 +79,8 @@ def file_format_gate(files: DataFrame, *, path: str = "path"):
 
 def header_gate(headers: DataFrame, *, path: str = "_file", columns: str = "columns") -> DataFrame:
     """I-14: a file is invalid if it has no columns, a column named ``Error`` or a column whose name
-    (blanks removed) contains ``<html>``. ``columns`` is an array of header names."""
+    (blanks removed) contains ``<html>``. ``columns`` is an array of header names. A zero-byte file
+    produces no row at all in Spark's file sources, so it is never loaded (A-01 counts 0 rows)."""
     cols = F.col(columns)
     has_error = F.exists(cols, lambda c: c == F.lit("Error"))
     has_html = F.exists(cols, lambda c: F.lower(F.regexp_replace(c, r"\s", "")).contains("<html>"))

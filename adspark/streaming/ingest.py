@@ -86,6 +86,7 @@ def write_report_files(orders: DataFrame, landing: str, *, files_per_group: int
     docs = grouped.groupBy("_profile", "_dates", F.spark_partition_id().alias("_part")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*payload))), ","), F.lit("]")).alias("value"))
     layout = ["_ad", "_type", "_country", "_client", "_profile", "_dates"]
+    # The client folder carries the group number, so each folder holds exactly one JSON array.
     docs.select(F.lit("SP").alias("_ad"), F.lit("campaign").alias("_type"), F.lit("US").alias("_country"),
-                F.lit("7").alias("_client"), "_profile", "_dates", "value") \
+                F.col("_part").cast("string").alias("_client"), "_profile", "_dates", "value") \
         .write.mode("overwrite").option("compression", "gzip").partitionBy(*layout).text(landing)

@@ -13,7 +13,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from adspark.operators import load as L
 from adspark.operators import normalize as N
@@ -70,37 +70,69 @@ def latest_file_rows(stage: DataFrame, spec: TableSpec) -> DataFrame:
         .drop("_newest")
 
 
+# Entity snapshot tables have no date partition; they are partitioned by a hash bucket of the
+# snapshot key so that replacing one profile's snapshot rewrites one bucket, not the table.
+ENTITY_BUCKETS = 64
+BUCKET_COLUMN = "_bucket"
+# At most this many distinct touched partition values are turned into a static partition filter.
+STATIC_PRUNE_MAX = 10_000
+
+
+def _partition_layout(spec: TableSpec, buckets: int):
+    if spec.partition_column:
+        return spec.partition_column, None
+    key = F.pmod(F.xxhash64(*[F.col(k) for k in spec.merge_columns]), F.lit(buckets)).cast("int")
+    return BUCKET_COLUMN, key
+
+
+def _touched(current: DataFrame, stage: DataFrame, part: str) -> DataFrame:
+    """Current rows of the partitions the stage touches. A bounded list of partition values becomes a
+    static filter (partition pruning at planning); beyond the bound a semi join prunes at runtime."""
+    values = stage.select(part).distinct()
+    few = values.limit(STATIC_PRUNE_MAX + 1).collect()
+    if len(few) <= STATIC_PRUNE_MAX:
+        vals = [r[0] for r in few]
+        cond = F.col(part).isin([v for v in vals if v is not None])
+        if any(v is None for v in vals):
+            cond = cond | F.col(part).isNull()
+        return current.filter(cond)
+    return current.join(values, part, "left_semi")
+
+
+def read_table(spark: SparkSession, tables_root: str, spec: TableSpec) -> DataFrame | None:
+    """The loaded table (schema columns only), or None before the first load."""
+    path = table_path(tables_root, spec)
+    if not _exists(spark, path):
+        return None
+    part, _ = _partition_layout(spec, ENTITY_BUCKETS)
+    schema = spec.spark_schema()
+    if part == BUCKET_COLUMN:
+        schema = schema.add(BUCKET_COLUMN, IntegerType())
+    return spark.read.schema(schema).parquet(path).select(*spec.column_names)
+
+
 def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables_root: str,
-               staging_root: str, batch_id: str | None = None) -> None:
-    """Apply the table's load method and publish (see module doc)."""
+               staging_root: str, batch_id: str | None = None, buckets: int = ENTITY_BUCKETS) -> None:
+    """Apply the table's load method and publish only the touched partitions (dates for reports,
+    key buckets for entity snapshots) by dynamic partition overwrite."""
     stage = latest_file_rows(stage, spec).drop("_file", "_mtime")
     path = table_path(tables_root, spec)
     keys = list(spec.merge_columns)
-    present = _exists(spark, path)
-    if spec.partition_column:
-        part = spec.partition_column
-        if present:
-            current = spark.read.schema(spec.spark_schema()).parquet(path)
-            touched = current.join(stage.select(part).distinct(), part, "left_semi")
-        else:
-            touched = spark.createDataFrame([], spec.spark_schema())
-        if spec.load_method == "merge":
-            new = L.merge_upsert(touched, stage, keys, conflict="none")
-        elif spec.load_method == "delete_insert":
-            new = L.delete_insert(touched, stage, keys)
-        else:
-            new = L.append_rows(touched, stage.select(*touched.columns))
-        L.publish_partitions(new.select(*spec.column_names), path, part, staging_root=staging_root,
-                             cluster_by=[c for c in spec.cluster_columns if c != part] or None)
+    part, bucket = _partition_layout(spec, buckets)
+    schema = spec.spark_schema()
+    if bucket is not None:
+        stage = stage.withColumn(BUCKET_COLUMN, bucket)
+        schema = schema.add(BUCKET_COLUMN, IntegerType())
+    if _exists(spark, path):
+        touched = _touched(spark.read.schema(schema).parquet(path), stage, part)
     else:
-        current = L.read_published(spark, path, spec.spark_schema()) if present else None
-        if current is None:
-            current = spark.createDataFrame([], spec.spark_schema())
-        if spec.load_method == "merge":
-            new = L.merge_upsert(current, stage, keys, conflict="none")
-        elif spec.load_method == "delete_insert":
-            new = L.delete_insert(current, stage, keys)
-        else:
-            new = L.append_rows(current, stage.select(*current.columns))
-        L.stage_then_publish(new.select(*spec.column_names), path, batch_id=batch_id,
-                             cluster_by=list(spec.cluster_columns) or None)
+        touched = spark.createDataFrame([], schema)
+    stage = stage.select(*touched.columns)
+    if spec.load_method == "merge":
+        new = L.merge_upsert(touched, stage, keys, conflict="none")
+    elif spec.load_method == "delete_insert":
+        new = L.delete_insert(touched, stage, keys)
+    else:
+        new = L.append_rows(touched, stage)
+    cluster = [c for c in spec.cluster_columns if c != part] or None
+    L.publish_partitions(new, path, part, staging_root=staging_root, cluster_by=cluster)

@@ -87,8 +87,10 @@ def test_entity_snapshot_stream(spark, tmpdir_path):
                                            "defaultBid": 0.5, "extendedData": {"servingStatus": "OK"}},
                                           {"adGroupId": 2, "campaignId": 1, "name": "b"}])
     _run(spark, landing, tables, ckpt, kind="entity")
+    _entity(landing, "p2", "e0.json.gz", [{"adGroupId": 9, "campaignId": 2, "name": "z"}])
+    _run(spark, landing, tables, ckpt, kind="entity")
     _entity(landing, "p1", "e2.json.gz", [{"adGroupId": 3, "campaignId": 1, "name": "c"}])
     _run(spark, landing, tables, ckpt, kind="entity")
-    from adspark.operators.load import read_published
-    snap = read_published(spark, table_path(tables, ENTITY))
-    assert sorted(r["adGroupId"] for r in snap.collect()) == [3]
+    from adspark.plans.ingest import read_table
+    snap = read_table(spark, tables, ENTITY)
+    assert sorted((r["profileId"], r["adGroupId"]) for r in snap.collect()) == [("p1", 3), ("p2", 9)]

@@ -266,24 +266,26 @@ def create_table_from_spec(spark: SparkSession, spec: TableSpec, *, location: st
 
 
 def publish_partitions(df: DataFrame, table_root: str, partition_by: str, *, staging_root: str,
-                       cluster_by=None) -> None:
-    """Partition-scoped publish for date-partitioned tables: only the partitions present in ``df``
-    are replaced (dynamic partition overwrite), the others are not touched.
-
-    ``df`` usually reads the table it replaces, and Spark refuses to overwrite a path it reads, so
-    the new partitions are first materialised under ``staging_root`` (a shared folder, e.g. under
-    ``spark.checkpoint.dir``); that also cuts the lineage before the overwrite.
+                       cluster_by=None, reads_target: bool = True) -> None:
+    """Partition-scoped publish for partitioned tables: only the partitions present in ``df`` are
+    replaced (dynamic partition overwrite), the others are not touched.
+
+    When ``df`` reads the table it replaces (``reads_target``), Spark refuses to overwrite a path it
+    reads, so the new partitions are first materialised under ``staging_root`` (a shared folder,
+    e.g. under ``spark.checkpoint.dir``); that also cuts the lineage before the overwrite. A first
+    load (nothing to read) is written directly.
     """
     spark = df.sparkSession
-    stage_path = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
     out = df
     if cluster_by:
         out = out.repartition(_q(partition_by)).sortWithinPartitions(*[_q(c) for c in _on(cluster_by)])
-    write_parquet(out, stage_path, by=partition_by)
-    staged = spark.read.schema(df.schema).parquet(stage_path)
+    if reads_target:
+        stage_path = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
+        write_parquet(out, stage_path, by=partition_by)
+        out = spark.read.schema(df.schema).parquet(stage_path)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        staged.write.mode("overwrite").partitionBy(partition_by).parquet(table_root)
+        out.write.mode("overwrite").partitionBy(partition_by).parquet(table_root)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

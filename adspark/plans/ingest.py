@@ -123,7 +123,8 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
     if bucket is not None:
         stage = stage.withColumn(BUCKET_COLUMN, bucket)
         schema = schema.add(BUCKET_COLUMN, IntegerType())
-    if _exists(spark, path):
+    exists = _exists(spark, path)
+    if exists:
         touched = _touched(spark.read.schema(schema).parquet(path), stage, part)
     else:
         touched = spark.createDataFrame([], schema)
@@ -135,4 +136,4 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
     else:
         new = L.append_rows(touched, stage)
     cluster = [c for c in spec.cluster_columns if c != part] or None
-    L.publish_partitions(new, path, part, staging_root=staging_root, cluster_by=cluster)
+    L.publish_partitions(new, path, part, staging_root=staging_root, cluster_by=cluster, reads_target=exists)

@@ -523,6 +523,18 @@ def q_drop_unknown_columns(spark, sf):
     return df
 
 
+@query("normalize_columns", """
+SELECT p_partkey AS Part_Key, p_name AS Name_text, p_brand AS brand_name, p_retailprice AS Price_USD,
+  p_size AS size__cm_ FROM part
+""")
+def q_normalize_columns(spark, sf):
+    p = _t(spark, sf, "part")
+    df = p.select(F.col("p_partkey").alias("Part Key"), F.col("p_name").alias("Name (text)"),
+                  F.col("p_brand").alias("brand-name"), F.col("p_retailprice").alias("Price (USD) "),
+                  F.col("p_size").alias("size [cm]"))
+    return N.normalize_columns(df)
+
+
 _CAMPAIGN_V2 = TableSpec("report", "SB", "campaign_v2", "ads_sb", "reports_campaign_v2", "date", (), (),
                          "merge", (), (("date", "TIMESTAMP"),))
 
@@ -1448,16 +1460,62 @@ def q_create_table_from_spec(spark, sf):
     return _ntz(back.select("campaignId", "profileId", "date", "cost", "marketplace", "clicks"))
 
 
-@query("ingest_stream")
+_STREAM_SQL = """
+SELECT o_orderkey AS campaignId, 'P' || o_orderstatus AS profileId, date_trunc('month', o_orderdate) AS date,
+  o_totalprice{bump} AS cost,
+  o_custkey AS impressions, o_orderpriority AS campaignName, o_orderstatus AS campaignStatus,
+  'ATVPDKIKX0DER' AS marketplace, CAST(0 AS BIGINT) AS clicks
+FROM orders
+"""
+
+
+def _stream_result(spark, tables_root: str) -> DataFrame:
+    from adspark.plans.ingest import read_table
+    spec = get_spec("report", "SP", "campaign")
+    t = read_table(spark, tables_root, spec)
+    return _ntz(t.select("campaignId", "profileId", "date", "cost", "impressions", "campaignName", "campaignStatus",
+                         "marketplace", "clicks"))
+
+
+def _ingest(spark, landing, root):
+    from adspark.streaming.ingest import ingest_stream
+    q = ingest_stream(spark, landing, tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint", now=_now())
+    q.awaitTermination()
+
+
+@query("ingest_stream", _STREAM_SQL.format(bump=""))
 def q_ingest_stream(spark, sf):
-    from adspark.streaming.ingest import write_report_files, ingest_stream
+    """T-01: report files (made from orders) streamed into the SP campaign table."""
+    from adspark.streaming.ingest import write_report_files
     root = _scratch(spark, "stream")
-    write_report_files(_t(spark, sf, "orders"), f"{root}/landing")
-    q = ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint",
-                      now=_now())
-    q.awaitTermination()
-    spec = get_spec("report", "SP", "campaign")
-    return _ntz(spark.read.parquet(f"{root}/tables/{spec.dataset}/{spec.table_name}"))
+    write_report_files(_t(spark, sf, "orders"), f"{root}/landing/a")
+    _ingest(spark, f"{root}/landing", root)
+    return _stream_result(spark, f"{root}/tables")
+
+
+@query("latest_file_wins", _STREAM_SQL.format(bump=" + 1"))
+def q_latest_file_wins(spark, sf):
+    """T-03: two deliveries of the same keys in one micro-batch; the newer files win."""
+    from adspark.streaming.ingest import write_report_files
+    root = _scratch(spark, "latest")
+    o = _t(spark, sf, "orders")
+    write_report_files(o, f"{root}/landing/old")
+    write_report_files(o.withColumn("o_totalprice", F.col("o_totalprice") + 1), f"{root}/landing/new")
+    _ingest(spark, f"{root}/landing", root)
+    return _stream_result(spark, f"{root}/tables")
+
+
+@query("batch_idempotence", _STREAM_SQL.format(bump=""))
+def q_batch_idempotence(spark, sf):
+    """T-02: the same files delivered again in a later micro-batch leave the table unchanged."""
+    from adspark.streaming.ingest import write_report_files
+    root = _scratch(spark, "redeliver")
+    o = _t(spark, sf, "orders")
+    write_report_files(o, f"{root}/landing/first")
+    _ingest(spark, f"{root}/landing", root)
+    write_report_files(o, f"{root}/landing/again")
+    _ingest(spark, f"{root}/landing", root)
+    return _stream_result(spark, f"{root}/tables")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -70,16 +70,16 @@ def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkp
 
 
 def write_report_files(orders: DataFrame, landing: str, *, files_per_group: int = 2) -> None:
-    """Report files made from orders for the stand-in ingestion: SP campaign rows
-    (``campaignId`` = order key, ``cost`` = total price, ``date`` = order date), one profile per order
-    status and one date range per order year, JSON arrays under the report path layout. Each file
-    holds at most one partition's rows of its group."""
+    """Report files made from orders for the stand-in ingestion: monthly SP campaign rows
+    (``campaignId`` = order key, ``cost`` = total price, ``date`` = first day of the order month),
+    one profile per order status and one date range per order year, JSON arrays under the report
+    path layout. Each file holds at most one partition's rows of its group."""
     year = F.date_format("o_orderdate", "yyyy")
     rows = orders.select(
         F.concat(F.lit("P"), F.col("o_orderstatus")).alias("_profile"),
         F.concat(year, F.lit("0101-"), year, F.lit("1231")).alias("_dates"),
         F.col("o_orderkey").alias("campaignId"), F.col("o_totalprice").alias("cost"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_custkey").alias("impressions"),
+        F.date_format("o_orderdate", "yyyy-MM-01").alias("date"), F.col("o_custkey").alias("impressions"),
         F.col("o_orderpriority").alias("campaignName"), F.col("o_orderstatus").alias("campaignStatus"))
     payload = [c for c in rows.columns if not c.startswith("_")]
     grouped = rows.repartition(files_per_group, "_profile", "_dates")

@@ -59,7 +59,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_oracle_or_is_listed():
     no_sql = set(E.queries()) - set(E.oracle_sql())
-    assert no_sql <= {"decode_with_fallback", "ingest_stream"}
+    assert no_sql <= {"decode_with_fallback"}
 
 
 def test_entry_runs(spark):

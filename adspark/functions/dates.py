@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adspark.functions.text import try_cast
-
-from adspark.functions.text import _c
+from adspark.functions.text import _c, try_cast
 
 # Tokens meaning "no timestamp", and the formats tried after ISO parsing.
 NULL_TIMESTAMP_TOKENS = ("none", "null", "")

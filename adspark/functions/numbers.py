@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adspark.functions.text import try_cast
-
-from adspark.functions.text import MISSING_TOKENS, _c
+from adspark.functions.text import MISSING_TOKENS, _c, try_cast
 
 
 def to_double(c) -> Column:

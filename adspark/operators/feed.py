@@ -5,12 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from adspark.functions.text import try_cast
 from pyspark.sql import types as T
 
 from adspark.functions.numbers import round_money, to_double
-from adspark.functions.text import sanitize_string, truncate_with_ellipsis
+from adspark.functions.text import sanitize_string, truncate_with_ellipsis, try_cast
 from adspark.operators.pricing import PC, ProductColumns
 
 # Fixed values of the listing feed format.

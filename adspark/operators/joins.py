@@ -96,19 +96,34 @@ def eligible_sellers(users: DataFrame, oauth: DataFrame, channels: DataFrame, *,
 
 
 def skus_to_delete(live: DataFrame, products: DataFrame, on, *, max_share: float | None = None,
-                   force: bool = False) -> DataFrame:
+                   force: bool = False, by=None) -> DataFrame:
     """J-06: live SKUs that are no longer among the current products (anti join).
 
-    Guard against F3: with ``max_share`` set, deleting more than that share of the live SKUs (in
-    particular all of them because the product set came back empty) raises unless ``force``.
+    Guard against F3 (a failed product read must not delete a whole store): with ``max_share`` set,
+    deleting more than that share of a group's live SKUs (in particular all of them because its
+    product set came back empty) fails unless ``force``. With ``by`` (e.g. the seller) the check is
+    per group and lazy: a ``raise_error`` inside the plan fails the query that uses the deletes, no
+    extra job runs. Without ``by`` it is one global check run immediately.
     """
     on = _on(on)
     out = live.join(products.select(*[_q(c) for c in on]), on, "left_anti")
-    if max_share is not None and not force:
+    if max_share is None or force:
+        return out
+    if by is None:
         stats = live.select(F.count(F.lit(1)).alias("n")).crossJoin(out.select(F.count(F.lit(1)).alias("d"))).first()
         if stats["n"] > 0 and stats["d"] > max_share * stats["n"]:
             raise ValueError(f"refusing to delete {stats['d']} of {stats['n']} live SKUs; pass force=True")
-    return out
+        return out
+    by = _on(by)
+    n = live.groupBy(*[_q(c) for c in by]).agg(F.count(F.lit(1)).alias("_n"))
+    d = out.groupBy(*[_q(c) for c in by]).agg(F.count(F.lit(1)).alias("_d"))
+    guard = n.join(d, by, "inner").select(
+        *[_q(c) for c in by],
+        F.when(F.col("_d") > F.lit(max_share) * F.col("_n"),
+               F.raise_error(F.concat(F.lit("refusing to delete more than the allowed share of live SKUs for "),
+                                      F.concat_ws("/", *[F.col(_q(c)).cast("string") for c in by]))))
+        .otherwise(F.lit(True)).alias("_ok"))
+    return out.join(guard, by, "left").filter(F.coalesce(F.col("_ok"), F.lit(True))).drop("_ok")
 
 
 def retain_valid_history(history: DataFrame, valid: DataFrame, on) -> DataFrame:

@@ -37,25 +37,37 @@ def dedupe_stage(stage: DataFrame, keys, *, conflict: str = "raise", order_by: s
     """D8: exact duplicate rows are removed; rows that share a key but differ either raise
     (``conflict='raise'``) or the one with the greatest ``order_by`` wins (``'latest_wins'``).
 
-    ``latest_wins`` is a grouped ``max_by`` (partial aggregation before the shuffle), so one hot key
-    does not land whole in one task.
+    Both are one grouped aggregate per key (partial aggregation before the shuffle, so a hot key
+    does not land whole in one task). The conflict check is lazy: ``raise_error`` fails the query
+    that uses the stage, no separate pass over the stage is run.
     """
     keys = _on(keys)
-    stage = stage.dropDuplicates()
+    others = [c for c in stage.columns if c not in keys]
+    if conflict == "none":
+        return stage.dropDuplicates()
+    if not others:
+        return stage.dropDuplicates()
+    # A NULL key never equals anything (it inserts), so such rows skip the per-key check.
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(_q(k)).isNull()
+    with_nulls = stage.filter(null_key).dropDuplicates()
+    stage_keyed = stage.filter(~null_key)
+    row = F.struct(*[_q(c) for c in others])
     if conflict == "raise":
-        if assert_unique_key(stage, keys).limit(1).count() > 0:
-            raise ValueError(f"stage holds conflicting rows for key {keys}")
-        return stage
-    if conflict == "latest_wins":
+        grouped = stage_keyed.groupBy(*[_q(k) for k in keys]).agg(F.min(row).alias("_lo"), F.max(row).alias("_hi"))
+        checked = F.when(~F.col("_lo").eqNullSafe(F.col("_hi")),
+                         F.raise_error(F.lit(f"stage holds conflicting rows for key {keys}"))).otherwise(F.col("_lo"))
+        out = grouped.select(*[_q(k) for k in keys], checked.alias("_row"))
+    elif conflict == "latest_wins":
         if order_by is None:
             raise ValueError("latest_wins needs order_by")
-        others = [c for c in stage.columns if c not in keys]
-        best = stage.groupBy(*[_q(k) for k in keys]).agg(
-            F.max_by(F.struct(*[_q(c) for c in others]), F.struct(_q(order_by), *[_q(c) for c in others])).alias("_row"))
-        return best.select(*[_q(k) for k in keys], "_row.*").select(*[_q(c) for c in stage.columns])
-    if conflict == "none":
-        return stage
-    raise ValueError(f"unknown conflict mode {conflict!r}")
+        out = stage_keyed.groupBy(*[_q(k) for k in keys]).agg(
+            F.max_by(row, F.struct(_q(order_by), row)).alias("_row"))
+    else:
+        raise ValueError(f"unknown conflict mode {conflict!r}")
+    deduped = out.select(*[_q(k) for k in keys], "_row.*").select(*[_q(c) for c in stage.columns])
+    return deduped.unionByName(with_nulls)
 
 
 def merge_upsert(target: DataFrame, stage: DataFrame, keys, *, conflict: str = "raise",

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from adspark.functions.text import try_cast
 from pyspark.sql import types as T
 
 from adspark.functions.dates import parse_timestamp
 from adspark.functions.marketplace import country_to_marketplace
 from adspark.functions.numbers import to_double, to_long
-from adspark.functions.text import MISSING_TOKENS, normalize_column_name, null_token
+from adspark.functions.text import MISSING_TOKENS, normalize_column_name, null_token, try_cast
 from adspark.specs import SPARK_TYPES, TableSpec
 
 # Tables whose missing ``date`` is taken from the start date of the file path.

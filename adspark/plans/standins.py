@@ -23,7 +23,7 @@ from adspark.functions import (country_to_marketplace, date_token, dates_from_na
                                explicit_price_override, list_price, map_floor, normalize_text_key,
                                normalize_value, override_map_floor, parse_timestamp, sanitize_number,
                                sanitize_string, sanitize_timestamp, shift_date, target_price, to_double,
-                               truncate_with_ellipsis, url_key_decode)
+                               truncate_with_ellipsis)
 from adspark.functions.marketplace import MARKETPLACES
 from adspark.operators import aggregates as A
 from adspark.operators import changes as K
@@ -801,7 +801,7 @@ def q_target_price(spark, sf):
 
 @query("price_reject", "WITH " + _PRODUCTS_SQL + "SELECT sku, price FROM tp WHERE price IS NOT NULL")
 def q_price_reject(spark, sf):
-    ok, _ = P.price_reject(_priced(spark, sf).withColumnRenamed("price_to_push", "price_to_push"))
+    ok, _ = P.price_reject(_priced(spark, sf))
     return ok.select("sku", F.col("price_to_push").alias("price"))
 
 
@@ -811,11 +811,10 @@ m AS (SELECT sku, price, CASE p_type WHEN 'MEDIUM' THEN p_retailprice * CAST('3'
 SELECT sku, CASE WHEN m > 0 AND m > price THEN m ELSE price END AS price FROM m
 """)
 def q_map_floor(spark, sf):
-    df = _priced(spark, sf)
+    df = _priced(spark, sf).withColumn("p_retailprice_d", to_double("retail_price"))
     t = F.col("p_type")
     m = (F.when(t == "MEDIUM", (F.col("p_retailprice_d") * 3).cast("string")).when(t == "PROMO", F.lit("-5"))
          .when(t == "STANDARD", F.lit("x")).otherwise(F.lit(None)))
-    df = df.withColumn("p_retailprice_d", to_double("retail_price"))
     return df.select("sku", map_floor(F.col("price_to_push"), m).alias("price"))
 
 

@@ -76,7 +76,7 @@ def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame
     priced, rejected = price_products(products, identifiers, overrides, rules, master, cols=cols, seller=seller)
     # J-06 on the full product set (before change filtering), with the F3 guard.
     deletes = J.skus_to_delete(live.select(*keys), products.select(*keys), keys,
-                               max_share=max_delete_share, force=force_deletes)
+                               max_share=max_delete_share, force=force_deletes, by=[seller])
     hist = history.select(*keys, "status", "product_hash", "ended_at")
     annotated = K.annotate_changes(priced, hist, keys, now=now, sku=cols.sku, keep_share=keep_share, seed=seed)
     updates = annotated.filter(F.col("reason") != "unchanged")

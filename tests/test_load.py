@@ -17,9 +17,10 @@ def _rows(df, cols=("k", "p", "v")):
 def test_merge_upsert_cases(spark):
     target = spark.createDataFrame([("a", "1", 1, 0), ("b", "1", 2, 0), ("c", "1", 3, 0), (None, "1", 9, 0)], SCHEMA)
     stage = spark.createDataFrame([("b", "1", 20, 1), ("c", "1", 3, 0), ("d", "2", 4, 1), ("d", "2", 4, 1),
-                                   (None, "1", 8, 1)], SCHEMA)
+                                   (None, "1", 8, 1), (None, "1", 7, 1)], SCHEMA)
     out = L.merge_upsert(target, stage, ["k"])
-    assert _rows(out) == [("a", "1", 1), ("b", "1", 20), ("c", "1", 3), ("d", "2", 4), (None, "1", 8), (None, "1", 9)]
+    assert _rows(out) == [("a", "1", 1), ("b", "1", 20), ("c", "1", 3), ("d", "2", 4), (None, "1", 7), (None, "1", 8),
+                          (None, "1", 9)]
     again = L.merge_upsert(out, stage, ["k"]).filter(F.col("k").isNotNull())
     assert _rows(again) == _rows(out.filter(F.col("k").isNotNull()))
 
@@ -27,8 +28,8 @@ def test_merge_upsert_cases(spark):
 def test_merge_conflict_raise_and_latest(spark):
     target = spark.createDataFrame([("a", "1", 1, 0)], SCHEMA)
     stage = spark.createDataFrame([("a", "1", 5, 1), ("a", "1", 6, 2)], SCHEMA)
-    with pytest.raises(ValueError):
-        L.merge_upsert(target, stage, ["k"])
+    with pytest.raises(Exception, match="conflicting"):
+        L.merge_upsert(target, stage, ["k"]).collect()
     out = L.merge_upsert(target, stage, ["k"], conflict="latest_wins", order_by="ts")
     assert _rows(out) == [("a", "1", 6)]
 

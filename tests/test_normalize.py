@@ -4,7 +4,6 @@ import datetime
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from adspark.functions import (normalize_column_name, parse_timestamp, sanitize_string, truncate_with_ellipsis)
 from adspark.operators import normalize as N

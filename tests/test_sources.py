@@ -4,7 +4,6 @@ import gzip
 import json
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adspark.sources import files as SRC

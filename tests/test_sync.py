@@ -157,6 +157,12 @@ def test_skus_to_delete_guard(spark):
     with pytest.raises(ValueError):
         J.skus_to_delete(live, none, "sku", max_share=0.5)
     assert J.skus_to_delete(live, none, "sku", max_share=0.5, force=True).count() == 2
+    sl = spark.createDataFrame([("s1", "a"), ("s1", "b"), ("s2", "c"), ("s2", "d")], "seller_id string, sku string")
+    prods = spark.createDataFrame([("s1", "a"), ("s1", "b"), ("s2", "c")], "seller_id string, sku string")
+    assert J.skus_to_delete(sl, prods, ["seller_id", "sku"], max_share=0.5, by=["seller_id"]).count() == 1
+    lazy = J.skus_to_delete(sl, prods.filter("seller_id = 's1'"), ["seller_id", "sku"], max_share=0.5, by=["seller_id"])
+    with pytest.raises(Exception):
+        lazy.collect()
 
 
 def _sync_inputs(spark):

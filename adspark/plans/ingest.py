@@ -22,12 +22,17 @@ from adspark.sources.paths import path_metadata
 from adspark.specs import TableSpec
 
 
-def clean_files(files: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
-    """Rows of one table from whole-file rows (``_file``, ``_mtime``, ``value``) as typed columns
-    plus ``_file`` / ``_mtime`` (kept for latest-file-wins)."""
-    kind = "report" if spec.table_type == "report" else "entity"
+def parse_files(files: DataFrame, spec: TableSpec) -> DataFrame:
+    """Whole-file rows (``_file``, ``_mtime``, ``value``) to one row per array element, every
+    configured field as text."""
     schema = spec_input_schema(spec)
-    rows = files.select("_file", "_mtime", F.inline(F.from_json(F.col("value"), ArrayType(schema))))
+    return files.select("_file", "_mtime", F.inline(F.from_json(F.col("value"), ArrayType(schema))))
+
+
+def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
+    """Parsed rows (with ``_file``) of one table to typed columns plus ``_file`` / ``_mtime``: path
+    metadata, entity flattening, stamping, unknown columns dropped, cast with type defaults."""
+    kind = "report" if spec.table_type == "report" else "entity"
     rows = path_metadata(rows, kind=kind)
     if kind == "entity":
         if spec.name == "portfolio":
@@ -47,6 +52,11 @@ def clean_files(files: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
     return typed.select(*spec.column_names, "_file", "_mtime")
 
 
+def clean_files(files: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
+    """``parse_files`` then ``clean_rows``: one lazy plan per table."""
+    return clean_rows(parse_files(files, spec), spec, now=now)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = L._fs(spark, path)
     return fs.exists(p)

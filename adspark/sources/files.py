@@ -35,14 +35,25 @@ def whole_files(spark: SparkSession, paths, *, fallback: str = "ISO-8859-1", rec
 
 
 def read_json_report(spark: SparkSession, paths, schema: T.StructType | None = None, *,
-                     fallback: str = "ISO-8859-1", files: DataFrame | None = None) -> DataFrame:
+                     fallback: str = "ISO-8859-1", files: DataFrame | None = None, mode: str = "wholetext",
+                     encoding: str = "UTF-8") -> DataFrame:
     """I-01: each file holds one JSON array of objects; rows with ``_file`` and ``_mtime``.
 
-    Without ``schema`` all fields are read as text (types come later from ``cast_to_schema``); a
-    field given as string keeps nested objects / arrays as their JSON text.
+    ``mode="wholetext"`` (default) reads each file as one value, so the UTF-8 / latin1 decision
+    (I-02) is made per file; a file must fit in one task's memory. ``mode="multiline"`` uses Spark's
+    JSON reader, which streams the array elements of a file without holding the whole text (for
+    very large files); it reads one fixed ``encoding``. Without ``schema`` nothing is inferred: pass
+    the reading schema (all fields as text, see ``spec_input_schema``).
     """
     if schema is None:
         raise ValueError("read_json_report needs a schema (see spec_input_schema)")
+    if mode == "multiline":
+        df = spark.read.schema(schema).option("multiLine", True).option("encoding", encoding) \
+            .option("recursiveFileLookup", True).json(_paths(paths))
+        return df.select(F.col("_metadata.file_path").alias("_file"),
+                         F.col("_metadata.file_modification_time").alias("_mtime"), *[F.col(f"`{c}`") for c in df.columns])
+    if mode != "wholetext":
+        raise ValueError(f"unknown mode {mode!r}")
     files = whole_files(spark, paths, fallback=fallback) if files is None else files
     return files.select("_file", "_mtime", F.inline(F.from_json(F.col("value"), T.ArrayType(schema))))
 

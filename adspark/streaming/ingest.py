@@ -10,6 +10,7 @@ Latest file wins inside a micro-batch (T-03, ``latest_file_rows``).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,22 +30,31 @@ def _marker(spark: SparkSession, root: str, batch_id: int, table: str) -> tuple:
 
 def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: str, now: Column,
                   staging_root: str) -> None:
+    """Load one micro-batch. The batch's files and each table's parsed stage are read several times
+    (table list, touched partitions, keys, rows), so they are persisted for the duration of the
+    batch; a lost executor recomputes them from the files."""
     spark = files.sparkSession
-    files = path_metadata(files, kind=kind)
-    # Bounded: one row per configured table present in this micro-batch.
-    tables = [(r["_ad_type"], r["_report_type"]) for r in
-              files.select("_ad_type", "_report_type").distinct().collect()]
-    for ad_type, name in sorted(tables):
-        spec = get_spec(kind, ad_type, name)
-        fs, marker = _marker(spark, tables_root, batch_id, f"{spec.dataset}.{spec.table_name}")
-        if fs.exists(marker):
-            continue
-        part = files.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name)) \
-            .select("_file", "_mtime", "value")
-        stage = clean_files(part, spec, now=now)
-        load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
-                   batch_id=str(batch_id))
-        fs.create(marker, True).close()
+    files = path_metadata(files, kind=kind).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # Bounded: one row per configured table present in this micro-batch.
+        tables = [(r["_ad_type"], r["_report_type"]) for r in
+                  files.select("_ad_type", "_report_type").distinct().collect()]
+        for ad_type, name in sorted(tables):
+            spec = get_spec(kind, ad_type, name)
+            fs, marker = _marker(spark, tables_root, batch_id, f"{spec.dataset}.{spec.table_name}")
+            if fs.exists(marker):
+                continue
+            part = files.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name)) \
+                .select("_file", "_mtime", "value")
+            stage = clean_files(part, spec, now=now).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
+                           batch_id=str(batch_id))
+            finally:
+                stage.unpersist()
+            fs.create(marker, True).close()
+    finally:
+        files.unpersist()
 
 
 def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkpoint: str,

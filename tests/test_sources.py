@@ -31,6 +31,9 @@ def test_utf8_latin1_plain_and_gzip(spark, tmpdir_path):
     got = sorted((os.path.basename(r["_file"]), r["name"], r["n"]) for r in df.collect())
     assert got == [("latin1.json", "café", "1"), ("multiline.json", "café", "1"), ("utf8.json", "café", "1"),
                    ("zipped.json.gz", "café", "1")]
+    streamed = SRC.read_json_report(spark, f"{tmpdir_path}/a", SCHEMA, mode="multiline")
+    got = sorted((os.path.basename(r["_file"]), r["name"]) for r in streamed.collect())
+    assert ("multiline.json", "café") in got and ("zipped.json.gz", "café") in got
 
 
 def test_csv_header_only_and_gate(spark, tmpdir_path):

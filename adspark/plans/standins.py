@@ -1517,6 +1517,46 @@ def q_batch_idempotence(spark, sf):
     return _stream_result(spark, f"{root}/tables")
 
 
+@query("catalog_sync")
+def q_catalog_sync(spark, sf):
+    """The whole feed-planning job for all sellers at once: suppliers
+    are sellers, the parts each supplier ships are its products, part data gives identifiers,
+    lineitem rows give overrides, shipped-before-1997 pairs give history, and every shipped pair is
+    live (pairs with a high discount are no longer offered, so they are deleted)."""
+    from adspark.plans.sync import plan_feed
+    li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    pairs = li.groupBy(F.col("l_suppkey").cast("string").alias("seller_id"),
+                       F.col("l_partkey").alias("p_partkey")).agg(
+        F.min("l_discount").alias("min_discount"), F.min("l_shipdate").alias("first_ship"))
+    products = pairs.filter("min_discount < 0.09").join(p, "p_partkey").select(
+        "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("title"),
+        F.col("p_brand").alias("brand"), (F.col("p_retailprice") * 0.5).cast("string").alias("cost"),
+        (F.col("p_retailprice") * 0.6).cast("string").alias("fulfillment_cost"), F.lit("0.2").alias("requested_margin"),
+        F.col("p_retailprice").cast("string").alias("retail_price"), F.lit("").alias("map_price"),
+        F.col("p_size").cast("string").alias("quantity"), F.lit("1").alias("uom"),
+        F.lit("Yes").alias("push_to_marketplace"), F.lit("Yes").alias("push_to_site"))
+    ids = p.select(F.col("p_partkey").cast("string").alias("sku"),
+                   F.concat(F.lit("B0"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("asin"),
+                   F.lit("0.15").alias("referral_fee"),
+                   F.when(F.col("p_size") < 5, F.lit("false")).otherwise(F.lit("true")).alias("mpn_match"),
+                   (F.floor(F.col("p_size") / 10) + 1).cast("string").alias("number_of_items"))
+    ov = li.select(F.col("l_suppkey").cast("string").alias("seller_id"), F.col("l_partkey").cast("string").alias("sku"),
+                   (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+                   F.when(F.col("l_returnflag") == "R", F.concat(F.lit("T"), F.col("l_orderkey").cast("string")))
+                   .alias("title"),
+                   F.when(F.col("l_returnflag") == "A", F.col("l_extendedprice").cast("string")).alias("map_price"))
+    rules = p.select("p_brand").distinct().select(F.lower("p_brand").alias("brand_name"),
+                                                  F.lit("0.1").alias("map_fraction"),
+                                                  F.lit(None).cast("string").alias("push_to_marketplace"),
+                                                  F.lit("Yes").alias("push_to_site"))
+    history = pairs.filter(F.col("first_ship") < _ts("1997-01-01")).select(
+        "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.lit("processed").alias("status"),
+        F.lit(None).cast("string").alias("product_hash"), _ts("2001-05-01").alias("ended_at"))
+    live = pairs.select("seller_id", F.col("p_partkey").cast("string").alias("sku"))
+    plan = plan_feed(products, ids, ov, rules, None, history, live, batch_id=BATCH_ID, now=_now(), seed="2001-06-01")
+    return plan.messages
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -24,6 +24,7 @@ from adspark.operators import normalize as N
 from adspark.operators import pricing as P
 from adspark.operators.aggregates import feed_result_by_message, feed_summary
 from adspark.operators.pricing import PC, ProductColumns
+from adspark.session import ensure_checkpoint_dir
 
 
 def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None,
@@ -78,7 +79,12 @@ def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame
     deletes = J.skus_to_delete(live.select(*keys), products.select(*keys), keys,
                                max_share=max_delete_share, force=force_deletes, by=[seller])
     hist = history.select(*keys, "status", "product_hash", "ended_at")
-    annotated = K.annotate_changes(priced, hist, keys, now=now, sku=cols.sku, keep_share=keep_share, seed=seed)
+    # The annotated products feed the staged rows, the message ids, the update messages, the price
+    # updates and the change statistics: materialise them once in the shared checkpoint folder
+    # (also cuts the lineage of the whole pricing chain).
+    ensure_checkpoint_dir(products.sparkSession)
+    annotated = K.annotate_changes(priced, hist, keys, now=now, sku=cols.sku, keep_share=keep_share,
+                                   seed=seed).checkpoint(eager=True)
     updates = annotated.filter(F.col("reason") != "unchanged")
     staged = K.stage_changes(updates, deletes, batch_id=batch_id, now=now, seller=seller, sku=cols.sku,
                              asin=cols.asin, title=cols.title, price=cols.price)

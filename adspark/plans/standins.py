@@ -1517,7 +1517,40 @@ def q_batch_idempotence(spark, sf):
     return _stream_result(spark, f"{root}/tables")
 
 
-@query("catalog_sync")
+_RM = "CAST(round(CAST({x} AS DECIMAL(18,4)), 2) AS DOUBLE)"
+
+
+@query("catalog_sync", f"""
+WITH pairs AS (SELECT CAST(l_suppkey AS VARCHAR) AS seller_id, l_partkey AS p_partkey, min(l_discount) AS min_discount
+               FROM lineitem GROUP BY l_suppkey, l_partkey),
+prod AS (SELECT pr.seller_id, CAST(p.p_partkey AS VARCHAR) AS sku, p.p_size, p.p_retailprice AS retail,
+           p.p_retailprice * CAST('0.5' AS DOUBLE) AS cost, p.p_retailprice * CAST('0.6' AS DOUBLE) AS ful
+         FROM pairs pr JOIN part p ON p.p_partkey = pr.p_partkey WHERE pr.min_discount < 0.09 AND p.p_size >= 5),
+ov AS (SELECT CAST(l_suppkey AS VARCHAR) AS seller_id, CAST(l_partkey AS VARCHAR) AS sku,
+         arg_max(l_extendedprice, l_orderkey * 10 + l_linenumber) FILTER (WHERE l_returnflag = 'A') AS ovmap
+       FROM lineitem GROUP BY l_suppkey, l_partkey),
+c AS (SELECT prod.*, ov.ovmap,
+        CAST(1 AS DOUBLE) - CAST('0.15' AS DOUBLE) - CAST('0.2' AS DOUBLE) AS denom,
+        {_RM.format(x="(CAST(1 AS DOUBLE) - CAST('0.1' AS DOUBLE)) * retail")} AS map,
+        CAST(floor(p_size / 10) + 1 AS INTEGER) AS pack
+      FROM prod LEFT JOIN ov ON ov.seller_id = prod.seller_id AND ov.sku = prod.sku),
+d AS (SELECT *, CASE WHEN ful > 0 AND denom > 0 THEN round(ful / denom, 4) END AS price0 FROM c),
+e AS (SELECT *, CASE WHEN map > 0 AND map > price0 THEN map ELSE price0 END AS p1 FROM d),
+f AS (SELECT *, CASE WHEN ovmap > p1 THEN ovmap ELSE p1 END AS p2,
+        cost * (CAST(pack AS DOUBLE) / CAST(1 AS DOUBLE)) + (ful - cost) AS scaled FROM e),
+g AS (SELECT *, CASE WHEN scaled > 0 AND denom > 0 THEN round(scaled / denom, 4) END AS nt FROM f),
+upd AS (SELECT seller_id, sku, 'UPDATE' AS operation, p_size AS quantity,
+          CASE WHEN pack > 1 AND nt IS NOT NULL THEN greatest({_RM.format(x="nt")}, {_RM.format(x="retail")})
+               ELSE {_RM.format(x="p2")} END AS our_price
+        FROM g WHERE p2 IS NOT NULL),
+del AS (SELECT seller_id, CAST(p_partkey AS VARCHAR) AS sku, 'DELETE' AS operation, CAST(NULL AS INTEGER) AS quantity,
+          CAST(NULL AS DOUBLE) AS our_price FROM pairs WHERE min_discount >= 0.09),
+allm AS (SELECT *, row_number() OVER (PARTITION BY seller_id
+                     ORDER BY CASE WHEN operation = 'DELETE' THEN 1 ELSE 0 END, sku) AS message_id
+         FROM (SELECT * FROM upd UNION ALL SELECT * FROM del))
+SELECT seller_id, sku, message_id, CAST((message_id - 1) // 10000 AS BIGINT) AS chunk_id, operation, our_price, quantity
+FROM allm
+""")
 def q_catalog_sync(spark, sf):
     """The whole feed-planning job for all sellers at once: suppliers
     are sellers, the parts each supplier ships are its products, part data gives identifiers,
@@ -1554,7 +1587,12 @@ def q_catalog_sync(spark, sf):
         F.lit(None).cast("string").alias("product_hash"), _ts("2001-05-01").alias("ended_at"))
     live = pairs.select("seller_id", F.col("p_partkey").cast("string").alias("sku"))
     plan = plan_feed(products, ids, ov, rules, None, history, live, batch_id=BATCH_ID, now=_now(), seed="2001-06-01")
-    return plan.messages
+    m = F.col("message_json")
+    return plan.messages.select(
+        "seller_id", "sku", "message_id", "chunk_id", F.get_json_object(m, "$.operationType").alias("operation"),
+        F.get_json_object(m, "$.attributes.purchasable_offer[0].our_price[0].schedule[0].value_with_tax")
+        .cast("double").alias("our_price"),
+        F.get_json_object(m, "$.attributes.fulfillment_availability[0].quantity").cast("int").alias("quantity"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

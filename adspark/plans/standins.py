@@ -635,8 +635,17 @@ def q_read_json_report(spark, sf):
     return _ntz(typed.drop("_file", "_mtime"))
 
 
-@query("decode_with_fallback")
+@query("decode_with_fallback", """
+WITH d AS (SELECT doc_id, lang, text, CASE WHEN lang = 'fr' THEN hex(encode(text)) || 'E9' END AS h FROM documents)
+SELECT doc_id, CASE WHEN lang = 'fr'
+  THEN array_to_string(list_transform(range(0, length(h), 2),
+                                      lambda i: chr(CAST(('0x' || substr(h, i + 1, 2)) AS INTEGER))), '')
+  ELSE text END AS decoded
+FROM d
+""")
 def q_decode_with_fallback(spark, sf):
+    """I-02: French documents get an invalid trailing byte, so the whole file falls back to latin1
+    (each UTF-8 byte becomes one character); the others are valid UTF-8 and stay as they are."""
     d = _t(spark, sf, "documents")
     raw = F.when(F.col("lang") == "fr", F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("E9")))) \
         .otherwise(F.encode("text", "UTF-8"))

@@ -57,9 +57,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
-def test_every_query_has_oracle_or_is_listed():
-    no_sql = set(E.queries()) - set(E.oracle_sql())
-    assert no_sql <= {"decode_with_fallback"}
+def test_every_query_has_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

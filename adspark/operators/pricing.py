@@ -59,7 +59,9 @@ def _c(name: str):
 
 def mpn_block(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
     """K-10: an identifier match flag equal to ``false`` (any case) sets the marketplace push flag
-    to ``No``; NULL changes nothing."""
+    to ``No``; NULL changes nothing (and so does an absent flag column)."""
+    if cols.mpn_match not in df.columns:
+        return df
     return df.withColumn(cols.push_marketplace,
                          F.when(F.lower(_c(cols.mpn_match)) == "false", F.lit("No")).otherwise(_c(cols.push_marketplace)))
 
@@ -160,8 +162,11 @@ def pack_price(df: DataFrame, cols: ProductColumns = PC, *, out: str | None = No
     out = out or cols.price
     price, retail = to_double(_c(cols.price)), to_double(_c(cols.retail))
     price2, retail2 = round_money(price), round_money(retail)
-    pack = to_double(_c(cols.pack_count)).cast("int")
-    unit = to_double(_c(cols.uom)).cast("int")
+    def opt(name):
+        return _c(name) if name in df.columns else F.lit(None).cast("string")
+
+    pack = to_double(opt(cols.pack_count)).cast("int")
+    unit = to_double(opt(cols.uom)).cast("int")
     cost, ful = to_double(_c(cols.cost)), to_double(_c(cols.fulfillment_cost))
     applies = pack.isNotNull() & unit.isNotNull() & (pack > unit) & (unit != 0)
     scaled = cost * (pack.cast("double") / unit.cast("double")) + (ful - cost)

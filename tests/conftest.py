@@ -14,9 +14,9 @@ SF0001 = "/root/testdata/sf0.001"
 def spark():
     from adspark.session import get_session
     scratch = tempfile.mkdtemp(prefix="adspark-tests-")
+    # spark.checkpoint.dir is read from the session; get_session sets a private one only when unset.
     s = get_session(master="local[4]", app="adspark-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-                           "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
+                    extra={"spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
                            "spark.driver.memory": "4g"})
     yield s
     s.stop()

@@ -17,39 +17,97 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adspark.functions.text import decode_with_fallback
 from adspark.operators import load as L
-from adspark.plans.ingest import clean_files, load_stage
+from adspark.operators import normalize as N
+from adspark.operators.aggregates import row_count
+from adspark.plans.ingest import clean_files, clean_rows, load_stage
 from adspark.session import scratch_dir
+from adspark.sources.files import file_format_gate, header_gate
 from adspark.sources.paths import path_metadata
 from adspark.specs import get_spec
 
 
 def _marker(spark: SparkSession, root: str, batch_id: int, table: str) -> tuple:
-    fs, p, jvm = L._fs(spark, f"{root.rstrip('/')}/_commits/{batch_id}/{table}")
+    fs, p, _ = L._fs(spark, f"{root.rstrip('/')}/_commits/{batch_id}/{table}")
     return fs, p
 
 
+def _append_status(df: DataFrame, tables_root: str, name: str) -> None:
+    """Audit tables next to the data: ``_rejects`` (files not loaded, with a status) and
+    ``_file_status`` (rows loaded per file, A-01)."""
+    df.write.mode("append").parquet(f"{tables_root.rstrip('/')}/{name}")
+
+
+def _file_headers(files: DataFrame) -> DataFrame:
+    """Header names per file: first line split by commas for CSV, keys of the first object for JSON."""
+    first_line = F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "\r$", "")
+    csv_cols = F.when(F.trim(first_line) == "", F.array().cast("array<string>")).otherwise(F.split(first_line, ","))
+    json_cols = F.coalesce(F.json_object_keys(F.get_json_object(F.col("value"), "$[0]")), F.array().cast("array<string>"))
+    return files.withColumn("columns", F.when(F.col("extension") == ".csv", csv_cols).otherwise(json_cols))
+
+
+def read_csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV report files sharing one header: every column as text, names normalised (N-01)."""
+    df = spark.read.option("header", True).option("inferSchema", False).csv(paths)
+    df = N.normalize_columns(df)
+    return df.withColumns({"_file": F.col("_metadata.file_path"), "_mtime": F.col("_metadata.file_modification_time")})
+
+
 def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: str, now: Column,
                   staging_root: str) -> None:
-    """Load one micro-batch. The batch's files and each table's parsed stage are read several times
-    (table list, touched partitions, keys, rows), so they are persisted for the duration of the
-    batch; a lost executor recomputes them from the files."""
+    """Load one micro-batch.
+
+    Files with another extension than ``.gz .json .csv`` (I-13), files for no configured table and
+    files whose header names an ``Error`` column or holds ``<html>`` (I-14) are recorded in
+    ``_rejects`` and not loaded. JSON / gzip files are parsed as JSON arrays; CSV files are read by
+    Spark's CSV reader, one read per distinct header (names normalised). The batch's files and each
+    table's stage are persisted for the duration of the batch (they are read several times); a lost
+    executor recomputes them from the files.
+    """
     spark = files.sparkSession
-    files = path_metadata(files, kind=kind).persist(StorageLevel.MEMORY_AND_DISK)
+    files = path_metadata(files, kind=kind)
+    files, bad_format = file_format_gate(files, path="_file")
+    files = files.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Bounded: one row per configured table present in this micro-batch.
+        gated = header_gate(_file_headers(files).select("_file", "columns"), path="_file")
+        bad_header = gated.filter(F.col("verdict").isin("error_column", "html"))
+        files = files.join(bad_header.select("_file"), "_file", "left_anti")
+        # Bounded: one row per table present in this micro-batch (36 configured at most).
         tables = [(r["_ad_type"], r["_report_type"]) for r in
                   files.select("_ad_type", "_report_type").distinct().collect()]
-        for ad_type, name in sorted(tables):
+        known = [(a, n) for a, n in tables if _configured(kind, a, n)]
+        unknown = [(a, n) for a, n in tables if (a, n) not in known]
+        rejects = bad_format.select("_file", F.col("status")) \
+            .unionByName(bad_header.select("_file", F.lit("INVALID_HEADER").alias("status")))
+        if unknown:
+            cond = F.lit(False)
+            for a, n in unknown:
+                cond = cond | ((F.col("_ad_type") == a) & (F.col("_report_type") == n))
+            rejects = rejects.unionByName(files.filter(cond).select("_file", F.lit("UNKNOWN_TABLE").alias("status")))
+        _append_status(rejects.withColumn("batch_id", F.lit(batch_id)), tables_root, "_rejects")
+        for ad_type, name in sorted(known):
             spec = get_spec(kind, ad_type, name)
             fs, marker = _marker(spark, tables_root, batch_id, f"{spec.dataset}.{spec.table_name}")
             if fs.exists(marker):
                 continue
-            part = files.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name)) \
-                .select("_file", "_mtime", "value")
-            stage = clean_files(part, spec, now=now).persist(StorageLevel.MEMORY_AND_DISK)
+            part = files.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
+            stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", "value"),
+                                spec, now=now)
+            # CSV files of this table, grouped by header (bounded by the files of one micro-batch).
+            csv = part.filter(F.col("extension") == ".csv")
+            csv = csv.select("_file", F.substring_index(F.col("value"), "\n", 1).alias("_header"))
+            groups: dict[str, list[str]] = {}
+            for r in csv.collect():
+                groups.setdefault(r["_header"], []).append(r["_file"])
+            for paths in groups.values():
+                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths), spec, now=now))
+            stage = stage.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
                            batch_id=str(batch_id))
+                counts = row_count(stage, by=("_file",)).select(
+                    "_file", "row_count", F.lit(f"{spec.dataset}.{spec.table_name}").alias("table"),
+                    F.lit(batch_id).alias("batch_id"))
+                _append_status(counts, tables_root, "_file_status")
             finally:
                 stage.unpersist()
             fs.create(marker, True).close()
@@ -57,6 +115,14 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
         files.unpersist()
 
 
+def _configured(kind: str, ad_type: str, name: str) -> bool:
+    try:
+        get_spec(kind, ad_type, name)
+        return True
+    except KeyError:
+        return False
+
+
 def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkpoint: str,
                   kind: str = "report", now: Column | None = None, available_now: bool = True,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:

@@ -94,3 +94,29 @@ def test_entity_snapshot_stream(spark, tmpdir_path):
     from adspark.plans.ingest import read_table
     snap = read_table(spark, tables, ENTITY)
     assert sorted((r["profileId"], r["adGroupId"]) for r in snap.collect()) == [("p1", 3), ("p2", 9)]
+
+
+def test_csv_reports_gates_and_status(spark, tmpdir_path):
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    d = os.path.join(landing, "reports", "SP", "campaign", "US", "7", "p9", "20240320-20240320")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("date,campaignId,cost,Ad Group (Name)\n2024-03-20,1,2.5,g\n2024-03-20,2,3.5,h\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:  # other column order, same table
+        f.write("cost,date,campaignId\n9.5,2024-03-20,3\n")
+    with open(os.path.join(d, "c.txt"), "w") as f:
+        f.write("ignored\n")
+    with open(os.path.join(d, "err.csv"), "w") as f:
+        f.write("Error,details\nthrottled,x\n")
+    u = os.path.join(landing, "reports", "SP", "nosuchtable", "US", "7", "p9", "20240320-20240320")
+    os.makedirs(u, exist_ok=True)
+    with open(os.path.join(u, "x.json"), "w") as f:
+        json.dump([{"a": 1}], f)
+    _run(spark, landing, tables, ckpt)
+    got = sorted((r["campaignId"], r["cost"], r["profileId"]) for r in
+                 spark.read.parquet(table_path(tables, SPEC)).collect())
+    assert got == [(1, 2.5, "p9"), (2, 3.5, "p9"), (3, 9.5, "p9")]
+    rejects = {os.path.basename(r["_file"]): r["status"] for r in spark.read.parquet(os.path.join(tables, "_rejects")).collect()}
+    assert rejects == {"c.txt": "INPUT_FORMAT_UNSUPPORTED", "err.csv": "INVALID_HEADER", "x.json": "UNKNOWN_TABLE"}
+    status = {os.path.basename(r["_file"]): r["row_count"] for r in spark.read.parquet(os.path.join(tables, "_file_status")).collect()}
+    assert status == {"a.csv": 2, "b.csv": 1}

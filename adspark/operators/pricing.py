@@ -87,6 +87,21 @@ def cell_overrides(products: DataFrame, overrides: DataFrame, on, *, seq: str, c
     return out.drop(*[f"_ov_{c}" for c in common])
 
 
+def reduce_overrides(overrides: DataFrame, on, *, seq: str, cols, numeric=()) -> DataFrame:
+    """One row per key with the latest (by ``seq``) non-missing value of each column in ``cols``
+    (``_ov_<col>``) and the latest numeric value of each column in ``numeric`` (``_ovnum_<col>``).
+    One grouped aggregate serves K-11, K-15 and K-16 together."""
+    on = [on] if isinstance(on, str) else list(on)
+    aggs = []
+    for c in cols:
+        valid = ~is_missing(_c(c))
+        aggs.append(F.max_by(F.when(valid, _c(c).cast("string")), F.when(valid, _c(seq))).alias(f"_ov_{c}"))
+    for c in numeric:
+        num = to_double(_c(c))
+        aggs.append(F.max_by(num, F.when(num.isNotNull(), _c(seq))).alias(f"_ovnum_{c}"))
+    return overrides.groupBy(*[_c(k) for k in on]).agg(*aggs)
+
+
 def brand_rules(df: DataFrame, rules: DataFrame | None, cols: ProductColumns = PC, rc: RuleColumns = RC,
                 *, check_unique: bool = True, on=()) -> DataFrame:
     """K-12: where a brand rule matches (normalised brand), the site flag takes the rule value if

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adspark.functions.numbers import explicit_price_override, override_map_floor
+
 from adspark.operators import changes as K
 from adspark.operators import feed as FD
 from adspark.operators import joins as J
@@ -31,14 +33,28 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
                    rules: DataFrame | None, master: DataFrame | None, *, cols: ProductColumns = PC,
                    seller: str = "seller_id", seq: str = "seq", hash_cols=None):
     """The product chain in the reference's order: J-01, K-10, K-11, K-12, N-16, N-17, J-02,
-    K-13, K-14, K-15, K-16, K-19, K-18. Returns ``(priced, rejected)``."""
+    K-13, K-14, K-15, K-16, K-19, K-18. Returns ``(priced, rejected)``.
+
+    The override table is reduced once per (seller, SKU) (``reduce_overrides``) and joined once;
+    its reduced values serve the cell overrides (K-11), the override MAP floor (K-15) and the
+    explicit price (K-16)."""
     keys = [seller, cols.sku]
     df = N.null_tokens(products)
     df = J.join_identifiers(df, N.null_tokens(identifiers), cols.sku)
     df = P.mpn_block(df, cols)
+    ov_cols = []
     if overrides is not None:
-        ov = overrides
-        df = P.cell_overrides(df, ov, keys, seq=seq, cols=[c for c in ov.columns if c != cols.price])
+        cell = [c for c in overrides.columns if c in df.columns and c not in keys and c not in (seq, cols.price)]
+        ov_cols = [f"_ov_{c}" for c in cell]
+        numeric = [cols.price] if cols.price in overrides.columns else []
+        if cols.map_price in overrides.columns and cols.map_price not in cell:
+            cell_map = [cols.map_price]
+        else:
+            cell_map = []
+        red = P.reduce_overrides(overrides, keys, seq=seq, cols=cell + cell_map, numeric=numeric)
+        df = df.join(red, keys, "left")
+        df = df.withColumns({c: F.coalesce(F.col(f"`_ov_{c}`"), F.col(f"`{c}`").cast("string")) for c in cell})
+        ov_cols = [c for c in red.columns if c.startswith("_ov")]
     if rules is not None:
         df = P.brand_rules(df, rules, cols, on=[seller] if seller in rules.columns else [])
     df = N.filter_identifier(df, cols.asin)
@@ -48,7 +64,11 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
     df = P.apply_target_price(df, cols)
     df = P.apply_map_floor(df, cols)
     if overrides is not None:
-        df = P.apply_override_prices(df, overrides, cols, seq=seq, on=keys)
+        price = F.col(f"`{cols.price}`")
+        price = override_map_floor(price, F.col(f"`_ov_{cols.map_price}`")) if f"_ov_{cols.map_price}" in ov_cols else price
+        if f"_ovnum_{cols.price}" in ov_cols:
+            price = explicit_price_override(price, F.col(f"`_ovnum_{cols.price}`"))
+        df = df.withColumn(cols.price, price).drop(*ov_cols)
     priced, rejected = P.price_reject(df, cols)
     if hash_cols is None:
         hash_cols = sorted(c for c in priced.columns if c != "product_hash")

@@ -35,12 +35,16 @@ def sanitize_number(c, type_: str = "double") -> Column:
     return to_long(c) if type_ in ("long", "bigint", "int") else to_double(c)
 
 
+def target_price_num(cost: Column, fee: Column, margin: Column) -> Column:
+    """K-13 on double columns (NULL for a missing input)."""
+    denom = F.lit(1.0) - fee - margin
+    return F.when((cost > 0) & (denom > 0), F.round(cost / denom, 4))
+
+
 def target_price(cost, fee, margin) -> Column:
     """K-13: ``cost / (1 - fee - margin)`` rounded to 4 places; NULL when cost <= 0, the denominator
     <= 0 or any input is not a number."""
-    cost, fee, margin = to_double(cost), to_double(fee), to_double(margin)
-    denom = F.lit(1.0) - fee - margin
-    return F.when((cost > 0) & (denom > 0), F.round(cost / denom, 4))
+    return target_price_num(to_double(cost), to_double(fee), to_double(margin))
 
 
 def map_floor(price, map_price) -> Column:

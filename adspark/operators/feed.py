@@ -32,12 +32,16 @@ def update_messages(df: DataFrame, cols: ProductColumns = PC, *, message_id: str
     item name to the title only when those columns are absent; the suggested identifier is
     attached only when it is 10 characters long (a NULL array is omitted by ``to_json``).
     Returns ``(messages, rejects)``: a quantity that is not a number rejects the row (the reference
-    aborted the seller)."""
+    aborted the seller). Quantity and prices are computed once as typed columns first."""
+    from adspark.operators.pricing import as_double
     ptype = _q(cols.product_type) if cols.product_type in df.columns else F.lit(DEFAULT_PRODUCT_TYPE)
     item = _q(cols.item_name) if cols.item_name in df.columns else _q(cols.title).cast("string")
-    qty = to_double(_q(cols.quantity)).cast("int")
-    price = round_money(to_double(_q(cols.price)))
-    lp = _q("list_price") if "list_price" in df.columns else price
+    keep = list(df.columns)
+    d = df.withColumns({"_um_qty": as_double(df, cols.quantity).cast("int"),
+                        "_um_price": round_money(as_double(df, cols.price)),
+                        "_um_list": as_double(df, "list_price") if "list_price" in df.columns else F.lit(None).cast("double")})
+    price, qty = F.col("_um_price"), F.col("_um_qty")
+    lp = F.col("_um_list") if "list_price" in df.columns else price
     asin = _q(cols.asin).cast("string")
     attributes = F.struct(
         F.array(F.struct(lp.alias("value"))).alias("list_price"),
@@ -53,10 +57,9 @@ def update_messages(df: DataFrame, cols: ProductColumns = PC, *, message_id: str
     msg = F.struct(_q(message_id).cast("bigint").alias("messageId"), _q(cols.sku).cast("string").alias("sku"),
                    F.lit("UPDATE").alias("operationType"), ptype.alias("productType"),
                    F.lit(REQUIREMENTS).alias("requirements"), attributes.alias("attributes"))
-    keep = [c for c in df.columns]
     ok = qty.isNotNull() & price.isNotNull()
-    out = df.filter(ok).select(*[_q(c) for c in keep], msg.alias("message"))
-    rejects = df.filter(~ok).withColumn("reject_reason", F.lit("bad_quantity_or_price"))
+    out = d.filter(ok).select(*[_q(c) for c in keep], msg.alias("message"))
+    rejects = d.filter(~ok).select(*[_q(c) for c in keep]).withColumn("reject_reason", F.lit("bad_quantity_or_price"))
     return out, rejects
 
 

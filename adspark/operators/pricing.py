@@ -11,9 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adspark.functions.numbers import (explicit_price_override, map_floor, override_map_floor,
-                                       round_money, target_price, to_double)
+                                       round_money, target_price, target_price_num, to_double)
 from adspark.functions.text import is_missing, normalize_text_key
 from adspark.operators.joins import join_brand_rules, join_override_price
 
@@ -57,6 +58,26 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
+def as_double(df: DataFrame, name: str):
+    """A column as double: numeric columns are cast directly (NaN becomes NULL), text is parsed
+    (``to_double``); an absent column is NULL. DataFrame-level steps use it so that typed columns
+    are never sent through a text round trip."""
+    if name not in df.columns:
+        return F.lit(None).cast("double")
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        d = _c(name).cast("double")
+        return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    return to_double(_c(name))
+
+
+def numeric_fields(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
+    """Parse the numeric product fields (text at the source) to doubles once, so that the pricing
+    steps after it work on typed values."""
+    names = [cols.cost, cols.fulfillment_cost, cols.margin, cols.retail, cols.map_price, cols.quantity,
+             cols.uom, cols.fee, cols.pack_count]
+    return df.withColumns({n: as_double(df, n) for n in names if n in df.columns})
+
+
 def mpn_block(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
     """K-10: an identifier match flag equal to ``false`` (any case) sets the marketplace push flag
     to ``No``; NULL changes nothing (and so does an absent flag column)."""
@@ -130,12 +151,14 @@ def brand_rules(df: DataFrame, rules: DataFrame | None, cols: ProductColumns = P
 
 def apply_target_price(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
     """K-13 as a frame step: ``price`` from fulfillment cost, referral fee and margin."""
-    return df.withColumn(cols.price, target_price(_c(cols.fulfillment_cost), _c(cols.fee), _c(cols.margin)))
+    return df.withColumn(cols.price, target_price_num(as_double(df, cols.fulfillment_cost), as_double(df, cols.fee),
+                                                      as_double(df, cols.margin)))
 
 
 def apply_map_floor(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
-    """K-14 as a frame step."""
-    return df.withColumn(cols.price, map_floor(_c(cols.price), _c(cols.map_price)))
+    """K-14 as a frame step: a positive MAP above the price replaces it."""
+    m, price = as_double(df, cols.map_price), _c(cols.price)
+    return df.withColumn(cols.price, F.when((m > 0) & (m > price), m).otherwise(price))
 
 
 def apply_override_prices(df: DataFrame, overrides: DataFrame, cols: ProductColumns = PC, *, seq: str = "seq",
@@ -164,7 +187,7 @@ def override_rejects(overrides: DataFrame, cols: ProductColumns = PC, *, overrid
 
 def price_reject(df: DataFrame, cols: ProductColumns = PC):
     """K-19: split into rows with a price and rows without one (rejected with a reason, D12)."""
-    has = to_double(_c(cols.price)).isNotNull()
+    has = as_double(df, cols.price).isNotNull()
     return df.filter(has), df.filter(~has).withColumn("reject_reason", F.lit("missing_price"))
 
 
@@ -173,22 +196,32 @@ def pack_price(df: DataFrame, cols: ProductColumns = PC, *, out: str | None = No
     pack count and unit count are valid, pack > unit and unit <> 0 (both truncated to int), the
     cost is scaled to ``cost * pack / unit + (fulfillment - cost)`` and the price becomes
     ``max(round(target_price(scaled), 2), retail)`` if that target price exists. Adds
-    ``list_price`` and ``pack_price_applied``; ``price`` is rounded to 2."""
+    ``list_price`` and ``pack_price_applied``; ``price`` is rounded to 2.
+
+    Intermediate values are separate typed columns (each computed once per row: inside CASE
+    branches Spark cannot share repeated sub-expressions)."""
     out = out or cols.price
-    price, retail = to_double(_c(cols.price)), to_double(_c(cols.retail))
-    price2, retail2 = round_money(price), round_money(retail)
-    def opt(name):
-        return _c(name) if name in df.columns else F.lit(None).cast("string")
-
-    pack = to_double(opt(cols.pack_count)).cast("int")
-    unit = to_double(opt(cols.uom)).cast("int")
-    cost, ful = to_double(_c(cols.cost)), to_double(_c(cols.fulfillment_cost))
+    tmp = ["_pk_price", "_pk_retail", "_pk_cost", "_pk_ful", "_pk_fee", "_pk_margin", "_pk_pack", "_pk_unit",
+           "_pk_target", "_pk_price2", "_pk_retail2"]
+    d = df.withColumns({
+        "_pk_price": as_double(df, cols.price), "_pk_retail": as_double(df, cols.retail),
+        "_pk_cost": as_double(df, cols.cost), "_pk_ful": as_double(df, cols.fulfillment_cost),
+        "_pk_fee": as_double(df, cols.fee), "_pk_margin": as_double(df, cols.margin),
+        "_pk_pack": as_double(df, cols.pack_count).cast("int"), "_pk_unit": as_double(df, cols.uom).cast("int"),
+    })
+    pack, unit, cost = F.col("_pk_pack"), F.col("_pk_unit"), F.col("_pk_cost")
     applies = pack.isNotNull() & unit.isNotNull() & (pack > unit) & (unit != 0)
-    scaled = cost * (pack.cast("double") / unit.cast("double")) + (ful - cost)
-    new_target = target_price(scaled, _c(cols.fee), _c(cols.margin))
-    use_new = applies & new_target.isNotNull()
-    return df.withColumns({
-        "list_price": F.when(price.isNotNull() & retail.isNotNull(), F.greatest(price2, retail2)),
-        out: F.when(use_new, F.greatest(round_money(new_target), retail2)).otherwise(price2),
+    scaled = cost * (pack.cast("double") / unit.cast("double")) + (F.col("_pk_ful") - cost)
+    d = d.withColumns({
+        "_pk_target": F.when(applies, target_price_num(scaled, F.col("_pk_fee"), F.col("_pk_margin"))),
+        "_pk_price2": round_money(F.col("_pk_price")), "_pk_retail2": round_money(F.col("_pk_retail")),
+    })
+    use_new = F.col("_pk_target").isNotNull()
+    d = d.withColumns({
+        "list_price": F.when(F.col("_pk_price").isNotNull() & F.col("_pk_retail").isNotNull(),
+                             F.greatest(F.col("_pk_price2"), F.col("_pk_retail2"))),
+        out: F.when(use_new, F.greatest(round_money(F.col("_pk_target")), F.col("_pk_retail2")))
+        .otherwise(F.col("_pk_price2")),
         "pack_price_applied": use_new,
     })
+    return d.drop(*tmp)

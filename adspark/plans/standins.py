@@ -33,7 +33,7 @@ from adspark.operators import load as L
 from adspark.operators import normalize as N
 from adspark.operators import pricing as P
 from adspark.operators.dates import date_range_list
-from adspark.session import scratch_dir
+from adspark.session import ensure_checkpoint_dir, scratch_dir
 from adspark.sources import files as SRC
 from adspark.sources.paths import path_metadata
 from adspark.sources.tables import read_table_all_strings
@@ -1567,9 +1567,12 @@ def q_catalog_sync(spark, sf):
     live (pairs with a high discount are no longer offered, so they are deleted)."""
     from adspark.plans.sync import plan_feed
     li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    # The seller x product table is an input table of the job: derive it once and keep it in the
+    # shared checkpoint folder (products, live listing and history all read it).
+    ensure_checkpoint_dir(spark)
     pairs = li.groupBy(F.col("l_suppkey").cast("string").alias("seller_id"),
                        F.col("l_partkey").alias("p_partkey")).agg(
-        F.min("l_discount").alias("min_discount"), F.min("l_shipdate").alias("first_ship"))
+        F.min("l_discount").alias("min_discount"), F.min("l_shipdate").alias("first_ship")).checkpoint(eager=True)
     products = pairs.filter("min_discount < 0.09").join(p, "p_partkey").select(
         "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("title"),
         F.col("p_brand").alias("brand"), (F.col("p_retailprice") * 0.5).cast("string").alias("cost"),

@@ -61,6 +61,7 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
     df = N.filter_push_flag(df, cols.push_marketplace)
     if master is not None:
         df = J.join_new_columns(df, master, cols.sku)
+    df = P.numeric_fields(df, cols)
     df = P.apply_target_price(df, cols)
     df = P.apply_map_floor(df, cols)
     if overrides is not None:

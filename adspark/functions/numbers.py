@@ -12,7 +12,8 @@ def to_double(c) -> Column:
     """Text or number to double; unparsable, missing tokens and NaN become NULL."""
     c = _c(c)
     d = try_cast(F.trim(c.cast("string")), "double")
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    # nanvl references the parsed value once (a CASE would copy the whole parse expression).
+    return F.nanvl(d, F.lit(None).cast("double"))
 
 
 def to_long(c) -> Column:

@@ -65,8 +65,7 @@ def as_double(df: DataFrame, name: str):
     if name not in df.columns:
         return F.lit(None).cast("double")
     if isinstance(df.schema[name].dataType, T.NumericType):
-        d = _c(name).cast("double")
-        return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+        return F.nanvl(_c(name).cast("double"), F.lit(None).cast("double"))
     return to_double(_c(name))
 
 

@@ -20,6 +20,11 @@ ENGINE_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Wide report schemas and the pricing chain generate Java methods above HotSpot's 8000-byte
+    # JIT limit; without this flag those run interpreted. (Cluster admins' options stay in
+    # spark.{driver,executor}.defaultJavaOptions, which Spark prepends.)
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -95,12 +95,12 @@ def eligible_sellers(users: DataFrame, oauth: DataFrame, channels: DataFrame, *,
             joined.filter(~F.col("_complete")).drop("_complete"))
 
 
-def skus_to_delete(live: DataFrame, products: DataFrame, on, *, max_share: float | None = None,
+def skus_to_delete(live: DataFrame, products: DataFrame, on, *, max_share: float | None = 0.5,
                    force: bool = False, by=None) -> DataFrame:
     """J-06: live SKUs that are no longer among the current products (anti join).
 
-    Guard against F3 (a failed product read must not delete a whole store): with ``max_share`` set,
-    deleting more than that share of a group's live SKUs (in particular all of them because its
+    Guard against F3 (a failed product read must not delete a whole store): with ``max_share`` set
+    (default 0.5; ``None`` disables it), deleting more than that share of a group's live SKUs (in particular all of them because its
     product set came back empty) fails unless ``force``. With ``by`` (e.g. the seller) the check is
     per group and lazy: a ``raise_error`` inside the plan fails the query that uses the deletes, no
     extra job runs. Without ``by`` it is one global check run immediately.

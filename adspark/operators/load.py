@@ -142,7 +142,7 @@ def _compatible(expected: str, actual: str) -> bool:
     return e == a or any(e in g and a in g for g in _COMPAT_GROUPS)
 
 
-def schema_compat(spark: SparkSession, df: DataFrame, expected) -> DataFrame:
+def schema_compat(df: DataFrame, expected) -> DataFrame:
     """L-11: compare the frame's columns with ``expected`` ``[(name, simple_type)]``; verdict per
     column: ``ok``, ``add`` (missing, to be added) or ``mismatch`` (incompatible type)."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -154,7 +154,7 @@ def schema_compat(spark: SparkSession, df: DataFrame, expected) -> DataFrame:
         else:
             verdict = "ok" if _compatible(exp, act) else "mismatch"
         rows.append((name, exp, act, verdict))
-    return spark.createDataFrame(rows, "column string, expected string, actual string, verdict string")
+    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string, verdict string")
 
 
 def history_upsert(history: DataFrame, stage: DataFrame, keys, *, keep_if_null=("product_hash",)) -> DataFrame:

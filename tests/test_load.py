@@ -57,7 +57,7 @@ def test_append_and_schema_tools(spark):
     assert added.schema["n"].dataType.simpleString() == "bigint"
     assert added.schema["t"].dataType.simpleString() == "timestamp"
     v = {r["column"]: r["verdict"] for r in
-         L.schema_compat(spark, b, [("k", "varchar"), ("v", "double"), ("z", "string")]).collect()}
+         L.schema_compat(b, [("k", "varchar"), ("v", "double"), ("z", "string")]).collect()}
     assert v == {"k": "ok", "v": "mismatch", "z": "add"}
     dup = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
     assert [(r["k"], r["n"]) for r in L.assert_unique_key(dup, ["k"]).collect()] == [("a", 2)]

@@ -37,7 +37,7 @@ def update_messages(df: DataFrame, cols: ProductColumns = PC, *, message_id: str
     ptype = _q(cols.product_type) if cols.product_type in df.columns else F.lit(DEFAULT_PRODUCT_TYPE)
     item = _q(cols.item_name) if cols.item_name in df.columns else _q(cols.title).cast("string")
     keep = list(df.columns)
-    d = df.withColumns({"_um_qty": as_double(df, cols.quantity).cast("int"),
+    d = df.withColumns({"_um_qty": try_cast(as_double(df, cols.quantity), "int"),
                         "_um_price": round_money(as_double(df, cols.price)),
                         "_um_list": as_double(df, "list_price") if "list_price" in df.columns else F.lit(None).cast("double")})
     price, qty = F.col("_um_price"), F.col("_um_qty")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from adspark.functions.numbers import (explicit_price_override, map_floor, override_map_floor,
                                        round_money, target_price, target_price_num, to_double)
-from adspark.functions.text import is_missing, normalize_text_key
+from adspark.functions.text import is_missing, normalize_text_key, try_cast
 from adspark.operators.joins import join_brand_rules, join_override_price
 
 
@@ -206,7 +206,7 @@ def pack_price(df: DataFrame, cols: ProductColumns = PC, *, out: str | None = No
         "_pk_price": as_double(df, cols.price), "_pk_retail": as_double(df, cols.retail),
         "_pk_cost": as_double(df, cols.cost), "_pk_ful": as_double(df, cols.fulfillment_cost),
         "_pk_fee": as_double(df, cols.fee), "_pk_margin": as_double(df, cols.margin),
-        "_pk_pack": as_double(df, cols.pack_count).cast("int"), "_pk_unit": as_double(df, cols.uom).cast("int"),
+        "_pk_pack": try_cast(as_double(df, cols.pack_count), "int"), "_pk_unit": try_cast(as_double(df, cols.uom), "int"),
     })
     pack, unit, cost = F.col("_pk_pack"), F.col("_pk_unit"), F.col("_pk_cost")
     applies = pack.isNotNull() & unit.isNotNull() & (pack > unit) & (unit != 0)

@@ -72,9 +72,10 @@ def read_csv_report(spark: SparkSession, paths) -> DataFrame:
         .withColumn("_mtime", F.col("_metadata.file_modification_time"))
 
 
-def read_listing_tsv(spark: SparkSession, paths, *, sku: str = "seller-sku") -> DataFrame:
-    """I-04: gzip or plain tab-separated listing; NUL bytes dropped, blank SKUs dropped, distinct."""
-    df = spark.read.option("header", True).option("sep", "\t").csv(_paths(paths))
+def read_listing_tsv(spark: SparkSession, paths, *, sku: str = "seller-sku", encoding: str = "UTF-8") -> DataFrame:
+    """I-04: gzip or plain tab-separated listing; NUL bytes dropped, blank SKUs dropped, distinct.
+    ``encoding`` names the file charset (listing reports may come as latin1 / cp1252)."""
+    df = spark.read.option("header", True).option("sep", "\t").option("encoding", encoding).csv(_paths(paths))
     c = F.translate(F.col(f"`{sku}`"), "\u0000", "")
     return df.select(c.alias(sku)).filter(F.col(f"`{sku}`").isNotNull() & (F.trim(F.col(f"`{sku}`")) != "")).distinct()
 

@@ -125,8 +125,10 @@ def _configured(kind: str, ad_type: str, name: str) -> bool:
 
 def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkpoint: str,
                   kind: str = "report", now: Column | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the file-stream ingestion; with ``available_now`` it processes what is there and stops."""
+                  max_files_per_trigger: int | None = 10_000) -> StreamingQuery:
+    """Start the file-stream ingestion; with ``available_now`` it processes what is there and stops.
+    ``max_files_per_trigger`` bounds a micro-batch (a backlog is split into several batches), which
+    also bounds the per-batch driver-side lists (tables present, CSV header groups)."""
     now = F.current_timestamp() if now is None else now
     reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
     if max_files_per_trigger:

@@ -101,7 +101,11 @@ def cell_overrides(products: DataFrame, overrides: DataFrame, on, *, seq: str, c
     for c in common:
         valid = ~is_missing(_c(c))
         aggs.append(F.max_by(F.when(valid, _c(c).cast("string")), F.when(valid, _c(seq))).alias(f"_ov_{c}"))
-    reduced = overrides.groupBy(*[_c(k) for k in on]).agg(*aggs)
+    # Rows without any usable override value cannot change a result: drop them before the shuffle.
+    useful = F.lit(False)
+    for c in common:
+        useful = useful | ~is_missing(_c(c))
+    reduced = overrides.filter(useful).groupBy(*[_c(k) for k in on]).agg(*aggs)
     joined = products.join(reduced, on, "left")
     out = joined.withColumns({c: F.coalesce(_c(f"_ov_{c}"), _c(c).cast("string")) for c in common})
     return out.drop(*[f"_ov_{c}" for c in common])
@@ -116,10 +120,15 @@ def reduce_overrides(overrides: DataFrame, on, *, seq: str, cols, numeric=()) ->
     for c in cols:
         valid = ~is_missing(_c(c))
         aggs.append(F.max_by(F.when(valid, _c(c).cast("string")), F.when(valid, _c(seq))).alias(f"_ov_{c}"))
+    useful = F.lit(False)
+    for c in cols:
+        useful = useful | ~is_missing(_c(c))
     for c in numeric:
         num = to_double(_c(c))
         aggs.append(F.max_by(num, F.when(num.isNotNull(), _c(seq))).alias(f"_ovnum_{c}"))
-    return overrides.groupBy(*[_c(k) for k in on]).agg(*aggs)
+        useful = useful | num.isNotNull()
+    # Rows without any usable value cannot change a result: drop them before the shuffle.
+    return overrides.filter(useful).groupBy(*[_c(k) for k in on]).agg(*aggs)
 
 
 def brand_rules(df: DataFrame, rules: DataFrame | None, cols: ProductColumns = PC, rc: RuleColumns = RC,

@@ -66,7 +66,7 @@ def test_listing_tsv(spark, tmpdir_path):
 
 def test_path_metadata_from_end(spark):
     df = spark.createDataFrame(
-        [("s3://bucket/prefix/amazon-x/reports/SP/campaign__daily_sum/US/2/1023/20240320-20240321/f.json.gz",),
+        [("s3://bucket/prefix/vendor-x/reports/SP/campaign__daily_sum/US/2/1023/20240320-20240321/f.json.gz",),
          ("root/reports/SB/keyword/CA/9/77/20240101-20240101/g.json",)], "_file string")
     rows = path_metadata(df, kind="report").orderBy("_ad_type").collect()
     r = rows[1]

@@ -24,18 +24,21 @@ def distinct_listing(df: DataFrame, *, sku: str = "seller-sku") -> DataFrame:
 
 
 def feed_result_by_message(issues: DataFrame, *, group=("batch_id",), message: str = "messageId",
-                           pos: str = "pos", severity: str = "severity",
+                           pos="pos", severity: str = "severity",
                            attribute: str = "attributeName", text: str = "message") -> DataFrame:
     """A-02: one row per message with issues: ``SUCCESS`` unless an issue has severity ``ERROR``;
     the error text joins ``attribute: message`` of the ERROR issues by ``'; '`` in issue order
-    (``pos``), with ``Unknown attribute`` / ``No message`` defaults; blank on success."""
+    (``pos``; a list such as ``("feed_id", "pos")`` orders across documents), with
+    ``Unknown attribute`` / ``No message`` defaults; blank on success."""
+    order = [pos] if isinstance(pos, str) else list(pos)
     is_err = F.coalesce(F.col(severity) == "ERROR", F.lit(False))
     piece = F.concat(F.coalesce(F.col(attribute), F.lit("Unknown attribute")), F.lit(": "),
                      F.coalesce(F.col(text), F.lit("No message")))
     keys = [F.col(c) for c in group] + [F.col(message)]
     agg = issues.groupBy(*keys).agg(
         F.max(is_err.cast("int")).alias("_err"),
-        F.sort_array(F.collect_list(F.when(is_err, F.struct(F.col(pos).alias("p"), piece.alias("t"))))).alias("_parts"),
+        F.sort_array(F.collect_list(F.when(is_err, F.struct(F.struct(*[F.col(o) for o in order]).alias("p"),
+                                                            piece.alias("t"))))).alias("_parts"),
     )
     return agg.select(
         *group, message,

@@ -1607,6 +1607,57 @@ def q_catalog_sync(spark, sf):
         F.get_json_object(m, "$.attributes.fulfillment_availability[0].quantity").cast("int").alias("quantity"))
 
 
+@query("feed_fold_back", "WITH " + _HISTORY_SQL + f""",
+ids AS (SELECT seller_id, sku, row_number() OVER (PARTITION BY seller_id ORDER BY sku) AS message_id
+        FROM h WHERE batch_id = 'B2'),
+iss AS (SELECT CAST(user_id AS VARCHAR) AS seller_id, CAST(day(ts) AS BIGINT) AS messageId, event_id,
+          CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'WARNING' END AS severity,
+          event_type AS attributeName, props AS message FROM events),
+per AS (SELECT seller_id, messageId, bool_or(severity = 'ERROR') AS err,
+          string_agg(COALESCE(attributeName, 'Unknown attribute') || ': ' || COALESCE(message, 'No message'), '; '
+                     ORDER BY event_id) FILTER (WHERE severity = 'ERROR') AS txt
+        FROM iss GROUP BY seller_id, messageId),
+res AS (SELECT per.seller_id, ids.sku, CASE WHEN err THEN 'failed' ELSE 'success' END AS rstatus,
+          CASE WHEN err THEN txt ELSE '' END AS rerr
+        FROM per JOIN ids ON ids.seller_id = per.seller_id AND ids.message_id = per.messageId)
+SELECT h.sku, h.batch_id, h.seller_id, h.asin, h.title, h.price,
+  CASE WHEN res.sku IS NOT NULL THEN res.rstatus WHEN h.batch_id = 'B2' THEN 'processed' ELSE h.status END AS status,
+  h.started_at, CASE WHEN h.batch_id = 'B2' THEN TIMESTAMP '{NOW}' ELSE h.ended_at END AS ended_at,
+  CASE WHEN res.sku IS NOT NULL THEN res.rerr ELSE h.error_description END AS error_description, h.product_hash
+FROM h LEFT JOIN res ON res.seller_id = h.seller_id AND res.sku = h.sku AND h.batch_id = 'B2'
+""")
+def q_feed_fold_back(spark, sf):
+    """The feed fold-back job: orders are the change history of batches
+    B1 / B2, message ids number each seller's B2 rows, and one feed result document per (user,
+    day) of events reports issues for message id = day of month (events are the issues)."""
+    from adspark.plans.sync import apply_feed
+    hist = _history(spark, sf)
+    ids = K.message_ids(hist.filter("batch_id = 'B2'").select("seller_id", "sku", F.lit("UPDATE").alias("kind")),
+                        by=("seller_id",), order=("kind_rank", "sku")).select("seller_id", "sku", "message_id")
+    e = _t(spark, sf, "events")
+    et = F.col("event_type")
+    issue = F.struct(F.col("event_id").alias("id"), F.struct(
+        F.dayofmonth("ts").cast("string").alias("messageId"),
+        F.when(et == "error", F.lit("ERROR")).when(et == "view", F.lit("WARNING")).alias("severity"),
+        et.alias("attributeName"), F.col("props").alias("message")).alias("issue"))
+    docs = e.groupBy(F.col("user_id").cast("string").alias("seller_id"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.sort_array(F.collect_list(issue)).alias("_issues"), F.count(F.lit(1)).alias("n"),
+        F.count_if(et == "error").alias("bad"))
+    body = F.to_json(F.struct(F.struct(F.col("seller_id").alias("sellerId")).alias("header"),
+                              F.col("_issues.issue").alias("issues"),
+                              F.struct(F.col("n").alias("messagesProcessed"),
+                                       (F.col("n") - F.col("bad")).alias("messagesAccepted"),
+                                       F.col("bad").alias("messagesInvalid")).alias("summary")))
+    raw = docs.select("seller_id", F.lit("B2").alias("batch_id"), F.concat_ws("-", "seller_id", "day").alias("feed_id"),
+                      body.alias("value"))
+    batches = hist.select("batch_id", "seller_id").distinct().select(
+        "batch_id", "seller_id", F.lit(None).cast("bigint").alias("total_messages"), F.lit("processing").alias("status"),
+        F.lit(None).cast("string").alias("failed_message"), F.lit(None).cast("bigint").alias("successful_messages"),
+        F.lit(None).cast("timestamp_ntz").alias("started_at"), F.lit(None).cast("timestamp_ntz").alias("ended_at"))
+    new_history, _, _ = apply_feed(hist, batches, raw, ids, batch_id="B2", now=_now())
+    return _ntz(new_history)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

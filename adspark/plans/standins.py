@@ -1658,6 +1658,40 @@ def q_feed_fold_back(spark, sf):
     return _ntz(new_history)
 
 
+def _entity_rows(c: DataFrame) -> DataFrame:
+    return c.select(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("_profile_key"),
+                    F.col("c_custkey").alias("adGroupId"), F.col("c_nationkey").alias("campaignId"),
+                    F.col("c_name").alias("name"), F.col("c_mktsegment").alias("state"),
+                    F.col("c_acctbal").alias("defaultBid"),
+                    F.struct(F.lit("ENABLED").alias("servingStatus")).alias("extendedData"))
+
+
+@query("ingest_entity_snapshots", """
+SELECT 'N' || CAST(c_nationkey AS VARCHAR) AS profileId, c_custkey AS adGroupId, CAST(c_nationkey AS BIGINT) AS campaignId,
+  c_name AS name, c_mktsegment AS state, c_acctbal AS defaultBid, 'ENABLED' AS servingStatus
+FROM customer WHERE c_nationkey >= 5 OR c_acctbal > 0
+""")
+def q_ingest_entity_snapshots(spark, sf):
+    """T-01 / L-02 for entities: customers are SP ad groups, one profile per nation. A first
+    delivery holds every customer; a later micro-batch re-delivers nations 0-4 with only the
+    customers in credit, which replaces those profiles' snapshots (key-bucketed partitions)."""
+    from adspark.plans.ingest import read_table
+    from adspark.streaming.ingest import ingest_stream, write_array_files
+    root = _scratch(spark, "entities")
+    c = _t(spark, sf, "customer")
+    kw = dict(root="entities", ad_type="SP", name="adgroup", country="US", profile="_profile_key")
+    write_array_files(_entity_rows(c), f"{root}/landing/first", **kw)
+    q = ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint",
+                      kind="entity", now=_now())
+    q.awaitTermination()
+    write_array_files(_entity_rows(c.filter("c_nationkey < 5 AND c_acctbal > 0")), f"{root}/landing/second", **kw)
+    q = ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint",
+                      kind="entity", now=_now())
+    q.awaitTermination()
+    t = read_table(spark, f"{root}/tables", get_spec("entity", "SP", "adgroup"))
+    return t.select("profileId", "adGroupId", "campaignId", "name", "state", "defaultBid", "servingStatus")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

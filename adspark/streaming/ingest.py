@@ -147,24 +147,35 @@ def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkp
     return writer.start()
 
 
+def write_array_files(rows: DataFrame, landing: str, *, root: str, ad_type: str, name: str, country: str,
+                      profile: str, dates: str | None = None, files_per_group: int = 2) -> None:
+    """Write rows as JSON-array files under the report / entity path layout
+    (``<root>/<ad_type>/<name>/<country>/<client>/<profile>[/<dates>]/part-*``). Each group of
+    (profile, dates) is split over ``files_per_group`` files; the client folder carries the file's
+    group number so every folder holds exactly one array, and a file holds at most one partition's
+    rows (no unbounded group is collected)."""
+    keys = [profile] + ([dates] if dates else [])
+    payload = [c for c in rows.columns if c not in keys]
+    grouped = rows.repartition(files_per_group, *keys)
+    docs = grouped.groupBy(*keys, F.spark_partition_id().alias("_part")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*payload))), ","), F.lit("]")).alias("value"))
+    layout = ["_root", "_ad", "_type", "_country", "_client", "_profile"] + (["_dates"] if dates else [])
+    cols = [F.lit(root).alias("_root"), F.lit(ad_type).alias("_ad"), F.lit(name).alias("_type"),
+            F.lit(country).alias("_country"), F.col("_part").cast("string").alias("_client"),
+            F.col(profile).alias("_profile")] + ([F.col(dates).alias("_dates")] if dates else [])
+    docs.select(*cols, "value").write.mode("overwrite").option("compression", "gzip").partitionBy(*layout).text(landing)
+
+
 def write_report_files(orders: DataFrame, landing: str, *, files_per_group: int = 2) -> None:
     """Report files made from orders for the stand-in ingestion: monthly SP campaign rows
     (``campaignId`` = order key, ``cost`` = total price, ``date`` = first day of the order month),
-    one profile per order status and one date range per order year, JSON arrays under the report
-    path layout. Each file holds at most one partition's rows of its group."""
+    one profile per order status and one date range per order year."""
     year = F.date_format("o_orderdate", "yyyy")
     rows = orders.select(
-        F.concat(F.lit("P"), F.col("o_orderstatus")).alias("_profile"),
-        F.concat(year, F.lit("0101-"), year, F.lit("1231")).alias("_dates"),
+        F.concat(F.lit("P"), F.col("o_orderstatus")).alias("_profile_key"),
+        F.concat(year, F.lit("0101-"), year, F.lit("1231")).alias("_dates_key"),
         F.col("o_orderkey").alias("campaignId"), F.col("o_totalprice").alias("cost"),
         F.date_format("o_orderdate", "yyyy-MM-01").alias("date"), F.col("o_custkey").alias("impressions"),
         F.col("o_orderpriority").alias("campaignName"), F.col("o_orderstatus").alias("campaignStatus"))
-    payload = [c for c in rows.columns if not c.startswith("_")]
-    grouped = rows.repartition(files_per_group, "_profile", "_dates")
-    docs = grouped.groupBy("_profile", "_dates", F.spark_partition_id().alias("_part")).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*payload))), ","), F.lit("]")).alias("value"))
-    layout = ["_ad", "_type", "_country", "_client", "_profile", "_dates"]
-    # The client folder carries the group number, so each folder holds exactly one JSON array.
-    docs.select(F.lit("SP").alias("_ad"), F.lit("campaign").alias("_type"), F.lit("US").alias("_country"),
-                F.col("_part").cast("string").alias("_client"), "_profile", "_dates", "value") \
-        .write.mode("overwrite").option("compression", "gzip").partitionBy(*layout).text(landing)
+    write_array_files(rows, landing, root="reports", ad_type="SP", name="campaign", country="US",
+                      profile="_profile_key", dates="_dates_key", files_per_group=files_per_group)

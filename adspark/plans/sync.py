@@ -153,3 +153,33 @@ def fold_staged(history: DataFrame, staged: DataFrame, price_updates: DataFrame
     if price_updates is not None:
         out = FD.apply_price_updates(out, price_updates, keys)
     return out
+
+
+# Change / batch history tables are partitioned by a hash bucket of the seller, so a run that
+# touches some sellers rewrites only their buckets.
+HISTORY_BUCKETS = 64
+
+
+def _bucket(seller: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(seller)), F.lit(buckets)).cast("int")
+
+
+def store_history(history: DataFrame, path: str, *, staging_root: str, touched_sellers: DataFrame | None = None,
+                  seller: str = "seller_id", buckets: int = HISTORY_BUCKETS) -> None:
+    """Publish ``history`` partitioned by seller bucket. With ``touched_sellers`` (a frame holding
+    the seller column) only the buckets of those sellers are rewritten; the rest stay as they are.
+    ``history`` may read ``path`` (the new version is staged first)."""
+    spark = history.sparkSession
+    df = history.withColumn("_bucket", _bucket(seller, buckets))
+    if touched_sellers is not None:
+        touched = touched_sellers.select(_bucket(seller, buckets).alias("_bucket")).distinct()
+        df = df.join(touched, "_bucket", "left_semi")
+    fs, p, _ = L._fs(spark, path)
+    L.publish_partitions(df, path, "_bucket", staging_root=staging_root, reads_target=fs.exists(p))
+
+
+def load_history(spark, path: str, schema) -> DataFrame:
+    """The stored history without its bucket column (``schema`` without ``_bucket``)."""
+    from pyspark.sql.types import IntegerType, StructType
+    full = StructType(list(schema.fields)).add("_bucket", IntegerType())
+    return spark.read.schema(full).parquet(path).drop("_bucket")

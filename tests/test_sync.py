@@ -229,3 +229,22 @@ def test_input_order_does_not_change_output(spark):
                   history, live.orderBy("sku"), batch_id="B1", now=_now(), seed="x", max_delete_share=None)
     key = lambda r: (r["seller_id"], r["sku"])
     assert sorted(map(tuple, a.messages.collect()), key=str) == sorted(map(tuple, b.messages.collect()), key=str)
+
+
+def test_store_history_rewrites_only_touched_buckets(spark, tmpdir_path):
+    import os
+    from adspark.plans.sync import load_history, store_history
+    path, staging = os.path.join(tmpdir_path, "hist"), os.path.join(tmpdir_path, "staging")
+    rows = [(f"s{i}", f"k{j}", "processed") for i in range(6) for j in range(3)]
+    hist = spark.createDataFrame(rows, "seller_id string, sku string, status string")
+    store_history(hist, path, staging_root=staging, buckets=4)
+    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("_bucket=")}
+    current = load_history(spark, path, hist.schema)
+    touched = spark.createDataFrame([("s1",)], "seller_id string")
+    updated = current.withColumn("status", F.when(F.col("seller_id") == "s1", F.lit("failed")).otherwise(F.col("status")))
+    store_history(updated, path, staging_root=staging, touched_sellers=touched, buckets=4)
+    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("_bucket=")}
+    changed = [d for d in before if before[d] != after.get(d)]
+    assert len(changed) == 1
+    got = {(r["seller_id"], r["sku"]): r["status"] for r in load_history(spark, path, hist.schema).collect()}
+    assert len(got) == 18 and all((v == "failed") == (k[0] == "s1") for k, v in got.items())

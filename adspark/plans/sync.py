@@ -166,9 +166,10 @@ def _bucket(seller: str, buckets: int):
 
 def store_history(history: DataFrame, path: str, *, staging_root: str, touched_sellers: DataFrame | None = None,
                   seller: str = "seller_id", buckets: int = HISTORY_BUCKETS) -> None:
-    """Publish ``history`` partitioned by seller bucket. With ``touched_sellers`` (a frame holding
-    the seller column) only the buckets of those sellers are rewritten; the rest stay as they are.
-    ``history`` may read ``path`` (the new version is staged first)."""
+    """Publish a seller-keyed history table (the change history or the batch history) partitioned
+    by seller bucket. With ``touched_sellers`` (a frame holding the seller column) only the buckets
+    of those sellers are rewritten; the rest stay as they are. ``history`` may read ``path`` (the
+    new version is staged first)."""
     spark = history.sparkSession
     df = history.withColumn("_bucket", _bucket(seller, buckets))
     if touched_sellers is not None:

@@ -248,3 +248,15 @@ def test_store_history_rewrites_only_touched_buckets(spark, tmpdir_path):
     assert len(changed) == 1
     got = {(r["seller_id"], r["sku"]): r["status"] for r in load_history(spark, path, hist.schema).collect()}
     assert len(got) == 18 and all((v == "failed") == (k[0] == "s1") for k, v in got.items())
+
+
+def test_store_batch_history(spark, tmpdir_path):
+    import os
+    from adspark.plans.sync import load_history, store_history
+    path, staging = os.path.join(tmpdir_path, "batches"), os.path.join(tmpdir_path, "staging")
+    b = spark.createDataFrame([("B1", "s1", "processing"), ("B1", "s2", "processing")],
+                              "batch_id string, seller_id string, status string")
+    store_history(b, path, staging_root=staging)
+    done = load_history(spark, path, b.schema).withColumn("status", F.lit("completed"))
+    store_history(done, path, staging_root=staging, touched_sellers=b.select("seller_id"))
+    assert {r["status"] for r in load_history(spark, path, b.schema).collect()} == {"completed"}

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adspark.functions.numbers import (explicit_price_override, map_floor, override_map_floor,
-                                       round_money, target_price, target_price_num, to_double)
+from adspark.functions.numbers import (explicit_price_override, override_map_floor, round_money,
+                                       target_price_num, to_double)
 from adspark.functions.text import is_missing, normalize_text_key, try_cast
 from adspark.operators.joins import join_brand_rules, join_override_price
 

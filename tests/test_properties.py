@@ -1,8 +1,6 @@
 """Properties of SURVEY 5.3: idempotent loads, gap-free ids, nothing to re-send after an accepted
 run, input order irrelevant."""
 
-import datetime
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -184,3 +184,44 @@ def load_history(spark, path: str, schema) -> DataFrame:
     from pyspark.sql.types import IntegerType, StructType
     full = StructType(list(schema.fields)).add("_bucket", IntegerType())
     return spark.read.schema(full).parquet(path).drop("_bucket")
+
+
+def run_plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None,
+                  rules: DataFrame | None, master: DataFrame | None, live: DataFrame, *, history_path: str,
+                  history_schema, feed_path: str, staging_root: str, batch_id: str, now: Column, seed: str,
+                  **plan_kw) -> FeedPlan:
+    """First job of a sync run (up to the upload boundary): plan against the stored change history,
+    write one feed document per (seller, chunk) under ``feed_path`` and fold the staged rows (and
+    recomputed pack prices) into the stored history, rewriting only the touched sellers' buckets."""
+    spark = products.sparkSession
+    fs, p, _ = L._fs(spark, history_path)
+    history = load_history(spark, history_path, history_schema) if fs.exists(p) \
+        else spark.createDataFrame([], history_schema)
+    plan = plan_feed(products, identifiers, overrides, rules, master, history, live, batch_id=batch_id, now=now,
+                     seed=seed, **plan_kw)
+    plan.documents.write.mode("overwrite").partitionBy("seller_id", "chunk_id").text(feed_path)
+    new_history = fold_staged(history, plan.staged, plan.price_updates)
+    store_history(new_history, history_path, staging_root=staging_root,
+                  touched_sellers=plan.staged.select("seller_id").distinct())
+    return plan
+
+
+def run_apply_feed(spark, result_paths, messages: DataFrame, *, history_path: str, history_schema,
+                   batches_path: str, batches_schema, staging_root: str, batch_id: str, now: Column,
+                   seller: str = "seller_id"):
+    """Second job: read the feed result documents (one JSON document per file; the seller is the
+    ``seller_id=`` folder of the file), fold them into the stored change history and batch
+    history (only the sellers of this batch are rewritten). Returns the unreadable documents."""
+    from adspark.sources.files import whole_files
+    raw = whole_files(spark, result_paths).select(
+        F.regexp_extract("_file", r"seller_id=([^/]+)", 1).alias(seller), F.lit(batch_id).alias("batch_id"),
+        F.col("_file").alias("feed_id"), "value")
+    history = load_history(spark, history_path, history_schema)
+    fs, p, _ = L._fs(spark, batches_path)
+    batches = load_history(spark, batches_path, batches_schema) if fs.exists(p) \
+        else spark.createDataFrame([], batches_schema)
+    new_history, new_batches, errors = apply_feed(history, batches, raw, messages, batch_id=batch_id, now=now)
+    touched = raw.select(seller).distinct()
+    store_history(new_history, history_path, staging_root=staging_root, touched_sellers=touched)
+    store_history(new_batches, batches_path, staging_root=staging_root, touched_sellers=touched)
+    return errors

@@ -260,3 +260,38 @@ def test_store_batch_history(spark, tmpdir_path):
     done = load_history(spark, path, b.schema).withColumn("status", F.lit("completed"))
     store_history(done, path, staging_root=staging, touched_sellers=b.select("seller_id"))
     assert {r["status"] for r in load_history(spark, path, b.schema).collect()} == {"completed"}
+
+
+def test_run_plan_and_apply_jobs(spark, tmpdir_path):
+    import os
+    from adspark.plans.sync import load_history, run_apply_feed, run_plan_feed
+    products, ids, ov, history, live = _sync_inputs(spark)
+    root = tmpdir_path
+    hist_schema = ("sku string, batch_id string, seller_id string, asin string, title string, price double, "
+                   "status string, started_at timestamp, ended_at timestamp, error_description string, product_hash string")
+    from pyspark.sql.types import _parse_datatype_string
+    hschema = _parse_datatype_string(hist_schema)
+    plan = run_plan_feed(products, ids, ov, None, None, live, history_path=os.path.join(root, "hist"),
+                         history_schema=hschema, feed_path=os.path.join(root, "feed"),
+                         staging_root=os.path.join(root, "stg"), batch_id="B1", now=_now(), seed="x",
+                         keep_share=0.0, max_delete_share=None)
+    docs = spark.read.text(os.path.join(root, "feed")).collect()
+    assert len(docs) == 1  # only s1 has messages (s2: one product unpriced, one without identifier)
+    stored = {(r["seller_id"], r["sku"]): r["status"] for r in load_history(spark, os.path.join(root, "hist"), hschema).collect()}
+    assert stored[("s1", "A")] == "processing" and stored[("s1", "X")] == "pending_delete"
+    res_dir = os.path.join(root, "results", "seller_id=s1")
+    os.makedirs(res_dir)
+    with open(os.path.join(res_dir, "r1.json"), "w") as f:
+        f.write(_issue_doc([{"messageId": 1, "severity": "ERROR", "attributeName": "price", "message": "low"}],
+                           messagesProcessed=2, messagesAccepted=1, messagesInvalid=1))
+    bschema = _parse_datatype_string("batch_id string, seller_id string, total_messages bigint, status string, "
+                                     "failed_message string, successful_messages bigint, started_at timestamp, ended_at timestamp")
+    errors = run_apply_feed(spark, os.path.join(root, "results"), plan.messages, history_path=os.path.join(root, "hist"),
+                            history_schema=hschema, batches_path=os.path.join(root, "batches"), batches_schema=bschema,
+                            staging_root=os.path.join(root, "stg"), batch_id="B1", now=_now())
+    assert errors.count() == 0
+    after = {(r["seller_id"], r["sku"]): (r["status"], r["error_description"])
+             for r in load_history(spark, os.path.join(root, "hist"), hschema).collect()}
+    assert after[("s1", "A")] == ("failed", "price: low")
+    assert after[("s1", "X")] == ("processed", None)
+    assert set(after) == {("s1", "A"), ("s1", "X")}

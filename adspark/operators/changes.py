@@ -14,6 +14,10 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
+def _q_name(c: str) -> str:
+    return f"`{c}`"
+
+
 def _on(on):
     return [on] if isinstance(on, str) else list(on)
 
@@ -118,6 +122,12 @@ def message_ids(changes: DataFrame, *, by=("seller_id",), order=("kind_rank", "s
         F.min("_mono").alias("_base"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*[_q(c) for c in by]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = summary.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    out_df = ranged.join(offsets, ["_pid", *by], "inner") \
+    # Null-safe on the group columns, so a NULL group still gets its ids.
+    offsets = offsets.select(F.col("_pid").alias("_o_pid"), *[F.col(_q_name(c)).alias(f"_o_{i}") for i, c in enumerate(by)],
+                             "_base", "_off")
+    cond = F.col("_pid") == F.col("_o_pid")
+    for i, c in enumerate(by):
+        cond = cond & F.col(_q_name(c)).eqNullSafe(F.col(f"_o_{i}"))
+    out_df = ranged.join(offsets, cond, "inner") \
         .withColumn(out, (F.col("_mono") - F.col("_base") + F.col("_off") + 1).cast("bigint"))
-    return out_df.drop("_pid", "_mono", "_base", "_off")
+    return out_df.drop("_pid", "_mono", "_base", "_off", "_o_pid", *[f"_o_{i}" for i in range(len(by))])

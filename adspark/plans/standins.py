@@ -1147,14 +1147,14 @@ def q_delete_messages(spark, sf):
 
 
 @query("write_feed", _STAGED_SQL + """
-SELECT seller_id, CAST((message_id - 1) // 4 AS BIGINT) AS chunk_id,
+SELECT seller_id, CAST((message_id - 1) // 10000 AS BIGINT) AS chunk_id,
   '{"header":{"sellerId":"' || seller_id || '","version":"2.0","issueLocale":"en_US"},"messages":[' ||
   string_agg('{"messageId":' || CAST(message_id AS VARCHAR) || ',"sku":"' || sku || '","operationType":"DELETE"}',
              ',' ORDER BY message_id) || ']}' AS document
-FROM ids GROUP BY seller_id, (message_id - 1) // 4
+FROM ids GROUP BY seller_id, (message_id - 1) // 10000
 """)
 def q_write_feed(spark, sf):
-    msgs = FD.chunk_messages(K.message_ids(_staged(spark, sf)), size=4)
+    msgs = FD.chunk_messages(K.message_ids(_staged(spark, sf)))
     msgs = FD.delete_messages(msgs)
     path = _scratch(spark, "feed")
     FD.write_feed(msgs, path)

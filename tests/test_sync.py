@@ -295,3 +295,10 @@ def test_run_plan_and_apply_jobs(spark, tmpdir_path):
     assert after[("s1", "A")] == ("failed", "price: low")
     assert after[("s1", "X")] == ("processed", None)
     assert set(after) == {("s1", "A"), ("s1", "X")}
+
+
+def test_message_ids_null_group(spark):
+    df = spark.createDataFrame([(None, "a", "UPDATE"), (None, "b", "DELETE"), ("s", "c", "UPDATE")],
+                               "seller_id string, sku string, kind string")
+    got = sorted((r["seller_id"] or "", r["sku"], r["message_id"]) for r in K.message_ids(df, num_partitions=3).collect())
+    assert got == [("", "a", 1), ("", "b", 2), ("s", "c", 1)]

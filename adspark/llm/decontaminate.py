@@ -21,16 +21,32 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, stored, table
 
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between words before lower-casing (A-Z still stand for their small letters).
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Contaminated from one hit word in so many.
 LEAST_SHARE = 20
 
 
+def pieces(text: Column) -> Column:
+    """Words of a text as written; a first and a last piece may be empty (no per-word lambda, as this
+    runs over the whole corpus)."""
+    return F.split(F.coalesce(text, F.lit("")), BETWEEN)
+
+
+def lower_word(w: Column) -> Column:
+    """A-Z in lower case; the slow mapping only runs for words that any lower-casing changes."""
+    return F.when(w == F.lower(w), w).otherwise(lower_ascii(w))
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text, empty for null."""
-    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN), lambda w: w != "")
+    return F.filter(F.transform(pieces(text), lower_word), lambda w: w != "")
+
+
+def word_count(text: Column) -> Column:
+    p = pieces(text)
+    return F.size(p) - (F.get(p, F.lit(0)) == "").cast("int") - ((F.size(p) > 1) & (F.element_at(p, -1) == "")).cast("int")
 
 
 def text_hash(text: Column) -> Column:
@@ -49,10 +65,12 @@ def phrases(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
 
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Stored postings (term, doc_id, text_hash, pos) of ``docs(doc_id, text)`` for the test terms."""
-    vocabulary = terms.select(F.col("term").alias("t")).distinct()
-    spread = docs.select("doc_id", text_hash(F.col("text")).alias("text_hash"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
-    return stored(spread.join(vocabulary, F.col("term") == F.col("t"), "left_semi").select("term", "doc_id", "text_hash", "pos"), "postings")
+    """Stored postings (term, doc_id, text_hash, pos) of ``docs(doc_id, text)`` for the test terms. A
+    document's positions count from 0, or from 1 if it starts with something between words."""
+    vocabulary = stored(terms.select(F.col("term").alias("t")).distinct(), "test-terms")
+    spread = docs.select("doc_id", text_hash(F.col("text")).alias("text_hash"), F.posexplode(pieces(F.col("text"))).alias("pos", "piece"))
+    spread = spread.select(lower_word(F.col("piece")).alias("term"), "doc_id", "text_hash", "pos")
+    return stored(spread.join(vocabulary, F.col("term") == F.col("t"), "left_semi"), "postings")
 
 
 def _same_doc(a: str, b: str) -> Column:
@@ -72,18 +90,19 @@ def _ranked(index: DataFrame, terms: DataFrame) -> DataFrame:
 def phrase_matches(index: DataFrame, terms: DataFrame) -> DataFrame:
     """(phrase, length, doc_id, text_hash, start): all exact occurrences, once each."""
     ranked = stored(_ranked(index, terms), "ranked")
+    # the lists of the two rarest terms of each phrase: a small part of the index
+    rare_terms = stored(ranked.where("rank <= 2").select(F.col("term").alias("t")).distinct(), "rare-terms")
+    rare = stored(index.join(rare_terms, F.col("term") == F.col("t"), "left_semi").distinct(), "rare-postings")
     first = ranked.where("rank = 1").select("phrase", "length", "offset", "term")
-    cand = index.join(first, "term").select("phrase", "length", "doc_id", "text_hash", (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0")
+    cand = rare.join(first, "term").select("phrase", "length", "doc_id", "text_hash", (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0")
     second = ranked.where("rank = 2").select("phrase", F.col("term").alias("term2"), F.col("offset").alias("offset2"))
     cand = cand.join(second, "phrase", "left").withColumn("pos2", F.col("start") + F.coalesce("offset2", F.lit(0)))
-    # the second rarest list holds only its own terms' postings
-    list2 = index.join(ranked.where("rank = 2").select("term").distinct(), "term", "left_semi").distinct()
-    both = cand.alias("c").join(list2.alias("i"), (F.col("c.term2") == F.col("i.term")) & (F.col("c.pos2") == F.col("i.pos")) & _same_doc("c", "i"), "left_semi")
+    both = cand.alias("c").join(rare.alias("i"), (F.col("c.term2") == F.col("i.term")) & (F.col("c.pos2") == F.col("i.pos")) & _same_doc("c", "i"), "left_semi")
     cand = stored(cand.where("term2 is null").unionByName(both).select("phrase", "length", "doc_id", "text_hash", "start").distinct(), "candidates")
     # every other offset, against the candidates' documents only
     rest = ranked.where("rank > 2").select("phrase", "offset", "term")
     want = cand.join(rest, "phrase").select("phrase", "doc_id", "text_hash", "start", "term", (F.col("start") + F.col("offset")).alias("pos"))
-    docs = cand.select("doc_id", "text_hash").distinct()
+    docs = stored(cand.select("doc_id", "text_hash").distinct(), "candidate-documents")
     near = index.alias("i").join(docs.alias("d"), _same_doc("i", "d"), "left_semi").distinct()
     got = want.alias("w").join(near.alias("i"), (F.col("w.term") == F.col("i.term")) & (F.col("w.pos") == F.col("i.pos")) & _same_doc("w", "i"), "left_semi")
     got = got.groupBy("phrase", "doc_id", "text_hash", "start").agg(F.count("*").alias("got"))
@@ -120,7 +139,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
     whose = found.select("doc_id", "text_hash", "phrase").distinct().join(owners, "phrase").select("doc_id", "text_hash", F.col("item_id").cast("string").alias("item")).distinct()
     whose = whose.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items"))
     hit = hit.alias("h").join(whose.alias("o"), _same_doc("h", "o")).select("h.doc_id", "h.text_hash", "n_hit", "n_items", "items")
-    rows = docs.select("doc_id", text_hash(F.col("text")).alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", text_hash(F.col("text")).alias("text_hash"), word_count(F.col("text")).cast("long").alias("n_words"))
     out = rows.alias("r").join(hit.alias("h"), _same_doc("r", "h"), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select("r.doc_id", "r.text_hash", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

@@ -9,12 +9,13 @@ How it is spread: (1) texts with equal sets collapse into one class. (2) Of each
 with a hash below LOW of the range are sorted by hash, which gives their document frequency; those
 of a single class cannot match and go. The order is: frequency class, then hash; shingles above LOW
 come last. (3) Classes with the same prefix and size collapse into one group; only groups have
-postings. (4) Candidates come in rounds. First each posting is paired with one leader of its
-shingle and size class only, and each group's members with the group's first; verified links give
-components. Later rounds pair what still lies in different components: group pairs that share a
-prefix shingle pass the size and position filters, are expanded to members and verified. Pairs
-inside a component add nothing to it, so a group of thousands of near copies costs its size, not
-its square, and no link between components is lost.
+postings. (4) Candidates come in two rounds. First each posting is paired with one leader of its
+shingle and size class only (the one with the least share of shingles of its own), and each group's
+members with the group's first; verified links give components. Then the texts that the size and
+position filters leave open across components are joined again by prefix, now ordered by the
+frequency of all their shingles, and pairs in different components are verified. Pairs inside a
+component add nothing to it, so a group of thousands of near copies costs its size, not its
+square, and no link between components is lost.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A shorter text's whole word sequence is its one
 shingle. Null and empty texts have an empty set and link with nothing. Rows with a null id link
@@ -32,12 +33,10 @@ from pyspark.sql import functions as F
 from .common import Words, components, list_array, mix, run_hashes, slices, sorted_runs, stored, table, text_bytes
 
 SHINGLE = 5
-#: Hashes below this take part in the frequency count: 1/4 of the range, more than a prefix needs.
-LOW = 1 << 62
+#: Hashes below this take part in the frequency count: a little more of the range than a prefix needs.
+LOW = 22 * (1 << 64) // 100
 #: Rows of one run held at once; longer runs share the highest frequency class.
 RUN_ROWS = 50_000
-#: Rounds that pair postings with one leader before all pairs between components are taken.
-LEADER_ROUNDS = 2
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> list[np.ndarray]:
@@ -107,6 +106,12 @@ def _may_link(a: str, b: str):
     return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * rest >= 4 * (na + nb))
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored (g, set): the full sets of the texts with the given ids(g)."""
+    wanted = stored(ids.distinct(), "texts-wanted")
+    return stored(docs.join(wanted, F.col("doc_id") == F.col("g"), "left_semi").mapInArrow(_full_sets, "g long, set array<long>"), "full-sets")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets have a Jaccard similarity of 0.8 or more."""
     a = sets.select(F.col("g").alias("u"), F.col("set").alias("a"))
@@ -150,60 +155,61 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = stored(members, "members")
     start = base.join(members.where("g = head").select("g"), "g", "left_semi").select(F.col("g").alias("head"), "n", "alone", "k", "take", F.posexplode("prefix").alias("i", "token"))
     # above LOW, positions go on after all low shingles
-    postings = start.select("token", "head", "n", F.when(F.col("i") < F.col("take"), F.col("alone") + F.col("i")).otherwise(F.col("k") + F.col("i") - F.col("take")).alias("pos"))
+    postings = start.select("token", "head", "n", "alone", F.when(F.col("i") < F.col("take"), F.col("alone") + F.col("i")).otherwise(F.col("k") + F.col("i") - F.col("take")).alias("pos"))
     postings = postings.withColumn("bin", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))))
     shared = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     postings = stored(postings.join(shared, "token", "left_semi"), "prefix-postings")
 
-    # the sets of all that can be in a candidate pair
-    wanted = members.join(postings.select("head").distinct(), "head", "left_semi").select("g").union(members.where("g <> head").select("g")).union(members.where("g <> head").select("head")).distinct()
-    sets = stored(docs.join(wanted, F.col("doc_id") == F.col("g"), "left_semi").mapInArrow(_full_sets, "g long, set array<long>"), "full-sets")
-
-    links, tested, parts = None, None, None
-    for turn in range(LEADER_ROUNDS + 1):
-        if turn == 0:
-            part = members.select("g", F.col("g").alias("part"), "head")
-        else:
-            part = members.join(parts, F.col("g") == F.col("id"), "left").select("g", F.coalesce("component", "g").alias("part"), "head")
-        part = stored(part, "parts")
-        # each posting for each of its group's members that are in different components: one per component
-        by_part = part.groupBy("head", "part").agg(F.min("g").alias("some"))
-        p = postings.join(by_part, "head").select("token", "bin", "n", "pos", "head", "part", "some")
-        if turn < LEADER_ROUNDS:
-            pick = F.min if turn == 0 else F.max
-            lead = p.groupBy("token", "bin").agg(pick(F.struct("part", "some", "n", "pos")).alias("l"), F.count_distinct("part").alias("c")).where("c > 1").select("token", "bin", "l.*")
-            got = p.alias("a").join(lead.alias("b"), ["token", "bin"]).where((F.col("a.part") != F.col("b.part")) & _may_link("a", "b")).select(F.col("a.some").alias("u"), F.col("b.some").alias("v"))
-            inside = part.alias("m").join(part.alias("h"), F.col("m.head") == F.col("h.g")).where("m.part <> h.part").select(F.col("m.g").alias("u"), F.col("h.g").alias("v"))
-            new = _ordered(got.union(inside))
-        else:
-            # group pairs in different components that share a shingle, then their members
-            kinds = p.select("token", "part").distinct()
-            pairs = kinds.alias("a").join(kinds.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.part") < F.col("b.part"))).select(F.col("a.token").alias("token"), F.col("a.part").alias("pa"), F.col("b.part").alias("pb"))
-            side = p.select("token", "part", "head", "n", "pos")
-            a = side.select(F.col("token").alias("t1"), F.col("part").alias("part1"), F.struct("head", "n", "pos").alias("a"))
-            b = side.select(F.col("token").alias("t2"), F.col("part").alias("part2"), F.struct("head", "n", "pos").alias("b"))
-            both = pairs.join(a, (F.col("token") == F.col("t1")) & (F.col("pa") == F.col("part1"))).join(b, (F.col("token") == F.col("t2")) & (F.col("pb") == F.col("part2")))
-            heads = both.where(_may_link("a", "b")).select("pa", "pb", F.col("a.head").alias("ha"), F.col("b.head").alias("hb")).distinct()
-            inner = by_part.alias("x").join(by_part.alias("y"), (F.col("x.head") == F.col("y.head")) & (F.col("x.part") < F.col("y.part"))).select(
-                F.col("x.part").alias("pa"), F.col("y.part").alias("pb"), F.col("x.head").alias("ha"), F.col("y.head").alias("hb"))
-            heads = heads.union(inner)
-            u = part.select(F.col("head").alias("ha"), F.col("part").alias("pa"), F.col("g").alias("u"))
-            v = part.select(F.col("head").alias("hb"), F.col("part").alias("pb"), F.col("g").alias("v"))
-            new = _ordered(heads.join(u, ["ha", "pa"]).join(v, ["hb", "pb"]).select("u", "v"))
-        if tested is not None:
-            new = new.join(tested, ["u", "v"], "left_anti")
-        new = stored(new, "pairs")
-        if turn and new.isEmpty():
-            continue
-        tested = new if tested is None else tested.union(new)
-        good = stored(_verified(new, sets), "links")
-        if turn and good.isEmpty():
-            continue
-        links = good if links is None else links.union(good)
-        parts = stored(components(links), "components")
+    # first round: leaders
+    lead = postings.groupBy("token", "bin").agg(F.min(F.struct((F.col("alone") / F.col("n")).alias("own"), "head", "n", "pos")).alias("l")).select("token", "bin", "l.*")
+    got = postings.alias("a").join(lead.alias("b"), ["token", "bin"]).where((F.col("a.head") != F.col("b.head")) & _may_link("a", "b")).select(F.col("a.head").alias("u"), F.col("b.head").alias("v"))
+    tested = stored(_ordered(got.union(members.where("g <> head").select(F.col("g").alias("u"), F.col("head").alias("v")))), "pairs")
+    links = stored(_verified(tested, _sets_of(docs, tested.select(F.col("u").alias("g")).union(tested.select("v")))), "links")
+    parts = stored(components(links), "components")
+
+    # second round: what may still link across components, with all its shingles
+    part = stored(members.join(parts, F.col("g") == F.col("id"), "left").select("g", "head", F.coalesce("component", "g").alias("part")), "parts")
+    p = postings.join(part.select("head", "part").distinct(), "head").repartition("token")
+    kinds = p.groupBy("token", "part").agg(F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    fits = (F.col("a.part") != F.col("b.part")) & (5 * F.col("b.hi") >= 4 * F.col("a.n")) & (5 * F.col("a.n") >= 4 * F.col("b.lo")) & (
+        9 * F.least(F.col("a.n") - F.col("a.pos"), F.col("b.rest")) >= 4 * (F.col("a.n") + F.col("b.lo")))
+    heads = p.alias("a").join(kinds.alias("b"), (F.col("a.token") == F.col("b.token")) & fits, "left_semi").select("head")
+    mixed = part.groupBy("head").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("head")
+    sets = _sets_of(docs, part.join(heads.union(mixed).distinct(), "head", "left_semi").select("g"))
+    new = _ordered(_between(sets, part.select("g", "part"))).join(tested, ["u", "v"], "left_anti")
+    more = stored(_verified(stored(new, "pairs"), sets), "links")
+    if not more.isEmpty():
+        parts = stored(components(links.union(more)), "components")
     return every, parts
 
 
+def _between(sets: DataFrame, part: DataFrame) -> DataFrame:
+    """Candidate pairs (u, v) of ``sets(g, set)`` in different components, by the prefix join over all
+    shingles: the frequency order is that among these sets, and shingles of a single set come first.
+
+    Components are paired by shingle, with the filters at their most lenient over a component's
+    postings of the shingle; only where a component has several of them are these looked up."""
+    sizes = sets.select("g", F.size("set").cast("long").alias("n")).distinct()
+    tokens = sets.select(F.explode("set").alias("token"), "g").repartition("token").sortWithinPartitions("token")
+    again = tokens.mapInArrow(_frequencies, "token long, g long, level int").groupBy("g").agg(F.sort_array(F.collect_set(F.struct("level", "token"))).alias("again"))
+    prefix = again.join(sizes, "g").join(part, "g").withColumn("alone", F.col("n") - F.size("again"))
+    take = F.greatest(F.lit(0).cast("long"), F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1 - F.col("alone")).cast("int")
+    p = prefix.select("g", "part", "n", "alone", F.posexplode(F.slice("again", F.lit(1), take)).alias("i", "t")).select("g", "part", "n", F.col("t.token").alias("token"), (F.col("alone") + F.col("i")).alias("pos"))
+    p = stored(p.where("9 * (n - pos) >= 4 * (n + 0.8 * n)"), "second-postings")  # else no partner of any size
+    spread = p.repartition("token")
+    kinds = spread.groupBy("token", "part").agg(F.count("*").alias("c"), F.min("g").alias("g"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+    a, b = kinds.alias("a"), kinds.alias("b")
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.part") < F.col("b.part")) & (5 * F.col("a.hi") >= 4 * F.col("b.lo")) & (5 * F.col("b.hi") >= 4 * F.col("a.lo"))
+                   & (9 * F.least("a.rest", "b.rest") >= 4 * (F.col("a.lo") + F.col("b.lo"))))
+    pairs = pairs.select(F.col("a.token").alias("token"), F.col("a.part").alias("pa"), F.col("b.part").alias("pb"), F.col("a.g").alias("ga"), F.col("b.g").alias("gb"), ((F.col("a.c") == 1) & (F.col("b.c") == 1)).alias("single"))
+    plain = pairs.where("single").select(F.col("ga").alias("u"), F.col("gb").alias("v"))
+    side = p.select("token", "part", F.struct("g", "n", "pos").alias("x"))
+    a = side.select(F.col("token").alias("t1"), F.col("part").alias("part1"), F.col("x").alias("a"))
+    b = side.select(F.col("token").alias("t2"), F.col("part").alias("part2"), F.col("x").alias("b"))
+    several = pairs.where("not single").join(a, (F.col("token") == F.col("t1")) & (F.col("pa") == F.col("part1"))).join(b, (F.col("token") == F.col("t2")) & (F.col("pb") == F.col("part2")))
+    return plain.union(several.where(_may_link("a", "b")).select(F.col("a.g").alias("u"), F.col("b.g").alias("v")))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     every, parts = link(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return every.join(parts, F.col("g") == F.col("id"), "left").select(

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -72,13 +72,14 @@ def mix(docs: DataFrame, weight: Column | None = None, bins: int = BINS, carry:
     the columns of ``docs`` named in ``carry``."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select("doc_id", "source", *carry, size.alias("size"), (quality_weight(F.col("text"), size) if weight is None else weight).alias("weight"))
-    rows = rows.withColumn("key", -F.log(unit(F.col("doc_id"))) / F.col("weight"))
+    rows = stored(rows.withColumn("key", -F.log(unit(F.col("doc_id"))) / F.col("weight")), "mix-keys")  # one pass over the texts
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"), F.avg("weight").alias("mean_weight"))
     plan = targets(sources, **how)
     # the bin grows with the key; a source has bins by its share of the rows
     n_bins = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.col("total") * F.greatest(F.lit(float(bins)), F.col("total") / ROWS_PER_BIN)))
     at = F.least(n_bins - 1, F.floor((F.lit(1.0) - F.exp(-F.col("key") * F.col("mean_weight"))) * n_bins))
     rows = rows.withColumnRenamed("source", "s").join(plan, F.col("s").eqNullSafe(F.col("source"))).drop("s").withColumn("bin", at)
+    rows = rows.repartition("source", "bin")  # else the join's partitioning by source alone would do for the window
 
     in_bin = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select("*", F.coalesce(F.sum("size").over(in_bin), F.lit(0)).alias("before_in_bin"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 
 SHARDS = 8
 BITS = 6
@@ -80,12 +80,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, law: str = "rows", bits: int =
     size_cell = F.least(F.lit((1 << bits) - 1), F.floor(F.log2(F.col("size")) * 2)).cast("int")
     rows = rows.select("doc_id", "size", "text_crc32", hilbert_index([F.col("source_cell"), F.col("lang_cell"), size_cell], bits).alias("hilbert"),
                        F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(1 << 30)).alias("tie"))
+    rows = stored(rows, "hilbert")  # one pass over the texts and the curve
 
     cells = rows.groupBy("hilbert").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     parts = F.greatest(F.lit(1), F.ceil(F.col("n") / total * F.greatest(F.lit(float(bins)), total / ROWS_PER_BIN)))
     cells = cells.select(F.col("hilbert").alias("h"), parts.alias("parts"))
     rows = rows.join(cells, F.col("hilbert") == F.col("h")).drop("h").withColumn("bin", F.floor(F.col("tie") * F.col("parts") / (1 << 30)))
+    rows = rows.repartition("hilbert", "bin")  # else the join's partitioning by cell alone would do for the window
     in_bin = Window.partitionBy("hilbert", "bin").orderBy("tie", "text_crc32", "size", "doc_id")
     up_to = in_bin.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select("*", F.row_number().over(in_bin).alias("nth"), F.coalesce(F.sum("size").over(up_to), F.lit(0)).alias("bytes_in_bin"))

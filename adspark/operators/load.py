@@ -240,7 +240,7 @@ def stage_then_publish(df: DataFrame, table_root: str, *, batch_id: str | None =
     batches = list(prev.get("batches", [])) if prev else []
     if batch_id is not None:
         batches.append(str(batch_id))
-    record = {"version": version, "path": path, "batches": batches[-1000:]}
+    record = {"version": version, "path": path, "batches": batches}
     fs, root, jvm = _fs(spark, table_root)
     tmp = jvm.org.apache.hadoop.fs.Path(root, f"_current.{uuid.uuid4().hex}.tmp")
     stream = fs.create(tmp, True)

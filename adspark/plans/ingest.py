@@ -97,7 +97,8 @@ def _partition_layout(spec: TableSpec, buckets: int):
 
 def _touched(current: DataFrame, stage: DataFrame, part: str) -> DataFrame:
     """Current rows of the partitions the stage touches. A bounded list of partition values becomes a
-    static filter (partition pruning at planning); beyond the bound a semi join prunes at runtime."""
+    static filter (partition pruning at planning); beyond the bound a semi join prunes at runtime. Both
+    keep the rows of the NULL partition when the stage has rows there."""
     values = stage.select(part).distinct()
     few = values.limit(STATIC_PRUNE_MAX + 1).collect()
     if len(few) <= STATIC_PRUNE_MAX:
@@ -106,7 +107,8 @@ def _touched(current: DataFrame, stage: DataFrame, part: str) -> DataFrame:
         if any(v is None for v in vals):
             cond = cond | F.col(part).isNull()
         return current.filter(cond)
-    return current.join(values, part, "left_semi")
+    touched = values.select(F.col(part).alias("_touched"))
+    return current.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi")
 
 
 def read_table(spark: SparkSession, tables_root: str, spec: TableSpec) -> DataFrame | None:

@@ -139,3 +139,13 @@ def test_touched_partitions_beyond_static_bound(spark, tmpdir_path, monkeypatch)
     I.load_stage(spark, again, SPEC, tables_root=tables_b, staging_root=os.path.join(tmpdir_path, "s4"))
     assert _table(spark, tables_a) == _table(spark, tables_b)
     assert len(_table(spark, tables_a)) == 9 and min(r[3] for r in _table(spark, tables_a)) >= 100
+
+
+def test_touched_keeps_null_partition_on_both_paths(spark, monkeypatch):
+    """Rows of the NULL partition are read back whether or not the list of values is static."""
+    import adspark.plans.ingest as I
+    current = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id int, day string")
+    stage = spark.createDataFrame([(4, None), (5, "b")], "id int, day string")
+    for bound in (10_000, 0):
+        monkeypatch.setattr(I, "STATIC_PRUNE_MAX", bound)
+        assert sorted(r.id for r in I._touched(current, stage, "day").collect()) == [1, 3]

@@ -43,30 +43,31 @@ def normalize_text_key(c) -> Column:
     return F.lower(F.trim(_c(c)))
 
 
-def normalize_column_name(name: str) -> str:
-    """N-01 on one column name (driver-side: names are schema, not data).
+# The naming rules of N-01, in order, as (pattern, replacement). A blank on either side
+# of a round bracket goes, then one closing bracket at the end; white space, dash, brackets, braces
+# and question mark become an underscore; comma, dot and slash go.
+NAME_RULES = (
+    (r" ?\( ?", "("),
+    (r" ?\) ?", ")"),
+    (r"\)$(?!\n)", ""),
+    (r"[\s\-()\[\]{}?]", "_"),
+    (r"[,./]", ""),
+)
+
 
-    Rules, in order: ``" ("``/``"( "`` become ``"("``, ``" )"``/``") "`` become ``")"``, one trailing
-    ``")"`` is dropped, whitespace, dash, brackets, braces and ``?`` become ``_`` and ``, . /`` are
-    removed.
-    """
-    n = name.replace(" (", "(").replace("( ", "(").replace(" )", ")").replace(") ", ")")
-    if n.endswith(")"):
-        n = n[:-1]
-    n = re.sub(r"[\s\-()\[\]{}?]", "_", n)
-    return re.sub(r"[,./]", "", n)
+def normalize_column_name(name: str) -> str:
+    """N-01 on one column name (driver-side: names are schema, not data)."""
+    for pattern, put in NAME_RULES:
+        name = re.sub(pattern, put, name)
+    return name
 
 
 def normalize_value(c) -> Column:
-    """N-01 applied to values: the same rules as ``normalize_column_name`` as column expressions."""
+    """N-01 applied to values: the same rules as column expressions."""
     c = _c(c)
-    c = F.replace(c, F.lit(" ("), F.lit("("))
-    c = F.replace(c, F.lit("( "), F.lit("("))
-    c = F.replace(c, F.lit(" )"), F.lit(")"))
-    c = F.replace(c, F.lit(") "), F.lit(")"))
-    c = F.regexp_replace(c, r"\)$", "")
-    c = F.regexp_replace(c, r"[\s\-()\[\]{}?]", "_")
-    return F.regexp_replace(c, r"[,./]", "")
+    for pattern, put in NAME_RULES:
+        c = F.regexp_replace(c, pattern, put)
+    return c
 
 
 def sanitize_string(c, n: int = 255) -> Column:

@@ -31,8 +31,8 @@ def update_messages(df: DataFrame, cols: ProductColumns = PC, *, message_id: str
     """K-25: one UPDATE message per product. ``productType`` defaults to ``SPORTING_GOODS`` and the
     item name to the title only when those columns are absent; the suggested identifier is
     attached only when it is 10 characters long (a NULL array is omitted by ``to_json``).
-    Returns ``(messages, rejects)``: a quantity that is not a number rejects the row (the reference
-    aborted the seller). Quantity and prices are computed once as typed columns first."""
+    Returns ``(messages, rejects)``: a quantity that is not a number, or a list price that cannot be
+    computed (K-24), rejects the row. Quantity and prices are computed once as typed columns first."""
     from adspark.operators.pricing import as_double
     ptype = _q(cols.product_type) if cols.product_type in df.columns else F.lit(DEFAULT_PRODUCT_TYPE)
     item = _q(cols.item_name) if cols.item_name in df.columns else _q(cols.title).cast("string")
@@ -57,9 +57,10 @@ def update_messages(df: DataFrame, cols: ProductColumns = PC, *, message_id: str
     msg = F.struct(_q(message_id).cast("bigint").alias("messageId"), _q(cols.sku).cast("string").alias("sku"),
                    F.lit("UPDATE").alias("operationType"), ptype.alias("productType"),
                    F.lit(REQUIREMENTS).alias("requirements"), attributes.alias("attributes"))
-    ok = qty.isNotNull() & price.isNotNull()
+    ok = qty.isNotNull() & price.isNotNull() & lp.isNotNull()
     out = d.filter(ok).select(*[_q(c) for c in keep], msg.alias("message"))
-    rejects = d.filter(~ok).select(*[_q(c) for c in keep]).withColumn("reject_reason", F.lit("bad_quantity_or_price"))
+    reason = F.when(qty.isNotNull() & price.isNotNull(), F.lit("no_list_price")).otherwise(F.lit("bad_quantity_or_price"))
+    rejects = d.filter(~ok).select(*[_q(c) for c in keep], reason.alias("reject_reason"))
     return out, rejects
 
 
@@ -95,7 +96,7 @@ def feed_documents(messages: DataFrame, *, seller: str = "seller_id", seller_lab
 
 def write_feed(messages: DataFrame, path: str, *, seller: str = "seller_id") -> None:
     """L-19: one JSON document per (seller, chunk) as text files partitioned by seller and chunk."""
-    feed_documents(messages, seller=seller).write.mode("overwrite") \
+    feed_documents(messages, seller=seller).write.mode("overwrite").option("partitionOverwriteMode", "static") \
         .partitionBy(seller, "chunk_id").text(path)
 
 
@@ -165,10 +166,12 @@ def apply_feed_results(history: DataFrame, results: DataFrame, *, batch_id: str,
 
 
 def batch_totals(batches: DataFrame, totals: DataFrame, *, now: Column) -> DataFrame:
-    """L-16 batch row: totals and status from ``feed_summary`` written into the batch history."""
-    t = totals.select("batch_id", F.col("total_messages").alias("_t"), F.col("successful_messages").alias("_s"),
+    """L-16 batch row: totals and status from ``feed_summary`` written into the batch history, per
+    seller where the totals are per seller (a batch spans many sellers)."""
+    on = [c for c in ("seller_id", "batch_id") if c in totals.columns and c in batches.columns]
+    t = totals.select(*on, F.col("total_messages").alias("_t"), F.col("successful_messages").alias("_s"),
                       F.col("failed_messages").alias("_f"), F.col("status").alias("_st"))
-    j = batches.join(t, "batch_id", "left")
+    j = batches.join(t, on, "left").select(*[_q(c) for c in batches.columns], "_t", "_s", "_f", "_st")
     hit = F.col("_t").isNotNull()
     return j.withColumns({
         "total_messages": F.when(hit, F.col("_t")).otherwise(F.col("total_messages")),

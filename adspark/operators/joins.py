@@ -75,11 +75,12 @@ def join_override_price(products: DataFrame, overrides: DataFrame, *, on="sku",
 
 def eligible_sellers(users: DataFrame, oauth: DataFrame, channels: DataFrame, *, only=None,
                      user_id: str = "id", token_cols=("access_token", "refresh_token")):
-    """J-05: users LEFT JOIN oauth LEFT JOIN channels, superusers excluded, optionally one user.
+    """J-05: users LEFT JOIN oauth LEFT JOIN channels, superusers (and users of unknown standing)
+    excluded, optionally one user. A blank partner id counts as missing.
 
     Returns ``(complete, incomplete)``; only token-present flags travel, never tokens (D7).
     """
-    u = users.filter(~F.coalesce(F.col("is_superuser").cast("boolean"), F.lit(False)))
+    u = users.filter(~F.coalesce(F.col("is_superuser").cast("boolean"), F.lit(True)))
     if only is not None:
         u = u.filter(F.col(user_id) == F.lit(only))
     present = [c for c in token_cols if c in oauth.columns]
@@ -87,7 +88,7 @@ def eligible_sellers(users: DataFrame, oauth: DataFrame, channels: DataFrame, *,
                      *[(F.col(c).isNotNull() & (F.trim(F.col(c)) != "")).alias(f"has_{c}") for c in present])
     ch = channels.select(F.col("user_id").alias(user_id), "selling_partner_id")
     joined = u.select(user_id).join(o, user_id, "left").join(ch, user_id, "left")
-    ok = F.col("selling_partner_id").isNotNull()
+    ok = F.trim(F.coalesce(F.col("selling_partner_id").cast("string"), F.lit(""))) != ""
     for c in present:
         ok = ok & F.coalesce(F.col(f"has_{c}"), F.lit(False))
     joined = joined.withColumn("_complete", ok)
@@ -110,7 +111,8 @@ def skus_to_delete(live: DataFrame, products: DataFrame, on, *, max_share: float
     if max_share is None or force:
         return out
     if by is None:
-        stats = live.select(F.count(F.lit(1)).alias("n")).crossJoin(out.select(F.count(F.lit(1)).alias("d"))).first()
+        known = products.select(*[_q(c) for c in on]).distinct().withColumn("_known", F.lit(True))
+        stats = live.join(known, on, "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_known").isNull()).alias("d")).first()
         if stats["n"] > 0 and stats["d"] > max_share * stats["n"]:
             raise ValueError(f"refusing to delete {stats['d']} of {stats['n']} live SKUs; pass force=True")
         return out

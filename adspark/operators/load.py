@@ -161,14 +161,17 @@ def history_upsert(history: DataFrame, stage: DataFrame, keys, *, keep_if_null=(
     """L-15: upsert by key; for ``keep_if_null`` columns a NULL in the stage keeps the old value."""
     keys = _on(keys)
     keep = [c for c in keep_if_null if c in history.columns and c in stage.columns]
-    stage = stage.select(*[_q(c) for c in history.columns])
-    if keep:
-        old = history.join(stage.select(*[_q(k) for k in keys]), keys, "left_semi") \
-            .select(*[_q(k) for k in keys], *[F.col(_q(c)).alias(f"_old_{c}") for c in keep])
-        stage = stage.join(old, keys, "left").withColumns(
-            {c: F.coalesce(F.col(_q(c)), F.col(f"_old_{c}")) for c in keep}).select(*[_q(c) for c in history.columns])
-    kept = history.join(stage.select(*[_q(k) for k in keys]), keys, "left_anti")
-    return kept.unionByName(stage)
+    # One full outer join: each side is read and shuffled once.
+    h = history.withColumn("_old", F.lit(True)).alias("h")
+    s = stage.select(*[_q(c) for c in history.columns]).withColumn("_new", F.lit(True)).alias("s")
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(f"h.`{k}`") == F.col(f"s.`{k}`"))
+
+    def pick(c: str):
+        new, old = F.col(f"s.`{c}`"), F.col(f"h.`{c}`")
+        return F.when(F.col("s._new"), F.coalesce(new, old) if c in keep else new).otherwise(old).alias(c)
+    return h.join(s, on, "full_outer").select(*[pick(c) for c in history.columns])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -249,12 +252,35 @@ def stage_then_publish(df: DataFrame, table_root: str, *, batch_id: str | None =
     finally:
         stream.close()
     ptr = jvm.org.apache.hadoop.fs.Path(root, "_current.json")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+    # One rename that replaces its target: readers see the old or the new pointer, never none.
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(fs.makeQualified(tmp), fs.makeQualified(ptr), over)
     return record
 
 
+def keep_bucket_count(spark: SparkSession, table_root: str, buckets: int, *, store: bool = False) -> None:
+    """A bucketed table keeps the bucket count it was written with: another count would leave old
+    copies of rows in other folders, so it is refused. ``store`` records the count."""
+    fs, p, jvm = _fs(spark, f"{table_root.rstrip('/')}/_bucket_count")
+    if fs.exists(p):
+        stream = fs.open(p)
+        try:
+            known = stream.readInt()
+        finally:
+            stream.close()
+        if known != buckets:
+            raise ValueError(f"{table_root} is stored in {known} buckets, not {buckets}")
+    elif store:
+        stream = fs.create(p, True)
+        try:
+            stream.writeInt(buckets)
+        finally:
+            stream.close()
+
+
 def create_table_from_spec(spark: SparkSession, spec: TableSpec, *, location: str | None = None,
                            drop: bool = False, database: str | None = None) -> str:
     """L-08: database and table from the spec, Parquet, partitioned by the partition column.
@@ -278,26 +304,33 @@ def create_table_from_spec(spark: SparkSession, spec: TableSpec, *, location: st
 
 
 def publish_partitions(df: DataFrame, table_root: str, partition_by: str, *, staging_root: str,
-                       cluster_by=None, reads_target: bool = True) -> None:
+                       cluster_by=None, reads_target: bool = True, touched: DataFrame | None = None) -> None:
     """Partition-scoped publish for partitioned tables: only the partitions present in ``df`` are
     replaced (dynamic partition overwrite), the others are not touched.
 
     When ``df`` reads the table it replaces (``reads_target``), Spark refuses to overwrite a path it
     reads, so the new partitions are first materialised under ``staging_root`` (a shared folder,
     e.g. under ``spark.checkpoint.dir``); that also cuts the lineage before the overwrite. A first
-    load (nothing to read) is written directly.
+    load (nothing to read) is written directly. The staged copy goes after the overwrite.
+
+    ``touched`` (partition values the new content is for) makes partitions that have no rows left
+    empty: dynamic overwrite alone would leave their old files. Clustered rows are rebalanced by the
+    partition column, where adaptive execution splits a large date or bucket over several tasks.
     """
     spark = df.sparkSession
     out = df
     if cluster_by:
-        out = out.repartition(_q(partition_by)).sortWithinPartitions(*[_q(c) for c in _on(cluster_by)])
+        out = out.hint("rebalance", F.col(_q(partition_by))) \
+            .sortWithinPartitions(_q(partition_by), *[_q(c) for c in _on(cluster_by)])
+    emptied, stage_path = [], f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
     if reads_target:
-        stage_path = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
         write_parquet(out, stage_path, by=partition_by)
         out = spark.read.schema(df.schema).parquet(stage_path)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy(partition_by).parquet(table_root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        if touched is not None:
+            # At most the partitions touched by this load, by folder name.
+            emptied = [r[0] for r in touched.select(partition_by).dropna().distinct()
+                       .join(out.select(partition_by).distinct(), partition_by, "left_anti").collect()]
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(table_root)
+    for folder in [f"{table_root.rstrip('/')}/{partition_by}={v}" for v in emptied] + [stage_path] * reads_target:
+        fs, p, _ = _fs(spark, folder)
+        fs.delete(p, True)

@@ -74,18 +74,19 @@ def latest_file_rows(stage: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.load_method == "merge":
         return L.dedupe_stage(stage.withColumn("_order", F.struct("_mtime", "_file")), keys,
                               conflict="latest_wins", order_by="_order").drop("_order")
-    newest = stage.groupBy(*keys).agg(F.max(F.struct("_mtime", "_file")).alias("_newest"))
-    return stage.join(newest, keys, "inner") \
-        .filter((F.col("_newest._mtime") == F.col("_mtime")) & (F.col("_newest._file") == F.col("_file"))) \
-        .drop("_newest")
+    # Null-safe on the keys: rows without a key form a group too.
+    newest = stage.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.max(F.struct("_mtime", "_file")).alias("_newest"))
+    same = F.col("_newest").eqNullSafe(F.struct("_mtime", "_file"))
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
+    return stage.join(newest, same, "left_semi")
 
 
 # Entity snapshot tables have no date partition; they are partitioned by a hash bucket of the
 # snapshot key so that replacing one profile's snapshot rewrites one bucket, not the table.
 ENTITY_BUCKETS = 64
 BUCKET_COLUMN = "_bucket"
-# At most this many distinct touched partition values are turned into a static partition filter.
-STATIC_PRUNE_MAX = 10_000
 
 
 def _partition_layout(spec: TableSpec, buckets: int):
@@ -96,18 +97,13 @@ def _partition_layout(spec: TableSpec, buckets: int):
 
 
 def _touched(current: DataFrame, stage: DataFrame, part: str) -> DataFrame:
-    """Current rows of the partitions the stage touches. A bounded list of partition values becomes a
-    static filter (partition pruning at planning); beyond the bound a semi join prunes at runtime. Both
-    keep the rows of the NULL partition when the stage has rows there."""
-    values = stage.select(part).distinct()
-    few = values.limit(STATIC_PRUNE_MAX + 1).collect()
-    if len(few) <= STATIC_PRUNE_MAX:
-        vals = [r[0] for r in few]
-        cond = F.col(part).isin([v for v in vals if v is not None])
-        if any(v is None for v in vals):
-            cond = cond | F.col(part).isNull()
-        return current.filter(cond)
-    touched = values.select(F.col(part).alias("_touched"))
+    """Current rows of the partitions the stage touches: the range of touched values (one row) prunes
+    partitions at planning, a null-safe semi join keeps exactly the touched ones, the NULL partition
+    included."""
+    touched = stage.select(F.col(part).alias("_touched")).distinct()
+    lo, hi, null = touched.agg(F.min("_touched"), F.max("_touched"), F.count_if(F.col("_touched").isNull())).first()
+    cond = F.col(part).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+    current = current.filter(cond | F.col(part).isNull() if null else cond)
     return current.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi")
 
 
@@ -135,6 +131,7 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
     if bucket is not None:
         stage = stage.withColumn(BUCKET_COLUMN, bucket)
         schema = schema.add(BUCKET_COLUMN, IntegerType())
+        L.keep_bucket_count(spark, path, buckets)
     exists = _exists(spark, path)
     if exists:
         touched = _touched(spark.read.schema(schema).parquet(path), stage, part)
@@ -149,3 +146,5 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
         new = L.append_rows(touched, stage)
     cluster = [c for c in spec.cluster_columns if c != part] or None
     L.publish_partitions(new, path, part, staging_root=staging_root, cluster_by=cluster, reads_target=exists)
+    if bucket is not None:
+        L.keep_bucket_count(spark, path, buckets, store=True)

@@ -1553,7 +1553,7 @@ upd AS (SELECT seller_id, sku, 'UPDATE' AS operation, p_size AS quantity,
                ELSE {_RM.format(x="p2")} END AS our_price
         FROM g WHERE p2 IS NOT NULL),
 del AS (SELECT seller_id, CAST(p_partkey AS VARCHAR) AS sku, 'DELETE' AS operation, CAST(NULL AS INTEGER) AS quantity,
-          CAST(NULL AS DOUBLE) AS our_price FROM pairs WHERE min_discount >= 0.09),
+          CAST(NULL AS DOUBLE) AS our_price FROM pairs JOIN part USING (p_partkey) WHERE min_discount >= 0.09 OR p_size < 5),
 allm AS (SELECT *, row_number() OVER (PARTITION BY seller_id
                      ORDER BY CASE WHEN operation = 'DELETE' THEN 1 ELSE 0 END, sku) AS message_id
          FROM (SELECT * FROM upd UNION ALL SELECT * FROM del))
@@ -1564,7 +1564,8 @@ def q_catalog_sync(spark, sf):
     """The whole feed-planning job for all sellers at once: suppliers
     are sellers, the parts each supplier ships are its products, part data gives identifiers,
     lineitem rows give overrides, shipped-before-1997 pairs give history, and every shipped pair is
-    live (pairs with a high discount are no longer offered, so they are deleted)."""
+    live (pairs with a high discount are no longer offered and small parts fail the MPN match, so
+    both are deleted)."""
     from adspark.plans.sync import plan_feed
     li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
     # The seller x product table is an input table of the job: derive it once and keep it in the

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adspark.functions.numbers import explicit_price_override, override_map_floor
@@ -33,7 +33,8 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
                    rules: DataFrame | None, master: DataFrame | None, *, cols: ProductColumns = PC,
                    seller: str = "seller_id", seq: str = "seq", hash_cols=None):
     """The product chain in the reference's order: J-01, K-10, K-11, K-12, N-16, N-17, J-02,
-    K-13, K-14, K-15, K-16, K-19, K-18. Returns ``(priced, rejected)``.
+    K-13, K-14, K-15, K-16, K-19, K-18. Returns ``(priced, rejected, current)``: ``current`` holds the
+    keys of the offered products (after the filters, priced or not).
 
     The override table is reduced once per (seller, SKU) (``reduce_overrides``) and joined once;
     its reduced values serve the cell overrides (K-11), the override MAP floor (K-15) and the
@@ -59,6 +60,7 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
         df = P.brand_rules(df, rules, cols, on=[seller] if seller in rules.columns else [])
     df = N.filter_identifier(df, cols.asin)
     df = N.filter_push_flag(df, cols.push_marketplace)
+    current = df.select(*[F.col(f"`{k}`") for k in keys])
     if master is not None:
         df = J.join_new_columns(df, master, cols.sku)
     df = P.numeric_fields(df, cols)
@@ -73,7 +75,7 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
     priced, rejected = P.price_reject(df, cols)
     if hash_cols is None:
         hash_cols = sorted(c for c in priced.columns if c != "product_hash")
-    return K.row_hash(priced, hash_cols), rejected
+    return K.row_hash(priced, hash_cols), rejected, current
 
 
 @dataclass
@@ -86,6 +88,8 @@ class FeedPlan:
     message_rejects: DataFrame
     documents: DataFrame
     price_updates: DataFrame
+    current: DataFrame
+    duplicates: DataFrame
 
 
 def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None, rules: DataFrame | None,
@@ -93,19 +97,24 @@ def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame
               seed: str, cols: ProductColumns = PC, seller: str = "seller_id", keep_share: float = 0.03,
               max_delete_share: float = 0.5, force_deletes: bool = False, chunk_size: int = FD.CHUNK_SIZE,
               seller_label: str | None = None) -> FeedPlan:
-    """Everything up to the feed upload (the external boundary)."""
+    """Everything up to the feed upload (the external boundary). A SKU with several different priced
+    rows (e.g. two identifier rows) is not sent: its rows come back as ``duplicates``."""
     keys = [seller, cols.sku]
-    priced, rejected = price_products(products, identifiers, overrides, rules, master, cols=cols, seller=seller)
-    # J-06 on the full product set (before change filtering), with the F3 guard.
-    deletes = J.skus_to_delete(live.select(*keys), products.select(*keys), keys,
-                               max_share=max_delete_share, force=force_deletes, by=[seller])
+    priced, rejected, current = price_products(products, identifiers, overrides, rules, master, cols=cols, seller=seller)
+    ensure_checkpoint_dir(products.sparkSession)
+    # J-06 on the offered products (after the filters, before pricing and change filtering), with the
+    # F3 guard. Read by the staged rows and by the message ids, so the anti join runs once.
+    deletes = J.skus_to_delete(live.select(*keys).distinct(), current, keys,
+                               max_share=max_delete_share, force=force_deletes, by=[seller]).checkpoint(eager=True)
     hist = history.select(*keys, "status", "product_hash", "ended_at")
     # The annotated products feed the staged rows, the message ids, the update messages, the price
     # updates and the change statistics: materialise them once in the shared checkpoint folder
     # (also cuts the lineage of the whole pricing chain).
-    ensure_checkpoint_dir(products.sparkSession)
-    annotated = K.annotate_changes(priced, hist, keys, now=now, sku=cols.sku, keep_share=keep_share,
-                                   seed=seed).checkpoint(eager=True)
+    same_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
+    annotated = K.annotate_changes(priced.dropDuplicates(), hist, keys, now=now, sku=cols.sku, keep_share=keep_share,
+                                   seed=seed).withColumn("_n_key", F.count(F.lit(1)).over(same_key)).checkpoint(eager=True)
+    duplicates = annotated.filter("_n_key > 1").drop("_n_key").withColumn("reject_reason", F.lit("duplicate_sku"))
+    annotated = annotated.filter("_n_key = 1").drop("_n_key")
     updates = annotated.filter(F.col("reason") != "unchanged")
     staged = K.stage_changes(updates, deletes, batch_id=batch_id, now=now, seller=seller, sku=cols.sku,
                              asin=cols.asin, title=cols.title, price=cols.price)
@@ -120,7 +129,8 @@ def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame
     messages = _union_messages(update_msgs, delete_msgs)
     documents = FD.feed_documents(messages, seller="seller_id", seller_label=seller_label)
     price_updates = upd.filter("pack_price_applied").select("seller_id", "sku", F.col(cols.price).alias("price"))
-    return FeedPlan(priced, rejected, annotated, staged, messages, message_rejects, documents, price_updates)
+    return FeedPlan(priced, rejected, annotated, staged, messages, message_rejects, documents, price_updates, current,
+                    duplicates)
 
 
 def _union_messages(update_msgs: DataFrame, delete_msgs: DataFrame) -> DataFrame:
@@ -145,6 +155,14 @@ def apply_feed(history: DataFrame, batches: DataFrame, results_raw: DataFrame, m
     return new_history, new_batches, errors
 
 
+def retain_offered(history: DataFrame, current: DataFrame, keys=("seller_id", "sku")) -> DataFrame:
+    """J-07 for the sellers of a run: their history rows stay only while the SKU is offered; a seller
+    without any offered product (as after a failed read) and sellers outside the run stay untouched."""
+    keys = list(keys)
+    run = current.select(keys[0]).distinct()
+    return J.retain_valid_history(history, current, keys).unionByName(history.join(run, keys[0], "left_anti"))
+
+
 def fold_staged(history: DataFrame, staged: DataFrame, price_updates: DataFrame | None = None) -> DataFrame:
     """L-15 and L-18: staged rows upserted into the change history (the old hash is kept when the new
     one is NULL), then recomputed pack prices applied."""
@@ -172,11 +190,14 @@ def store_history(history: DataFrame, path: str, *, staging_root: str, touched_s
     new version is staged first)."""
     spark = history.sparkSession
     df = history.withColumn("_bucket", _bucket(seller, buckets))
+    touched = None
     if touched_sellers is not None:
         touched = touched_sellers.select(_bucket(seller, buckets).alias("_bucket")).distinct()
         df = df.join(touched, "_bucket", "left_semi")
+    L.keep_bucket_count(spark, path, buckets)
     fs, p, _ = L._fs(spark, path)
-    L.publish_partitions(df, path, "_bucket", staging_root=staging_root, reads_target=fs.exists(p))
+    L.publish_partitions(df, path, "_bucket", staging_root=staging_root, reads_target=fs.exists(p), touched=touched)
+    L.keep_bucket_count(spark, path, buckets, store=True)
 
 
 def load_history(spark, path: str, schema) -> DataFrame:
@@ -189,23 +210,48 @@ def load_history(spark, path: str, schema) -> DataFrame:
 def run_plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None,
                   rules: DataFrame | None, master: DataFrame | None, live: DataFrame, *, history_path: str,
                   history_schema, feed_path: str, staging_root: str, batch_id: str, now: Column, seed: str,
-                  **plan_kw) -> FeedPlan:
+                  batches_path: str | None = None, batches_schema=None, **plan_kw) -> FeedPlan:
     """First job of a sync run (up to the upload boundary): plan against the stored change history,
-    write one feed document per (seller, chunk) under ``feed_path`` and fold the staged rows (and
-    recomputed pack prices) into the stored history, rewriting only the touched sellers' buckets."""
+    write one feed document per (seller, chunk) under ``<feed_path>/batch_id=<batch_id>`` and fold the
+    staged rows (and recomputed pack prices) into the stored history, rewriting only the touched
+    sellers' buckets. SKUs no longer offered (J-07) and SKUs sent as deletes (L-17) leave the history.
+    With ``batches_path`` every seller of the batch gets its ``processing`` row in the batch history."""
     spark = products.sparkSession
-    fs, p, _ = L._fs(spark, history_path)
-    history = load_history(spark, history_path, history_schema) if fs.exists(p) \
-        else spark.createDataFrame([], history_schema)
+    history = _stored(spark, history_path, history_schema)
     plan = plan_feed(products, identifiers, overrides, rules, master, history, live, batch_id=batch_id, now=now,
                      seed=seed, **plan_kw)
-    plan.documents.write.mode("overwrite").partitionBy("seller_id", "chunk_id").text(feed_path)
-    new_history = fold_staged(history, plan.staged, plan.price_updates)
+    plan.documents.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy("seller_id", "chunk_id").text(f"{feed_path.rstrip('/')}/batch_id={batch_id}")
+    cols, seller = plan_kw.get("cols", PC), plan_kw.get("seller", "seller_id")
+    current = plan.current.select(F.col(f"`{seller}`").cast("string").alias("seller_id"),
+                                  F.col(f"`{cols.sku}`").cast("string").alias("sku"))
+    new_history = fold_staged(retain_offered(history, current), plan.staged, plan.price_updates)
+    new_history = FD.delete_listed_history(new_history, plan.staged.filter("kind = 'DELETE'"), ["seller_id", "sku"])
+    staged_sellers = plan.staged.select("seller_id").distinct()
+    if batches_path is not None:
+        start_batch(spark, staged_sellers, batches_path=batches_path, batches_schema=batches_schema,
+                    staging_root=staging_root, batch_id=batch_id, now=now)
     store_history(new_history, history_path, staging_root=staging_root,
-                  touched_sellers=plan.staged.select("seller_id").distinct())
+                  touched_sellers=staged_sellers.union(current.select("seller_id")).distinct())
     return plan
 
 
+def _stored(spark, path: str, schema) -> DataFrame:
+    fs, p, _ = L._fs(spark, path)
+    return load_history(spark, path, schema) if fs.exists(p) else spark.createDataFrame([], schema)
+
+
+def start_batch(spark, sellers: DataFrame, *, batches_path: str, batches_schema, staging_root: str, batch_id: str,
+                now: Column) -> None:
+    """The ``processing`` row of every seller of a batch, written at the start of the run; a repeated
+    start replaces the rows of the same (batch, seller)."""
+    batches = _stored(spark, batches_path, batches_schema)
+    given = {"batch_id": F.lit(batch_id), "seller_id": F.col("seller_id"), "status": F.lit("processing"), "started_at": now}
+    rows = sellers.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in batches_schema.fields])
+    store_history(L.delete_insert(batches, rows, ["batch_id", "seller_id"]), batches_path, staging_root=staging_root,
+                  touched_sellers=sellers)
+
+
 def run_apply_feed(spark, result_paths, messages: DataFrame, *, history_path: str, history_schema,
                    batches_path: str, batches_schema, staging_root: str, batch_id: str, now: Column,
                    seller: str = "seller_id"):
@@ -217,11 +263,11 @@ def run_apply_feed(spark, result_paths, messages: DataFrame, *, history_path: st
         F.regexp_extract("_file", r"seller_id=([^/]+)", 1).alias(seller), F.lit(batch_id).alias("batch_id"),
         F.col("_file").alias("feed_id"), "value")
     history = load_history(spark, history_path, history_schema)
-    fs, p, _ = L._fs(spark, batches_path)
-    batches = load_history(spark, batches_path, batches_schema) if fs.exists(p) \
-        else spark.createDataFrame([], batches_schema)
+    batches = _stored(spark, batches_path, batches_schema)
     new_history, new_batches, errors = apply_feed(history, batches, raw, messages, batch_id=batch_id, now=now)
-    touched = raw.select(seller).distinct()
+    # All sellers of the batch, also those without a result file: their rows end with the batch.
+    touched = raw.select(seller).union(history.filter(F.col("batch_id") == F.lit(batch_id)).select(seller)) \
+        .distinct().checkpoint(eager=True)
     store_history(new_history, history_path, staging_root=staging_root, touched_sellers=touched)
     store_history(new_batches, batches_path, staging_root=staging_root, touched_sellers=touched)
     return errors

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adspark.functions.text import decode_with_fallback
+from adspark.sources.paths import source_path
 
 # Accepted input extensions and the status of rejected files.
 ACCEPTED_EXTENSIONS = (".gz", ".json", ".csv")
@@ -29,7 +30,7 @@ def whole_files(spark: SparkSession, paths, *, fallback: str = "ISO-8859-1", rec
     # ``text(..., wholetext=True)``: the keyword must be passed, ``text`` resets the option otherwise.
     raw = spark.read.option("recursiveFileLookup", recursive).text(_paths(paths), wholetext=True)
     return raw.select(
-        F.col("_metadata.file_path").alias("_file"),
+        source_path().alias("_file"),
         F.col("_metadata.file_modification_time").alias("_mtime"),
         decode_with_fallback(F.col("value"), fallback).alias("value"))
 
@@ -50,7 +51,7 @@ def read_json_report(spark: SparkSession, paths, schema: T.StructType | None = N
     if mode == "multiline":
         df = spark.read.schema(schema).option("multiLine", True).option("encoding", encoding) \
             .option("recursiveFileLookup", True).json(_paths(paths))
-        return df.select(F.col("_metadata.file_path").alias("_file"),
+        return df.select(source_path().alias("_file"),
                          F.col("_metadata.file_modification_time").alias("_mtime"), *[F.col(f"`{c}`") for c in df.columns])
     if mode != "wholetext":
         raise ValueError(f"unknown mode {mode!r}")
@@ -65,10 +66,16 @@ def spec_input_schema(spec, *, nested=("extendedData", "budget")) -> T.StructTyp
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+def csv_reader(spark: SparkSession):
+    """Reader for CSV reports: header, text columns, doubled quotes, line breaks inside quotes."""
+    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True)
+
+
 def read_csv_report(spark: SparkSession, paths) -> DataFrame:
-    """I-03: CSV with header, every column as text (no inference pass), plus ``_file``."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(_paths(paths))
-    return df.withColumn("_file", F.col("_metadata.file_path")) \
+    """I-03: CSV with header, every column as text (no inference pass), plus ``_file``. Quoted values
+    may hold commas, doubled quotes and line breaks."""
+    df = csv_reader(spark).csv(_paths(paths))
+    return df.withColumn("_file", source_path()) \
         .withColumn("_mtime", F.col("_metadata.file_modification_time"))
 
 
@@ -89,7 +96,7 @@ def file_format_gate(files: DataFrame, *, path: str = "path"):
             tagged.filter(~ok).withColumn("status", F.lit(UNSUPPORTED_STATUS)))
 
 
-def header_gate(headers: DataFrame, *, path: str = "_file", columns: str = "columns") -> DataFrame:
+def header_gate(headers: DataFrame, *, path: str = "_file", columns: str = "columns", keep=()) -> DataFrame:
     """I-14: a file is invalid if it has no columns, a column named ``Error`` or a column whose name
     (blanks removed) contains ``<html>``. ``columns`` is an array of header names. A zero-byte file
     produces no row at all in Spark's file sources, so it is never loaded (A-01 counts 0 rows)."""
@@ -100,7 +107,7 @@ def header_gate(headers: DataFrame, *, path: str = "_file", columns: str = "colu
                .when(has_error, F.lit("error_column"))
                .when(has_html, F.lit("html"))
                .otherwise(F.lit("valid")))
-    return headers.select(F.col(path), verdict.alias("verdict"))
+    return headers.select(F.col(path), *keep, verdict.alias("verdict"))
 
 
 def csv_headers(spark: SparkSession, paths) -> DataFrame:

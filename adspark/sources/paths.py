@@ -9,6 +9,12 @@ from adspark.functions.dates import date_token
 from adspark.functions.text import url_key_decode
 
 
+def source_path() -> Column:
+    """The path of the file a row was read from, as it is named: Spark gives it URL-encoded."""
+    encoded = F.col("_metadata.file_path")
+    return F.coalesce(F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))), encoded)
+
+
 def path_metadata(df: DataFrame, path: Column | None = None, *, kind: str = "report") -> DataFrame:
     """I-08 / I-09: metadata from the object key, counted from the end so a bucket or folder
     prefix does not matter.

@@ -3,8 +3,9 @@
 ``readStream`` of whole files (gzip decompressed transparently) -> ``foreachBatch``: the
 micro-batch is split by table (at most the 36 configured tables, a bounded driver-side list), each
 table's rows are cleaned by ``clean_files`` and loaded by ``load_stage``. Idempotence (T-02): a
-marker per (micro-batch, table) is written after publishing; a replayed micro-batch skips tables
-already committed, and the load methods (upsert / snapshot replacement) are idempotent anyway.
+marker per (query, micro-batch, table) is written after publishing; a replayed micro-batch skips
+tables already committed, the load methods (upsert / snapshot replacement) are idempotent anyway, and
+the audit rows of a micro-batch replace those of its earlier attempt.
 Latest file wins inside a micro-batch (T-03, ``latest_file_rows``).
 """
 
@@ -21,44 +22,55 @@ from adspark.operators import normalize as N
 from adspark.operators.aggregates import row_count
 from adspark.plans.ingest import clean_files, clean_rows, load_stage
 from adspark.session import scratch_dir
-from adspark.sources.files import file_format_gate, header_gate
-from adspark.sources.paths import path_metadata
-from adspark.specs import get_spec
+from adspark.sources.files import csv_reader, file_format_gate, header_gate
+from adspark.sources.paths import path_metadata, source_path
+from adspark.specs import get_spec, load_specs
 
 
-def _marker(spark: SparkSession, root: str, batch_id: int, table: str) -> tuple:
-    fs, p, _ = L._fs(spark, f"{root.rstrip('/')}/_commits/{batch_id}/{table}")
+def _marker(spark: SparkSession, root: str, query_id: str, batch_id: int, table: str) -> tuple:
+    fs, p, _ = L._fs(spark, f"{root.rstrip('/')}/_commits/{query_id}/{batch_id}/{table}")
     return fs, p
 
 
-def _append_status(df: DataFrame, tables_root: str, name: str) -> None:
+def _write_status(df: DataFrame, tables_root: str, name: str, query_id: str, batch_id: int, *more: str) -> None:
     """Audit tables next to the data: ``_rejects`` (files not loaded, with a status) and
-    ``_file_status`` (rows loaded per file, A-01)."""
-    df.write.mode("append").parquet(f"{tables_root.rstrip('/')}/{name}")
+    ``_file_status`` (rows loaded per file, A-01), one folder per query, micro-batch (and table), so
+    that a replay replaces its own rows."""
+    df.write.mode("overwrite").parquet("/".join([tables_root.rstrip("/"), name, f"query={query_id}", f"batch_id={batch_id}", *more]))
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a query's checkpoint; another checkpoint is another query."""
+    return spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
 
 
 def _file_headers(files: DataFrame) -> DataFrame:
-    """Header names per file: first line split by commas for CSV, keys of the first object for JSON."""
+    """Header names per file: first line split by commas for CSV, keys of the first object for JSON;
+    ``unreadable`` marks JSON files that do not parse as a whole."""
     first_line = F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "\r$", "")
     csv_cols = F.when(F.trim(first_line) == "", F.array().cast("array<string>")).otherwise(F.split(first_line, ","))
-    json_cols = F.coalesce(F.json_object_keys(F.get_json_object(F.col("value"), "$[0]")), F.array().cast("array<string>"))
-    return files.withColumn("columns", F.when(F.col("extension") == ".csv", csv_cols).otherwise(json_cols))
+    json_cols = F.coalesce(F.json_object_keys(F.get_json_object(F.col("value"), "$[0]")), F.json_object_keys(F.col("value")),
+                           F.array().cast("array<string>"))
+    parsed = F.from_json(F.col("value"), "array<struct<date string>>")
+    return files.withColumns({"columns": F.when(F.col("extension") == ".csv", csv_cols).otherwise(json_cols),
+                              "unreadable": (F.col("extension") != ".csv") & parsed.isNull()})
 
 
 def read_csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     """CSV report files sharing one header: every column as text, names normalised (N-01)."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(paths)
+    df = csv_reader(spark).csv(paths)
     df = N.normalize_columns(df)
-    return df.withColumns({"_file": F.col("_metadata.file_path"), "_mtime": F.col("_metadata.file_modification_time")})
+    return df.withColumns({"_file": source_path(), "_mtime": F.col("_metadata.file_modification_time")})
 
 
 def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: str, now: Column,
-                  staging_root: str) -> None:
+                  staging_root: str, query_id: str = "batch") -> None:
     """Load one micro-batch.
 
-    Files with another extension than ``.gz .json .csv`` (I-13), files for no configured table and
-    files whose header names an ``Error`` column or holds ``<html>`` (I-14) are recorded in
-    ``_rejects`` and not loaded. JSON / gzip files are parsed as JSON arrays; CSV files are read by
+    Files with another extension than ``.gz .json .csv`` (I-13), files for no configured table (also
+    those whose path is too short to name one), files without a header or whose header names an
+    ``Error`` column or holds ``<html>`` (I-14) and JSON files that do not parse (truncated, plain text,
+    compressed CSV) are recorded in ``_rejects`` and not loaded. JSON / gzip files are parsed as JSON arrays; CSV files are read by
     Spark's CSV reader, one read per distinct header (names normalised). The batch's files and each
     table's stage are persisted for the duration of the batch (they are read several times); a lost
     executor recomputes them from the files.
@@ -68,28 +80,27 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
     files, bad_format = file_format_gate(files, path="_file")
     files = files.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        gated = header_gate(_file_headers(files).select("_file", "columns"), path="_file")
-        bad_header = gated.filter(F.col("verdict").isin("error_column", "html"))
-        files = files.join(bad_header.select("_file"), "_file", "left_anti")
-        # Bounded: one row per table present in this micro-batch (36 configured at most).
-        tables = [(r["_ad_type"], r["_report_type"]) for r in
-                  files.select("_ad_type", "_report_type").distinct().collect()]
-        known = [(a, n) for a, n in tables if _configured(kind, a, n)]
-        unknown = [(a, n) for a, n in tables if (a, n) not in known]
-        rejects = bad_format.select("_file", F.col("status")) \
-            .unionByName(bad_header.select("_file", F.lit("INVALID_HEADER").alias("status")))
-        if unknown:
-            cond = F.lit(False)
-            for a, n in unknown:
-                cond = cond | ((F.col("_ad_type") == a) & (F.col("_report_type") == n))
-            rejects = rejects.unionByName(files.filter(cond).select("_file", F.lit("UNKNOWN_TABLE").alias("status")))
-        _append_status(rejects.withColumn("batch_id", F.lit(batch_id)), tables_root, "_rejects")
-        for ad_type, name in sorted(known):
+        named = F.lit(False)
+        for spec in load_specs():
+            if spec.table_type == kind:
+                named = named | ((F.col("_ad_type") == spec.ad_type) & (F.col("_report_type") == spec.name))
+        named = F.coalesce(named, F.lit(False))
+        gated = header_gate(_file_headers(files.filter(named)), path="_file", keep=("unreadable",))
+        status = F.when(F.col("unreadable"), F.lit("UNREADABLE")).when(F.col("verdict") == "empty", F.lit("EMPTY")) \
+            .when(F.col("verdict").isin("error_column", "html"), F.lit("INVALID_HEADER"))
+        bad_header = gated.select("_file", status.alias("status")).filter("status is not null")
+        rejects = bad_format.select("_file", "status").unionByName(bad_header) \
+            .unionByName(files.filter(~named).select("_file", F.lit("UNKNOWN_TABLE").alias("status")))
+        _write_status(rejects, tables_root, "_rejects", query_id, batch_id)
+        good = files.filter(named).join(bad_header.select("_file"), "_file", "left_anti")
+        # Bounded: one row per configured table present in this micro-batch (36 at most).
+        tables = [(r["_ad_type"], r["_report_type"]) for r in good.select("_ad_type", "_report_type").distinct().collect()]
+        for ad_type, name in sorted(tables):
             spec = get_spec(kind, ad_type, name)
-            fs, marker = _marker(spark, tables_root, batch_id, f"{spec.dataset}.{spec.table_name}")
+            fs, marker = _marker(spark, tables_root, query_id, batch_id, f"{spec.dataset}.{spec.table_name}")
             if fs.exists(marker):
                 continue
-            part = files.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
+            part = good.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
             stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", "value"),
                                 spec, now=now)
             # CSV files of this table, grouped by header (bounded by the files of one micro-batch).
@@ -105,9 +116,8 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
                 load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
                            batch_id=str(batch_id))
                 counts = row_count(stage, by=("_file",)).select(
-                    "_file", "row_count", F.lit(f"{spec.dataset}.{spec.table_name}").alias("table"),
-                    F.lit(batch_id).alias("batch_id"))
-                _append_status(counts, tables_root, "_file_status")
+                    "_file", "row_count")
+                _write_status(counts, tables_root, "_file_status", query_id, batch_id, f"table={spec.dataset}.{spec.table_name}")
             finally:
                 stage.unpersist()
             fs.create(marker, True).close()
@@ -115,14 +125,6 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
         files.unpersist()
 
 
-def _configured(kind: str, ad_type: str, name: str) -> bool:
-    try:
-        get_spec(kind, ad_type, name)
-        return True
-    except KeyError:
-        return False
-
-
 def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkpoint: str,
                   kind: str = "report", now: Column | None = None, available_now: bool = True,
                   max_files_per_trigger: int | None = 10_000) -> StreamingQuery:
@@ -134,13 +136,14 @@ def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkp
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(landing)
-    files = raw.select(F.col("_metadata.file_path").alias("_file"),
+    files = raw.select(source_path().alias("_file"),
                        F.col("_metadata.file_modification_time").alias("_mtime"),
                        decode_with_fallback(F.col("value")).alias("value"))
     staging_root = scratch_dir(spark, "stream-staging")
 
     def run(df: DataFrame, batch_id: int) -> None:
-        process_batch(df, batch_id, tables_root=tables_root, kind=kind, now=now, staging_root=staging_root)
+        process_batch(df, batch_id, tables_root=tables_root, kind=kind, now=now, staging_root=staging_root,
+                      query_id=_query_id(spark, checkpoint))
 
     writer = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -122,30 +122,87 @@ def test_csv_reports_gates_and_status(spark, tmpdir_path):
     assert status == {"a.csv": 2, "b.csv": 1}
 
 
-def test_touched_partitions_beyond_static_bound(spark, tmpdir_path, monkeypatch):
-    """Above the static-list bound, touched partitions are found by a semi join; same result."""
+def test_touched_partitions_are_replaced(spark, tmpdir_path):
+    """A second delivery replaces the rows of its dates, rows without a date included."""
     import adspark.plans.ingest as I
-    from adspark.sources.files import whole_files
     landing = os.path.join(tmpdir_path, "in")
     for day in ("20", "21", "22"):
         _report(landing, "p1", f"202403{day}-202403{day}", f"d{day}.json.gz", _rows(0, 3, day=f"2024-03-{day}"))
-    tables_a, tables_b = os.path.join(tmpdir_path, "a"), os.path.join(tmpdir_path, "b")
+    tables = os.path.join(tmpdir_path, "a")
     stage = I.clean_files(whole_files(spark, landing), SPEC, now=_now())
-    I.load_stage(spark, stage, SPEC, tables_root=tables_a, staging_root=os.path.join(tmpdir_path, "s1"))
-    I.load_stage(spark, stage, SPEC, tables_root=tables_b, staging_root=os.path.join(tmpdir_path, "s2"))
-    again = stage.withColumn("cost", F.col("cost") + 100)
-    I.load_stage(spark, again, SPEC, tables_root=tables_a, staging_root=os.path.join(tmpdir_path, "s3"))
-    monkeypatch.setattr(I, "STATIC_PRUNE_MAX", 1)
-    I.load_stage(spark, again, SPEC, tables_root=tables_b, staging_root=os.path.join(tmpdir_path, "s4"))
-    assert _table(spark, tables_a) == _table(spark, tables_b)
-    assert len(_table(spark, tables_a)) == 9 and min(r[3] for r in _table(spark, tables_a)) >= 100
-
-
-def test_touched_keeps_null_partition_on_both_paths(spark, monkeypatch):
-    """Rows of the NULL partition are read back whether or not the list of values is static."""
+    stage = stage.withColumn("date", F.when(F.col("campaignId") < 2, F.col("date")))
+    I.load_stage(spark, stage.filter("campaignId < 2 or profileId is null or date is null"), SPEC, tables_root=tables, staging_root=os.path.join(tmpdir_path, "s1"))
+    before = _table(spark, tables)
+    again = stage.filter("campaignId < 2").withColumn("cost", F.col("cost") + 100)
+    nulls = stage.filter("campaignId = 2").withColumns({"campaignId": F.lit(7).cast(stage.schema["campaignId"].dataType)})
+    I.load_stage(spark, again.unionByName(nulls), SPEC, tables_root=tables, staging_root=os.path.join(tmpdir_path, "s2"))
+    after = _table(spark, tables)
+    dated = [r for r in after if r[1] != "None"]
+    assert len(dated) == 6 and min(r[3] for r in dated) >= 100
+    # Rows without a date never match as keys: those of the first delivery stay, those of the second insert.
+    assert {r[2] for r in after if r[1] == "None"} == {2, 7}
+    assert [r for r in before if r[1] == "None"] == [r for r in after if r[1] == "None" and r[2] == 2]
+
+
+def test_touched_keeps_null_partition(spark):
+    """Rows of the NULL partition are read back when the stage has rows there, and only then."""
     import adspark.plans.ingest as I
-    current = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id int, day string")
-    stage = spark.createDataFrame([(4, None), (5, "b")], "id int, day string")
-    for bound in (10_000, 0):
-        monkeypatch.setattr(I, "STATIC_PRUNE_MAX", bound)
-        assert sorted(r.id for r in I._touched(current, stage, "day").collect()) == [1, 3]
+    current = spark.createDataFrame([(1, None), (2, "a"), (3, "b"), (6, "c")], "id int, day string")
+    def ids(stage):
+        return sorted(r.id for r in I._touched(current, spark.createDataFrame(stage, "id int, day string"), "day").collect())
+    assert ids([(4, None), (5, "b")]) == [1, 3]
+    assert ids([(4, "a"), (5, "c")]) == [2, 6]
+    assert ids([(4, None)]) == [1] and ids([]) == []
+
+
+def test_two_streams_share_a_table(spark, tmpdir_path):
+    """A stream with a checkpoint of its own loads its files although its batch numbers repeat."""
+    tables = os.path.join(tmpdir_path, "tables")
+    for n in (1, 2):
+        landing = os.path.join(tmpdir_path, f"in{n}")
+        _report(landing, f"p{n}", "20240320-20240320", "a.json.gz", _rows(0, 2))
+        _run(spark, landing, tables, os.path.join(tmpdir_path, f"ckpt{n}"))
+    assert {r[0] for r in _table(spark, tables)} == {"p1", "p2"} and len(_table(spark, tables)) == 4
+
+
+def test_unreadable_files_are_recorded(spark, tmpdir_path):
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    _report(landing, "p1", "20240320-20240320", "good.json.gz", _rows(0, 2))
+    d = os.path.join(landing, "reports", "SP", "campaign", "US", "7", "p1", "20240320-20240320")
+    with open(os.path.join(d, "cut.json"), "w") as f:
+        f.write(json.dumps(_rows(5, 9))[:-20])
+    with open(os.path.join(d, "plain.json"), "w") as f:
+        f.write("service unavailable")
+    with gzip.open(os.path.join(d, "x.csv.gz"), "wt") as f:
+        f.write("date,campaignId\n2024-03-20,1\n")
+    with open(os.path.join(d, "none.json"), "w") as f:
+        f.write("[]")
+    with open(os.path.join(landing, "short.json"), "w") as f:
+        f.write("[]")
+    _run(spark, landing, tables, ckpt)
+    rejects = {os.path.basename(r["_file"]): r["status"] for r in spark.read.parquet(os.path.join(tables, "_rejects")).collect()}
+    assert rejects == {"cut.json": "UNREADABLE", "plain.json": "UNREADABLE", "x.csv.gz": "UNREADABLE", "none.json": "EMPTY",
+                       "short.json": "UNKNOWN_TABLE"}
+    assert len(_table(spark, tables)) == 2
+
+
+def test_csv_quotes_breaks_and_blank_in_path(spark, tmpdir_path):
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    d = os.path.join(landing, "reports", "SP", "campaign", "US", "7", "prof one", "20240320-20240320")
+    os.makedirs(d)
+    with open(os.path.join(d, "a b.csv"), "w") as f:
+        f.write('date,campaignId,cost,campaignName\n2024-03-20,1,2.5,"say ""hi"", you"\n2024-03-20,2,3.5,"two\nlines"\n')
+    _run(spark, landing, tables, ckpt)
+    got = sorted((r["campaignId"], r["campaignName"], r["profileId"]) for r in spark.read.parquet(table_path(tables, SPEC)).collect())
+    assert got == [(1, 'say "hi", you', "prof one"), (2, "two\nlines", "prof one")]
+
+
+def test_rows_without_snapshot_key_are_kept(spark):
+    from adspark.plans.ingest import latest_file_rows
+    rows = spark.createDataFrame([(None, 1, 10, "f1"), (None, 2, 20, "f2"), ("p", 3, 10, "f1"), ("p", 4, 20, "f2")],
+                                 "profileId string, adGroupId bigint, _mtime bigint, _file string")
+    for k in ENTITY.merge_columns:
+        if k not in rows.columns:
+            rows = rows.withColumn(k, F.lit("x"))
+    out = latest_file_rows(rows, ENTITY)
+    assert sorted(r["adGroupId"] for r in out.collect()) == [2, 4]

@@ -165,6 +165,10 @@ def test_skus_to_delete_guard(spark):
         lazy.collect()
 
 
+BATCHES = ("batch_id string, seller_id string, total_messages bigint, status string, failed_message string, "
+           "successful_messages bigint, started_at timestamp, ended_at timestamp")
+
+
 def _sync_inputs(spark):
     cols = ("seller_id string, sku string, title string, brand string, cost string, fulfillment_cost string, "
             "requested_margin string, retail_price string, map_price string, quantity string, uom string, "
@@ -193,21 +197,24 @@ def test_plan_and_apply_feed(spark):
                      max_delete_share=None)
     priced = {(r["seller_id"], r["sku"]): r["price_to_push"] for r in plan.priced.collect()}
     # s1/A: override title and MAP 50 > target 10/(1-0.15-0.2)=15.3846 -> 50; s1/B blocked by MPN false;
-    # s1/C push No; s2/A cost 0 -> no price (rejected); s2/D identifier NOTAVAILABLE.
+    # s1/C push No; s2/A cost 0 -> no price (rejected, still offered); s2/D identifier NOTAVAILABLE,
+    # so its live listing is deleted.
     assert priced == {("s1", "A"): 50.0}
     assert plan.rejected.count() == 1
     staged = {(r["seller_id"], r["sku"]): (r["status"], r["kind"]) for r in plan.staged.collect()}
-    assert staged == {("s1", "A"): ("processing", "UPDATE"), ("s1", "X"): ("pending_delete", "DELETE")}
+    assert staged == {("s1", "A"): ("processing", "UPDATE"), ("s1", "X"): ("pending_delete", "DELETE"),
+                      ("s2", "D"): ("pending_delete", "DELETE")}
     msgs = {(r["seller_id"], r["sku"]): (r["message_id"], json.loads(r["message_json"])) for r in plan.messages.collect()}
     assert msgs[("s1", "A")][0] == 1 and msgs[("s1", "X")][0] == 2
     upd = msgs[("s1", "A")][1]
     assert upd["operationType"] == "UPDATE" and upd["attributes"]["merchant_suggested_asin"] == [{"value": "B000000001"}]
     assert upd["attributes"]["fulfillment_availability"][0]["quantity"] == 5
-    docs = plan.documents.collect()
+    docs = plan.documents.filter("seller_id = 's1'").collect()
+    assert plan.documents.count() == 2
     assert len(docs) == 1 and [m["messageId"] for m in json.loads(docs[0]["document"])["messages"]] == [1, 2]
     hist0 = spark.createDataFrame([], plan.staged.drop("kind").schema)
     hist1 = fold_staged(hist0, plan.staged)
-    assert hist1.count() == 2
+    assert hist1.count() == 3
     raw = spark.createDataFrame([("s1", "B1", "f1", _issue_doc([{"messageId": 1, "severity": "ERROR", "message": "bad"}],
                                                                 messagesProcessed=2, messagesAccepted=1, messagesInvalid=1))],
                                 "seller_id string, batch_id string, feed_id string, value string")
@@ -216,7 +223,7 @@ def test_plan_and_apply_feed(spark):
                                     "failed_message string, successful_messages bigint, started_at timestamp, ended_at timestamp")
     h2, b2, err = apply_feed(hist1, batches, raw, plan.messages, batch_id="B1", now=_now())
     st = {r["sku"]: (r["status"], r["error_description"]) for r in h2.collect()}
-    assert st == {"A": ("failed", "Unknown attribute: bad"), "X": ("processed", None)}
+    assert st == {"A": ("failed", "Unknown attribute: bad"), "X": ("processed", None), "D": ("processed", None)}
     b = b2.first()
     assert (b["total_messages"], b["failed_message"], b["status"]) == (2, "1", "completed_with_errors")
     assert err.count() == 0
@@ -274,18 +281,18 @@ def test_run_plan_and_apply_jobs(spark, tmpdir_path):
     plan = run_plan_feed(products, ids, ov, None, None, live, history_path=os.path.join(root, "hist"),
                          history_schema=hschema, feed_path=os.path.join(root, "feed"),
                          staging_root=os.path.join(root, "stg"), batch_id="B1", now=_now(), seed="x",
-                         keep_share=0.0, max_delete_share=None)
-    docs = spark.read.text(os.path.join(root, "feed")).collect()
-    assert len(docs) == 1  # only s1 has messages (s2: one product unpriced, one without identifier)
+                         keep_share=0.0, max_delete_share=None, batches_path=os.path.join(root, "batches"),
+                         batches_schema=_parse_datatype_string(BATCHES))
+    docs = spark.read.text(os.path.join(root, "feed", "batch_id=B1")).collect()
+    assert len(docs) == 2  # s1: update and delete; s2: only a delete (one product unpriced, one without identifier)
     stored = {(r["seller_id"], r["sku"]): r["status"] for r in load_history(spark, os.path.join(root, "hist"), hschema).collect()}
-    assert stored[("s1", "A")] == "processing" and stored[("s1", "X")] == "pending_delete"
+    assert stored == {("s1", "A"): "processing"}  # sent deletes leave the history
     res_dir = os.path.join(root, "results", "seller_id=s1")
     os.makedirs(res_dir)
     with open(os.path.join(res_dir, "r1.json"), "w") as f:
         f.write(_issue_doc([{"messageId": 1, "severity": "ERROR", "attributeName": "price", "message": "low"}],
                            messagesProcessed=2, messagesAccepted=1, messagesInvalid=1))
-    bschema = _parse_datatype_string("batch_id string, seller_id string, total_messages bigint, status string, "
-                                     "failed_message string, successful_messages bigint, started_at timestamp, ended_at timestamp")
+    bschema = _parse_datatype_string(BATCHES)
     errors = run_apply_feed(spark, os.path.join(root, "results"), plan.messages, history_path=os.path.join(root, "hist"),
                             history_schema=hschema, batches_path=os.path.join(root, "batches"), batches_schema=bschema,
                             staging_root=os.path.join(root, "stg"), batch_id="B1", now=_now())
@@ -293,8 +300,9 @@ def test_run_plan_and_apply_jobs(spark, tmpdir_path):
     after = {(r["seller_id"], r["sku"]): (r["status"], r["error_description"])
              for r in load_history(spark, os.path.join(root, "hist"), hschema).collect()}
     assert after[("s1", "A")] == ("failed", "price: low")
-    assert after[("s1", "X")] == ("processed", None)
-    assert set(after) == {("s1", "A"), ("s1", "X")}
+    assert set(after) == {("s1", "A")}
+    rows = {r["seller_id"]: (r["status"], r["total_messages"]) for r in load_history(spark, os.path.join(root, "batches"), bschema).collect()}
+    assert rows == {"s1": ("completed_with_errors", 2), "s2": ("processing", None)}
 
 
 def test_message_ids_null_group(spark):
@@ -302,3 +310,63 @@ def test_message_ids_null_group(spark):
                                "seller_id string, sku string, kind string")
     got = sorted((r["seller_id"] or "", r["sku"], r["message_id"]) for r in K.message_ids(df, num_partitions=3).collect())
     assert got == [("", "a", 1), ("", "b", 2), ("s", "c", 1)]
+
+
+def test_batch_totals_per_seller(spark):
+    batches = spark.createDataFrame([("B1", "s1", None, "processing", None, None, None, None),
+                                     ("B1", "s2", None, "processing", None, None, None, None),
+                                     ("B1", "s3", None, "processing", None, None, None, None)], BATCHES)
+    totals = spark.createDataFrame([("s1", "B1", 3, 3, 0, "completed"), ("s2", "B1", 5, 1, 4, "completed_with_errors")],
+                                   "seller_id string, batch_id string, total_messages bigint, successful_messages bigint, "
+                                   "failed_messages bigint, status string")
+    out = FD.batch_totals(batches, totals, now=_now())
+    assert out.columns == batches.columns
+    assert {r["seller_id"]: (r["total_messages"], r["failed_message"], r["status"]) for r in out.collect()} == {
+        "s1": (3, "0", "completed"), "s2": (5, "4", "completed_with_errors"), "s3": (None, None, "processing")}
+
+
+def test_duplicate_skus_are_not_sent(spark):
+    products, ids, ov, history, live = _sync_inputs(spark)
+    two = ids.unionByName(spark.createDataFrame([("A", "B000000009", "0.15", "true", "4")], ids.schema))
+    plan = plan_feed(products, two, ov, None, None, history, live, batch_id="B1", now=_now(), seed="x", max_delete_share=None)
+    assert plan.duplicates.count() == 2 and plan.messages.filter("sku = 'A'").count() == 0
+    same = plan_feed(products, ids.unionByName(ids), ov, None, None, history, live, batch_id="B1", now=_now(), seed="x",
+                     max_delete_share=None)
+    assert same.duplicates.count() == 0 and same.messages.filter("sku = 'A'").count() == 1
+
+
+def test_retain_offered_only_for_sellers_of_the_run(spark):
+    from adspark.plans.sync import retain_offered
+    hist = spark.createDataFrame([("s1", "a"), ("s1", "old"), ("s2", "b")], "seller_id string, sku string")
+    cur = spark.createDataFrame([("s1", "a"), ("s1", "a")], "seller_id string, sku string")
+    assert sorted(map(tuple, retain_offered(hist, cur).collect())) == [("s1", "a"), ("s2", "b")]
+
+
+def test_emptied_bucket_and_bucket_count(spark, tmpdir_path):
+    import os
+    from adspark.plans.sync import load_history, store_history
+    path, staging = os.path.join(tmpdir_path, "h"), os.path.join(tmpdir_path, "s")
+    hist = spark.createDataFrame([("s1", "a"), ("s2", "b"), ("s5", "c")], "seller_id string, sku string")
+    store_history(hist, path, staging_root=staging, buckets=256)
+    left = load_history(spark, path, hist.schema).filter("seller_id <> 's1'")
+    store_history(left, path, staging_root=staging, buckets=256, touched_sellers=spark.createDataFrame([("s1",)], "seller_id string"))
+    assert sorted(map(tuple, load_history(spark, path, hist.schema).collect())) == [("s2", "b"), ("s5", "c")]
+    assert not os.path.exists(staging) or not os.listdir(staging)
+    with pytest.raises(ValueError):
+        store_history(left, path, staging_root=staging, buckets=8)
+
+
+def test_eligible_sellers_blank_partner_and_unknown_standing(spark):
+    users = spark.createDataFrame([(1, False), (2, False), (3, None), (4, True)], "id int, is_superuser boolean")
+    oauth = spark.createDataFrame([(i, "a", "r") for i in (1, 2, 3, 4)], "user_id int, access_token string, refresh_token string")
+    channels = spark.createDataFrame([(1, "P"), (2, " "), (3, "P"), (4, "P")], "user_id int, selling_partner_id string")
+    ok, bad = J.eligible_sellers(users, oauth, channels)
+    assert [r["id"] for r in ok.collect()] == [1] and [r["id"] for r in bad.collect()] == [2]
+
+
+def test_update_message_needs_list_price(spark):
+    df = spark.createDataFrame([("A", "t", "B000000001", "3", "10", 1, "12.5"), ("B", "t", "B000000002", "3", "10", 2, None)],
+                               "sku string, title string, asin string, quantity string, price_to_push string, message_id int, list_price string")
+    out, rejects = FD.update_messages(df)
+    assert [r["sku"] for r in out.collect()] == ["A"]
+    assert [(r["sku"], r["reject_reason"]) for r in rejects.collect()] == [("B", "no_list_price")]

@@ -1,8 +1,7 @@
 """Equi-joins of the catalog sync and key lookups (I-07), set ops (S-*).
 
 All joins are equality joins (inner / left / semi / anti). Spark chooses broadcast-hash or
-sort-merge from sizes (and AQE re-plans at runtime); small rule tables are broadcast only behind a
-bounded size check.
+sort-merge from sizes (and AQE re-plans at runtime).
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adspark.functions.text import is_missing, normalize_text_key
-from adspark.plans.sizing import broadcast_if_small
 
 
 def _on(on):
@@ -49,8 +47,8 @@ def join_new_columns(left: DataFrame, right: DataFrame, on) -> DataFrame:
 def join_brand_rules(products: DataFrame, rules: DataFrame | None, *, brand: str = "brand",
                      rule_brand: str = "brand_name", prefix: str = "brand_rules_", on=()) -> DataFrame:
     """J-03: LEFT JOIN the brand rules on the normalised brand (lower + trim) and the extra keys
-    ``on`` (e.g. the seller). Rule columns come back prefixed. The rule table is optional; it is
-    broadcast only when a bounded count proves it small."""
+    ``on`` (e.g. the seller). Rule columns come back prefixed. The rule table is optional; Spark
+    broadcasts it where its size allows."""
     if rules is None:
         return products
     on = [on] if isinstance(on, str) else list(on)
@@ -58,7 +56,7 @@ def join_brand_rules(products: DataFrame, rules: DataFrame | None, *, brand: str
     renamed = r.select(*[F.col(_q(c)).alias(c if c in on else prefix + c) for c in r.columns]) \
         .withColumn("_brand_key", normalize_text_key(F.col(_q(prefix + rule_brand))))
     return products.withColumn("_brand_key", normalize_text_key(F.col(_q(brand)))) \
-        .join(broadcast_if_small(renamed), on + ["_brand_key"], "left").drop("_brand_key")
+        .join(renamed, on + ["_brand_key"], "left").drop("_brand_key")
 
 
 def join_override_price(products: DataFrame, overrides: DataFrame, *, on="sku",

@@ -129,11 +129,11 @@ def q_delete_insert(spark, sf):
 
 @query("append_rows", """
 SELECT * FROM customer WHERE c_acctbal >= 0
-UNION ALL SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT * FROM customer WHERE c_acctbal < 0 OR c_mktsegment = 'BUILDING'
 """)
 def q_append_rows(spark, sf):
     c = _t(spark, sf, "customer")
-    return L.append_rows(c.filter("c_acctbal >= 0"), c.filter("c_mktsegment = 'BUILDING'"))
+    return L.append_rows(c.filter("c_acctbal >= 0"), c.filter("c_acctbal < 0 OR c_mktsegment = 'BUILDING'"))
 
 
 @query("append_evolving", """
@@ -720,11 +720,11 @@ def q_issues_to_messages(spark, sf):
 
 @query("union_changes", """
 SELECT * FROM orders WHERE o_orderstatus = 'F'
-UNION ALL BY NAME SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'P'
+UNION ALL BY NAME SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus <> 'F'
 """)
 def q_union_changes(spark, sf):
     o = _t(spark, sf, "orders")
-    return J.union_changes(o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'P'").drop("o_orderpriority"))
+    return J.union_changes(o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus <> 'F'").drop("o_orderpriority"))
 
 
 @query("sku_difference", """
@@ -1138,10 +1138,10 @@ def q_chunk_messages(spark, sf):
 
 @query("delete_messages", """
 SELECT o_orderkey AS messageId, CAST(o_orderkey AS VARCHAR) AS sku, 'DELETE' AS operationType
-FROM orders WHERE o_orderstatus = 'P'
+FROM orders
 """)
 def q_delete_messages(spark, sf):
-    o = _t(spark, sf, "orders").filter("o_orderstatus = 'P'")
+    o = _t(spark, sf, "orders")
     df = o.select(F.col("o_orderkey").alias("message_id"), F.col("o_orderkey").cast("string").alias("sku"))
     return FD.delete_messages(df).select("message.*")
 

@@ -81,6 +81,48 @@ def merge_upsert(target: DataFrame, stage: DataFrame, keys, *, conflict: str = "
     return kept.unionByName(stage)
 
 
+def merge_upsert_subset(target: DataFrame, stage: DataFrame, keys, *, present: str = "_present",
+                        order_by: str = "_order") -> DataFrame:
+    """L-01 for deliveries that hold some of the columns: each stage row names its columns in the
+    array ``present``. Of an existing key only these are replaced; a new key takes the whole stage
+    row (the type defaults where a column is absent). Several rows of a key count in the order of
+    ``order_by``, so the newest row that holds a column decides it. NULL keys never match (they
+    insert; exact duplicates once).
+
+    Stage rows are first reduced per key and column set (partial aggregation before the shuffle), so
+    what is collected per key is one row per distinct column set. One full outer join reads each side
+    once.
+    """
+    keys = _on(keys)
+    others = [c for c in target.columns if c not in keys]
+    values = F.struct(*[_q(c) for c in others])
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(_q(k)).isNull()
+    lone = F.when(no_key, F.md5(F.to_json(F.struct(*[_q(c) for c in target.columns])).cast("binary")))
+    group = [F.col(_q(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    rows = stage.select(*group, lone.alias("_lone"), F.sort_array(_q(present)).alias("_has"), F.struct(F.col(_q(order_by)).alias("at"), values.alias("v")).alias("_row"))
+    names = [f"_k{i}" for i in range(len(keys))] + ["_lone"]
+    latest = rows.groupBy(*names, "_has").agg(F.max("_row").alias("_row"))
+    versions = latest.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_row", "_has")), asc=False).alias("_versions"))
+
+    def newest(c):
+        held = F.get(F.filter("_versions", lambda v: F.array_contains(v["_has"], c)), F.lit(0))
+        return F.struct(held["_row"]["v"][c].alias("x"), held.isNotNull().alias("held"))
+
+    picked = versions.select(*names, F.get("_versions", F.lit(0))["_row"]["v"].alias("_first"),
+                             *[newest(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    old = target.select(F.struct(*[_q(c) for c in target.columns]).alias("_old"))
+    same = F.col("_lone").isNull()
+    for i, k in enumerate(keys):
+        same = same & (F.col("_old")[k] == F.col(f"_k{i}"))
+    both = old.join(picked, same, "full_outer")
+    out = {k: F.coalesce(F.col("_old")[k], F.col(f"_k{i}")) for i, k in enumerate(keys)}
+    for i, c in enumerate(others):
+        out[c] = F.when(F.col(f"_c{i}.held"), F.col(f"_c{i}.x")).when(F.col("_old").isNull(), F.col("_first")[c]).otherwise(F.col("_old")[c])
+    return both.select(*[out[c].alias(c) for c in target.columns])
+
+
 def delete_insert(target: DataFrame, stage: DataFrame, keys) -> DataFrame:
     """L-02: delete target rows sharing the key with any staged row, insert all staged rows (no
     de-duplication)."""

@@ -22,17 +22,37 @@ from adspark.sources.paths import path_metadata
 from adspark.specs import TableSpec
 
 
-def parse_files(files: DataFrame, spec: TableSpec) -> DataFrame:
+# Columns of the stage that name the fields a delivery holds, and the order of deliveries.
+PRESENT, ORDER = "_present", "_order"
+
+
+def parse_files(files: DataFrame, spec: TableSpec, *, presence: bool = False) -> DataFrame:
     """Whole-file rows (``_file``, ``_mtime``, ``value``) to one row per array element, every
-    configured field as text."""
+    configured field as text. With ``presence`` the column ``_present`` lists the fields that any
+    object of the file names (a field that is null throughout is there, an absent one is not)."""
     schema = spec_input_schema(spec)
-    return files.select("_file", "_mtime", F.inline(F.from_json(F.col("value"), ArrayType(schema))))
+    carried = ["_file", "_mtime"]
+    if presence:
+        names = F.transform(F.from_json(F.col("value"), "array<map<string,string>>"), lambda m: F.map_keys(m))
+        files = files.withColumn(PRESENT, F.array_distinct(F.flatten(F.filter(names, lambda n: n.isNotNull()))))
+        carried.append(PRESENT)
+    return files.select(*carried, F.inline(F.from_json(F.col("value"), ArrayType(schema))))
 
 
-def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
+def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False) -> DataFrame:
     """Parsed rows (with ``_file``) of one table to typed columns plus ``_file`` / ``_mtime``: path
-    metadata, entity flattening, stamping, unknown columns dropped, cast with type defaults."""
+    metadata, entity flattening, stamping, unknown columns dropped, cast with type defaults (also for
+    columns that the rows lack). With ``presence`` also ``_present``, the columns of the delivery: those
+    of ``rows`` unless it has its own list, and those that are stamped on every row."""
     kind = "report" if spec.table_type == "report" else "entity"
+    carried = ["_file", "_mtime"]
+    if presence:
+        given = F.col(PRESENT) if PRESENT in rows.columns else F.array(*map(F.lit, rows.columns))
+        stamped = ["last_updated", *spec.merge_columns]
+        rows = rows.withColumn(PRESENT, F.array_union(given, F.array(*map(F.lit, stamped))))
+        carried.append(PRESENT)
+    absent = [c for c in spec.column_names if c not in rows.columns]
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in absent}) if kind == "report" and absent else rows
     rows = path_metadata(rows, kind=kind)
     if kind == "entity":
         if spec.name == "portfolio":
@@ -49,12 +69,17 @@ def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
     rows = N.stringify_nested(rows, spec)
     rows, _ = N.drop_unknown_columns(rows, spec)
     typed, _ = N.cast_to_schema(rows, spec, add_missing=True)
-    return typed.select(*spec.column_names, "_file", "_mtime")
+    return typed.select(*spec.column_names, *carried)
 
 
-def clean_files(files: DataFrame, spec: TableSpec, *, now: Column) -> DataFrame:
+def clean_files(files: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False) -> DataFrame:
     """``parse_files`` then ``clean_rows``: one lazy plan per table."""
-    return clean_rows(parse_files(files, spec), spec, now=now)
+    return clean_rows(parse_files(files, spec, presence=presence), spec, now=now, presence=presence)
+
+
+def wants_presence(spec: TableSpec) -> bool:
+    """Upserted tables: a delivery replaces only the columns it holds."""
+    return spec.load_method == "merge"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -122,8 +147,13 @@ def read_table(spark: SparkSession, tables_root: str, spec: TableSpec) -> DataFr
 def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables_root: str,
                staging_root: str, batch_id: str | None = None, buckets: int = ENTITY_BUCKETS) -> None:
     """Apply the table's load method and publish only the touched partitions (dates for reports,
-    key buckets for entity snapshots) by dynamic partition overwrite."""
-    stage = latest_file_rows(stage, spec).drop("_file", "_mtime")
+    key buckets for entity snapshots) by dynamic partition overwrite. A stage with ``_present`` is
+    upserted column by column (``merge_upsert_subset``)."""
+    subset = PRESENT in stage.columns and spec.load_method == "merge"
+    if subset:
+        stage = stage.withColumn(ORDER, F.struct("_mtime", "_file")).drop("_file", "_mtime")
+    else:
+        stage = latest_file_rows(stage, spec).drop("_file", "_mtime")
     path = table_path(tables_root, spec)
     keys = list(spec.merge_columns)
     part, bucket = _partition_layout(spec, buckets)
@@ -137,8 +167,10 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
         touched = _touched(spark.read.schema(schema).parquet(path), stage, part)
     else:
         touched = spark.createDataFrame([], schema)
-    stage = stage.select(*touched.columns)
-    if spec.load_method == "merge":
+    stage = stage.select(*touched.columns, *([PRESENT, ORDER] if subset else []))
+    if subset:
+        new = L.merge_upsert_subset(touched, stage, keys, present=PRESENT, order_by=ORDER)
+    elif spec.load_method == "merge":
         new = L.merge_upsert(touched, stage, keys, conflict="none")
     elif spec.load_method == "delete_insert":
         new = L.delete_insert(touched, stage, keys)

@@ -113,6 +113,27 @@ def q_merge_upsert(spark, sf):
     return L.merge_upsert(target, stage, ["o_orderkey"])
 
 
+@query("merge_upsert_subset", """
+WITH s AS (SELECT *, o_orderpriority IN ('1-URGENT', '2-HIGH') AS priced FROM orders WHERE o_orderstatus <> 'P')
+SELECT t.o_orderkey, t.o_custkey, CASE WHEN s.o_orderkey IS NULL OR s.priced THEN t.o_orderstatus ELSE 'X' END AS o_orderstatus,
+  CASE WHEN s.priced THEN t.o_totalprice + 1 ELSE t.o_totalprice END AS o_totalprice, t.o_orderdate, t.o_orderpriority
+FROM orders t LEFT JOIN s ON s.o_orderkey = t.o_orderkey
+WHERE t.o_orderpriority <> '5-LOW'
+UNION ALL
+SELECT o_orderkey, o_custkey, 'X', 0, o_orderdate, o_orderpriority FROM s WHERE o_orderpriority = '5-LOW'
+""")
+def q_merge_upsert_subset(spark, sf):
+    """Orders that are not pending are delivered again, some with a new price only, some with a new
+    status only; those of low priority are new."""
+    o = _t(spark, sf, "orders")
+    target = o.filter("o_orderpriority <> '5-LOW'")
+    again = o.filter("o_orderstatus <> 'P'").withColumn("_order", F.col("o_orderdate"))
+    priced = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    prices = again.filter(priced).withColumns({"o_totalprice": F.col("o_totalprice") + 1, "o_orderstatus": F.lit(""), "_present": F.array(F.lit("o_orderkey"), F.lit("o_totalprice"))})
+    states = again.filter(~priced).withColumns({"o_totalprice": F.lit(0).cast(o.schema["o_totalprice"].dataType), "o_orderstatus": F.lit("X"), "_present": F.array(F.lit("o_orderkey"), F.lit("o_orderstatus"))})
+    return L.merge_upsert_subset(target, prices.unionByName(states), ["o_orderkey"])
+
+
 @query("delete_insert", """
 WITH s AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
            FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01')

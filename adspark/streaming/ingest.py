@@ -20,7 +20,7 @@ from adspark.functions.text import decode_with_fallback
 from adspark.operators import load as L
 from adspark.operators import normalize as N
 from adspark.operators.aggregates import row_count
-from adspark.plans.ingest import clean_files, clean_rows, load_stage
+from adspark.plans.ingest import clean_files, clean_rows, load_stage, wants_presence
 from adspark.session import scratch_dir
 from adspark.sources.files import csv_reader, file_format_gate, header_gate
 from adspark.sources.paths import path_metadata, source_path
@@ -102,7 +102,7 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
                 continue
             part = good.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
             stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", "value"),
-                                spec, now=now)
+                                spec, now=now, presence=wants_presence(spec))
             # CSV files of this table, grouped by header (bounded by the files of one micro-batch).
             csv = part.filter(F.col("extension") == ".csv")
             csv = csv.select("_file", F.substring_index(F.col("value"), "\n", 1).alias("_header"))
@@ -110,7 +110,7 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
             for r in csv.collect():
                 groups.setdefault(r["_header"], []).append(r["_file"])
             for paths in groups.values():
-                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths), spec, now=now))
+                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths), spec, now=now, presence=wants_presence(spec)))
             stage = stage.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,

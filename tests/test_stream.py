@@ -206,3 +206,36 @@ def test_rows_without_snapshot_key_are_kept(spark):
             rows = rows.withColumn(k, F.lit("x"))
     out = latest_file_rows(rows, ENTITY)
     assert sorted(r["adGroupId"] for r in out.collect()) == [2, 4]
+
+
+def test_delivery_replaces_only_its_columns(spark, tmpdir_path):
+    """A file without a column leaves it as it was; JSON and CSV alike, absent keys included."""
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+
+    def rows():
+        return sorted((r["campaignId"], r["cost"], r["clicks"], r["campaignName"]) for r in spark.read.parquet(table_path(tables, SPEC)).collect())
+
+    base = {"date": "2024-03-20", "cost": 1.0, "clicks": 7, "campaignName": "n"}
+    _report(landing, "p1", "20240320-20240320", "a.json.gz", [base | {"campaignId": 1}, base | {"campaignId": 2}])
+    _run(spark, landing, tables, ckpt)
+    _report(landing, "p1", "20240320-20240320", "b.json.gz",
+            [{"date": "2024-03-20", "cost": 2.0, "campaignId": 1, "campaignName": None}, {"date": "2024-03-20", "cost": 3.0, "campaignId": 3}])
+    _run(spark, landing, tables, ckpt)
+    assert rows() == [(1, 2.0, 7, ""), (2, 1.0, 7, "n"), (3, 3.0, 0, "")]
+    folder = os.path.join(landing, "reports", "SP", "campaign", "US", "7", "p1", "20240320-20240320")
+    for name in ("c.csv", "d.csv"):  # the same delivery twice, without campaignName and with an absent key
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("date,clicks\n2024-03-20,5\n")
+        _run(spark, landing, tables, ckpt)
+    assert rows() == [(0, 0.0, 5, ""), (1, 2.0, 7, ""), (2, 1.0, 7, "n"), (3, 3.0, 0, "")]
+
+
+def test_newest_file_decides_per_column(spark):
+    from adspark.operators.load import merge_upsert_subset
+    old = spark.createDataFrame([(1, 1, 1), (None, 9, 9)], "k int, a int, b int")
+    stage = spark.createDataFrame([(1, 5, 0, ["k", "a"], 1), (1, 0, 6, ["k", "b"], 2), (1, 7, 0, ["k", "a"], 0), (2, 4, 0, ["k", "a"], 1),
+                                   (None, 8, 8, ["k", "a", "b"], 1), (None, 8, 8, ["k", "a", "b"], 1), (None, 7, 8, ["k", "a", "b"], 1)],
+                                  "k int, a int, b int, _present array<string>, _order int")
+    got = sorted((r["k"] or 0, r["a"], r["b"]) for r in merge_upsert_subset(old, stage, ["k"]).collect())
+    assert got == [(0, 7, 8), (0, 8, 8), (0, 9, 9), (1, 5, 6), (2, 4, 0)]

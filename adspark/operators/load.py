@@ -47,27 +47,30 @@ def dedupe_stage(stage: DataFrame, keys, *, conflict: str = "raise", order_by: s
         return stage.dropDuplicates()
     if not others:
         return stage.dropDuplicates()
-    # A NULL key never equals anything (it inserts), so such rows skip the per-key check.
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(_q(k)).isNull()
-    with_nulls = stage.filter(null_key).dropDuplicates()
-    stage_keyed = stage.filter(~null_key)
     row = F.struct(*[_q(c) for c in others])
+    # A NULL key never equals anything (it inserts): such a row is a group of its own, by its content.
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = stage.select(*[F.col(_q(k)).alias(n) for k, n in zip(keys, names, strict=True)], _lone_row(stage, keys).alias("_lone"), row.alias("_row"))
+    groups = rows.groupBy(*names, "_lone")
     if conflict == "raise":
-        grouped = stage_keyed.groupBy(*[_q(k) for k in keys]).agg(F.min(row).alias("_lo"), F.max(row).alias("_hi"))
-        checked = F.when(~F.col("_lo").eqNullSafe(F.col("_hi")),
-                         F.raise_error(F.lit(f"stage holds conflicting rows for key {keys}"))).otherwise(F.col("_lo"))
-        out = grouped.select(*[_q(k) for k in keys], checked.alias("_row"))
+        out = groups.agg(F.min("_row").alias("_lo"), F.max("_row").alias("_hi"))
+        out = out.withColumn("_row", F.when(~F.col("_lo").eqNullSafe(F.col("_hi")), F.raise_error(F.lit(f"stage holds conflicting rows for key {keys}"))).otherwise(F.col("_lo")))
     elif conflict == "latest_wins":
         if order_by is None:
             raise ValueError("latest_wins needs order_by")
-        out = stage_keyed.groupBy(*[_q(k) for k in keys]).agg(
-            F.max_by(row, F.struct(_q(order_by), row)).alias("_row"))
+        out = groups.agg(F.max(F.struct(F.col("_row")[order_by].alias("at"), F.col("_row").alias("row"))).alias("_row")).withColumn("_row", F.col("_row")["row"])
     else:
         raise ValueError(f"unknown conflict mode {conflict!r}")
-    deduped = out.select(*[_q(k) for k in keys], "_row.*").select(*[_q(c) for c in stage.columns])
-    return deduped.unionByName(with_nulls)
+    kept = {k: F.col(n) for k, n in zip(keys, names, strict=True)}
+    return out.select(*[kept.get(c, F.col("_row")[c]).alias(c) for c in stage.columns])
+
+
+def _lone_row(stage: DataFrame, keys):
+    """The whole row where a key is NULL, else NULL."""
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(_q(k)).isNull()
+    return F.when(no_key, F.struct(*[_q(c) for c in stage.columns]))
 
 
 def merge_upsert(target: DataFrame, stage: DataFrame, keys, *, conflict: str = "raise",
@@ -96,10 +99,7 @@ def merge_upsert_subset(target: DataFrame, stage: DataFrame, keys, *, present: s
     keys = _on(keys)
     others = [c for c in target.columns if c not in keys]
     values = F.struct(*[_q(c) for c in others])
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(_q(k)).isNull()
-    lone = F.when(no_key, F.md5(F.to_json(F.struct(*[_q(c) for c in target.columns])).cast("binary")))
+    lone = _lone_row(stage.select(*[_q(c) for c in target.columns]), keys)
     group = [F.col(_q(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
     rows = stage.select(*group, lone.alias("_lone"), F.sort_array(_q(present)).alias("_has"), F.struct(F.col(_q(order_by)).alias("at"), values.alias("v")).alias("_row"))
     names = [f"_k{i}" for i in range(len(keys))] + ["_lone"]

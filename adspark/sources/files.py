@@ -79,11 +79,14 @@ def read_csv_report(spark: SparkSession, paths) -> DataFrame:
         .withColumn("_mtime", F.col("_metadata.file_modification_time"))
 
 
-def read_listing_tsv(spark: SparkSession, paths, *, sku: str = "seller-sku", encoding: str = "UTF-8") -> DataFrame:
+def read_listing_tsv(spark: SparkSession, paths, *, sku: str = "seller-sku", encoding: str | None = None) -> DataFrame:
     """I-04: gzip or plain tab-separated listing; NUL bytes dropped, blank SKUs dropped, distinct.
-    ``encoding`` names the file charset (listing reports may come as latin1 / cp1252)."""
-    df = spark.read.option("header", True).option("sep", "\t").option("encoding", encoding).csv(_paths(paths))
-    c = F.translate(F.col(f"`{sku}`"), "\u0000", "")
+    Without ``encoding`` a SKU that is valid UTF-8 is read as such, any other as latin1 (I-02): the
+    file is read byte by byte as latin1, where tabs and line ends are the same, and decoded after
+    parsing, so no second pass over the file is needed."""
+    df = spark.read.option("header", True).option("sep", "\t").option("encoding", encoding or "ISO-8859-1").csv(_paths(paths))
+    c = F.col(f"`{sku}`")
+    c = F.translate(c if encoding else decode_with_fallback(F.encode(c, "ISO-8859-1")), "\u0000", "")
     return df.select(c.alias(sku)).filter(F.col(f"`{sku}`").isNotNull() & (F.trim(F.col(f"`{sku}`")) != "")).distinct()
 
 

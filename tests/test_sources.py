@@ -82,3 +82,12 @@ def test_path_metadata_from_end(spark):
 def test_object_key_decode(spark):
     ev = spark.createDataFrame([("reports%2FSP%2Fa+b.json",)], "key string")
     assert object_key_decode(ev).first()["key"] == "reports/SP/a b.json"
+
+
+def test_listing_encoding_is_found_per_value(spark, tmpdir_path):
+    for name, charset in (("u.tsv", "utf-8"), ("l.tsv", "latin1")):
+        os.makedirs(f"{tmpdir_path}/enc", exist_ok=True)
+        with open(f"{tmpdir_path}/enc/{name}", "wb") as f:
+            f.write(f"seller-sku\tprice\n{name}-é\t1\nplain\t2\n \t3\n".encode(charset))
+    got = sorted(r["seller-sku"] for r in SRC.read_listing_tsv(spark, f"{tmpdir_path}/enc").collect())
+    assert got == ["l.tsv-é", "plain", "u.tsv-é"]

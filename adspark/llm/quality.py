@@ -3,8 +3,8 @@
 Every text is cut into overlapping chunks of bytes that together cover the whole document. In a
 chunk, learned filters slide over embedded bytes; each filter's answers are max-pooled and, after
 the rectifier, averaged, and the chunk features are combined over the document (mean and maximum)
-into one logistic output. Training is plain gradient descent (Adam) on a bounded sample of labelled
-rows; scoring is one pass without a shuffle.
+into one logistic output. Training is plain gradient descent (Adam) on the whole texts of a bounded
+sample of labelled rows; scoring is one pass without a shuffle.
 
 Defined results: null and empty texts are scored as an empty chunk (all padding); a null id counts
 as held out; without labelled rows of both kinds every score is the neutral 0.5 and every document
@@ -29,14 +29,14 @@ WIDTH = 8  # bytes under a filter
 STRIDE = 2
 EMBED = 6
 FILTERS = 32
-#: Expected number of training rows, and of chunks taken from one of them.
+#: Expected number of training rows.
 TRAIN_ROWS = 3000
-TRAIN_CHUNKS = 6
 EPOCHS = 14
 THRESHOLD = 0.3
 _PAD = 256  # id of the padding byte
-#: Chunks of one numpy step.
+#: Chunks of one numpy step of scoring and of fitting.
 BLOCK = 1024
+FIT_BLOCK = 512
 
 
 @dataclass
@@ -99,8 +99,60 @@ def score(net: Network | None, raw: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return 1.0 / (1.0 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def _fit(chunks: np.ndarray, owner: np.ndarray, label: np.ndarray, seed: int = 5) -> Network:
-    """Adam on the logistic loss. chunks: (n, CHUNK) ids, owner: document of each chunk (sorted)."""
+def _rectified(w: dict, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Patches as rows, and the rectified filter answers (chunks, positions, FILTERS)."""
+    net = Network(w["embed"], w["conv"], w["bias"], w["out"], 0.0)
+    p = np.ascontiguousarray(_patches(net, ids)).reshape(-1, WIDTH * EMBED)
+    z = p @ w["conv"] + w["bias"]
+    np.maximum(z, 0, out=z)
+    return p, z.reshape(len(ids), -1, FILTERS)
+
+
+def _gradient(w: dict, raw: np.ndarray, start: np.ndarray, end: np.ndarray, size: np.ndarray, label: np.ndarray, weight: np.ndarray, block: int) -> dict[str, np.ndarray]:
+    """Gradient of a batch of documents with ``size`` chunks each, all of them, in blocks of chunks:
+    the features are folded over the blocks, then each block's share is added."""
+    n = int(size.sum())
+    at = np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(size)), size)
+    blocks = range(0, n, block)
+    f, top = np.empty((n, 2 * FILTERS), np.float32), np.empty((n, FILTERS), np.int64)
+    for a in blocks:
+        ids = _chunk_bytes(raw, start[a:a + block], end[a:a + block])
+        p, r = _rectified(w, ids)
+        t = top[a:a + block] = r.argmax(1)
+        f[a:a + block, :FILTERS] = np.take_along_axis(r, t[:, None], 1)[:, 0]
+        f[a:a + block, FILTERS:] = r.mean(1)
+    mean, most = np.add.reduceat(f, at) / size[:, None], np.maximum.reduceat(f, at)
+    both = np.concatenate((mean, most), 1)
+    logit = both @ w["out"] + w["out_bias"]
+    g = (1 / (1 + np.exp(-logit)) - label) * weight / len(size)
+    grad = {"out": both.T @ g, "out_bias": g.sum(keepdims=True), "conv": np.zeros_like(w["conv"], np.float64), "bias": np.zeros(FILTERS), "embed": np.zeros((257, EMBED))}
+    dd = g[:, None] * w["out"]
+    share = (f == most[doc]).astype(float)  # chunks overlap, so a maximum often lies in two of them
+    share /= np.add.reduceat(share, at)[doc]
+    df = dd[doc, :2 * FILTERS] / size[doc][:, None] + dd[doc, 2 * FILTERS:] * share
+    for a in blocks:
+        if len(blocks) > 1:  # a single block is still at hand
+            ids = _chunk_bytes(raw, start[a:a + block], end[a:a + block])
+            p, r = _rectified(w, ids)
+        d = df[a:a + block]
+        dz = np.broadcast_to(d[:, None, FILTERS:] / r.shape[1], r.shape).astype(np.float32)
+        dz[np.arange(len(ids))[:, None], top[a:a + block], np.arange(FILTERS)] += d[:, :FILTERS]
+        dz = (dz * (r > 0)).reshape(-1, FILTERS)
+        grad["conv"] += p.T @ dz
+        grad["bias"] += dz.sum(0)
+        dp = (dz @ w["conv"].T).reshape(len(ids), -1, WIDTH, EMBED)
+        de = np.zeros((len(ids), CHUNK, EMBED), np.float32)
+        for j in range(WIDTH):
+            de[:, j:j + STRIDE * dp.shape[1]:STRIDE][:, :dp.shape[1]] += dp[:, :, j]
+        flat = ids.reshape(-1)
+        grad["embed"] += np.stack([np.bincount(flat, de[:, :, e].reshape(-1), 257) for e in range(EMBED)], 1)
+    grad["embed"][_PAD] = 0
+    return grad
+
+
+def _fit(raw: np.ndarray, offsets: np.ndarray, label: np.ndarray, seed: int = 5) -> Network:
+    """Adam on the logistic loss over all chunks of the texts ``raw[offsets[i]:offsets[i + 1]]``."""
     rng = np.random.default_rng(seed)
     f32 = np.float32
     w = {
@@ -109,6 +161,7 @@ def _fit(chunks: np.ndarray, owner: np.ndarray, label: np.ndarray, seed: int = 5
     }
     w["embed"][_PAD] = 0
     m1, m2 = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
+    owner, start, end = _spans(offsets)
     first = np.searchsorted(owner, np.arange(len(label) + 1))
     weight = np.where(label == 1, 0.5 / max((label == 1).mean(), 1e-9), 0.5 / max((label == 0).mean(), 1e-9))
     weight = np.sqrt(weight)  # lean half-way towards balanced classes
@@ -120,35 +173,7 @@ def _fit(chunks: np.ndarray, owner: np.ndarray, label: np.ndarray, seed: int = 5
         for a in range(0, len(order), batch):
             docs = order[a:a + batch]
             rows = np.concatenate([np.arange(first[d], first[d + 1]) for d in docs])
-            size = np.array([first[d + 1] - first[d] for d in docs])
-            at = np.cumsum(size) - size
-            ids = chunks[rows]
-            net = Network(w["embed"], w["conv"], w["bias"], w["out"], float(w["out_bias"][0]))
-            p = np.ascontiguousarray(_patches(net, ids)).reshape(-1, WIDTH * EMBED)
-            z = (p @ w["conv"] + w["bias"]).reshape(len(rows), -1, FILTERS)
-            r = np.maximum(z, 0)
-            top = r.argmax(1)
-            f = np.concatenate((np.take_along_axis(r, top[:, None], 1)[:, 0], r.mean(1)), 1)
-            mean, most = np.add.reduceat(f, at) / size[:, None], np.maximum.reduceat(f, at)
-            logit = np.concatenate((mean, most), 1) @ w["out"] + w["out_bias"]
-            g = (1 / (1 + np.exp(-logit)) - label[docs]) * weight[docs] / len(docs)
-            grad = {"out": np.concatenate((mean, most), 1).T @ g, "out_bias": g.sum(keepdims=True)}
-            dd = g[:, None] * w["out"]
-            doc = np.repeat(np.arange(len(docs)), size)
-            share = f == most[doc]
-            df = dd[doc, :2 * FILTERS] / size[doc][:, None] + dd[doc, 2 * FILTERS:] * share
-            dz = np.broadcast_to(df[:, None, FILTERS:] / z.shape[1], z.shape).astype(f32).copy()
-            i, k = np.arange(len(rows))[:, None], np.arange(FILTERS)
-            dz[i, top, k] += df[:, :FILTERS]
-            dz = (dz * (z > 0)).reshape(-1, FILTERS)
-            grad["conv"], grad["bias"] = p.T @ dz, dz.sum(0)
-            dp = (dz @ w["conv"].T).reshape(len(rows), -1, WIDTH, EMBED)
-            de = np.zeros((len(rows), CHUNK, EMBED), f32)
-            for j in range(WIDTH):
-                de[:, j:j + STRIDE * dp.shape[1]:STRIDE][:, :dp.shape[1]] += dp[:, :, j]
-            flat = ids.reshape(-1)
-            grad["embed"] = np.stack([np.bincount(flat, de[:, :, e].reshape(-1), 257) for e in range(EMBED)], 1)
-            grad["embed"][_PAD] = 0
+            grad = _gradient(w, raw, start[rows], end[rows], first[docs + 1] - first[docs], label[docs], weight[docs], FIT_BLOCK)
             t += 1
             for k, v in grad.items():
                 v = v.astype(f32)
@@ -168,34 +193,15 @@ def draw(labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     return labels.where(unit < F.when(F.col("quality") == 1, share[1]).otherwise(share[0]))
 
 
-def train(sample: DataFrame, chunks_per_row: int = TRAIN_CHUNKS) -> Network | None:
-    """Fit on all rows of ``sample(key, text, quality)``, which must be bounded (see ``draw``); at most
-    ``chunks_per_row`` chunks, evenly spread over the text, stand for one row. The driver holds these
-    chunks. None if a label is missing."""
-
-    def cut(batches):
-        for b in batches:
-            raw, offsets = text_bytes(b.column("text"))
-            doc, start, end = _spans(offsets)
-            n = np.bincount(doc, minlength=b.num_rows)
-            first = np.cumsum(n) - n
-            take = np.concatenate([[], *(f + np.unique(np.linspace(0, k - 1, min(k, chunks_per_row)).round().astype(int)) for f, k in zip(first, n, strict=True))]).astype(int)
-            for a in range(0, len(take), BLOCK):
-                i = take[a:a + BLOCK]
-                ids = _chunk_bytes(raw, start[i], end[i])
-                yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(doc[i])), b.column("quality").take(pa.array(doc[i])),
-                                                  pa.array([x.tobytes() for x in ids], pa.binary())], ["key", "quality", "chunk"])
-
-    rows = sample.select(F.col("key").cast("long"), "text", F.col("quality").cast("int"))
-    got = rows.mapInArrow(cut, "key long, quality int, chunk binary").toPandas()
-    if got.quality.nunique() < 2:
+def train(sample: DataFrame) -> Network | None:
+    """Fit on the whole texts of all rows of ``sample(key, text, quality)``, whose number must be
+    bounded (see ``draw``); the driver holds these texts. None if a label is missing."""
+    rows = sample.select(F.col("key").cast("long"), F.col("quality").cast("int"), F.coalesce("text", F.lit("")).alias("text"))
+    got = rows.toArrow()
+    if len(got["quality"].unique()) < 2:
         return None
-    got = got.sort_values(["key", "quality", "chunk"], kind="stable")  # the same network whatever the task order
-    key = (got.key.astype(str) + "," + got.quality.astype(str)).to_numpy()
-    owner = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
-    label = got.quality.to_numpy()[np.flatnonzero(np.append(True, key[1:] != key[:-1]))].astype(float)
-    chunks = np.frombuffer(b"".join(got.chunk), np.int16).reshape(-1, CHUNK)
-    return _fit(chunks, owner, label)
+    got = got.sort_by([(c, "ascending") for c in got.column_names])  # the same network whatever the task order
+    return _fit(*text_bytes(got["text"]), got["quality"].to_numpy().astype(float))
 
 
 def _scores(net: Network | None, column: pa.Array) -> np.ndarray:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,6 +202,27 @@ def test_quality(spark, docs, empty):
     assert quality.train(spark.createDataFrame(good, "key long, text string, quality int")) is None
 
 
+def test_quality_learns_from_whole_texts(spark):
+    def long(seed, bad):
+        t = text(seed, 4000)[:19_500]  # 51 chunks; the bad passage lies in chunks 4 to 6
+        return t[:2000] + "#!$%&*" * 100 + t[2600:] if bad else t
+
+    net = quality.train(spark.createDataFrame([(i, long(i, i % 2), 1 - i % 2) for i in range(80)], "key long, text string, quality int"))
+    got = quality.predict(spark.createDataFrame([(i, long(1000 + i, i % 2)) for i in range(20)], "doc_id long, text string"), net, 0.5).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
+
+
+def test_quality_gradient_in_blocks():
+    r = np.random.default_rng(3)
+    raw, offsets = common.text_bytes(pa.array([text(1, 900), "", text(2, 20), text(3, 400)]))
+    doc, start, end = quality._spans(offsets)
+    w = {"embed": r.normal(0, 0.5, (257, quality.EMBED)), "conv": r.normal(0, 0.2, (quality.WIDTH * quality.EMBED, quality.FILTERS)), "bias": r.normal(0, 0.1, quality.FILTERS),
+         "out": r.normal(0, 0.1, 4 * quality.FILTERS), "out_bias": np.zeros(1)}
+    w = {k: v.astype(np.float32) for k, v in w.items()}
+    whole, parts = (quality._gradient(w, raw, start, end, np.bincount(doc), np.array([1.0, 0, 1, 0]), np.ones(4), n) for n in (1000, 3))
+    assert all(np.allclose(whole[k], parts[k], rtol=1e-3, atol=1e-6) for k in w)
+
+
 def test_embedding_dedup(spark):
     r = np.random.default_rng(2)
     out = []

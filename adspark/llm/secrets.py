@@ -1,11 +1,14 @@
 """Secret scans by corpus-wide ownership frequency.
 
-Fixed patterns find the base spans of every whole text. Their values, and every other long token
-that could be a credential, become candidates (a 128-bit hash each). Candidates are aggregated over
-the whole corpus by distinct owners and repositories: a value that several owners carry is a widely
-copied example; one that stays with a single owner and looks random is a live-looking credential.
-The method then adds the bare occurrences of live-looking values: tokens outside the base spans
-whose value was caught by a base pattern elsewhere.
+Fixed patterns find the base spans of every whole text. A span's value counts without the separators
+``. = / + -`` at its ends, so that a full stop after it makes no second value. A first pass takes the
+distinct shapes (pieces between separators, length) of the base values from LIVE_MIN characters on;
+a second one looks for their bare copies: every run of pieces of such a shape outside the base spans
+becomes a candidate (a 128-bit hash each), whatever its characters, and the join with the base values
+rejects the others. Candidates are aggregated over the whole corpus by distinct owners and
+repositories: a value that several owners carry is a widely copied example; one that stays with a
+single owner and looks random is a live-looking credential. The method then adds the bare occurrences
+of live-looking values.
 
 ``source`` stands for the owner and, with ``lang``, for the repository (``owner`` and ``repo`` name
 other columns). A null owner is an owner of its own. Null texts are empty; they and texts without
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from math import log2
 
@@ -37,14 +41,16 @@ ASSIGN_MIN = 6
 #: An assignment has one of these in some case; a cheap test before the pattern.
 HINTS = ("passw", "secret", "token", "api_key", "apikey")
 
-#: Tokens that may be a bare copy of a value: long, with a digit and a letter.
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: Tokens that may hold a bare copy of a value, the separators in them and the pieces between.
+SEPARATORS = ".=/+-"
+PIECE = re.compile(r"[A-Za-z0-9_]+", re.ASCII)
 ADDED = "owned"
 #: From this number of distinct owners on, a value is a copied example.
 EXAMPLE_OWNERS = 3
 #: Bits per character from which a value looks random, and its least length.
 LIVE_BITS = 2.5
 LIVE_MIN = 12
+TOKEN = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LIVE_MIN},}}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int, int]]:
@@ -71,10 +77,47 @@ def _digest(value: str) -> bytes:
     return hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
+def normal(value: str) -> str:
+    """The value without separators at its ends; one of separators only stays."""
+    return value.strip(SEPARATORS) or value
+
+
+def _shapes(batches):
+    for b in batches:
+        out = set()
+        for text in b.column("text").to_pylist():
+            for _, _, _, a, e in base_spans(text or ""):
+                value = normal(text[a:e])
+                if len(value) >= LIVE_MIN:
+                    out.add((len(PIECE.findall(value)), len(value)))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int32()) for k in range(2)], ["pieces", "size"])
+
+
+def bare_spans(text: str, base: list[tuple[int, int, int, int, int]], shapes: dict[int, set[int]]):
+    """(start, end) of the runs of pieces in one token that have one of ``shapes`` (lengths by number
+    of pieces) and overlap no base span. The work grows with the pieces times the distinct numbers."""
+    merged: list[list[int]] = []
+    for a, _, e, _, _ in base:
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([a, e])
+    starts = [a for a, _ in merged]
+    for m in TOKEN.finditer(text):
+        pieces = [p.span() for p in PIECE.finditer(text, *m.span())]
+        for n, sizes in shapes.items():
+            for i in range(len(pieces) - n + 1):
+                a, e = pieces[i][0], pieces[i + n - 1][1]
+                if e - a in sizes:
+                    at = bisect_left(starts, e) - 1  # the last base span that starts before the end
+                    if at < 0 or merged[at][1] <= a:
+                        yield a, e
+
+
 _CANDIDATE = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("hash", pa.binary()), ("base", pa.bool_()), ("live", pa.bool_())])
 
 
-def _scan(batches):
+def _scan(batches, shapes):
     for b in batches:
         counts, sha, spans, found = [], [], [], []
         for text in b.column("text").to_pylist():
@@ -87,26 +130,9 @@ def _scan(batches):
             said = ",".join(f"{KINDS[k]}:{a}:{e}" for a, k, e, _, _ in base)
             sha.append(hashlib.sha256(said.encode()).hexdigest())
             spans.append([{"start": a, "kind": k, "text": f"{KINDS[k]}:{a}:{e}"} for a, k, e, _, _ in base])
-            cands = {}
-            for _, _, _, a, e in base:
-                cands[a, e] = True
-            merged: list[list[int]] = []
-            for a, _, e, _, _ in base:
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], e)
-                else:
-                    merged.append([a, e])
-            at = 0
-            for m in TOKEN.finditer(text):
-                a, e = m.span()
-                while at < len(merged) and merged[at][1] <= a:
-                    at += 1
-                if at < len(merged) and merged[at][0] < e:  # overlaps a base span
-                    continue
-                value = m.group()
-                if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
-                    cands[a, e] = False
-            found.append([{"start": a, "end": e, "hash": _digest(text[a:e]), "base": x, "live": looks_live(text[a:e])} for (a, e), x in cands.items()])
+            cands = {(a, e): True for _, _, _, a, e in base} | dict.fromkeys(bare_spans(text, base, shapes), False)
+            values = [normal(text[a:e]) for a, e in cands]
+            found.append([{"start": a, "end": e, "hash": _digest(v), "base": x, "live": looks_live(v)} for ((a, e), x), v in zip(cands.items(), values, strict=True)])
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("owner"), b.column("repo"), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(3)), pa.array(sha, pa.string()),
              pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("text", pa.string())]))), pa.array(found, pa.list_(_CANDIDATE))],
@@ -120,7 +146,10 @@ def scan(docs: DataFrame, owner: Column | None = None, repo: Column | None = Non
     owner = F.col("source") if owner is None else owner
     repo = F.concat_ws("/", owner, F.col("lang")) if repo is None else repo
     rows = docs.select("doc_id", "text", owner.cast("string").alias("owner"), repo.cast("string").alias("repo"))
-    rows = rows.mapInArrow(_scan, "doc_id long, owner string, repo string, n_assign long, n_access long, n_hex long, base_sha256 string, "
+    shapes: dict[int, set[int]] = {}
+    for r in docs.select("text").mapInArrow(_shapes, "pieces int, size int").where("pieces > 0").distinct().collect():  # two small numbers each
+        shapes.setdefault(r.pieces, set()).add(r.size)
+    rows = rows.mapInArrow(lambda batches: _scan(batches, shapes), "doc_id long, owner string, repo string, n_assign long, n_access long, n_hex long, base_sha256 string, "
                                   "base array<struct<start:int,kind:int,text:string>>, "
                                   "found array<struct<start:int,end:int,hash:binary,base:boolean,live:boolean>>")
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "secrets")

@@ -160,6 +160,30 @@ def test_secrets(spark, empty):
     assert secrets.scan(empty)[0].count() == 0
 
 
+def test_secrets_bare_copies(spark):
+    short, letters, parts, copied, low = "q8Zr7Lk2Wm5T", "QzkWnBvXtRpLmD", "Ab3/Zx9+Kq7.Lw2", "m4Nv8Bx2Cz6L", "aaaaaaaaaaaaaaaa"
+    texts = [f"token = {short} end", f"bare {short}. In /path/{short}/x or key={short}, x{short} and {short}y {short}_ not", f"secret={letters}.", f"see {letters}, a-{letters}-b",
+             f"api_key: {parts}", f"url/{parts}=/x {parts}+{parts} Ab3/Zx9+Kq7", f"token={copied}.", f"{copied}", f"/{copied}/", f"password={low}", f"{low} token=x.{short} {short}"]
+    owners = ["a", "a", "b", "b", "c", "c", "d", "e", "f", "g", "a"]
+    docs = spark.createDataFrame([(i, t, o, None) for i, (t, o) in enumerate(zip(texts, owners, strict=True))], "doc_id long, text string, source string, lang string")
+    out, values = secrets.scan(docs)
+    got = {r.doc_id: r.spans for r in out.collect()}
+    separators = ".=/+-"
+    base = {i: brute.base_spans(t) for i, t in enumerate(texts)}
+    for i, t in enumerate(texts):
+        want = [(a, k, f"{secrets.KINDS[k]}:{a}:{e}") for a, k, e in base[i]]
+        for v in (short, letters, parts):
+            for a in range(len(t) - len(v) + 1):
+                e = a + len(v)
+                free = (not a or not (t[a - 1].isalnum() or t[a - 1] == "_")) and (e == len(t) or not (t[e].isalnum() or t[e] == "_"))
+                if t.startswith(v, a) and free and not any(x < e and a < y for x, _, y in base[i]):
+                    want.append((a, len(secrets.KINDS), f"owned:{a}:{e}"))
+        assert got[i] == ",".join(x for _, _, x in sorted(want)), (i, t)
+    kinds = {bytes(r.hash): r["class"] for r in values.collect()}
+    assert kinds[secrets._digest(copied)] == "example" and kinds[secrets._digest(short)] == "live"
+    assert not any(got[i] for i in (7, 8)) and secrets.normal(copied + ".") == copied and separators == secrets.SEPARATORS
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://Adult-X.example.net/en/1?x", "https://a.example.org/es/1", "https://a.example.org/en/12", "http://org", "http://org/", "x://notorg/", "http://b.com/de/", "http://b.com/fr/1#y", "http://ü.net/é", "a://b://c/d?e#f", "http://h.net/en/1"]
     pages = spark.createDataFrame([(i, u, "<p>adult news example</p>" * 5, "x") for i, u in enumerate(urls)], "page_id long, url string, html string, rule string")

@@ -638,9 +638,10 @@ _ORDERS_SPEC = [("o_orderkey", "INT64"), ("o_custkey", "INT64"), ("o_orderstatus
 
 
 def write_json_array_files(df: DataFrame, path: str, *, files: int = 8) -> None:
-    """Write ``df`` as JSON-array files (the report file format). Each file holds the rows of one
-    partition, so a file never exceeds one partition's rows."""
-    parts = df.repartition(files)
+    """Write ``df`` as JSON-array files (the report file format): ``files`` of them, or as many as
+    keep each at ROWS_PER_FILE rows."""
+    from adspark.streaming import ingest
+    parts = df.repartition(max(files, -(-df.count() // ingest.ROWS_PER_FILE)))
     docs = parts.groupBy(F.spark_partition_id().alias("_part")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*df.columns))), ","), F.lit("]")).alias("value"))
     # One folder per array, so every file holds exactly one JSON array.
@@ -1701,7 +1702,7 @@ def q_ingest_entity_snapshots(spark, sf):
     from adspark.streaming.ingest import ingest_stream, write_array_files
     root = _scratch(spark, "entities")
     c = _t(spark, sf, "customer")
-    kw = dict(root="entities", ad_type="SP", name="adgroup", country="US", profile="_profile_key")
+    kw = dict(root="entities", ad_type="SP", name="adgroup", country="US", profile="_profile_key", split=False)
     write_array_files(_entity_rows(c), f"{root}/landing/first", **kw)
     q = ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint",
                       kind="entity", now=_now())

@@ -150,17 +150,29 @@ def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkp
     return writer.start()
 
 
+#: Rows (expected number) of one written JSON array.
+ROWS_PER_FILE = 20_000
+
+
 def write_array_files(rows: DataFrame, landing: str, *, root: str, ad_type: str, name: str, country: str,
-                      profile: str, dates: str | None = None, files_per_group: int = 2) -> None:
+                      profile: str, dates: str | None = None, files_per_group: int = 2, split: bool = True) -> None:
     """Write rows as JSON-array files under the report / entity path layout
     (``<root>/<ad_type>/<name>/<country>/<client>/<profile>[/<dates>]/part-*``). Each group of
-    (profile, dates) is split over ``files_per_group`` files; the client folder carries the file's
-    group number so every folder holds exactly one array, and a file holds at most one partition's
-    rows (no unbounded group is collected)."""
+    (profile, dates) is split by the hash of its rows over at least ``files_per_group`` files, and more
+    by its row count, so that an array holds about ROWS_PER_FILE rows (rows equal in all columns share
+    one); the client folder carries the file's number in the group, so every folder holds exactly one
+    array. Without ``split`` a group is one file: a snapshot delivery replaces a profile by its newest
+    file (T-03), so its rows must not be spread."""
     keys = [profile] + ([dates] if dates else [])
     payload = [c for c in rows.columns if c not in keys]
-    grouped = rows.repartition(files_per_group, *keys)
-    docs = grouped.groupBy(*keys, F.spark_partition_id().alias("_part")).agg(
+    files = F.greatest(F.lit(files_per_group), F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE)) if split else F.lit(1)
+    groups = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(files.alias("_files"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    parts = rows.join(groups, same).withColumn("_part", F.pmod(F.xxhash64(*payload), F.col("_files")))
+    grouped = parts.repartition(max(2, -(-rows.count() // ROWS_PER_FILE)), *keys, "_part")
+    docs = grouped.groupBy(*keys, "_part").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*payload))), ","), F.lit("]")).alias("value"))
     layout = ["_root", "_ad", "_type", "_country", "_client", "_profile"] + (["_dates"] if dates else [])
     cols = [F.lit(root).alias("_root"), F.lit(ad_type).alias("_ad"), F.lit(name).alias("_type"),

@@ -239,3 +239,16 @@ def test_newest_file_decides_per_column(spark):
                                   "k int, a int, b int, _present array<string>, _order int")
     got = sorted((r["k"] or 0, r["a"], r["b"]) for r in merge_upsert_subset(old, stage, ["k"]).collect())
     assert got == [(0, 7, 8), (0, 8, 8), (0, 9, 9), (1, 5, 6), (2, 4, 0)]
+
+
+def test_written_arrays_grow_with_the_table(spark, tmpdir_path, monkeypatch):
+    from adspark.plans import standins
+    from adspark.streaming import ingest
+    monkeypatch.setattr(ingest, "ROWS_PER_FILE", 20, raising=False)
+    rows = spark.range(600).select(F.when(F.col("id") < 590, "hot").otherwise("cold").alias("p"), F.lit("20240101-20241231").alias("d"), "id")
+    ingest.write_array_files(rows, f"{tmpdir_path}/a", root="reports", ad_type="SP", name="campaign", country="US", profile="p", dates="d")
+    standins.write_json_array_files(rows, f"{tmpdir_path}/b")
+    for path in ("a", "b"):
+        arrays = [json.loads(r.value) for r in spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(f"{tmpdir_path}/{path}").collect()]
+        assert sorted(x["id"] for a in arrays for x in a) == list(range(600))
+        assert len(arrays) >= 25 and max(len(a) for a in arrays) <= 50

@@ -7,12 +7,23 @@ from .embedding_dedup import op3_embedding_dedup
 from .jaccard_join import op6_jaccard_join
 from .language_id import op1_language_id
 from .mixing import op2_mixing
+from .pivot_topk import op11_exact_topk
 from .quality import op7_quality
 from .secrets import op8_secret_scan
 from .sharding import op5_sharding
 from .substring_dedup import op10_substring_dedup
 from .url_filter import op9_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup, op11_exact_topk)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_exact_topk": """
+with v as (
+  select vec_id, row_number() over () as rid, list_transform(embedding, x -> floor(x::double * 256)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+s as (
+  select q.vec_id as query_id, q.rid as qrid, c.vec_id, c.rid, case when len(q.e) = 0 then 0 else list_inner_product(q.e, c.e) end::bigint as score
+  from v q join v c on len(q.e) = len(c.e) and q.rid <> c.rid where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by qrid order by score desc, vec_id nulls last, rid) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5""",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import op13_collocations
 from .decontaminate import op4_decontaminate
 from .embedding_dedup import op3_embedding_dedup
 from .jaccard_join import op6_jaccard_join
@@ -14,16 +15,45 @@ from .sharding import op5_sharding
 from .substring_dedup import op10_substring_dedup
 from .url_filter import op9_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup, op11_exact_topk)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup, op11_exact_topk, op13_collocations)}
 
 ORACLE_SQL: dict[str, str] = {
     "op11_exact_topk": """
 with v as (
-  select vec_id, row_number() over () as rid, list_transform(embedding, x -> floor(x::double * 256)) as e from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+  select vec_id, row_number() over () as rid, list_transform(embedding, lambda x: floor(x::double * 256)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
 s as (
   select q.vec_id as query_id, q.rid as qrid, c.vec_id, c.rid, case when len(q.e) = 0 then 0 else list_inner_product(q.e, c.e) end::bigint as score
   from v q join v c on len(q.e) = len(c.e) and q.rid <> c.rid where q.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by qrid order by score desc, vec_id nulls last, rid) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 5""",
+    "op13_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null),
+w as (select lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') as w from pieces),
+g as (
+  select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+  from w, (values (1), (2), (3), (4)) t(m) where len(w) >= m),
+f as (select lang, phrase, m, count(*) as f from g group by all),
+totals as (select lang, sum(f)::bigint as n from f where m = 1 group by lang),
+c as (select lang, phrase, m, f as a, string_split(phrase, ' ') as w from f where m > 1 and f >= 30),
+cuts as (
+  select lang, phrase, a, k, array_to_string(w[1:k], ' ') as first, array_to_string(w[k + 1:], ' ') as rest
+  from c, (values (1), (2), (3)) t(k) where k < m),
+scored as (
+  select cuts.*, x.f as l, y.f as r, ((2000000::hugeint * a) // (x.f + y.f))::bigint as score
+  from cuts join f x on x.lang = cuts.lang and x.phrase = first join f y on y.lang = cuts.lang and y.phrase = rest),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+  select lang, part, max(a) as longer from (
+    select lang, a, array_to_string(w[s:s + q - 1], ' ') as part
+    from c, (values (2), (3)) t(q), (values (1), (2), (3)) u(s) where q < m and s + q - 1 <= m)
+  group by lang, part),
+ranked as (
+  select weakest.*, row_number() over (partition by weakest.lang order by score desc, a desc, phrase) as rank
+  from weakest left join inside on inside.lang = weakest.lang and part = phrase
+  where longer is null or 100 * longer < 80 * a)
+select ranked.lang, rank, phrase, a, l, r, n, score from ranked join totals on totals.lang = ranked.lang where rank <= 2000""",
 }

@@ -22,6 +22,8 @@ phrase that is less in UTF-8 bytes. An empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+from collections import Counter as Container
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,7 +36,9 @@ LONGEST = 4
 MIN_COUNT, TOP = 30, 2000
 #: Share (in 100ths) of a phrase's occurrences inside one longer phrase from which it is dropped.
 INSIDE = 80
-BURST, MAX_ENTRIES, MAX_WORDS = 4096, 1_000_000, 500_000
+BURST, MAX_ENTRIES, MAX_WORDS = 1 << 15, 1_000_000, 500_000
+#: Low bits of a head that share one container until it bursts.
+SHARED = 8
 FILTER_BITS = 1 << 26
 #: Bits of a word id in a packed key; ids stay below MAX_WORDS plus the words of one slice.
 ID_BITS = 21
@@ -121,44 +125,56 @@ def _known(bits: np.ndarray | None, key: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """Children by word id: hash containers {packed rest: count}, or levels where one has burst."""
+    """Children by word id: hash containers (packed rest: count), or levels where one has burst.
+
+    ``shared``: so many low bits of the head stay in the packed key, so that the containers of a
+    level over many rare heads serve several heads each; a burst gives each head its own."""
 
-    __slots__ = ("kids", "size")
+    __slots__ = ("kids", "shared", "size")
 
-    def __init__(self):
-        self.kids: dict[int, dict[int, int] | Level] = {}
-        self.size = 0
+    def __init__(self, shared: int = 0):
+        self.kids: dict[int, Container | Level] = {}
+        self.size, self.shared = 0, shared
 
-    def add(self, head: np.ndarray, rest: np.ndarray, count: np.ndarray, left: int) -> None:
-        """Phrases sorted by head word; ``left`` words are packed in ``rest``."""
+    def add(self, head: np.ndarray, rest: np.ndarray, left: int) -> None:
+        """One occurrence each; ``left`` words are packed in ``rest``."""
+        if self.shared:
+            rest, head, left = rest | (head & ((1 << self.shared) - 1)) << ID_BITS * left, head >> self.shared, left + 1
+        order = np.argsort(head)
+        head, rest = head[order], rest[order]
         at = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
-        rests, counts = rest.tolist(), count.tolist()
+        rests = rest.tolist()
         for h, s, e in zip(head[at].tolist(), at.tolist(), [*at[1:].tolist(), len(rests)], strict=True):
             kid = self.kids.get(h)
             if kid is None:
-                kid = self.kids[h] = {}
+                kid = self.kids[h] = Container()
+            before = kid.size if isinstance(kid, Level) else len(kid)
             if isinstance(kid, Level):
-                before = kid.size
-                kid.push(rest[s:e], count[s:e], left)
+                shift = ID_BITS * (left - 1)
+                kid.add(rest[s:e] >> shift, rest[s:e] & ((1 << shift) - 1), left - 1)
                 self.size += kid.size - before
                 continue
-            before = len(kid)
-            for r, n in zip(rests[s:e], counts[s:e], strict=True):
-                kid[r] = kid.get(r, 0) + n
+            kid.update(rests[s:e])
             self.size += len(kid) - before
             if len(kid) > BURST and left > 1:
-                burst = self.kids[h] = Level()
-                r, n = self.items(kid)
-                order = np.argsort(r)
-                burst.push(r[order], n[order], left)
-
-    def push(self, rest: np.ndarray, count: np.ndarray, left: int) -> None:
-        """The next word becomes the head."""
-        shift = ID_BITS * (left - 1)
-        self.add(rest >> shift, rest & ((1 << shift) - 1), count, left - 1)
+                self.kids[h] = self.burst(kid, left)
+
+    @classmethod
+    def burst(cls, kid: Container, left: int) -> Level:
+        """A level over the next word with a container for each."""
+        r, n = cls.items(kid)
+        shift, out = ID_BITS * (left - 1), cls()
+        order = np.argsort(r)
+        r, n = r[order], n[order]
+        head, rest, count = r >> shift, (r & ((1 << shift) - 1)).tolist(), n.tolist()
+        at = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
+        for h, s, e in zip(head[at].tolist(), at.tolist(), [*at[1:].tolist(), len(rest)], strict=True):
+            out.kids[h] = Container(dict(zip(rest[s:e], count[s:e], strict=True)))
+        out.size = len(rest)
+        return out
 
     @staticmethod
-    def items(kid: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    def items(kid: Container) -> tuple[np.ndarray, np.ndarray]:
         return np.fromiter(kid.keys(), np.int64, len(kid)), np.fromiter(kid.values(), np.int64, len(kid))
 
     def rows(self, kid, left: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,29 +188,31 @@ class Level:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def take(self, most: int, left: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Removes whole subtrees, the largest first, until at most ``most`` entries are left."""
+        """Removes whole subtrees, the largest first, until at most ``most`` entries are left:
+        (head, packed rest, count)."""
         sizes = sorted(((kid.size if isinstance(kid, Level) else len(kid), h) for h, kid in self.kids.items()), reverse=True)
         heads, rests, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n, h in sizes:
             if self.size <= most:
                 break
-            r, c = self.rows(self.kids.pop(h), left)
-            heads.append(np.full(len(r), h))
-            rests.append(r)
+            r, c = self.rows(self.kids.pop(h), left + 1 if self.shared else left)
+            heads.append(h << self.shared | r >> ID_BITS * left if self.shared else np.full(len(r), h))
+            rests.append(r & ((1 << ID_BITS * left) - 1))
             counts.append(c)
             self.size -= n
         return np.concatenate(heads), np.concatenate(rests), np.concatenate(counts)
 
 
-class Counter:
+class Phrases:
     """The trie of one task, its words and its runs. words: phrase lengths (1, 2, or 3 with 4)."""
 
     def __init__(self, words: int):
-        self.words, self.left = words, LONGEST - 1
+        self.words, self.left = words, {1: 0, 2: 1, 3: LONGEST - 1}[words]
         self.clear()
 
     def clear(self) -> None:
-        self.trie, self.ids, self.text, self.lang = Level(), {}, [], []
+        self.trie, self.ids, self.text, self.lang = Level(SHARED if self.left < 2 else 0), {}, [], []
+        self.seen = np.zeros(0, np.int64)  # single words need no trie: a count per id
 
     def word_ids(self, key: np.ndarray, tokens: Tokens, langs: list[str], use: np.ndarray) -> np.ndarray:
         """Id of each word in ``use`` (of its language), new ones recorded."""
@@ -212,13 +230,14 @@ class Counter:
         out[use] = ids[back]
         return out
 
+    def add_words(self, ids: np.ndarray) -> None:
+        more = np.bincount(ids, minlength=len(self.text))
+        more[:len(self.seen)] += self.seen
+        self.seen = more
+
     def add(self, head: np.ndarray, rest: np.ndarray) -> None:
-        if not len(head):
-            return
-        order = np.lexsort((rest, head))
-        head, rest = head[order], rest[order]
-        at = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (rest[1:] != rest[:-1]))))
-        self.trie.add(head[at], rest[at], np.diff(np.append(at, len(head))), self.left)
+        if len(head):
+            self.trie.add(head, rest, self.left)
 
     def runs(self, everything: bool):
         """Sorted runs of spilled subtrees, as batches (lang, phrase, words, n)."""
@@ -227,20 +246,22 @@ class Counter:
         full = everything or len(self.text) > MAX_WORDS
         head, rest, n = self.trie.take(0 if full else MAX_ENTRIES // 2, self.left)
         text, lang = pa.array(self.text, pa.binary()), pa.array(self.lang, pa.string())
-        second, third, fourth = rest >> 2 * ID_BITS, (rest >> ID_BITS) & ID_MASK, rest & ID_MASK
         parts = []
-        if self.words < 3:
-            parts.append((self.words, head, second, third, fourth, n))
+        if self.words == 1:
+            parts.append((1, np.flatnonzero(self.seen), self.seen[self.seen > 0]))
+        elif self.words == 2:
+            parts.append((2, head, rest, n))
         else:  # three words: the sum below their node
+            second, third, fourth = rest >> 2 * ID_BITS, (rest >> ID_BITS) & ID_MASK, rest & ID_MASK
             order = np.lexsort((third, second, head))
             h, s, t = head[order], second[order], third[order]
             if len(h):
                 at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (s[1:] != s[:-1]) | (t[1:] != t[:-1]))))
-                parts.append((3, h[at], s[at], t[at], t[at], np.add.reduceat(n[order], at)))
+                parts.append((3, h[at], s[at], t[at], np.add.reduceat(n[order], at)))
             four = fourth > 0
             parts.append((4, head[four], second[four], third[four], fourth[four], n[four]))
         for words, *ids, count in parts:
-            some = [text.take(pa.array(ids[0]))] + [text.take(pa.array(i - 1)) for i in ids[1:words]]
+            some = [text.take(pa.array(ids[0]))] + [text.take(pa.array(i - 1)) for i in ids[1:]]
             phrase = pc.binary_join_element_wise(*some, b" ").cast(pa.string()) if words > 1 else some[0].cast(pa.string())
             run = pa.RecordBatch.from_arrays([lang.take(pa.array(ids[0])), phrase, pa.array(np.full(len(count), words, np.int32)), pa.array(count)], ["lang", "phrase", "words", "n"])
             run = run.sort_by([("lang", "ascending"), ("phrase", "ascending")])
@@ -254,7 +275,7 @@ def _counted(words: int, one=None, two=None):
     """Runs of the phrases of ``words`` words (3: of three and four); one, two: bit tables of the
     frequent words and pairs."""
     def run(batches):
-        counter = Counter(words)
+        counter = Phrases(words)
         known_1, known_2 = (x.value if x is not None else None for x in (one, two))
         for b in batches:
             langs = b.column("lang").to_pylist()
@@ -268,7 +289,7 @@ def _counted(words: int, one=None, two=None):
                     continue
                 if words == 1:
                     use = np.arange(n) < count
-                    counter.add(counter.word_ids(key, tokens, own, use)[use], np.zeros(int(use.sum()), np.int64))
+                    counter.add_words(counter.word_ids(key, tokens, own, use)[use])
                 else:
                     word = _known(known_1, key)
                     pair = np.zeros(n, bool)
@@ -281,9 +302,9 @@ def _counted(words: int, one=None, two=None):
                     used = use.copy()
                     used[1:] |= use[:-1]
                     ids = counter.word_ids(key, tokens, own, used)
-                    rest = (ids[at + 1] + 1) << 2 * ID_BITS
+                    rest = ids[at + 1] + 1
                     if words == 3:
-                        rest |= (ids[at + 2] + 1) << ID_BITS
+                        rest = rest << 2 * ID_BITS | (ids[at + 2] + 1) << ID_BITS
                         more = pair[at + 2]
                         rest[more] |= ids[at[more] + 3] + 1
                     counter.add(ids[at], rest)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .collocations import op13_collocations
+from .conversation_trie import op12_conversation_trie
 from .decontaminate import op4_decontaminate
 from .embedding_dedup import op3_embedding_dedup
 from .jaccard_join import op6_jaccard_join
@@ -15,7 +16,7 @@ from .sharding import op5_sharding
 from .substring_dedup import op10_substring_dedup
 from .url_filter import op9_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup, op11_exact_topk, op13_collocations)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup, op11_exact_topk, op12_conversation_trie, op13_collocations)}
 
 ORACLE_SQL: dict[str, str] = {
     "op11_exact_topk": """
@@ -27,6 +28,39 @@ s as (
   from v q join v c on len(q.e) = len(c.e) and q.rid <> c.rid where q.vec_id % 50 = 0),
 r as (select *, row_number() over (partition by qrid order by score desc, vec_id nulls last, rid) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 5""",
+    "op12_conversation_trie": """
+with t as (
+  select conv_id as c, md5(strlen_role || ':' || role || text) as digest, length(text) as cp,
+    row_number() over (partition by conv_id order by turn nulls first, md5(strlen_role || ':' || role || text)) as d
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, length(coalesce(role, ''))::varchar as strlen_role
+        from conversations where conv_id is not null)),
+convs as (
+  select c, c - c % 100 as b, xor(list_reduce(
+      list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint),
+      lambda a, x: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::bigint[], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(a, x)),
+      4294967295::bigint), 4294967295::bigint) % 6 as h
+  from (select distinct c from t)),
+size as (select c as b, count(*) as n from t group by c),
+r as (
+  select convs.c, t.d, digest, cp from convs join t on t.c = convs.b and t.d <= convs.h
+  union all
+  select convs.c, least(h, coalesce(n, 0)) + t.d - h, digest, cp from convs join t on t.c = convs.c and t.d > convs.h left join size on size.b = convs.b),
+path as (
+  select c, 0 as d, '' as key, '' as parent, 0 as cp from convs
+  union all
+  select c, d, string_agg(digest, '') over (partition by c order by d), coalesce(string_agg(digest, '') over (partition by c order by d rows between unbounded preceding and 1 preceding), ''), cp from r),
+nodes as (select d, key, any_value(parent) as parent, any_value(cp) as cp, count(*) as n, min(c) as least from path group by d, key),
+kids as (select parent as key, count(*) as n_children from nodes where d > 0 group by parent),
+full_nodes as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids on kids.key = nodes.key),
+subtree as (
+  select path.key, sum((n_children = 0)::bigint) as n_leaves, sum((n - 1) * u.cp) as saved
+  from full_nodes u join path on path.c = u.least and path.d <= u.d group by path.key),
+ends as (
+  select key, string_agg(c::varchar, ',' order by c) as ids
+  from (select c, arg_max(key, d) as key from path group by c) group by key)
+select v.least as conv_id, v.d::bigint as depth, p.least as parent_conv_id, v.n as n_convs, v.n_children, n_leaves::bigint as n_leaves,
+  saved::bigint as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from full_nodes v join subtree on subtree.key = v.key left join nodes p on v.d > 0 and p.key = v.parent left join ends on ends.key = v.key""",
     "op13_collocations": r"""
 with pieces as (
   select coalesce(lang, 'und') as lang,

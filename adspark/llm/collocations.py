@@ -81,7 +81,7 @@ class Tokens:
 def _parts(raw: np.ndarray, offsets: np.ndarray):
     """(tokens, first text, words to count from): slices of whole texts; a longer text in parts cut
     between words, each with the words that its last phrases need from the next part."""
-    for a, b in slices(offsets):
+    for a, b in slices(offsets, SLICE_BYTES):
         s, e = int(offsets[a]), int(offsets[b])
         if e - s <= 2 * SLICE_BYTES:
             tokens = Tokens(raw[s:e], offsets[a:b + 1] - s)
@@ -91,9 +91,9 @@ def _parts(raw: np.ndarray, offsets: np.ndarray):
         while s < e:
             k = np.searchsorted(gap, s + SLICE_BYTES)
             cut = int(gap[k]) if k < len(gap) else e
-            until, words, wide = cut, 0, k
+            until, words, wide, step = cut, 0, k, 64
             while until < e and words < LONGEST:  # words that end behind the cut
-                wide = min(wide + 64, len(gap))
+                wide, step = min(wide + step, len(gap)), 2 * step
                 until = int(gap[wide - 1]) if wide < len(gap) else e
                 words = len(Tokens(raw[cut:until], np.array([0, until - cut])).start)
             tokens = Tokens(raw[s:until], np.array([0, until - s]))

@@ -51,6 +51,8 @@ def _pack(x: np.ndarray) -> bytes:
 def _unpack(vectors: list[bytes], dim: int) -> np.ndarray:
     """(rows, dim) doubles of packed vectors."""
     out = np.zeros((len(vectors), dim))
+    if not dim:
+        return out
     short = [i for i, v in enumerate(vectors) if len(v) == 2 * dim]
     if short:
         out[short] = np.frombuffer(b"".join(vectors[i] for i in short), np.int16).reshape(-1, dim)

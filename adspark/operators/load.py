@@ -2,14 +2,13 @@
 
 Plain Parquet tables refuse MERGE / DELETE and a table cannot overwrite the path it is read from,
 so every load computes the new content as a DataFrame (anti join + union: the target is only
-streamed, the stage keys are the small side and AQE broadcasts them when small) and publishes it
-as a new version directory behind a pointer (``stage_then_publish``). For date-partitioned tables
-only the partitions touched by the stage are rewritten.
+streamed, the stage keys are the small side and AQE broadcasts them when small) and publishes the
+partitions that the stage touches: into a catalog table by a change of their locations
+(``catalog_tables``), or into a plain folder by dynamic partition overwrite (``publish_partitions``).
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -240,67 +239,10 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p, jvm
 
 
-def read_pointer(spark: SparkSession, table_root: str) -> dict | None:
-    """The current version record of a published table, or None when never published."""
-    fs, root, jvm = _fs(spark, table_root)
-    ptr = jvm.org.apache.hadoop.fs.Path(root, "_current.json")
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        text = reader.readLine()
-    finally:
-        stream.close()
-    return json.loads(text)
-
-
-def read_published(spark: SparkSession, table_root: str, schema=None) -> DataFrame | None:
-    rec = read_pointer(spark, table_root)
-    if rec is None:
-        return None
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(rec["path"])
-
-
-def stage_then_publish(df: DataFrame, table_root: str, *, batch_id: str | None = None,
-                       partition_by=None, cluster_by=None) -> dict:
-    """L-07: write ``df`` to a new version directory, then atomically switch the pointer file.
-
-    Readers keep using the old version until the switch. ``batch_id`` values are recorded with the
-    version so a re-delivered batch can be recognised (T-02).
-    """
-    spark = df.sparkSession
-    prev = read_pointer(spark, table_root)
-    version = (prev["version"] + 1) if prev else 1
-    path = f"{table_root.rstrip('/')}/v={version}-{uuid.uuid4().hex[:8]}"
-    out = df
-    if cluster_by:
-        cols = _on(cluster_by)
-        out = out.repartition(*[_q(c) for c in ([*_on(partition_by)] if partition_by else cols)]) \
-            .sortWithinPartitions(*[_q(c) for c in cols])
-    write_parquet(out, path, by=partition_by)
-    batches = list(prev.get("batches", [])) if prev else []
-    if batch_id is not None:
-        batches.append(str(batch_id))
-    record = {"version": version, "path": path, "batches": batches}
-    fs, root, jvm = _fs(spark, table_root)
-    tmp = jvm.org.apache.hadoop.fs.Path(root, f"_current.{uuid.uuid4().hex}.tmp")
-    stream = fs.create(tmp, True)
-    try:
-        stream.write(bytearray(json.dumps(record).encode("utf-8")))
-    finally:
-        stream.close()
-    ptr = jvm.org.apache.hadoop.fs.Path(root, "_current.json")
-    # One rename that replaces its target: readers see the old or the new pointer, never none.
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    over = spark.sparkContext._gateway.new_array(rename, 1)
-    over[0] = rename.OVERWRITE
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    files.rename(fs.makeQualified(tmp), fs.makeQualified(ptr), over)
-    return record
+def has_partitions(spark: SparkSession, path: str) -> bool:
+    """True if a plain table folder holds a partition folder."""
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p)) and any(s.isDirectory() and "=" in s.getPath().getName() for s in fs.listStatus(p))
 
 
 def keep_bucket_count(spark: SparkSession, table_root: str, buckets: int, *, store: bool = False) -> None:
@@ -323,9 +265,40 @@ def keep_bucket_count(spark: SparkSession, table_root: str, buckets: int, *, sto
             stream.close()
 
 
+# Partition columns of stored tables: the account (one table serves all), then the day of a report
+# or the hash bucket of an entity's snapshot key. Values that are absent have a name of their own,
+# since a partition value can be neither null nor empty.
+ACCOUNT, DAY, BUCKET_COLUMN = "account_id", "day", "_bucket"
+NO_ACCOUNT, NO_DAY = "none", "none"
+#: Entity tables have no day: replacing one profile's snapshot rewrites one bucket, not the table.
+ENTITY_BUCKETS = 64
+
+
+def partition_columns(spec: TableSpec) -> list[str]:
+    return [ACCOUNT, DAY if spec.partition_column else BUCKET_COLUMN]
+
+
+def partition_schema(spec: TableSpec) -> T.StructType:
+    """The table's columns, then its partition columns."""
+    schema = T.StructType(spec.spark_schema().fields)
+    return schema.add(ACCOUNT, T.StringType()).add(*((DAY, T.StringType()) if spec.partition_column else (BUCKET_COLUMN, T.IntegerType())))
+
+
+def with_partitions(df: DataFrame, spec: TableSpec, *, buckets: int = ENTITY_BUCKETS) -> DataFrame:
+    """``df`` with the partition columns: its own ``account_id`` (if it has one), and the day of the
+    partition column whatever the hour, or the bucket of the merge columns."""
+    account = F.trim(F.col(ACCOUNT).cast("string")) if ACCOUNT in df.columns else F.lit(None).cast("string")
+    if spec.partition_column:
+        other = F.coalesce(F.to_date(_q(spec.partition_column)).cast("string"), F.lit(NO_DAY))
+    else:
+        other = F.pmod(F.xxhash64(*[F.col(_q(k)) for k in spec.merge_columns]), F.lit(buckets)).cast("int")
+    return df.withColumns({ACCOUNT: F.coalesce(F.when(account != "", account), F.lit(NO_ACCOUNT)), partition_columns(spec)[1]: other})
+
+
 def create_table_from_spec(spark: SparkSession, spec: TableSpec, *, location: str | None = None,
-                           drop: bool = False, database: str | None = None) -> str:
-    """L-08: database and table from the spec, Parquet, partitioned by the partition column.
+                           drop: bool = False, database: str | None = None, buckets: int = ENTITY_BUCKETS) -> str:
+    """L-08: database and table from the spec, Parquet, partitioned by account and by day (reports)
+    or key bucket (entities). The bucket count is a property of the table.
 
     Indexes have no Spark form (file statistics and sorted files serve); uniqueness of merge keys is
     checked by ``assert_unique_key`` at load time; no surrogate id.
@@ -335,17 +308,17 @@ def create_table_from_spec(spark: SparkSession, spec: TableSpec, *, location: st
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     if drop:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    cols = ", ".join(f"`{c}` {SPARK_TYPES.get(t, T.StringType()).simpleString()}" for c, t in spec.columns)
-    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
-    if spec.partition_column:
-        ddl += f" PARTITIONED BY (`{spec.partition_column}`)"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in partition_schema(spec))
+    ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY ({', '.join(_q(p) for p in partition_columns(spec))})"
     if location:
         ddl += f" LOCATION '{location}'"
+    if not spec.partition_column:
+        ddl += f" TBLPROPERTIES ('buckets' = '{int(buckets)}')"
     spark.sql(ddl)
     return f"{db}.{spec.table_name}"
 
 
-def publish_partitions(df: DataFrame, table_root: str, partition_by: str, *, staging_root: str,
+def publish_partitions(df: DataFrame, table_root: str, partition_by, *, staging_root: str,
                        cluster_by=None, reads_target: bool = True, touched: DataFrame | None = None) -> None:
     """Partition-scoped publish for partitioned tables: only the partitions present in ``df`` are
     replaced (dynamic partition overwrite), the others are not touched.
@@ -356,23 +329,22 @@ def publish_partitions(df: DataFrame, table_root: str, partition_by: str, *, sta
     load (nothing to read) is written directly. The staged copy goes after the overwrite.
 
     ``touched`` (partition values the new content is for) makes partitions that have no rows left
-    empty: dynamic overwrite alone would leave their old files. Clustered rows are rebalanced by the
-    partition column, where adaptive execution splits a large date or bucket over several tasks.
+    empty: dynamic overwrite alone would leave their old files. Rows are rebalanced by the partition
+    columns, so that a partition is one file, or several where adaptive execution splits a large one.
     """
-    spark = df.sparkSession
-    out = df
+    spark, parts = df.sparkSession, _on(partition_by)
+    out = df.hint("rebalance", *[F.col(_q(p)) for p in parts])
     if cluster_by:
-        out = out.hint("rebalance", F.col(_q(partition_by))) \
-            .sortWithinPartitions(_q(partition_by), *[_q(c) for c in _on(cluster_by)])
+        out = out.sortWithinPartitions(*[_q(c) for c in [*parts, *_on(cluster_by)]])
     emptied, stage_path = [], f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
     if reads_target:
-        write_parquet(out, stage_path, by=partition_by)
+        write_parquet(out, stage_path, by=parts)
         out = spark.read.schema(df.schema).parquet(stage_path)
         if touched is not None:
             # At most the partitions touched by this load, by folder name.
-            emptied = [r[0] for r in touched.select(partition_by).dropna().distinct()
-                       .join(out.select(partition_by).distinct(), partition_by, "left_anti").collect()]
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(table_root)
-    for folder in [f"{table_root.rstrip('/')}/{partition_by}={v}" for v in emptied] + [stage_path] * reads_target:
+            gone = touched.select(*parts).dropna().distinct().join(out.select(*parts).distinct(), parts, "left_anti")
+            emptied = ["/".join(f"{p}={v}" for p, v in zip(parts, r, strict=True)) for r in gone.collect()]
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_root)
+    for folder in [f"{table_root.rstrip('/')}/{e}" for e in emptied] + [stage_path] * reads_target:
         fs, p, _ = _fs(spark, folder)
         fs.delete(p, True)

@@ -3,8 +3,10 @@
 ``clean_files`` is one lazy plan per table: parse the JSON arrays, take metadata from the path,
 normalise names, flatten entity objects, stamp, drop unknown columns, cast. ``load_stage`` applies
 the table's load method (merge / delete_insert / append) against the current table content and
-publishes the result: date-partitioned report tables rewrite only the dates in the stage,
-entity snapshots are published as a new version.
+publishes the result. One table serves all accounts: rows are told apart and partitioned by account
+(the client folder of the path), then by day (reports) or key bucket (entities), and a load reads and
+replaces exactly the (account, day) or (account, bucket) partitions of its stage. The target is a
+table of Spark's catalog (``database``) or a plain folder below ``tables_root``.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType
 
+from adspark.operators import catalog_tables as CT
 from adspark.operators import load as L
 from adspark.operators import normalize as N
 from adspark.sources.files import spec_input_schema
@@ -39,10 +42,10 @@ def parse_files(files: DataFrame, spec: TableSpec, *, presence: bool = False) ->
     return files.select(*carried, F.inline(F.from_json(F.col("value"), ArrayType(schema))))
 
 
-def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False) -> DataFrame:
+def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False, account: bool = False) -> DataFrame:
     """Parsed rows (with ``_file``) of one table to typed columns plus ``_file`` / ``_mtime``: path
     metadata, entity flattening, stamping, unknown columns dropped, cast with type defaults (also for
-    columns that the rows lack). With ``presence`` also ``_present``, the columns of the delivery: those
+    columns that the rows lack). With ``account`` also ``account_id``, the client of the path. With ``presence`` also ``_present``, the columns of the delivery: those
     of ``rows`` unless it has its own list, and those that are stamped on every row."""
     kind = "report" if spec.table_type == "report" else "entity"
     carried = ["_file", "_mtime"]
@@ -69,12 +72,13 @@ def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool
     rows = N.stringify_nested(rows, spec)
     rows, _ = N.drop_unknown_columns(rows, spec)
     typed, _ = N.cast_to_schema(rows, spec, add_missing=True)
-    return typed.select(*spec.column_names, *carried)
+    whose = [F.col("_client_id").alias(L.ACCOUNT)] if account else []
+    return typed.select(*spec.column_names, *carried, *whose)
 
 
-def clean_files(files: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False) -> DataFrame:
+def clean_files(files: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False, account: bool = False) -> DataFrame:
     """``parse_files`` then ``clean_rows``: one lazy plan per table."""
-    return clean_rows(parse_files(files, spec, presence=presence), spec, now=now, presence=presence)
+    return clean_rows(parse_files(files, spec, presence=presence), spec, now=now, presence=presence, account=account)
 
 
 def wants_presence(spec: TableSpec) -> bool:
@@ -95,7 +99,7 @@ def latest_file_rows(stage: DataFrame, spec: TableSpec) -> DataFrame:
     """T-03: within one batch, the newest file wins. For merge tables per key row (grouped
     ``max_by``, partial aggregation before the shuffle); for delete_insert tables per key group
     (the rows of the newest file holding that group)."""
-    keys = list(spec.merge_columns)
+    keys = [c for c in (L.ACCOUNT,) if c in stage.columns] + list(spec.merge_columns)
     if spec.load_method == "merge":
         return L.dedupe_stage(stage.withColumn("_order", F.struct("_mtime", "_file")), keys,
                               conflict="latest_wins", order_by="_order").drop("_order")
@@ -108,75 +112,97 @@ def latest_file_rows(stage: DataFrame, spec: TableSpec) -> DataFrame:
     return stage.join(newest, same, "left_semi")
 
 
-# Entity snapshot tables have no date partition; they are partitioned by a hash bucket of the
-# snapshot key so that replacing one profile's snapshot rewrites one bucket, not the table.
-ENTITY_BUCKETS = 64
-BUCKET_COLUMN = "_bucket"
-
-
-def _partition_layout(spec: TableSpec, buckets: int):
-    if spec.partition_column:
-        return spec.partition_column, None
-    key = F.pmod(F.xxhash64(*[F.col(k) for k in spec.merge_columns]), F.lit(buckets)).cast("int")
-    return BUCKET_COLUMN, key
-
-
-def _touched(current: DataFrame, stage: DataFrame, part: str) -> DataFrame:
-    """Current rows of the partitions the stage touches: the range of touched values (one row) prunes
-    partitions at planning, a null-safe semi join keeps exactly the touched ones, the NULL partition
-    included."""
-    touched = stage.select(F.col(part).alias("_touched")).distinct()
-    lo, hi, null = touched.agg(F.min("_touched"), F.max("_touched"), F.count_if(F.col("_touched").isNull())).first()
-    cond = F.col(part).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
-    current = current.filter(cond | F.col(part).isNull() if null else cond)
-    return current.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi")
-
-
-def read_table(spark: SparkSession, tables_root: str, spec: TableSpec) -> DataFrame | None:
-    """The loaded table (schema columns only), or None before the first load."""
-    path = table_path(tables_root, spec)
-    if not _exists(spark, path):
-        return None
-    part, _ = _partition_layout(spec, ENTITY_BUCKETS)
-    schema = spec.spark_schema()
-    if part == BUCKET_COLUMN:
-        schema = schema.add(BUCKET_COLUMN, IntegerType())
-    return spark.read.schema(schema).parquet(path).select(*spec.column_names)
+def _touched_condition(touched: list[tuple], parts: list[str]) -> Column:
+    """True for exactly the partitions ``touched``, as comparisons with literals that prune partitions
+    at planning. Accounts with the same days (or buckets) share one comparison."""
+    of: dict[str, set] = {}
+    for account, other in touched:
+        of.setdefault(account, set()).add(other)
+    sharing: dict[tuple, list[str]] = {}
+    for account, others in of.items():
+        sharing.setdefault(tuple(sorted(others)), []).append(account)
+    cond = F.lit(False)
+    for others, accounts in sharing.items():
+        cond = cond | (F.col(parts[0]).isin(accounts) & F.col(parts[1]).isin(list(others)))
+    return cond
+
+
+def database_name(spec: TableSpec, database: str) -> str:
+    """Each dataset is a database; ``database`` is a prefix that keeps installations apart."""
+    return f"{database}{spec.dataset}"
+
+
+def read_table(spark: SparkSession, tables_root: str, spec: TableSpec, *, database: str | None = None,
+               account: str | None = None, partitions: bool = False) -> DataFrame | None:
+    """The loaded table (schema columns, with ``partitions`` also the partition columns), of one
+    ``account`` or of all, or None before the first load."""
+    if database is not None:
+        name = f"{database_name(spec, database)}.{spec.table_name}"
+        if not spark.catalog.tableExists(name):
+            return None
+        rows = spark.table(name)
+    else:
+        path = table_path(tables_root, spec)
+        if not _exists(spark, path):
+            return None
+        rows = spark.read.schema(L.partition_schema(spec)).parquet(path)
+    if account is not None:
+        rows = rows.where(F.col(L.ACCOUNT) == account)
+    return rows.select(*spec.column_names, *(L.partition_columns(spec) if partitions else []))
+
+
+def _catalog_table(spark: SparkSession, spec: TableSpec, tables_root: str, database: str, buckets: int) -> str:
+    """The catalog table that a load fills. Data that the catalog does not know (its session has
+    ended) is refused: a new table would hide it."""
+    name, path = f"{database_name(spec, database)}.{spec.table_name}", table_path(tables_root, spec)
+    if not spark.catalog.tableExists(name):
+        if _exists(spark, path):
+            raise ValueError(f"{path} holds data of a table that this catalog does not know: {name}")
+        L.create_table_from_spec(spark, spec, location=path, database=database_name(spec, database), buckets=buckets)
+    kept = CT.table_property(spark, name, "buckets")
+    if kept is not None and int(kept) != buckets:
+        raise ValueError(f"{name} is stored in {kept} buckets, not {buckets}")
+    return name
 
 
 def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables_root: str,
-               staging_root: str, batch_id: str | None = None, buckets: int = ENTITY_BUCKETS) -> None:
-    """Apply the table's load method and publish only the touched partitions (dates for reports,
-    key buckets for entity snapshots) by dynamic partition overwrite. A stage with ``_present`` is
-    upserted column by column (``merge_upsert_subset``)."""
+               staging_root: str, batch_id: str | None = None, buckets: int = L.ENTITY_BUCKETS, database: str | None = None) -> None:
+    """Apply the table's load method within each account and publish only the touched partitions: with
+    ``database`` into the catalog table (rows are written once, then the partitions' locations
+    change), else by dynamic partition overwrite of the table's folder. A stage with ``_present`` is
+    upserted column by column (``merge_upsert_subset``); one without ``account_id`` belongs to the
+    account ``none``. The touched partitions (of one batch's files) are listed on the driver."""
     subset = PRESENT in stage.columns and spec.load_method == "merge"
+    stage = L.with_partitions(stage, spec, buckets=buckets)
     if subset:
         stage = stage.withColumn(ORDER, F.struct("_mtime", "_file")).drop("_file", "_mtime")
     else:
         stage = latest_file_rows(stage, spec).drop("_file", "_mtime")
-    path = table_path(tables_root, spec)
-    keys = list(spec.merge_columns)
-    part, bucket = _partition_layout(spec, buckets)
-    schema = spec.spark_schema()
-    if bucket is not None:
-        stage = stage.withColumn(BUCKET_COLUMN, bucket)
-        schema = schema.add(BUCKET_COLUMN, IntegerType())
-        L.keep_bucket_count(spark, path, buckets)
-    exists = _exists(spark, path)
-    if exists:
-        touched = _touched(spark.read.schema(schema).parquet(path), stage, part)
+    parts, schema, path = L.partition_columns(spec), L.partition_schema(spec), table_path(tables_root, spec)
+    keys = [L.ACCOUNT, *spec.merge_columns]
+    touched = [tuple(r) for r in stage.select(*parts).distinct().collect()]
+    if not touched:
+        return
+    if database is not None:
+        name = _catalog_table(spark, spec, tables_root, database, buckets)
+        current = spark.table(name)
     else:
-        touched = spark.createDataFrame([], schema)
-    stage = stage.select(*touched.columns, *([PRESENT, ORDER] if subset else []))
+        if not spec.partition_column:
+            L.keep_bucket_count(spark, path, buckets, store=True)
+        exists = L.has_partitions(spark, path)
+        current = spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    current = current.select(*schema.names).where(_touched_condition(touched, parts))
+    stage = stage.select(*schema.names, *([PRESENT, ORDER] if subset else []))
     if subset:
-        new = L.merge_upsert_subset(touched, stage, keys, present=PRESENT, order_by=ORDER)
+        new = L.merge_upsert_subset(current, stage, keys, present=PRESENT, order_by=ORDER)
     elif spec.load_method == "merge":
-        new = L.merge_upsert(touched, stage, keys, conflict="none")
+        new = L.merge_upsert(current, stage, keys, conflict="none")
     elif spec.load_method == "delete_insert":
-        new = L.delete_insert(touched, stage, keys)
+        new = L.delete_insert(current, stage, keys)
+    else:
+        new = L.append_rows(current, stage)
+    cluster = list(spec.cluster_columns) or None
+    if database is not None:
+        CT.publish_partitions_to_catalog(new, name, parts, touched, cluster_by=cluster)
     else:
-        new = L.append_rows(touched, stage)
-    cluster = [c for c in spec.cluster_columns if c != part] or None
-    L.publish_partitions(new, path, part, staging_root=staging_root, cluster_by=cluster, reads_target=exists)
-    if bucket is not None:
-        L.keep_bucket_count(spark, path, buckets, store=True)
+        L.publish_partitions(new, path, parts, staging_root=staging_root, cluster_by=cluster, reads_target=exists)

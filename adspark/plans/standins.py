@@ -26,6 +26,7 @@ from adspark.functions import (country_to_marketplace, date_token, dates_from_na
                                truncate_with_ellipsis)
 from adspark.functions.marketplace import MARKETPLACES
 from adspark.operators import aggregates as A
+from adspark.operators import catalog_tables as CT
 from adspark.operators import changes as K
 from adspark.operators import feed as FD
 from adspark.operators import joins as J
@@ -1459,12 +1460,19 @@ def q_write_csv(spark, sf):
 
 @query("stage_then_publish", _UPSERT_SQL)
 def q_stage_then_publish(spark, sf):
+    """L-07: a first load and an upsert, each published by one change of the catalog table's location."""
     root = _scratch(spark, "published")
+    table = _database(spark, root) + ".orders_published"
     target, stage = _upsert_frames(spark, sf)
-    L.stage_then_publish(target, root, batch_id="initial")
-    current = L.read_published(spark, root)
-    L.stage_then_publish(L.merge_upsert(current, stage, ["o_orderkey"]), root, batch_id=BATCH_ID)
-    return L.read_published(spark, root)
+    CT.stage_then_publish(target, table, root, batch_id="initial")
+    CT.stage_then_publish(L.merge_upsert(spark.table(table), stage, ["o_orderkey"]), table, root, batch_id=BATCH_ID)
+    return spark.table(table)
+
+
+def _database(spark, root: str) -> str:
+    db = "adspark_standin_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{root}/{db}.db'")
+    return db
 
 
 @query("create_table_from_spec", """
@@ -1475,8 +1483,7 @@ FROM orders
 def q_create_table_from_spec(spark, sf):
     spec = get_spec("report", "SP", "campaign")
     base = _scratch(spark, "warehouse")
-    db = "adspark_standin_" + uuid.uuid4().hex[:8]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{base}/{db}.db'")
+    db = _database(spark, base)
     name = L.create_table_from_spec(spark, spec, location=f"{base}/{spec.table_name}", database=db)
     o = _t(spark, sf, "orders")
     rows = o.select(F.col("o_orderkey").alias("campaignId"), F.col("o_custkey").cast("string").alias("profileId"),
@@ -1485,7 +1492,7 @@ def q_create_table_from_spec(spark, sf):
     rows = rows.withColumn("marketplace", F.lit("ATVPDKIKX0DER")).drop("_country")
     typed, _ = N.cast_to_schema(rows, spec, add_missing=True)
     table_cols = [f.name for f in spark.table(name).schema.fields]
-    typed.select(*table_cols).write.insertInto(name, overwrite=True)
+    L.with_partitions(typed, spec).select(*table_cols).write.insertInto(name, overwrite=True)
     back = spark.table(name)
     return _ntz(back.select("campaignId", "profileId", "date", "cost", "marketplace", "clicks"))
 
@@ -1499,28 +1506,61 @@ FROM orders
 """
 
 
-def _stream_result(spark, tables_root: str) -> DataFrame:
+def _stream_result(spark, tables_root: str, *more: str, **target) -> DataFrame:
     from adspark.plans.ingest import read_table
     spec = get_spec("report", "SP", "campaign")
-    t = read_table(spark, tables_root, spec)
+    t = read_table(spark, tables_root, spec, **target)
     return _ntz(t.select("campaignId", "profileId", "date", "cost", "impressions", "campaignName", "campaignStatus",
-                         "marketplace", "clicks"))
+                         "marketplace", "clicks", *more))
 
 
-def _ingest(spark, landing, root):
+def _ingest(spark, landing, root, **more):
     from adspark.streaming.ingest import ingest_stream
-    q = ingest_stream(spark, landing, tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint", now=_now())
+    q = ingest_stream(spark, landing, tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint", now=_now(), **more)
     q.awaitTermination()
 
 
+def _prefix() -> str:
+    return f"adspark_standin_{uuid.uuid4().hex[:8]}_"
+
+
 @query("ingest_stream", _STREAM_SQL.format(bump=""))
 def q_ingest_stream(spark, sf):
-    """T-01: report files (made from orders) streamed into the SP campaign table."""
+    """T-01, L-08: report files (made from orders) streamed into the SP campaign table of the catalog."""
     from adspark.streaming.ingest import write_report_files
-    root = _scratch(spark, "stream")
+    root, prefix = _scratch(spark, "stream"), _prefix()
     write_report_files(_t(spark, sf, "orders"), f"{root}/landing/a")
-    _ingest(spark, f"{root}/landing", root)
-    return _stream_result(spark, f"{root}/tables")
+    _ingest(spark, f"{root}/landing", root, database=prefix)
+    return _stream_result(spark, f"{root}/tables", database=prefix)
+
+
+@query("load_accounts", """
+WITH r AS (SELECT substr(o_orderpriority, 1, 1) AS account_id, 'P' || o_orderstatus AS profileId, o_custkey % 100 AS campaignId,
+    date_trunc('month', o_orderdate) + to_hours(o_custkey % 2) AS date, count(*) AS impressions, max(o_custkey) AS clicks
+  FROM orders GROUP BY ALL)
+SELECT account_id, profileId, campaignId, date, strftime(date, '%Y-%m-%d') AS day,
+  impressions + CASE WHEN account_id = '1' AND date >= TIMESTAMP '1997-01-01' THEN 1000 ELSE 0 END AS impressions, clicks
+FROM r
+""")
+def q_load_accounts(spark, sf):
+    """Accounts share profiles, campaigns and days. A second delivery restates the later months of one
+    account: only its rows change, and the hours of a day lie in one partition."""
+    from adspark.streaming.ingest import write_array_files
+    root, prefix = _scratch(spark, "accounts"), _prefix()
+    hour = F.date_trunc("month", "o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 2).cast("int"))
+    rows = _t(spark, sf, "orders").groupBy(
+        F.substring("o_orderpriority", 1, 1).alias("_client"), F.concat(F.lit("P"), F.col("o_orderstatus")).alias("_profile_key"),
+        (F.col("o_custkey") % 100).alias("campaignId"), hour.alias("date")).agg(F.count("*").alias("impressions"), F.max("o_custkey").alias("clicks"))
+    year = F.date_format("date", "yyyy")
+    rows = rows.withColumns({"_dates_key": F.concat(year, F.lit("0101-"), year, F.lit("1231")), "date": F.date_format("date", "yyyy-MM-dd HH:mm:ss")})
+    kw = dict(root="reports", ad_type="SP", name="campaign", country="US", client="_client", profile="_profile_key", dates="_dates_key")
+    write_array_files(rows, f"{root}/landing/first", **kw)
+    _ingest(spark, f"{root}/landing", root, database=prefix)
+    again = rows.where("_client = '1' and date >= '1997-01-01'").withColumn("impressions", F.col("impressions") + 1000)
+    write_array_files(again, f"{root}/landing/second", **kw)
+    _ingest(spark, f"{root}/landing", root, database=prefix)
+    out = _stream_result(spark, f"{root}/tables", "account_id", "day", database=prefix, partitions=True)
+    return out.select("account_id", "profileId", "campaignId", "date", "day", "impressions", "clicks")
 
 
 @query("latest_file_wins", _STREAM_SQL.format(bump=" + 1"))

@@ -194,10 +194,8 @@ def store_history(history: DataFrame, path: str, *, staging_root: str, touched_s
     if touched_sellers is not None:
         touched = touched_sellers.select(_bucket(seller, buckets).alias("_bucket")).distinct()
         df = df.join(touched, "_bucket", "left_semi")
-    L.keep_bucket_count(spark, path, buckets)
-    fs, p, _ = L._fs(spark, path)
-    L.publish_partitions(df, path, "_bucket", staging_root=staging_root, reads_target=fs.exists(p), touched=touched)
     L.keep_bucket_count(spark, path, buckets, store=True)
+    L.publish_partitions(df, path, "_bucket", staging_root=staging_root, reads_target=L.has_partitions(spark, path), touched=touched)
 
 
 def load_history(spark, path: str, schema) -> DataFrame:

@@ -64,8 +64,8 @@ def read_csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: str, now: Column,
-                  staging_root: str, query_id: str = "batch") -> None:
-    """Load one micro-batch.
+                  staging_root: str, query_id: str = "batch", database: str | None = None) -> None:
+    """Load one micro-batch into the catalog tables of ``database``, or the folders of ``tables_root``.
 
     Files with another extension than ``.gz .json .csv`` (I-13), files for no configured table (also
     those whose path is too short to name one), files without a header or whose header names an
@@ -102,7 +102,7 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
                 continue
             part = good.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
             stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", "value"),
-                                spec, now=now, presence=wants_presence(spec))
+                                spec, now=now, presence=wants_presence(spec), account=True)
             # CSV files of this table, grouped by header (bounded by the files of one micro-batch).
             csv = part.filter(F.col("extension") == ".csv")
             csv = csv.select("_file", F.substring_index(F.col("value"), "\n", 1).alias("_header"))
@@ -110,11 +110,11 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
             for r in csv.collect():
                 groups.setdefault(r["_header"], []).append(r["_file"])
             for paths in groups.values():
-                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths), spec, now=now, presence=wants_presence(spec)))
+                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths), spec, now=now, presence=wants_presence(spec), account=True))
             stage = stage.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
-                           batch_id=str(batch_id))
+                           batch_id=str(batch_id), database=database)
                 counts = row_count(stage, by=("_file",)).select(
                     "_file", "row_count")
                 _write_status(counts, tables_root, "_file_status", query_id, batch_id, f"table={spec.dataset}.{spec.table_name}")
@@ -127,8 +127,10 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
 
 def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkpoint: str,
                   kind: str = "report", now: Column | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = 10_000) -> StreamingQuery:
+                  max_files_per_trigger: int | None = 10_000, database: str | None = None) -> StreamingQuery:
     """Start the file-stream ingestion; with ``available_now`` it processes what is there and stops.
+    With ``database`` it fills the tables of Spark's catalog (``create_table_from_spec``; a prefix of
+    the dataset names, may be empty), else the table folders of ``tables_root``.
     ``max_files_per_trigger`` bounds a micro-batch (a backlog is split into several batches), which
     also bounds the per-batch driver-side lists (tables present, CSV header groups)."""
     now = F.current_timestamp() if now is None else now
@@ -143,7 +145,7 @@ def ingest_stream(spark: SparkSession, landing: str, *, tables_root: str, checkp
 
     def run(df: DataFrame, batch_id: int) -> None:
         process_batch(df, batch_id, tables_root=tables_root, kind=kind, now=now, staging_root=staging_root,
-                      query_id=_query_id(spark, checkpoint))
+                      query_id=_query_id(spark, checkpoint), database=database)
 
     writer = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -155,15 +157,17 @@ ROWS_PER_FILE = 20_000
 
 
 def write_array_files(rows: DataFrame, landing: str, *, root: str, ad_type: str, name: str, country: str,
-                      profile: str, dates: str | None = None, files_per_group: int = 2, split: bool = True) -> None:
+                      profile: str, dates: str | None = None, client: str | None = None, files_per_group: int = 2, split: bool = True) -> None:
     """Write rows as JSON-array files under the report / entity path layout
-    (``<root>/<ad_type>/<name>/<country>/<client>/<profile>[/<dates>]/part-*``). Each group of
-    (profile, dates) is split by the hash of its rows over at least ``files_per_group`` files, and more
-    by its row count, so that an array holds about ROWS_PER_FILE rows (rows equal in all columns share
-    one); the client folder carries the file's number in the group, so every folder holds exactly one
-    array. Without ``split`` a group is one file: a snapshot delivery replaces a profile by its newest
-    file (T-03), so its rows must not be spread."""
-    keys = [profile] + ([dates] if dates else [])
+    (``<part>/<root>/<ad_type>/<name>/<country>/<client>/<profile>[/<dates>]/part-*``). Each group of
+    (client, profile, dates) is split by the hash of its rows over at least ``files_per_group`` files, and
+    more by its row count, so that an array holds about ROWS_PER_FILE rows (rows equal in all columns
+    share one); the first folder carries the file's number in the group, so every folder holds exactly
+    one array. ``client``, ``profile`` and ``dates`` are columns; without ``client`` all rows belong to
+    client 7. Without ``split`` a group is one file: a snapshot delivery without a manifest replaces a
+    profile by its newest file (T-03), so its rows must not be spread."""
+    rows = rows if client else rows.withColumn("_client_key", F.lit("7"))
+    keys = [client or "_client_key", profile] + ([dates] if dates else [])
     payload = [c for c in rows.columns if c not in keys]
     files = F.greatest(F.lit(files_per_group), F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE)) if split else F.lit(1)
     groups = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(files.alias("_files"))
@@ -174,9 +178,9 @@ def write_array_files(rows: DataFrame, landing: str, *, root: str, ad_type: str,
     grouped = parts.repartition(max(2, -(-rows.count() // ROWS_PER_FILE)), *keys, "_part")
     docs = grouped.groupBy(*keys, "_part").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*payload))), ","), F.lit("]")).alias("value"))
-    layout = ["_root", "_ad", "_type", "_country", "_client", "_profile"] + (["_dates"] if dates else [])
-    cols = [F.lit(root).alias("_root"), F.lit(ad_type).alias("_ad"), F.lit(name).alias("_type"),
-            F.lit(country).alias("_country"), F.col("_part").cast("string").alias("_client"),
+    layout = ["_part", "_root", "_ad", "_type", "_country", "_client", "_profile"] + (["_dates"] if dates else [])
+    cols = [F.col("_part").cast("string").alias("_part"), F.lit(root).alias("_root"), F.lit(ad_type).alias("_ad"), F.lit(name).alias("_type"),
+            F.lit(country).alias("_country"), F.col(keys[0]).cast("string").alias("_client"),
             F.col(profile).alias("_profile")] + ([F.col(dates).alias("_dates")] if dates else [])
     docs.select(*cols, "value").write.mode("overwrite").option("compression", "gzip").partitionBy(*layout).text(landing)
 

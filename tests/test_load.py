@@ -63,17 +63,43 @@ def test_append_and_schema_tools(spark):
     assert [(r["k"], r["n"]) for r in L.assert_unique_key(dup, ["k"]).collect()] == [("a", 2)]
 
 
-def test_stage_then_publish_versions(spark, tmpdir_path):
-    root = os.path.join(tmpdir_path, "t")
+def test_stage_then_publish_switches_the_location(spark, tmpdir_path):
+    from adspark.operators import catalog_tables as CT
+    table = "t_published.pub"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_published LOCATION '{tmpdir_path}/db'")
     df1 = spark.createDataFrame([("a", 1)], "k string, v int")
-    rec1 = L.stage_then_publish(df1, root, batch_id="b1")
-    cur = L.read_published(spark, root)
-    rec2 = L.stage_then_publish(L.merge_upsert(cur, spark.createDataFrame([("a", 2)], "k string, v int"), ["k"]),
-                                root, batch_id="b2")
-    assert (rec1["version"], rec2["version"]) == (1, 2)
-    assert L.read_pointer(spark, root)["batches"] == ["b1", "b2"]
-    assert [(r["k"], r["v"]) for r in L.read_published(spark, root).collect()] == [("a", 2)]
-    assert [(r["k"], r["v"]) for r in spark.read.parquet(rec1["path"]).collect()] == [("a", 1)]
+    CT.stage_then_publish(df1, table, tmpdir_path, batch_id="b1")
+    before = spark.table(table)
+    CT.stage_then_publish(L.merge_upsert(spark.table(table), spark.createDataFrame([("a", 2)], "k string, v int"), ["k"]),
+                          table, tmpdir_path, batch_id="b2")
+    assert CT.table_property(spark, table, "batch") == "b2"
+    assert [(r["k"], r["v"]) for r in spark.table(table).collect()] == [("a", 2)]
+    assert [(r["k"], r["v"]) for r in before.collect()] in ([("a", 1)], [("a", 2)])  # old or new, whole
+    assert CT.remove_unused_loads(spark, table, root=tmpdir_path, older_than_hours=1) == 0
+    assert CT.remove_unused_loads(spark, table, root=tmpdir_path, older_than_hours=0) == 1
+    assert [(r["k"], r["v"]) for r in spark.table(table).collect()] == [("a", 2)]
+
+
+def test_catalog_partitions_switch(spark, tmpdir_path):
+    """Only touched partitions change; emptied ones are empty; odd values of partition columns."""
+    from adspark.operators import catalog_tables as CT
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_parts LOCATION '{tmpdir_path}/db'")
+    spark.sql(f"CREATE TABLE t_parts.t (v int, account_id string, day string) USING parquet PARTITIONED BY (account_id, day) LOCATION '{tmpdir_path}/t'")
+    odd = "a'b/c=d e:f%"
+
+    def rows():
+        return sorted(map(tuple, spark.table("t_parts.t").collect()))
+
+    def load(data, touched):
+        CT.publish_partitions_to_catalog(spark.createDataFrame(data, "v int, account_id string, day string"), "t_parts.t", ["account_id", "day"], touched)
+
+    load([(1, "x", "2024-01-01"), (2, "y", "2024-01-01"), (3, odd, "none")], [("x", "2024-01-01"), ("y", "2024-01-01"), (odd, "none")])
+    assert rows() == sorted([(1, "x", "2024-01-01"), (2, "y", "2024-01-01"), (3, odd, "none")])
+    load([(4, "x", "2024-01-01"), (5, odd, "none")], [("x", "2024-01-01"), ("y", "2024-01-01"), (odd, "none")])
+    assert rows() == sorted([(4, "x", "2024-01-01"), (5, odd, "none")])
+    load([], [])
+    assert CT.remove_unused_loads(spark, "t_parts.t", older_than_hours=0) == 1
+    assert rows() == sorted([(4, "x", "2024-01-01"), (5, odd, "none")])
 
 
 def test_publish_partitions_touches_only_stage_dates(spark, tmpdir_path):

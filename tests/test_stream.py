@@ -144,15 +144,79 @@ def test_touched_partitions_are_replaced(spark, tmpdir_path):
     assert [r for r in before if r[1] == "None"] == [r for r in after if r[1] == "None" and r[2] == 2]
 
 
-def test_touched_keeps_null_partition(spark):
-    """Rows of the NULL partition are read back when the stage has rows there, and only then."""
+def test_touched_partitions_exactly(spark):
+    """The rows read back are those of the stage's (account, day) tuples, not of their ranges."""
     import adspark.plans.ingest as I
-    current = spark.createDataFrame([(1, None), (2, "a"), (3, "b"), (6, "c")], "id int, day string")
-    def ids(stage):
-        return sorted(r.id for r in I._touched(current, spark.createDataFrame(stage, "id int, day string"), "day").collect())
-    assert ids([(4, None), (5, "b")]) == [1, 3]
-    assert ids([(4, "a"), (5, "c")]) == [2, 6]
-    assert ids([(4, None)]) == [1] and ids([]) == []
+    current = spark.createDataFrame([(i, a, d) for i, (a, d) in enumerate([("x", "none"), ("x", "d1"), ("y", "d1"), ("y", "d2"), ("z", "d3"), ("x", "d3")])],
+                                    "id int, account_id string, day string")
+    def ids(touched):
+        return sorted(r.id for r in current.where(I._touched_condition(touched, ["account_id", "day"])).collect())
+    assert ids([("x", "none"), ("y", "d2")]) == [0, 3]
+    assert ids([("x", "d1"), ("x", "d3"), ("z", "d1"), ("z", "d3")]) == [1, 4, 5]
+    assert ids([]) == []
+
+
+def _accounts(spark, landing, tables, ckpt, **target):
+    """Two accounts with the same profile, campaign and day."""
+    from adspark.plans.ingest import read_table
+
+    def put(client, name, rows):
+        d = os.path.join(landing, "reports", "SP", "campaign", "US", client, "p1", "20240320-20240320")
+        os.makedirs(d, exist_ok=True)
+        with gzip.open(os.path.join(d, name), "wt") as f:
+            json.dump(rows, f)
+
+    def run():
+        ingest_stream(spark, landing, tables_root=tables, checkpoint=ckpt, now=_now(), **target).awaitTermination()
+
+    def rows():
+        t = read_table(spark, tables, SPEC, partitions=True, **target)
+        return sorted((r["account_id"], r["day"], r["date"].hour, r["campaignId"], r["cost"]) for r in t.collect())
+
+    put("c7", "a.json.gz", _rows(0, 2, cost=1.0) + _rows(9, 10, day="2024-03-20 11:00:00"))
+    put("c8", "a.json.gz", _rows(0, 2, cost=5.0))
+    run()
+    both = [("c7", "2024-03-20", 0, 0, 1.0), ("c7", "2024-03-20", 0, 1, 2.0), ("c7", "2024-03-20", 11, 9, 10.0),
+            ("c8", "2024-03-20", 0, 0, 5.0), ("c8", "2024-03-20", 0, 1, 6.0)]
+    assert rows() == both
+    put("c8", "b.json.gz", _rows(0, 1, cost=50.0))
+    run()
+    assert rows() == [*both[:3], ("c8", "2024-03-20", 0, 0, 50.0), both[4]]
+    assert {r["profileId"] for r in read_table(spark, tables, SPEC, account="c8", **target).collect()} == {"p1"}
+    assert read_table(spark, tables, SPEC, account="c8", **target).count() == 2
+
+
+def test_accounts_are_apart_in_folders(spark, tmpdir_path):
+    _accounts(spark, *(os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt")))
+
+
+def test_accounts_are_apart_in_the_catalog(spark, tmpdir_path):
+    from adspark.operators import catalog_tables as CT
+    tables = os.path.join(tmpdir_path, "tables")
+    _accounts(spark, os.path.join(tmpdir_path, "in"), tables, os.path.join(tmpdir_path, "ckpt"), database="t_acc_")
+    name = f"t_acc_{SPEC.dataset}.{SPEC.table_name}"
+    assert sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()) == ["account_id=c7/day=2024-03-20", "account_id=c8/day=2024-03-20"]
+    # rows are written once: each load has one folder, and only used ones stay
+    assert CT.remove_unused_loads(spark, name, older_than_hours=0) == 0  # the first load still serves c7
+    plan = spark.table(name).where("account_id = 'c8' and day = '2024-03-20'")._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan
+    spark.sql(f"DROP TABLE {name}")
+    import pytest
+    with pytest.raises(ValueError, match="does not know"):
+        load_stage(spark, clean_files(whole_files(spark, os.path.join(tmpdir_path, "in")), SPEC, now=_now()), SPEC, tables_root=tables,
+                   staging_root=os.path.join(tmpdir_path, "st"), database="t_acc_")
+
+
+def test_entity_snapshots_in_the_catalog(spark, tmpdir_path):
+    from adspark.plans.ingest import read_table
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    _entity(landing, "p1", "e1.json.gz", [{"adGroupId": 1, "campaignId": 1}, {"adGroupId": 2, "campaignId": 1}])
+    _entity(landing, "p2", "e0.json.gz", [{"adGroupId": 9, "campaignId": 2}])
+    ingest_stream(spark, landing, tables_root=tables, checkpoint=ckpt, now=_now(), kind="entity", database="t_ent_").awaitTermination()
+    _entity(landing, "p1", "e2.json.gz", [{"adGroupId": 3, "campaignId": 1}])
+    ingest_stream(spark, landing, tables_root=tables, checkpoint=ckpt, now=_now(), kind="entity", database="t_ent_").awaitTermination()
+    snap = read_table(spark, tables, ENTITY, database="t_ent_")
+    assert sorted((r["profileId"], r["adGroupId"]) for r in snap.collect()) == [("p1", 3), ("p2", 9)]
 
 
 def test_two_streams_share_a_table(spark, tmpdir_path):

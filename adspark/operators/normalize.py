@@ -75,7 +75,7 @@ def cast_column(c: Column, dtype: T.DataType, config_type: str) -> Column:
     return _string_value(c, dtype)
 
 
-def _bad_value(c: Column, dtype: T.DataType, config_type: str) -> Column:
+def bad_value(c: Column, dtype: T.DataType, config_type: str) -> Column:
     """True where a non-blank input value could not be cast (it is replaced by the default)."""
     text = F.trim(c.cast("string")) if not isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)) \
         else F.lit(None).cast("string")
@@ -103,7 +103,7 @@ def cast_to_schema(df: DataFrame, spec, *, fail_fast: bool = False, add_missing:
         if name in dtypes:
             c = F.col(f"`{name}`")
             out.append(cast_column(c, dtypes[name], ctype).alias(name))
-            bad.append((name, _bad_value(c, dtypes[name], ctype)))
+            bad.append((name, bad_value(c, dtypes[name], ctype)))
         elif add_missing:
             out.append(F.lit(None).cast(SPARK_TYPES.get(ctype, T.StringType())).alias(name))
     extra = [F.col(f"`{c}`") for c in df.columns if c.startswith("_") and c not in dict(columns)]

@@ -13,40 +13,87 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
+from adspark.functions.text import normalize_value
 from adspark.operators import catalog_tables as CT
 from adspark.operators import load as L
 from adspark.operators import normalize as N
-from adspark.sources.files import spec_input_schema
+from adspark.sources.files import parse_report, spec_input_schema
 from adspark.sources.paths import path_metadata
 from adspark.specs import TableSpec
 
 
 # Columns of the stage that name the fields a delivery holds, and the order of deliveries.
-PRESENT, ORDER = "_present", "_order"
+PRESENT, ORDER, KEYS = "_present", "_order", "_keys"
+
+
+def _named(value: Column, keys: Column) -> Column:
+    """N-01 on JSON: the report with its keys normalised, as JSON text; untouched where all are. Of
+    keys that become equal the first of an object stays."""
+    objects = F.from_json(value, "array<map<string,string>>")
+    renamed = F.transform(objects, lambda m: F.aggregate(
+        F.map_entries(m), F.from_json(F.lit("{}"), "map<string,string>"),
+        lambda acc, e: F.when(F.map_contains_key(acc, normalize_value(e["key"])), acc).otherwise(F.map_concat(acc, F.create_map(normalize_value(e["key"]), e["value"])))))
+    return F.when(F.exists(keys, lambda k: k != normalize_value(k)), F.to_json(renamed)).otherwise(value)
 
 
 def parse_files(files: DataFrame, spec: TableSpec, *, presence: bool = False) -> DataFrame:
     """Whole-file rows (``_file``, ``_mtime``, ``value``) to one row per array element, every
-    configured field as text. With ``presence`` the column ``_present`` lists the fields that any
-    object of the file names (a field that is null throughout is there, an absent one is not)."""
+    configured field as text, keys by the naming rules (N-01). ``_keys`` lists the fields that any
+    object of the file names, known or not (one that is null throughout is there, an absent one is
+    not); with ``presence`` also as ``_present``. A file that is not one whole report is an error."""
     schema = spec_input_schema(spec)
-    carried = ["_file", "_mtime"]
-    if presence:
-        names = F.transform(F.from_json(F.col("value"), "array<map<string,string>>"), lambda m: F.map_keys(m))
-        files = files.withColumn(PRESENT, F.array_distinct(F.flatten(F.filter(names, lambda n: n.isNotNull()))))
-        carried.append(PRESENT)
-    return files.select(*carried, F.inline(F.from_json(F.col("value"), ArrayType(schema))))
+    names = F.transform(F.from_json(F.col("value"), "array<map<string,string>>"), lambda m: F.map_keys(m))
+    files = files.withColumn(KEYS, F.array_distinct(F.flatten(F.filter(names, lambda n: n.isNotNull()))))
+    files = files.withColumn("value", _named(F.col("value"), F.col(KEYS))).withColumn(KEYS, F.array_distinct(F.transform(KEYS, lambda k: normalize_value(k))))
+    present = [F.col(KEYS).alias(PRESENT)] if presence else []
+    return files.select("_file", "_mtime", KEYS, *present, F.inline(parse_report(F.col("value"), schema, file=F.col("_file"))))
+
+
+class LoadQuality:
+    """What a load replaced or left out (N-03, N-05), observed while its stage is made: no pass of
+    its own. Each part of the stage (JSON files, CSV files of one header) has its own observation."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[Observation, list[str], list[str]]] = []
+
+    def watch(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
+        types = {f.name: f.dataType for f in rows.schema}
+        cast = [(c, t) for c, t in spec.columns if c in types]
+        seen, metrics = Observation(), [F.count(F.lit(1)).alias("rows")]
+        metrics += [F.count_if(N.bad_value(F.col(f"`{c}`"), types[c], t)).alias(f"bad_{i}") for i, (c, t) in enumerate(cast)]
+        extra = []
+        if KEYS in rows.columns:
+            metrics.append(F.collect_set(KEYS).alias("keys"))  # one entry per set of names
+        else:
+            extra = [c for c in rows.columns if not c.startswith("_")]
+        self.parts.append((seen, [c for c, _ in cast], extra))
+        return rows.observe(seen, *metrics)
+
+    def rows(self, spec: TableSpec) -> list[tuple[str, str, int | None]]:
+        """(column, kind, n): ``rejected`` values that became the default, ``dropped`` columns (n is
+        NULL) and, for the column ``*``, the ``rows`` of the stage. To be called after the load."""
+        known = {*spec.column_names, "budget", "extendedData"}
+        bad: dict[str, int] = {}
+        total, dropped = 0, set()
+        for seen, columns, extra in self.parts:
+            got = seen.get
+            total += got["rows"]
+            for i, c in enumerate(columns):
+                bad[c] = bad.get(c, 0) + got[f"bad_{i}"]
+            dropped |= {k for keys in got.get("keys") or [] for k in keys} | set(extra if got["rows"] else [])
+        return [("*", "rows", total), *((c, "rejected", n) for c, n in sorted(bad.items()) if n), *((c, "dropped", None) for c in sorted(dropped - known))]
 
 
-def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False, account: bool = False) -> DataFrame:
+def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False, account: bool = False,
+               quality: LoadQuality | None = None) -> DataFrame:
     """Parsed rows (with ``_file``) of one table to typed columns plus ``_file`` / ``_mtime``: path
     metadata, entity flattening, stamping, unknown columns dropped, cast with type defaults (also for
     columns that the rows lack). With ``account`` also ``account_id``, the client of the path. With ``presence`` also ``_present``, the columns of the delivery: those
-    of ``rows`` unless it has its own list, and those that are stamped on every row."""
+    of ``rows`` unless it has its own list, and those that are stamped on every row. ``quality``
+    observes what the cast replaces and what is dropped."""
     kind = "report" if spec.table_type == "report" else "entity"
     carried = ["_file", "_mtime"]
     if presence:
@@ -70,15 +117,18 @@ def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool
         rows = N.default_report_date(rows, spec, F.col("_start_date"))
     rows = N.stamp_columns(rows, kind=kind, ad_type=spec.ad_type, now=now)
     rows = N.stringify_nested(rows, spec)
+    if quality is not None:
+        rows = quality.watch(rows, spec)
     rows, _ = N.drop_unknown_columns(rows, spec)
     typed, _ = N.cast_to_schema(rows, spec, add_missing=True)
     whose = [F.col("_client_id").alias(L.ACCOUNT)] if account else []
     return typed.select(*spec.column_names, *carried, *whose)
 
 
-def clean_files(files: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False, account: bool = False) -> DataFrame:
+def clean_files(files: DataFrame, spec: TableSpec, *, now: Column, presence: bool = False, account: bool = False,
+                quality: LoadQuality | None = None) -> DataFrame:
     """``parse_files`` then ``clean_rows``: one lazy plan per table."""
-    return clean_rows(parse_files(files, spec, presence=presence), spec, now=now, presence=presence, account=account)
+    return clean_rows(parse_files(files, spec, presence=presence), spec, now=now, presence=presence, account=account, quality=quality)
 
 
 def wants_presence(spec: TableSpec) -> bool:

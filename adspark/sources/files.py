@@ -8,7 +8,10 @@ UTF-8 / latin1 decision (I-02) is made per file in the same pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,10 +38,29 @@ def whole_files(spark: SparkSession, paths, *, fallback: str = "ISO-8859-1", rec
         decode_with_fallback(F.col("value"), fallback).alias("value"))
 
 
+def parse_report(value: Column, schema: T.StructType, *, file: Column | None = None) -> Column:
+    """The objects of a JSON array (or of one lone object) that is the whole text. NULL for anything
+    else: text that does not parse, and text that goes on after the value, which the JSON parser
+    itself would leave out silently. With ``file`` (its name) an error instead of NULL.
+
+    The text is put into an array in front of an empty one: only if it is one whole value has that
+    array two elements."""
+    lone = F.regexp_like(value, F.lit(r"^\s*\{"))
+    text = F.when(lone, F.concat(F.lit("[["), value, F.lit("],[]]"))).otherwise(F.concat(F.lit("["), value, F.lit(",[]]")))
+    whole = F.filter(F.array(F.from_json(text, T.ArrayType(T.ArrayType(schema)))),
+                     lambda p: (F.size(p) == 2) & (~lone | (F.size(F.get(p, F.lit(0))) == 1)))
+    objects = F.get(F.get(whole, F.lit(0)), F.lit(0))
+    if file is None:
+        return objects
+    return F.coalesce(objects, F.raise_error(F.concat(F.lit("not one whole JSON report: "), file)))
+
+
 def read_json_report(spark: SparkSession, paths, schema: T.StructType | None = None, *,
                      fallback: str = "ISO-8859-1", files: DataFrame | None = None, mode: str = "wholetext",
-                     encoding: str = "UTF-8") -> DataFrame:
-    """I-01: each file holds one JSON array of objects; rows with ``_file`` and ``_mtime``.
+                     encoding: str = "UTF-8", lines: bool = False) -> DataFrame:
+    """I-01: each file holds one JSON array of objects; rows with ``_file`` and ``_mtime``. A file
+    that is cut short, or goes on after the array, is an error. ``lines`` reads files that hold one
+    array or object a line instead.
 
     ``mode="wholetext"`` (default) reads each file as one value, so the UTF-8 / latin1 decision
     (I-02) is made per file; a file must fit in one task's memory. ``mode="multiline"`` uses Spark's
@@ -56,7 +78,9 @@ def read_json_report(spark: SparkSession, paths, schema: T.StructType | None = N
     if mode != "wholetext":
         raise ValueError(f"unknown mode {mode!r}")
     files = whole_files(spark, paths, fallback=fallback) if files is None else files
-    return files.select("_file", "_mtime", F.inline(F.from_json(F.col("value"), T.ArrayType(schema))))
+    if lines:
+        files = files.withColumn("value", F.explode(F.split("value", "\n"))).where(F.trim(F.regexp_replace("value", r"\s", " ")) != "")
+    return files.select("_file", "_mtime", F.inline(parse_report(F.col("value"), schema, file=F.col("_file"))))
 
 
 def spec_input_schema(spec, *, nested=("extendedData", "budget")) -> T.StructType:
@@ -67,16 +91,50 @@ def spec_input_schema(spec, *, nested=("extendedData", "budget")) -> T.StructTyp
 
 
 def csv_reader(spark: SparkSession):
-    """Reader for CSV reports: header, text columns, doubled quotes, line breaks inside quotes."""
-    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True)
+    """Reader for CSV reports: header, text columns, doubled quotes, line breaks inside quotes. Bytes
+    are read one by one as latin1, where quotes, commas and line ends are the same; ``decoded`` then
+    decides per value (I-02)."""
+    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True).option("encoding", "ISO-8859-1")
+
+
+def _name(raw: str) -> str:
+    """A column name that was read as latin1: UTF-8 if it is that, without a byte order mark."""
+    data = raw.encode("latin-1", "replace")
+    try:
+        return data.decode("utf-8").lstrip("\ufeff")
+    except UnicodeDecodeError:
+        return raw
+
+
+def decoded(df: DataFrame, names=None) -> DataFrame:
+    """I-02 for rows of ``csv_reader``: each value as UTF-8 if it is valid, else as latin1."""
+    names = [_name(c) for c in df.columns] if names is None else names
+    return df.select(*[decode_with_fallback(F.encode(F.col(f"`{c}`"), "ISO-8859-1")).alias(n) for c, n in zip(df.columns, names, strict=True)], F.col("_metadata"))
 
 
 def read_csv_report(spark: SparkSession, paths) -> DataFrame:
     """I-03: CSV with header, every column as text (no inference pass), plus ``_file``. Quoted values
-    may hold commas, doubled quotes and line breaks."""
-    df = csv_reader(spark).csv(_paths(paths))
+    may hold commas, doubled quotes and line breaks; values are UTF-8 or latin1 (I-02)."""
+    df = decoded(csv_reader(spark).csv(_paths(paths)))
     return df.withColumn("_file", source_path()) \
-        .withColumn("_mtime", F.col("_metadata.file_modification_time"))
+        .withColumn("_mtime", F.col("_metadata.file_modification_time")).drop("_metadata")
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a CSV header line; blank and repeated ones get their position."""
+    names = next(csv.reader([line.lstrip("\ufeff")]), [])
+    low = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if low.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def read_csv_files(spark: SparkSession, paths: list[str], header: str) -> DataFrame:
+    """CSV files of these very names (no wildcards) that share the header line ``header``: columns
+    as text, ``_file`` and ``_mtime``."""
+    names = header_names(header)
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    plain = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    df = decoded(csv_reader(spark).schema(schema).csv(plain), names)
+    return df.withColumns({"_file": source_path(), "_mtime": F.col("_metadata.file_modification_time")}).drop("_metadata")
 
 
 def read_listing_tsv(spark: SparkSession, paths, *, sku: str = "seller-sku", encoding: str | None = None) -> DataFrame:

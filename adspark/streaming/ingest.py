@@ -14,15 +14,16 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from adspark.functions.text import decode_with_fallback
 from adspark.operators import load as L
 from adspark.operators import normalize as N
 from adspark.operators.aggregates import row_count
-from adspark.plans.ingest import clean_files, clean_rows, load_stage, wants_presence
+from adspark.plans.ingest import LoadQuality, clean_files, clean_rows, load_stage, wants_presence
 from adspark.session import scratch_dir
-from adspark.sources.files import csv_reader, file_format_gate, header_gate
+from adspark.sources.files import file_format_gate, header_gate, parse_report, read_csv_files
 from adspark.sources.paths import path_metadata, source_path
 from adspark.specs import get_spec, load_specs
 
@@ -33,8 +34,8 @@ def _marker(spark: SparkSession, root: str, query_id: str, batch_id: int, table:
 
 
 def _write_status(df: DataFrame, tables_root: str, name: str, query_id: str, batch_id: int, *more: str) -> None:
-    """Audit tables next to the data: ``_rejects`` (files not loaded, with a status) and
-    ``_file_status`` (rows loaded per file, A-01), one folder per query, micro-batch (and table), so
+    """Audit tables next to the data: ``_rejects`` (files not loaded, with a status), ``_file_status``
+    (rows loaded per file, A-01) and ``_load_quality`` (rejected values and dropped columns), one folder per query, micro-batch (and table), so
     that a replay replaces its own rows."""
     df.write.mode("overwrite").parquet("/".join([tables_root.rstrip("/"), name, f"query={query_id}", f"batch_id={batch_id}", *more]))
 
@@ -46,21 +47,19 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def _file_headers(files: DataFrame) -> DataFrame:
     """Header names per file: first line split by commas for CSV, keys of the first object for JSON;
-    ``unreadable`` marks JSON files that do not parse as a whole."""
+    ``unreadable`` marks JSON files that are not one whole value (cut short, or going on after it)."""
     first_line = F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "\r$", "")
     csv_cols = F.when(F.trim(first_line) == "", F.array().cast("array<string>")).otherwise(F.split(first_line, ","))
     json_cols = F.coalesce(F.json_object_keys(F.get_json_object(F.col("value"), "$[0]")), F.json_object_keys(F.col("value")),
                            F.array().cast("array<string>"))
-    parsed = F.from_json(F.col("value"), "array<struct<date string>>")
+    parsed = parse_report(F.col("value"), T.StructType([T.StructField("date", T.StringType())]))
     return files.withColumns({"columns": F.when(F.col("extension") == ".csv", csv_cols).otherwise(json_cols),
                               "unreadable": (F.col("extension") != ".csv") & parsed.isNull()})
 
 
-def read_csv_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """CSV report files sharing one header: every column as text, names normalised (N-01)."""
-    df = csv_reader(spark).csv(paths)
-    df = N.normalize_columns(df)
-    return df.withColumns({"_file": source_path(), "_mtime": F.col("_metadata.file_modification_time")})
+def read_csv_rows(spark: SparkSession, paths: list[str], header: str) -> DataFrame:
+    """CSV report files sharing one header line: every column as text, names normalised (N-01)."""
+    return N.normalize_columns(read_csv_files(spark, paths, header))
 
 
 def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: str, now: Column,
@@ -101,16 +100,17 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
             if fs.exists(marker):
                 continue
             part = good.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
+            quality = LoadQuality()
             stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", "value"),
-                                spec, now=now, presence=wants_presence(spec), account=True)
+                                spec, now=now, presence=wants_presence(spec), account=True, quality=quality)
             # CSV files of this table, grouped by header (bounded by the files of one micro-batch).
             csv = part.filter(F.col("extension") == ".csv")
-            csv = csv.select("_file", F.substring_index(F.col("value"), "\n", 1).alias("_header"))
+            csv = csv.select("_file", F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "\r$", "").alias("_header"))
             groups: dict[str, list[str]] = {}
             for r in csv.collect():
                 groups.setdefault(r["_header"], []).append(r["_file"])
-            for paths in groups.values():
-                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths), spec, now=now, presence=wants_presence(spec), account=True))
+            for header, paths in groups.items():
+                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths, header), spec, now=now, presence=wants_presence(spec), account=True, quality=quality))
             stage = stage.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
@@ -118,6 +118,8 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
                 counts = row_count(stage, by=("_file",)).select(
                     "_file", "row_count")
                 _write_status(counts, tables_root, "_file_status", query_id, batch_id, f"table={spec.dataset}.{spec.table_name}")
+                kept = spark.createDataFrame(quality.rows(spec), "column string, kind string, n long")
+                _write_status(kept, tables_root, "_load_quality", query_id, batch_id, f"table={spec.dataset}.{spec.table_name}")
             finally:
                 stage.unpersist()
             fs.create(marker, True).close()

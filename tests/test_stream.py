@@ -316,3 +316,61 @@ def test_written_arrays_grow_with_the_table(spark, tmpdir_path, monkeypatch):
         arrays = [json.loads(r.value) for r in spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(f"{tmpdir_path}/{path}").collect()]
         assert sorted(x["id"] for a in arrays for x in a) == list(range(600))
         assert len(arrays) >= 25 and max(len(a) for a in arrays) <= 50
+
+
+def test_trailing_content_is_a_reject(spark, tmpdir_path):
+    """Nothing is lost silently: text after the report, a second report, JSON lines."""
+    import pytest
+    from adspark.sources.files import read_json_report, spec_input_schema
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    d = os.path.join(landing, "reports", "SP", "campaign", "US", "7", "p1", "20240320-20240320")
+    os.makedirs(d)
+    one, two = json.dumps(_rows(0, 1)), json.dumps(_rows(1, 2))
+    texts = {"two.json": one + two, "tail.json": one + " trailing", "bracket.json": one + "]", "comma.json": one + "," + two,
+             "lines.json": one[1:-1] + "\n" + two[1:-1], "objects.json": one[1:-1] + "," + two[1:-1], "null.json": "null",
+             "good.json": "\n " + json.dumps(_rows(5, 7)) + " \n", "object.json": json.dumps(_rows(8, 9)[0])}
+    for name, text in texts.items():
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    _run(spark, landing, tables, ckpt)
+    assert [r[2] for r in _table(spark, tables)] == [5, 6, 8]
+    rejects = {os.path.basename(r["_file"]): r["status"] for r in spark.read.parquet(os.path.join(tables, "_rejects")).collect()}
+    assert rejects == {n: "UNREADABLE" for n in texts if n not in ("good.json", "object.json")}
+    schema = spec_input_schema(SPEC)
+    with pytest.raises(Exception, match="not one whole JSON report"):
+        read_json_report(spark, os.path.join(d, "two.json"), schema).collect()
+    assert read_json_report(spark, os.path.join(d, "lines.json"), schema, lines=True).count() == 2
+    assert read_json_report(spark, os.path.join(d, "good.json"), schema).count() == 2
+
+
+def test_csv_encodings_and_wildcards_in_paths(spark, tmpdir_path):
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    for i, (profile, text) in enumerate([("p[1]", "café".encode("latin-1")), ("p{1,2}", "café 漢".encode()), ("p*?", b"plain")]):
+        d = os.path.join(landing, "reports", "SP", "campaign", "US", "7", profile, "20240320-20240320")
+        os.makedirs(d)
+        with open(os.path.join(d, f"a{i}.csv"), "wb") as f:
+            f.write((b"\xef\xbb\xbf" if i == 1 else b"") + b"date,campaignId,campaign Name,campaignName\r\n2024-03-20,%d,,%s\r\n" % (i, text))
+    _run(spark, landing, tables, ckpt)
+    got = sorted((r["campaignId"], r["campaignName"], r["profileId"]) for r in spark.read.parquet(table_path(tables, SPEC)).collect())
+    assert got == [(0, "café", "p[1]"), (1, "café 漢", "p{1,2}"), (2, "plain", "p*?")]
+
+
+def test_json_keys_follow_the_naming_rules(spark, tmpdir_path):
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    _report(landing, "p1", "20240320-20240320", "a.json.gz",
+            [{"date": "2024-03-20", "campaign.Id": 4, "co/st": 1.5, "campaignName": "say \"hi\""}, {"date": "2024-03-20", "campaignId": 5, "campaign,Id": 6}])
+    _run(spark, landing, tables, ckpt)
+    got = sorted((r["campaignId"], r["cost"], r["campaignName"]) for r in spark.read.parquet(table_path(tables, SPEC)).collect())
+    assert got == [(4, 1.5, 'say "hi"'), (5, 0.0, "")]
+
+
+def test_load_quality_is_kept(spark, tmpdir_path):
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+    _report(landing, "p1", "20240320-20240320", "a.json.gz", [{"date": "2024-03-20", "campaignId": 1, "cost": "n/a", "clicks": "x", "newMetric": 1},
+                                                             {"date": "2024-03-20", "campaignId": 2, "cost": "1.5", "clicks": None, "other one": 2}])
+    d = os.path.join(landing, "reports", "SP", "campaign", "US", "7", "p1", "20240320-20240320")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write("date,campaignId,cost,csvOnly\n2024-03-20,3,bad,1\n2024-03-20,4,2,1\n")
+    _run(spark, landing, tables, ckpt)
+    got = sorted((r["column"], r["kind"], r["n"]) for r in spark.read.parquet(os.path.join(tables, "_load_quality")).collect())
+    assert got == [("*", "rows", 4), ("clicks", "rejected", 1), ("cost", "rejected", 2), ("csvOnly", "dropped", None), ("newMetric", "dropped", None), ("other_one", "dropped", None)]

@@ -27,6 +27,8 @@ from adspark.specs import TableSpec
 
 # Columns of the stage that name the fields a delivery holds, and the order of deliveries.
 PRESENT, ORDER, KEYS = "_present", "_order", "_keys"
+#: Carried through parsing and cleaning where the rows have it: the id of a file's delivery.
+DELIVERY = "_delivery"
 
 
 def _named(value: Column, keys: Column) -> Column:
@@ -49,7 +51,8 @@ def parse_files(files: DataFrame, spec: TableSpec, *, presence: bool = False) ->
     files = files.withColumn(KEYS, F.array_distinct(F.flatten(F.filter(names, lambda n: n.isNotNull()))))
     files = files.withColumn("value", _named(F.col("value"), F.col(KEYS))).withColumn(KEYS, F.array_distinct(F.transform(KEYS, lambda k: normalize_value(k))))
     present = [F.col(KEYS).alias(PRESENT)] if presence else []
-    return files.select("_file", "_mtime", KEYS, *present, F.inline(parse_report(F.col("value"), schema, file=F.col("_file"))))
+    carried = ["_file", "_mtime", *(c for c in (DELIVERY,) if c in files.columns)]
+    return files.select(*carried, KEYS, *present, F.inline(parse_report(F.col("value"), schema, file=F.col("_file"))))
 
 
 class LoadQuality:
@@ -95,7 +98,7 @@ def clean_rows(rows: DataFrame, spec: TableSpec, *, now: Column, presence: bool
     of ``rows`` unless it has its own list, and those that are stamped on every row. ``quality``
     observes what the cast replaces and what is dropped."""
     kind = "report" if spec.table_type == "report" else "entity"
-    carried = ["_file", "_mtime"]
+    carried = ["_file", "_mtime", *(c for c in (DELIVERY,) if c in rows.columns)]
     if presence:
         given = F.col(PRESENT) if PRESENT in rows.columns else F.array(*map(F.lit, rows.columns))
         stamped = ["last_updated", *spec.merge_columns]
@@ -147,16 +150,17 @@ def table_path(tables_root: str, spec: TableSpec) -> str:
 
 def latest_file_rows(stage: DataFrame, spec: TableSpec) -> DataFrame:
     """T-03: within one batch, the newest file wins. For merge tables per key row (grouped
-    ``max_by``, partial aggregation before the shuffle); for delete_insert tables per key group
-    (the rows of the newest file holding that group)."""
+    ``max_by``, partial aggregation before the shuffle); for delete_insert tables per key group: the
+    rows of the newest delivery holding that group (``_delivery``, its order; without it a file is a
+    delivery)."""
     keys = [c for c in (L.ACCOUNT,) if c in stage.columns] + list(spec.merge_columns)
     if spec.load_method == "merge":
-        return L.dedupe_stage(stage.withColumn("_order", F.struct("_mtime", "_file")), keys,
+        return L.dedupe_stage(stage.drop(DELIVERY).withColumn("_order", F.struct("_mtime", "_file")), keys,
                               conflict="latest_wins", order_by="_order").drop("_order")
     # Null-safe on the keys: rows without a key form a group too.
-    newest = stage.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.max(F.struct("_mtime", "_file")).alias("_newest"))
-    same = F.col("_newest").eqNullSafe(F.struct("_mtime", "_file"))
+    order = F.col(DELIVERY) if DELIVERY in stage.columns else F.struct("_mtime", "_file")
+    newest = stage.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(order).alias("_newest"))
+    same = F.col("_newest").eqNullSafe(order)
     for i, k in enumerate(keys):
         same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
     return stage.join(newest, same, "left_semi")
@@ -225,9 +229,9 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
     subset = PRESENT in stage.columns and spec.load_method == "merge"
     stage = L.with_partitions(stage, spec, buckets=buckets)
     if subset:
-        stage = stage.withColumn(ORDER, F.struct("_mtime", "_file")).drop("_file", "_mtime")
+        stage = stage.withColumn(ORDER, F.struct("_mtime", "_file")).drop("_file", "_mtime", DELIVERY)
     else:
-        stage = latest_file_rows(stage, spec).drop("_file", "_mtime")
+        stage = latest_file_rows(stage, spec).drop("_file", "_mtime", DELIVERY)
     parts, schema, path = L.partition_columns(spec), L.partition_schema(spec), table_path(tables_root, spec)
     keys = [L.ACCOUNT, *spec.merge_columns]
     touched = [tuple(r) for r in stage.select(*parts).distinct().collect()]

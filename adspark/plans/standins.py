@@ -1735,26 +1735,85 @@ SELECT 'N' || CAST(c_nationkey AS VARCHAR) AS profileId, c_custkey AS adGroupId,
 FROM customer WHERE c_nationkey >= 5 OR c_acctbal > 0
 """)
 def q_ingest_entity_snapshots(spark, sf):
-    """T-01 / L-02 for entities: customers are SP ad groups, one profile per nation. A first
-    delivery holds every customer; a later micro-batch re-delivers nations 0-4 with only the
-    customers in credit, which replaces those profiles' snapshots (key-bucketed partitions)."""
+    """T-01, T-03 / L-02 for entities: customers are SP ad groups, one profile per nation, each
+    delivery of a profile split over several files. A first delivery holds every customer; a later one
+    re-delivers nations 0-4 with only the customers in credit, which replaces those profiles'
+    snapshots (key-bucketed partitions); of a third, for all nations, the last parts are missing, so
+    it changes nothing."""
     from adspark.plans.ingest import read_table
     from adspark.streaming.ingest import ingest_stream, write_array_files
     root = _scratch(spark, "entities")
     c = _t(spark, sf, "customer")
-    kw = dict(root="entities", ad_type="SP", name="adgroup", country="US", profile="_profile_key", split=False)
-    write_array_files(_entity_rows(c), f"{root}/landing/first", **kw)
-    q = ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint",
-                      kind="entity", now=_now())
-    q.awaitTermination()
-    write_array_files(_entity_rows(c.filter("c_nationkey < 5 AND c_acctbal > 0")), f"{root}/landing/second", **kw)
-    q = ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint",
-                      kind="entity", now=_now())
-    q.awaitTermination()
+
+    def deliver(rows: DataFrame, number: str, part: str = "*") -> None:
+        write_array_files(_entity_rows(rows), f"{root}/out/{number}", root="entities", ad_type="SP", name="adgroup", country="US",
+                          profile="_profile_key", delivery=number, files_per_group=4)
+        # the delivery's files, or those of some parts, arrive in the landing folder
+        fs, _, jvm = L._fs(spark, root)
+        for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/out/{number}/delivery=*/part={part}")):
+            source = found.getPath()
+            target = jvm.org.apache.hadoop.fs.Path(f"{root}/landing/{source.getParent().getName()}/{source.getName()}")
+            fs.mkdirs(target.getParent())
+            fs.rename(source, target)
+
+    def ingest() -> None:
+        ingest_stream(spark, f"{root}/landing", tables_root=f"{root}/tables", checkpoint=f"{root}/_checkpoint", kind="entity", now=_now()).awaitTermination()
+
+    deliver(c, "d1")
+    ingest()
+    deliver(c.filter("c_nationkey < 5 AND c_acctbal > 0"), "d2")
+    deliver(c.withColumn("c_name", F.lit("lost")), "d3", part="1-of-*")
+    ingest()
     t = read_table(spark, f"{root}/tables", get_spec("entity", "SP", "adgroup"))
     return t.select("profileId", "adGroupId", "campaignId", "name", "state", "defaultBid", "servingStatus")
 
 
+def _report_rows(o: DataFrame) -> DataFrame:
+    year = F.date_format("o_orderdate", "yyyy")
+    return o.select(F.concat(F.lit("P"), F.col("o_orderstatus")).alias("_profile_key"), F.concat(year, F.lit("0101-"), year, F.lit("1231")).alias("_dates_key"),
+                    F.col("o_orderkey").alias("campaignId"), F.date_format("o_orderdate", "yyyy-MM-01").alias("date"), "o_orderpriority", F.col("o_totalprice").alias("cost"))
+
+
+@query("ingest_strict", """
+SELECT 'loaded' AS status, 'P' || o_orderstatus AS profile, count(*) AS n FROM orders WHERE year(o_orderdate) % 2 = 0 GROUP BY ALL
+UNION ALL
+SELECT DISTINCT 'UNREADABLE', 'P' || o_orderstatus, NULL::BIGINT FROM orders WHERE year(o_orderdate) % 2 = 1
+""")
+def q_ingest_strict(spark, sf):
+    """I-01: reports whose text goes on after the array (those of the odd years) are rejected, not cut."""
+    from adspark.streaming.ingest import write_array_files
+    root, prefix = _scratch(spark, "strict"), _prefix()
+    rows = _report_rows(_t(spark, sf, "orders")).drop("o_orderpriority")
+    odd = F.substring("_dates_key", 1, 4).cast("int") % 2 == 1
+    write_array_files(rows.withColumn("_tail", F.when(odd, "[]")), f"{root}/landing/a", root="reports", ad_type="SP", name="campaign", country="US",
+                      profile="_profile_key", dates="_dates_key", tail="_tail")
+    _ingest(spark, f"{root}/landing", root, database=prefix)
+    loaded = _stream_result(spark, f"{root}/tables", database=prefix).groupBy(F.lit("loaded").alias("status"), F.col("profileId").alias("profile")).agg(F.count("*").alias("n"))
+    rejects = path_metadata(spark.read.parquet(f"{root}/tables/_rejects")).select("status", F.col("_profile_id").alias("profile"), F.lit(None).cast("long").alias("n"))
+    return loaded.unionByName(rejects.distinct())
+
+
+@query("ingest_quality", """
+SELECT '*' AS "column", 'rows' AS kind, count(*)::BIGINT AS n FROM orders
+UNION ALL SELECT 'cost', 'rejected', count(*)::BIGINT FROM orders WHERE o_orderpriority = '1-URGENT' HAVING count(*) > 0
+UNION ALL SELECT 'clicks', 'rejected', count(*)::BIGINT FROM orders WHERE o_orderpriority IN ('2-HIGH', '5-LOW') HAVING count(*) > 0
+UNION ALL SELECT DISTINCT 'newMetric', 'dropped', NULL::BIGINT FROM orders
+UNION ALL SELECT DISTINCT 'other_one', 'dropped', NULL::BIGINT FROM orders WHERE o_orderpriority = '2-HIGH'
+""")
+def q_ingest_quality(spark, sf):
+    """N-03, N-05: values that did not convert and columns that the table lacks, as the load kept them."""
+    from adspark.streaming.ingest import write_array_files
+    root, prefix = _scratch(spark, "quality"), _prefix()
+    kind = F.col("o_orderpriority")
+    rows = _report_rows(_t(spark, sf, "orders")).withColumns({
+        "cost": F.when(kind == "1-URGENT", "n/a").otherwise(F.col("cost").cast("string")),
+        "clicks": F.when(kind == "2-HIGH", "many").when(kind == "5-LOW", "1e").when(kind == "3-MEDIUM", "").otherwise("7"),
+        "newMetric": F.lit(1), "other one": F.when(kind == "2-HIGH", F.lit(2))}).drop("o_orderpriority")
+    write_array_files(rows, f"{root}/landing/a", root="reports", ad_type="SP", name="campaign", country="US", profile="_profile_key", dates="_dates_key")
+    _ingest(spark, f"{root}/landing", root, database=prefix)
+    return spark.read.parquet(f"{root}/tables/_load_quality").select("column", "kind", "n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -27,11 +27,18 @@ def _paths(paths):
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def plain_path(path: str) -> str:
+    """The path with its wildcard characters escaped, so that it names one file."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def whole_files(spark: SparkSession, paths, *, fallback: str = "ISO-8859-1", recursive: bool = True) -> DataFrame:
     """One row per file: ``_file``, ``_mtime`` and the decoded text ``value``. Folders are read
     recursively (the report layout nests files several folders deep)."""
     # ``text(..., wholetext=True)``: the keyword must be passed, ``text`` resets the option otherwise.
-    raw = spark.read.option("recursiveFileLookup", recursive).text(_paths(paths), wholetext=True)
+    # With ``recursive=False`` the paths are names of files, without wildcards.
+    paths = _paths(paths) if recursive else [plain_path(p) for p in _paths(paths)]
+    raw = spark.read.option("recursiveFileLookup", recursive).text(paths, wholetext=True)
     return raw.select(
         source_path().alias("_file"),
         F.col("_metadata.file_modification_time").alias("_mtime"),
@@ -132,8 +139,7 @@ def read_csv_files(spark: SparkSession, paths: list[str], header: str) -> DataFr
     as text, ``_file`` and ``_mtime``."""
     names = header_names(header)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    plain = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
-    df = decoded(csv_reader(spark).schema(schema).csv(plain), names)
+    df = decoded(csv_reader(spark).schema(schema).csv([plain_path(p) for p in paths]), names)
     return df.withColumns({"_file": source_path(), "_mtime": F.col("_metadata.file_modification_time")}).drop("_metadata")
 
 

@@ -6,13 +6,14 @@ table's rows are cleaned by ``clean_files`` and loaded by ``load_stage``. Idempo
 marker per (query, micro-batch, table) is written after publishing; a replayed micro-batch skips
 tables already committed, the load methods (upsert / snapshot replacement) are idempotent anyway, and
 the audit rows of a micro-batch replace those of its earlier attempt.
-Latest file wins inside a micro-batch (T-03, ``latest_file_rows``).
+Latest file wins inside a micro-batch (T-03, ``latest_file_rows``); a delivery of several files loads
+when it is complete (``deliveries``).
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +27,7 @@ from adspark.session import scratch_dir
 from adspark.sources.files import file_format_gate, header_gate, parse_report, read_csv_files
 from adspark.sources.paths import path_metadata, source_path
 from adspark.specs import get_spec, load_specs
+from adspark.streaming import deliveries as D
 
 
 def _marker(spark: SparkSession, root: str, query_id: str, batch_id: int, table: str) -> tuple:
@@ -92,6 +94,9 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
             .unionByName(files.filter(~named).select("_file", F.lit("UNKNOWN_TABLE").alias("status")))
         _write_status(rejects, tables_root, "_rejects", query_id, batch_id)
         good = files.filter(named).join(bad_header.select("_file"), "_file", "left_anti")
+        good, deliveries = D.complete_deliveries(D.with_delivery(good.select("_file", "_mtime", "value")), tables_root=tables_root, query_id=query_id, batch_id=batch_id)
+        good, _ = file_format_gate(path_metadata(good, kind=kind), path="_file")
+        good = good.withColumn(D.DELIVERY, F.col(f"{D.DELIVERY}.id"))
         # Bounded: one row per configured table present in this micro-batch (36 at most).
         tables = [(r["_ad_type"], r["_report_type"]) for r in good.select("_ad_type", "_report_type").distinct().collect()]
         for ad_type, name in sorted(tables):
@@ -101,16 +106,16 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
                 continue
             part = good.filter((F.col("_ad_type") == ad_type) & (F.col("_report_type") == name))
             quality = LoadQuality()
-            stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", "value"),
+            stage = clean_files(part.filter(F.col("extension") != ".csv").select("_file", "_mtime", D.DELIVERY, "value"),
                                 spec, now=now, presence=wants_presence(spec), account=True, quality=quality)
             # CSV files of this table, grouped by header (bounded by the files of one micro-batch).
             csv = part.filter(F.col("extension") == ".csv")
-            csv = csv.select("_file", F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "\r$", "").alias("_header"))
+            csv = csv.select("_file", D.DELIVERY, F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "\r$", "").alias("_header"))
             groups: dict[str, list[str]] = {}
             for r in csv.collect():
                 groups.setdefault(r["_header"], []).append(r["_file"])
             for header, paths in groups.items():
-                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths, header), spec, now=now, presence=wants_presence(spec), account=True, quality=quality))
+                stage = stage.unionByName(clean_rows(read_csv_rows(spark, paths, header).join(csv.select("_file", D.DELIVERY), "_file"), spec, now=now, presence=wants_presence(spec), account=True, quality=quality))
             stage = stage.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 load_stage(spark, stage, spec, tables_root=tables_root, staging_root=staging_root,
@@ -123,6 +128,7 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
             finally:
                 stage.unpersist()
             fs.create(marker, True).close()
+        D.store_loaded(deliveries, tables_root=tables_root, query_id=query_id, batch_id=batch_id)
     finally:
         files.unpersist()
 
@@ -159,19 +165,20 @@ ROWS_PER_FILE = 20_000
 
 
 def write_array_files(rows: DataFrame, landing: str, *, root: str, ad_type: str, name: str, country: str,
-                      profile: str, dates: str | None = None, client: str | None = None, files_per_group: int = 2, split: bool = True) -> None:
+                      profile: str, dates: str | None = None, client: str | None = None, delivery: str | None = None, tail: str | None = None,
+                      files_per_group: int = 2) -> None:
     """Write rows as JSON-array files under the report / entity path layout
     (``<part>/<root>/<ad_type>/<name>/<country>/<client>/<profile>[/<dates>]/part-*``). Each group of
     (client, profile, dates) is split by the hash of its rows over at least ``files_per_group`` files, and
     more by its row count, so that an array holds about ROWS_PER_FILE rows (rows equal in all columns
     share one); the first folder carries the file's number in the group, so every folder holds exactly
     one array. ``client``, ``profile`` and ``dates`` are columns; without ``client`` all rows belong to
-    client 7. Without ``split`` a group is one file: a snapshot delivery without a manifest replaces a
-    profile by its newest file (T-03), so its rows must not be spread."""
+    client 7. With ``delivery`` the files of a group are the numbered parts of one delivery of that id
+    (``deliveries``). ``tail`` is a column of the group (or NULL) that is put behind the array."""
     rows = rows if client else rows.withColumn("_client_key", F.lit("7"))
-    keys = [client or "_client_key", profile] + ([dates] if dates else [])
+    keys = [client or "_client_key", profile] + ([dates] if dates else []) + ([tail] if tail else [])
     payload = [c for c in rows.columns if c not in keys]
-    files = F.greatest(F.lit(files_per_group), F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE)) if split else F.lit(1)
+    files = F.greatest(F.lit(files_per_group), F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE))
     groups = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(files.alias("_files"))
     same = F.lit(True)
     for i, k in enumerate(keys):
@@ -180,8 +187,16 @@ def write_array_files(rows: DataFrame, landing: str, *, root: str, ad_type: str,
     grouped = parts.repartition(max(2, -(-rows.count() // ROWS_PER_FILE)), *keys, "_part")
     docs = grouped.groupBy(*keys, "_part").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*payload))), ","), F.lit("]")).alias("value"))
-    layout = ["_part", "_root", "_ad", "_type", "_country", "_client", "_profile"] + (["_dates"] if dates else [])
-    cols = [F.col("_part").cast("string").alias("_part"), F.lit(root).alias("_root"), F.lit(ad_type).alias("_ad"), F.lit(name).alias("_type"),
+    part = F.col("_part").cast("string")
+    if delivery:  # numbered without gaps: a part that no row fell into does not exist
+        group = Window.partitionBy(*keys)
+        docs = docs.withColumns({"_nth": F.row_number().over(group.orderBy("_part")), "_all": F.count("*").over(group)})
+        part = F.concat(F.col("_nth").cast("string"), F.lit("-of-"), F.col("_all").cast("string"))
+    if tail:
+        docs = docs.withColumn("value", F.concat("value", F.coalesce(tail, F.lit(""))))
+    layout = ["delivery", "part"] if delivery else ["_part"]
+    layout += ["_root", "_ad", "_type", "_country", "_client", "_profile"] + (["_dates"] if dates else [])
+    cols = [part.alias("part" if delivery else "_part"), *([F.lit(delivery).alias("delivery")] if delivery else []), F.lit(root).alias("_root"), F.lit(ad_type).alias("_ad"), F.lit(name).alias("_type"),
             F.lit(country).alias("_country"), F.col(keys[0]).cast("string").alias("_client"),
             F.col(profile).alias("_profile")] + ([F.col(dates).alias("_dates")] if dates else [])
     docs.select(*cols, "value").write.mode("overwrite").option("compression", "gzip").partitionBy(*layout).text(landing)

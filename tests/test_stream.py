@@ -374,3 +374,37 @@ def test_load_quality_is_kept(spark, tmpdir_path):
     _run(spark, landing, tables, ckpt)
     got = sorted((r["column"], r["kind"], r["n"]) for r in spark.read.parquet(os.path.join(tables, "_load_quality")).collect())
     assert got == [("*", "rows", 4), ("clicks", "rejected", 1), ("cost", "rejected", 2), ("csvOnly", "dropped", None), ("newMetric", "dropped", None), ("other_one", "dropped", None)]
+
+
+def _part(landing, delivery, part, parts, profile, rows):
+    d = os.path.join(landing, f"delivery={delivery}", f"part={part}-of-{parts}", "entities", "SP", "adgroup", "US", "7", profile)
+    os.makedirs(d, exist_ok=True)
+    with gzip.open(os.path.join(d, "a.json.gz"), "wt") as f:
+        json.dump(rows, f)
+
+
+def test_deliveries_of_several_files(spark, tmpdir_path):
+    """Whole or not at all, also over several micro-batches; an older one that completes late is not loaded."""
+    from adspark.plans.ingest import read_table
+    landing, tables, ckpt = (os.path.join(tmpdir_path, x) for x in ("in", "tables", "ckpt"))
+
+    def after():
+        _run(spark, landing, tables, ckpt, kind="entity")
+        snap = read_table(spark, tables, ENTITY)
+        return None if snap is None else sorted((r["profileId"], r["adGroupId"]) for r in snap.collect())
+
+    for k in range(1, 21):
+        _part(landing, "d1", k, 20, "p1", [{"adGroupId": k, "campaignId": 1}])
+    _part(landing, "d1", 1, 2, "p2", [{"adGroupId": 1, "campaignId": 1}])
+    _entity(landing, "p3", "alone.json.gz", [{"adGroupId": 30, "campaignId": 1}])
+    first = [("p1", k) for k in range(1, 21)] + [("p3", 30)]
+    assert after() == first
+    _part(landing, "d2", 2, 2, "p1", [{"adGroupId": 102, "campaignId": 1}])
+    _part(landing, "d0", 1, 2, "p1", [{"adGroupId": 201, "campaignId": 1}])
+    assert after() == first  # incomplete: nothing changes
+    _part(landing, "d2", 1, 2, "p1", [{"adGroupId": 101, "campaignId": 1}])
+    _part(landing, "d1", 2, 2, "p2", [{"adGroupId": 2, "campaignId": 1}])
+    second = [("p1", 101), ("p1", 102), ("p2", 1), ("p2", 2), ("p3", 30)]
+    assert after() == second
+    _part(landing, "d0", 2, 2, "p1", [{"adGroupId": 202, "campaignId": 1}])
+    assert after() == second  # complete, but older than what is loaded

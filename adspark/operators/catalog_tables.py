@@ -62,7 +62,8 @@ def publish_partitions_to_catalog(df: DataFrame, table: str, partition_by, touch
     """Replace the partitions ``touched`` (tuples of values of ``partition_by``, never null) of a
     catalog table by ``df``, which holds rows of these partitions only and may read the table. Rows
     are written once, rebalanced by partition, where adaptive execution splits a large partition
-    over several tasks; a touched partition without rows becomes empty. One statement a partition."""
+    over several tasks; a touched partition without rows becomes empty. One
+    statement for all new partitions, one for each that is there."""
     if not touched:
         return
     spark, parts = df.sparkSession, _on(partition_by)
@@ -71,15 +72,20 @@ def publish_partitions_to_catalog(df: DataFrame, table: str, partition_by, touch
     out.sortWithinPartitions(*[_q(c) for c in [*parts, *_on(cluster_by or [])]]).write.partitionBy(*parts).parquet(path)
     fs, _, jvm = _fs(spark, path)
     escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    places = {}
+    name, places = _quoted(table), {}
     for values in touched:
-        folder = "/".join([path, *(f"{p}={escape(str(v))}" for p, v in zip(parts, values, strict=True))])
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))  # for partitions that have become empty
-        places[", ".join(f"{_q(p)}={_text(v)}" for p, v in zip(parts, values, strict=True))] = folder
-    name = _quoted(table)
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({p}) LOCATION {_text(f)}" for p, f in places.items()))
-    for p, f in places.items():
-        spark.sql(f"ALTER TABLE {name} PARTITION ({p}) SET LOCATION {_text(f)}")
+        folder = "/".join(f"{p}={escape(str(v))}" for p, v in zip(parts, values, strict=True))
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"))  # for partitions that have become empty
+        places[folder] = ", ".join(f"{_q(p)}={_text(v)}" for p, v in zip(parts, values, strict=True))
+    known: set[str] = set()
+    for first in {v[0] for v in touched}:  # the partitions of the touched accounts only
+        known |= {r[0] for r in spark.sql(f"SHOW PARTITIONS {name} PARTITION ({_q(parts[0])}={_text(first)})").collect()}
+    new = [f"PARTITION ({p}) LOCATION {_text(f'{path}/{f}')}" for f, p in places.items() if f not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")
+    for f, p in places.items():
+        if f in known:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({p}) SET LOCATION {_text(f'{path}/{f}')}")
     spark.catalog.refreshTable(table)
 
 

@@ -34,3 +34,25 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_texts_that_share_an_id_stay(spark):
+    """Each distinct text is a document of its own, also where rows share an id."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, a), (1, b), (2, b), (3, a), (4, a + " seven"), (5, "alone"), (5, "alone"), (None, a)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars", "1 node", "2 row", "3 nth")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted((r.text, r.doc_id or 0) for r in kept.collect())
+    assert [t for t, _ in got] == ["alone", a, a, a + " seven", b] and (a, 0) in got and (b, 2) in got
+
+
+def test_mix_writes_the_copies_taken(spark):
+    from pyspark.sql import functions as F
+    from adspark.llm.decontaminate import text_hash
+    from adspark.llm.mixing import mix
+    rows = [(i, f"word{i} " * (1 + i % 5), ["a", "b", None][i % 3]) for i in range(60)] + [(None, "same text", "b")] * 7 + [(3, "same text", "b")] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"copies": F.lit(1), "hash": F.lit("x"), "row": F.lit(2)})
+    want = mix(docs.select("doc_id", "text", "source", text_hash(F.col("text")).alias("hash")), carry=("hash",)).agg(F.sum("copies")).first()[0]
+    out = corpus_pipeline.mix_sources(spark, docs, "")
+    assert out.columns == docs.columns and out.count() == want

@@ -4,7 +4,8 @@ Training counts n-grams per language in Spark (per-task dense counts, summed by
 bucket); the log-probability matrix (languages x buckets, a fixed size per language) goes to the
 tasks with the scoring function. A batch of texts becomes a sparse row-pointer matrix of bucket
 ids, whose scores are gathered and summed per row in numpy. Long texts are cut into pieces whose
-sums add up, so memory is bounded and whole texts count.
+sums add up; a piece also holds what its last n-grams reach over, so the counts are those of the
+uncut text, memory is bounded and whole texts count.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without any labelled
 row every text is ``und``; equal posteriors go to the first language by code point. A null id
@@ -55,22 +56,23 @@ def _letters() -> np.ndarray:
 def _buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row ids, row pointers, bucket ids): the n-grams of the given texts, piece by piece.
 
-    Each text is lower-cased, its non-letters become blanks, and it is framed by two blanks, so that
-    no n-gram crosses texts; n-grams without a letter are left out (bucket ``BUCKETS``)."""
+    Each text is lower-cased, its non-letters become blanks, and it is framed by blanks, so that no
+    n-gram crosses texts; n-grams without a letter are left out (bucket ``BUCKETS``)."""
     top = max(ORDERS) - 1
     pending: list[str] = []
     ids: list[int] = []
     total = 0
 
     def counted():
-        code = np.frombuffer((" ".join(" " + t for t in pending) + " " * (top + 1)).encode("utf-32-le", "surrogatepass"), np.uint32)
-        at = np.cumsum([0] + [len(t) + 2 for t in pending])
+        code = np.frombuffer(("".join(pending) + " " * top).encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = np.cumsum([0] + [len(t) for t in pending])
         is_letter = _letters()[code]
         c = np.where(is_letter, code, np.uint32(32)).astype(np.uint32)
         n = int(at[-1])
         grams = np.empty((n, len(ORDERS)), np.int32)
         inside = np.ones(n, bool)
-        inside[at[1:] - 1] = False  # from a closing blank, three places reach the next text
+        for k in range(1, top + 1):
+            inside[at[1:] - k] = False  # n-grams that start here belong to the next piece, or are blank
         h = np.zeros(n, np.uint32)
         some = np.zeros(n, bool)
         for k in range(top + 1):
@@ -83,9 +85,9 @@ def _buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         return np.array(ids), at[:-1] * len(ORDERS), grams.reshape(-1)
 
     for i, t in enumerate(texts):
-        # pieces of a long text overlap by what an n-gram needs to span them
-        for a in range(0, max(len(t), 1), PIECE):
-            part = t[a:a + PIECE].lower()
+        framed = " " + t.lower() + " " * top
+        for a in range(0, len(framed) - top, PIECE):
+            part = framed[a:a + PIECE + top]  # PIECE starts and what they reach over
             pending.append(part)
             ids.append(i)
             total += len(part)

@@ -153,3 +153,52 @@ def url_parts(url):
 def url_rule(host, path):
     fit = [r for r, _ in RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/"):])]
     return max(fit, key=len) if fit else None
+
+
+def url_filter(ids, urls, html):
+    """(id, host, path, rule, verdict, words, score) of each page: the plain model over all rows."""
+    million = 1_000_000
+    pieces = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
+    words = Counter(w for h in html for w in re.findall(r"[a-z]{2,}", re.sub(r"<[^>]*>", " ", h or "").translate(LOWER)))
+    total = sum(words.values()) + 1
+
+    def cost(w):
+        return round(million * math.log(words[w] / total)) if w in words else round(million * math.log(1 / total)) - round(million * 2.5) * len(w)
+
+    def split(run):
+        best, back = [0], [0]
+        for e in range(1, len(run) + 1):
+            value, start = max((best[a] + cost(run[a:e]), -a) for a in range(e))
+            best.append(value)
+            back.append(-start)
+        out, e = [], len(run)
+        while e:
+            out.append(run[back[e]:e])
+            e = back[e]
+        return out[::-1]
+
+    def host_words(host):
+        return [w for p in pieces.findall(host) for w in (split(p) if "a" <= p[0] <= "z" else ["#"] if p[0].isascii() else [p])]
+
+    def path_words(path):
+        return ["#" if p[0] in "0123456789" else p for p in pieces.findall(path.translate(LOWER))]
+
+    cut = {}
+    rows = []
+    for i, u in zip(ids, urls, strict=True):
+        host, path = url_parts(u)
+        cut.setdefault(host, host_words(host))
+        rows.append((i, host, path, url_rule(host, path)))
+    rules = dict(RULES)
+    tokens = [["h:" + w for w in cut[host]] + ["p:" + w for w in path_words(path)] for _, host, path, _ in rows]
+    seen = {v: Counter(t for r, ts in zip(rows, tokens, strict=True) if rules.get(r[3]) == v for t in ts) for v in ("allow", "block")}
+    pages = Counter(rules[r[3]] for r in rows if r[3])
+    every = set(seen["allow"]) | set(seen["block"])
+    size = {v: sum(seen[v].values()) + max(len(every), 1) for v in seen}
+    weight = {t: round(million * (math.log((seen["block"][t] + 1) / size["block"]) - math.log((seen["allow"][t] + 1) / size["allow"]))) for t in every}
+    prior = round(million * (math.log(pages["block"] + 1) - math.log(pages["allow"] + 1)))
+    out = []
+    for r, ts in zip(rows, tokens, strict=True):
+        score = prior + sum(weight.get(t, 0) for t in ts)
+        out.append((*r, rules.get(r[3]) or ("block" if score > 0 else "allow"), " ".join(cut[r[1]]), score / million))
+    return out

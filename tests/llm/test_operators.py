@@ -187,15 +187,52 @@ def test_secrets_bare_copies(spark):
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://Adult-X.example.net/en/1?x", "https://a.example.org/es/1", "https://a.example.org/en/12", "http://org", "http://org/", "x://notorg/", "http://b.com/de/", "http://b.com/fr/1#y", "http://ü.net/é", "a://b://c/d?e#f", "http://h.net/en/1"]
     pages = spark.createDataFrame([(i, u, "<p>adult news example</p>" * 5, "x") for i, u in enumerate(urls)], "page_id long, url string, html string, rule string")
-    model = url_filter.learn(pages, url_filter.learn_words(pages))
-    got = url_filter.judge(pages, model).collect()
+    rows = url_filter.judged(pages)
+    hosts = url_filter.host_words(rows, url_filter.word_counts(pages))
+    got = url_filter.judge(rows, url_filter.learn(rows.where("ruled is not null"), hosts)).collect()
+    assert len(got) == len(urls)
     for r in got:
         assert (r.host, r.path) == brute.url_parts(urls[r.page_id])
         assert r["rule"] == brute.url_rule(r.host, r.path)
         assert r.verdict == dict(brute.RULES).get(r["rule"], r.verdict) and r.verdict in ("allow", "block")
-    assert url_filter.judge(pages.limit(0), url_filter.learn(pages.limit(0), url_filter.learn_words(pages.limit(0)))).count() == 0
-    s = url_filter.Segmenter({"hello": 50, "world": 40, "hell": 5, "o": 3})
-    assert s.split("helloworld") == ["hello", "world"]
+    none = rows.limit(0)
+    hosts = url_filter.host_words(none, url_filter.word_counts(pages.limit(0)))
+    model = url_filter.learn(none, hosts)
+    assert url_filter.judge(none, model).count() == 0
+    # words and labels, but no judged page: every page without a rule is allowed
+    assert {r.verdict for r in url_filter.judge(rows, url_filter.learn(none, url_filter.host_words(rows, url_filter.word_counts(pages)))).where("rule is null").collect()} == {"allow"}
+    assert url_filter.split("helloworld", {"hello": 50, "world": 40, "hell": 5, "o": 3}, 99) == ["hello", "world"]
+
+
+def test_url_filter_against_brute_force(spark):
+    r = random.Random(11)
+    vocabulary = ["news", "new", "shop", "the", "ring", "string", "casino", "farm", "spam", "ab", "abc", "c" * 40, "c" * 24 + "dd", "long" * 9]
+    label = lambda: "".join(r.choice([*vocabulary, "q", "zz", "7", "-", "ü"]) for _ in range(r.randrange(1, 5)))
+    hosts = [f"{label()}.{label()}.{tld}" for tld in ("net", "com", "org", "example.org") for _ in range(12)] + ["x" * 300 + "news.com", ""]
+    paths = ["", "/", "/es/1", "/en/12", "/de/shop/Casino", "/fr/news", "/" + "spam" * 200, "/é/9x"]
+    urls = [None, "none"] + [f"https://{r.choice(hosts)}{r.choice(paths)}{r.choice(['', '?q=1', '#a'])}" for _ in range(400)] + [f"http://Hot.com{r.choice(paths)}" for _ in range(200)]
+    html = [None, "", "<p class=news>"] + ["<b>" + " ".join(r.choice(vocabulary) for _ in range(30)).upper() + "</b> x" for _ in range(len(urls) - 3)]
+    ids = [None if i % 50 == 0 else i // 2 for i in range(len(urls))]
+    data = [(i, u, h, "x", 1) for i, u, h in zip(ids, urls, html, strict=True)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string, words string, weight int")
+    rows = url_filter.judged(pages)
+    found = url_filter.host_words(rows, url_filter.word_counts(pages))
+    got = url_filter.judge(rows, url_filter.learn(rows.where("ruled is not null"), found))
+    key = lambda x: tuple((v is None, v) for v in x)
+    want = brute.url_filter(ids, urls, html)
+    assert sorted(((*r[:5], r["words"], round(r["score"], 4)) for r in got.collect()), key=key) == sorted(((*w[:6], round(w[6], 4)) for w in want), key=key)
+    assert {w[4] for w in want if w[3] is None} == {"allow", "block"}
+
+
+def test_language_id_pieces_are_the_whole_text(monkeypatch):
+    texts = ["", "Σίσυφος ΟΔΟΣ" * 9, "a", "ab", "x y", "The İstanbul cat, " * 40]
+    whole = [np.bincount(np.concatenate([g for i, _, g in language_id._buckets([t])]), minlength=language_id.BUCKETS + 1)[:-1] for t in texts]
+    for piece in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        total = np.zeros((len(texts), language_id.BUCKETS + 1), np.int64)
+        for ids, at, grams in language_id._buckets(texts):
+            np.add.at(total, (np.repeat(ids, np.diff(np.append(at, len(grams)))), grams), 1)
+        assert (total[:, :-1] == np.array(whole)).all()
 
 
 def test_language_id(spark, docs, empty):

@@ -126,6 +126,16 @@ def skus_to_delete(live: DataFrame, products: DataFrame, on, *, max_share: float
     return out.join(guard, by, "left").filter(F.coalesce(F.col("_ok"), F.lit(True))).drop("_ok")
 
 
+def delete_share_errors(live: DataFrame, deletes: DataFrame, by, *, max_share: float = 0.5) -> DataFrame:
+    """The guard of ``skus_to_delete`` as rows: one (``by``, ``error``) for each group of which more than
+    ``max_share`` of the live SKUs would be deleted."""
+    by = _on(by)
+    n = live.groupBy(*[_q(c) for c in by]).agg(F.count(F.lit(1)).alias("_n"))
+    d = deletes.groupBy(*[_q(c) for c in by]).agg(F.count(F.lit(1)).alias("_d"))
+    text = F.format_string("refusing to delete %d of %d live SKUs", F.col("_d"), F.col("_n"))
+    return n.join(d, by).filter(F.col("_d") > F.lit(max_share) * F.col("_n")).select(*[_q(c) for c in by], text.alias("error"))
+
+
 def retain_valid_history(history: DataFrame, valid: DataFrame, on) -> DataFrame:
     """J-07: keep only history rows whose SKU is current (semi join)."""
     on = _on(on)

@@ -157,6 +157,15 @@ def brand_rules(df: DataFrame, rules: DataFrame | None, cols: ProductColumns = P
     return out.drop(*[c for c in out.columns if c.startswith(p)])
 
 
+def rule_errors(rules: DataFrame, on, rc: RuleColumns = RC) -> DataFrame:
+    """The uniqueness check of ``brand_rules`` as rows: one (``on``, ``error``) for each group with more
+    than one rule for a (normalised) brand."""
+    on = [on] if isinstance(on, str) else list(on)
+    key = F.coalesce(normalize_text_key(_c(rc.brand)), F.lit(""))
+    dup = rules.groupBy(*[_c(k) for k in on], key.alias("_b")).count().filter("count > 1")
+    return dup.groupBy(*[_c(k) for k in on]).agg(F.concat(F.lit("more than one brand rule for "), F.min("_b")).alias("error"))
+
+
 def apply_target_price(df: DataFrame, cols: ProductColumns = PC) -> DataFrame:
     """K-13 as a frame step: ``price`` from fulfillment cost, referral fee and margin."""
     return df.withColumn(cols.price, target_price_num(as_double(df, cols.fulfillment_cost), as_double(df, cols.fee),

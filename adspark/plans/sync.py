@@ -24,6 +24,7 @@ from adspark.operators import joins as J
 from adspark.operators import load as L
 from adspark.operators import normalize as N
 from adspark.operators import pricing as P
+from adspark.operators import runs as RN
 from adspark.operators.aggregates import feed_result_by_message, feed_summary
 from adspark.operators.pricing import PC, ProductColumns
 from adspark.session import ensure_checkpoint_dir
@@ -31,7 +32,7 @@ from adspark.session import ensure_checkpoint_dir
 
 def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None,
                    rules: DataFrame | None, master: DataFrame | None, *, cols: ProductColumns = PC,
-                   seller: str = "seller_id", seq: str = "seq", hash_cols=None):
+                   seller: str = "seller_id", seq: str = "seq", hash_cols=None, check_rules: bool = True):
     """The product chain in the reference's order: J-01, K-10, K-11, K-12, N-16, N-17, J-02,
     K-13, K-14, K-15, K-16, K-19, K-18. Returns ``(priced, rejected, current)``: ``current`` holds the
     keys of the offered products (after the filters, priced or not).
@@ -57,7 +58,7 @@ def price_products(products: DataFrame, identifiers: DataFrame, overrides: DataF
         df = df.withColumns({c: F.coalesce(F.col(f"`_ov_{c}`"), F.col(f"`{c}`").cast("string")) for c in cell})
         ov_cols = [c for c in red.columns if c.startswith("_ov")]
     if rules is not None:
-        df = P.brand_rules(df, rules, cols, on=[seller] if seller in rules.columns else [])
+        df = P.brand_rules(df, rules, cols, check_unique=check_rules, on=[seller] if seller in rules.columns else [])
     df = N.filter_identifier(df, cols.asin)
     df = N.filter_push_flag(df, cols.push_marketplace)
     current = df.select(*[F.col(f"`{k}`") for k in keys])
@@ -90,22 +91,47 @@ class FeedPlan:
     price_updates: DataFrame
     current: DataFrame
     duplicates: DataFrame
+    errors: DataFrame | None = None
 
 
 def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None, rules: DataFrame | None,
               master: DataFrame | None, history: DataFrame, live: DataFrame, *, batch_id: str, now: Column,
               seed: str, cols: ProductColumns = PC, seller: str = "seller_id", keep_share: float = 0.03,
               max_delete_share: float = 0.5, force_deletes: bool = False, chunk_size: int = FD.CHUNK_SIZE,
-              seller_label: str | None = None) -> FeedPlan:
+              seller_label: str | None = None, quarantine: bool = False) -> FeedPlan:
     """Everything up to the feed upload (the external boundary). A SKU with several different priced
-    rows (e.g. two identifier rows) is not sent: its rows come back as ``duplicates``."""
+    rows (e.g. two identifier rows) is not sent: its rows come back as ``duplicates``.
+
+    With ``quarantine`` a seller whose own rules are ambiguous or whose deletes pass the guard is left
+    out of everything and comes back in ``errors(seller, error)``; all others are planned. Without it
+    the first such seller ends the job."""
     keys = [seller, cols.sku]
-    priced, rejected, current = price_products(products, identifiers, overrides, rules, master, cols=cols, seller=seller)
     ensure_checkpoint_dir(products.sparkSession)
+    errors = None
+    if quarantine:
+        own_rules = rules is not None and seller in rules.columns
+        if own_rules:
+            errors = P.rule_errors(rules, seller).checkpoint(eager=True)
+            products, live, rules = (df.join(errors, seller, "left_anti") for df in (products, live, rules))
+        priced, rejected, current = price_products(products, identifiers, overrides, rules, master, cols=cols, seller=seller,
+                                                   check_rules=not own_rules)
+        offered = live.select(*keys).distinct()
+        listed = J.skus_to_delete(offered, current, keys, max_share=None).checkpoint(eager=True)
+        if max_delete_share is not None and not force_deletes:
+            guard = J.delete_share_errors(offered, listed, seller, max_share=max_delete_share)
+            errors = (guard if errors is None else errors.unionByName(guard)).checkpoint(eager=True)
+        if errors is not None:
+            priced, rejected, current, deletes = (df.join(errors.select(seller).distinct(), seller, "left_anti")
+                                                  for df in (priced, rejected, current, listed))
+        else:
+            deletes = listed
+    else:
+        priced, rejected, current = price_products(products, identifiers, overrides, rules, master, cols=cols, seller=seller)
     # J-06 on the offered products (after the filters, before pricing and change filtering), with the
     # F3 guard. Read by the staged rows and by the message ids, so the anti join runs once.
-    deletes = J.skus_to_delete(live.select(*keys).distinct(), current, keys,
-                               max_share=max_delete_share, force=force_deletes, by=[seller]).checkpoint(eager=True)
+    if not quarantine:
+        deletes = J.skus_to_delete(live.select(*keys).distinct(), current, keys,
+                                   max_share=max_delete_share, force=force_deletes, by=[seller]).checkpoint(eager=True)
     hist = history.select(*keys, "status", "product_hash", "ended_at")
     # The annotated products feed the staged rows, the message ids, the update messages, the price
     # updates and the change statistics: materialise them once in the shared checkpoint folder
@@ -130,7 +156,7 @@ def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame
     documents = FD.feed_documents(messages, seller="seller_id", seller_label=seller_label)
     price_updates = upd.filter("pack_price_applied").select("seller_id", "sku", F.col(cols.price).alias("price"))
     return FeedPlan(priced, rejected, annotated, staged, messages, message_rejects, documents, price_updates, current,
-                    duplicates)
+                    duplicates, errors)
 
 
 def _union_messages(update_msgs: DataFrame, delete_msgs: DataFrame) -> DataFrame:
@@ -208,19 +234,37 @@ def load_history(spark, path: str, schema) -> DataFrame:
 def run_plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame | None,
                   rules: DataFrame | None, master: DataFrame | None, live: DataFrame, *, history_path: str,
                   history_schema, feed_path: str, staging_root: str, batch_id: str, now: Column, seed: str,
-                  batches_path: str | None = None, batches_schema=None, **plan_kw) -> FeedPlan:
+                  batches_path: str | None = None, batches_schema=None, sellers: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+                  runs_path: str | None = None, user_id: str = "id", **plan_kw) -> FeedPlan:
     """First job of a sync run (up to the upload boundary): plan against the stored change history,
     write one feed document per (seller, chunk) under ``<feed_path>/batch_id=<batch_id>`` and fold the
     staged rows (and recomputed pack prices) into the stored history, rewriting only the touched
     sellers' buckets. SKUs no longer offered (J-07) and SKUs sent as deletes (L-17) leave the history.
-    With ``batches_path`` every seller of the batch gets its ``processing`` row in the batch history."""
+    With ``batches_path`` every seller of the batch gets its ``processing`` row in the batch history.
+
+    With ``sellers`` (users, oauth, channels) the run starts from the eligible sellers (J-05): products
+    and listings of all others are left alone. With ``runs_path`` the run table keeps the state of every
+    seller of the batch, and a seller that fails its checks is quarantined instead of ending the job."""
     spark = products.sparkSession
+    seller = plan_kw.get("seller", "seller_id")
+    ensure_checkpoint_dir(spark)
+    if sellers is not None:
+        complete, incomplete = J.eligible_sellers(*sellers, user_id=user_id)
+        eligible = complete.select(F.col(user_id).cast(products.schema[seller].dataType).alias(seller)).distinct().checkpoint(eager=True)
+        products, live = (df.join(eligible, seller, "left_semi") for df in (products, live))
+    if runs_path is not None:
+        if sellers is None:
+            complete = products.select(F.col(seller).alias(user_id)).union(live.select(seller)).distinct()
+            incomplete = complete.limit(0).withColumn("selling_partner_id", F.lit(None).cast("string"))
+        rows = RN.started(complete, incomplete, batch_id=batch_id, now=now, user_id=user_id)
+        _put_run(spark, rows, runs_path=runs_path, staging_root=staging_root)
+        plan_kw.setdefault("quarantine", True)
     history = _stored(spark, history_path, history_schema)
     plan = plan_feed(products, identifiers, overrides, rules, master, history, live, batch_id=batch_id, now=now,
                      seed=seed, **plan_kw)
     plan.documents.write.mode("overwrite").option("partitionOverwriteMode", "static") \
         .partitionBy("seller_id", "chunk_id").text(f"{feed_path.rstrip('/')}/batch_id={batch_id}")
-    cols, seller = plan_kw.get("cols", PC), plan_kw.get("seller", "seller_id")
+    cols = plan_kw.get("cols", PC)
     current = plan.current.select(F.col(f"`{seller}`").cast("string").alias("seller_id"),
                                   F.col(f"`{cols.sku}`").cast("string").alias("sku"))
     new_history = fold_staged(retain_offered(history, current), plan.staged, plan.price_updates)
@@ -231,9 +275,26 @@ def run_plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFr
                     staging_root=staging_root, batch_id=batch_id, now=now)
     store_history(new_history, history_path, staging_root=staging_root,
                   touched_sellers=staged_sellers.union(current.select("seller_id")).distinct())
+    if runs_path is not None:
+        failed = spark.createDataFrame([], "seller_id string, error string") if plan.errors is None else plan.errors.select(
+            F.col(f"`{seller}`").cast("string").alias("seller_id"), "error")
+        rows = RN.planned(read_run(spark, runs_path, batch_id), current.select("seller_id").distinct(), staged_sellers, failed, now=now)
+        _put_run(spark, rows, runs_path=runs_path, staging_root=staging_root)
     return plan
 
 
+def read_run(spark, runs_path: str, batch_id: str) -> DataFrame:
+    """The run table's rows of one batch; ``run_outcomes`` counts those that were not ``incomplete``."""
+    return _stored(spark, runs_path, RN.RUN_SCHEMA).filter(F.col("batch_id") == F.lit(batch_id))
+
+
+def _put_run(spark, rows: DataFrame, *, runs_path: str, staging_root: str) -> None:
+    """Rows of the run table stored, replacing those of the same (batch, seller)."""
+    rows = rows.checkpoint(eager=True)
+    runs = L.delete_insert(_stored(spark, runs_path, RN.RUN_SCHEMA), rows, ["batch_id", "seller_id"])
+    store_history(runs, runs_path, staging_root=staging_root, touched_sellers=rows.select("seller_id"))
+
+
 def _stored(spark, path: str, schema) -> DataFrame:
     fs, p, _ = L._fs(spark, path)
     return load_history(spark, path, schema) if fs.exists(p) else spark.createDataFrame([], schema)
@@ -252,10 +313,11 @@ def start_batch(spark, sellers: DataFrame, *, batches_path: str, batches_schema,
 
 def run_apply_feed(spark, result_paths, messages: DataFrame, *, history_path: str, history_schema,
                    batches_path: str, batches_schema, staging_root: str, batch_id: str, now: Column,
-                   seller: str = "seller_id"):
+                   seller: str = "seller_id", runs_path: str | None = None):
     """Second job: read the feed result documents (one JSON document per file; the seller is the
     ``seller_id=`` folder of the file), fold them into the stored change history and batch
-    history (only the sellers of this batch are rewritten). Returns the unreadable documents."""
+    history (only the sellers of this batch are rewritten) and, with ``runs_path``, into the run table.
+    Returns the unreadable documents."""
     from adspark.sources.files import whole_files
     raw = whole_files(spark, result_paths).select(
         F.regexp_extract("_file", r"seller_id=([^/]+)", 1).alias(seller), F.lit(batch_id).alias("batch_id"),
@@ -268,4 +330,9 @@ def run_apply_feed(spark, result_paths, messages: DataFrame, *, history_path: st
         .distinct().checkpoint(eager=True)
     store_history(new_history, history_path, staging_root=staging_root, touched_sellers=touched)
     store_history(new_batches, batches_path, staging_root=staging_root, touched_sellers=touched)
+    if runs_path is not None:
+        _, summary, _ = FD.parse_feed_result(raw, keys=("seller_id", "batch_id", "feed_id"))
+        rows = RN.finished(read_run(spark, runs_path, batch_id), feed_summary(summary, by=("seller_id", "batch_id")),
+                           errors.select("seller_id"), now=now)
+        _put_run(spark, rows, runs_path=runs_path, staging_root=staging_root)
     return errors

@@ -370,3 +370,76 @@ def test_update_message_needs_list_price(spark):
     out, rejects = FD.update_messages(df)
     assert [r["sku"] for r in out.collect()] == ["A"]
     assert [(r["sku"], r["reject_reason"]) for r in rejects.collect()] == [("B", "no_list_price")]
+
+
+def _two_sellers_more(spark):
+    """The sync inputs with a seller past the delete guard, one with two rules for a brand, one without
+    a token, one superuser and one without any product."""
+    products, ids, ov, history, live = _sync_inputs(spark)
+    more = products.filter("seller_id = 's1'")
+    for s in ("gone", "rules", "token", "root"):
+        products = products.unionByName(more.withColumn("seller_id", F.lit(s)))
+    live = spark.createDataFrame([("s1", "A"), ("gone", "A"), ("gone", "X"), ("gone", "Y"), ("rules", "Z"), ("token", "A"), ("root", "A")],
+                                 "seller_id string, sku string")
+    rules = spark.createDataFrame([("rules", "acme", None), ("rules", " ACME", None), ("s1", "acme", None), ("gone", "acme", None)],
+                                  "seller_id string, brand_name string, map_fraction string") \
+        .withColumns({"push_to_marketplace": F.lit(None).cast("string"), "push_to_site": F.lit(None).cast("string")})
+    return products, ids, ov, rules, history, live
+
+
+def test_quarantined_sellers_do_not_stop_the_others(spark):
+    products, ids, ov, rules, history, live = _two_sellers_more(spark)
+    kw = dict(batch_id="B1", now=_now(), seed="x", keep_share=0.0)
+    plan = plan_feed(products, ids, ov, rules, None, history, live, quarantine=True, **kw)
+    assert {(r.seller_id, r.error) for r in plan.errors.collect()} == {
+        ("gone", "refusing to delete 2 of 3 live SKUs"), ("rules", "more than one brand rule for acme")}
+    sent = {(r.seller_id, r.sku) for r in plan.messages.collect()}
+    assert sent == {("s1", "A"), ("token", "A"), ("root", "A")}
+    for part in (plan.current, plan.staged, plan.documents, plan.rejected):
+        assert not {"gone", "rules"} & {r.seller_id for r in part.select("seller_id").collect()}
+    # without any bad seller nothing changes
+    fine = products.filter("seller_id = 's1'")
+    a = plan_feed(fine, ids, ov, rules.filter("seller_id = 's1'"), None, history, live.filter("seller_id = 's1'"), quarantine=True, **kw)
+    b = plan_feed(fine, ids, ov, rules.filter("seller_id = 's1'"), None, history, live.filter("seller_id = 's1'"), **kw)
+    assert a.errors.count() == 0 and sorted(a.messages.collect()) == sorted(b.messages.collect())
+    with pytest.raises(ValueError):
+        plan_feed(products, ids, ov, rules, None, history, live, **kw)
+
+
+def test_run_table(spark, tmpdir_path):
+    import os
+    from pyspark.sql.types import _parse_datatype_string
+    from adspark.plans.sync import read_run, run_apply_feed, run_plan_feed
+    products, ids, ov, rules, _, live = _two_sellers_more(spark)
+    live = live.unionByName(spark.createDataFrame([("wait", "A"), ("bad", "A")], "seller_id string, sku string"))
+    for s in ("wait", "bad"):
+        products = products.unionByName(products.filter("seller_id = 's1'").withColumn("seller_id", F.lit(s)))
+    users = spark.createDataFrame([(s, s == "root") for s in ("s1", "gone", "rules", "token", "root", "idle", "wait", "bad")], "id string, is_superuser boolean")
+    oauth = spark.createDataFrame([(s, "a", None if s == "token" else "r") for s in ("s1", "gone", "rules", "token", "root", "idle", "wait", "bad")],
+                                  "user_id string, access_token string, refresh_token string")
+    channels = spark.createDataFrame([(s, p) for s in ("s1", "gone", "rules", "root", "idle", "wait", "bad") for p in ("", "P")],
+                                     "user_id string, selling_partner_id string")
+    hschema = _parse_datatype_string("sku string, batch_id string, seller_id string, asin string, title string, price double, "
+                                     "status string, started_at timestamp, ended_at timestamp, error_description string, product_hash string")
+    bschema = _parse_datatype_string(BATCHES)
+    paths = {k: os.path.join(tmpdir_path, k) for k in ("hist", "feed", "stg", "batches", "runs")}
+    plan = run_plan_feed(products, ids, ov, rules, None, live, history_path=paths["hist"], history_schema=hschema, feed_path=paths["feed"],
+                         staging_root=paths["stg"], batch_id="B1", now=_now(), seed="x", keep_share=0.0, batches_path=paths["batches"],
+                         batches_schema=bschema, sellers=(users, oauth, channels), runs_path=paths["runs"])
+    state = lambda: {r.seller_id: (r.status, r.error) for r in read_run(spark, paths["runs"], "B1").collect()}
+    want = {"s1": ("running", None), "wait": ("running", None), "bad": ("running", None), "idle": ("no_data", None),
+            "gone": ("error", "refusing to delete 2 of 3 live SKUs"), "rules": ("error", "more than one brand rule for acme"),
+            "token": ("incomplete", "missing: refresh_token, selling_partner_id")}
+    assert state() == want
+    assert {r.seller_id for r in plan.messages.collect()} == {"s1", "wait", "bad"}
+    for s, doc in (("s1", _issue_doc([], messagesProcessed=1, messagesAccepted=1, messagesInvalid=0)), ("bad", "{")):
+        os.makedirs(os.path.join(tmpdir_path, "results", f"seller_id={s}"))
+        with open(os.path.join(tmpdir_path, "results", f"seller_id={s}", "r.json"), "w") as f:
+            f.write(doc)
+    for _ in range(2):  # a repeated step changes nothing
+        run_apply_feed(spark, os.path.join(tmpdir_path, "results"), plan.messages, history_path=paths["hist"], history_schema=hschema,
+                       batches_path=paths["batches"], batches_schema=bschema, staging_root=paths["stg"], batch_id="B1", now=_now(),
+                       runs_path=paths["runs"])
+        assert state() == want | {"s1": ("completed", None), "bad": ("error", "unexpected result structure")}
+    counted = A.run_outcomes(read_run(spark, paths["runs"], "B1").filter("status <> 'incomplete'")).first().asDict()
+    assert counted == {"sellers_total": 6, "completed": 1, "error": 3, "no_data": 1}

@@ -1670,6 +1670,105 @@ def q_catalog_sync(spark, sf):
         F.get_json_object(m, "$.attributes.fulfillment_availability[0].quantity").cast("int").alias("quantity"))
 
 
+# Suppliers are sellers, the parts that they ship their live SKUs. A part is offered while its least
+# discount is low; in some nations only without discount, so their sellers may pass the delete guard.
+# Sellers of negative balance have two rules for a brand.
+_SELLERS_SQL = """
+WITH pairs AS (SELECT l_suppkey, l_partkey, min(l_discount) AS least FROM lineitem GROUP BY l_suppkey, l_partkey),
+s AS (SELECT s_suppkey, CAST(s_suppkey AS VARCHAR) AS seller_id, s_acctbal, s_nationkey FROM supplier),
+p AS (SELECT s.*, CAST(l_partkey AS VARCHAR) AS sku, least < CASE WHEN s_nationkey < 8 THEN 0.005 ELSE 0.09 END AS offered
+      FROM pairs JOIN s ON s_suppkey = l_suppkey),
+n AS (SELECT seller_id, count(*) AS n, count(*) FILTER (WHERE NOT offered) AS d FROM p GROUP BY seller_id),
+failed AS (
+  SELECT DISTINCT seller_id, 'more than one brand rule for ' || (SELECT min(lower(p_brand)) FROM part) AS error FROM p WHERE s_acctbal < 0
+  UNION ALL SELECT n.seller_id, 'refusing to delete ' || d || ' of ' || n || ' live SKUs' FROM n JOIN s USING (seller_id)
+  WHERE d > 0.5 * n AND s_acctbal >= 0)
+"""
+
+
+def _seller_inputs(spark, sf):
+    """Products, identifiers, rules, listing and suppliers of ``_SELLERS_SQL``."""
+    ensure_checkpoint_dir(spark)
+    s, part = _t(spark, sf, "supplier"), _t(spark, sf, "part")
+    least = _t(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_discount").alias("least"))
+    pairs = least.join(s, F.col("s_suppkey") == F.col("l_suppkey")).select(
+        F.col("s_suppkey").cast("string").alias("seller_id"), F.col("l_partkey").alias("p_partkey"),
+        (F.col("least") < F.when(F.col("s_nationkey") < 8, 0.005).otherwise(0.09)).alias("offered")).checkpoint(eager=True)
+    text = {"cost": "8", "fulfillment_cost": "10", "requested_margin": "0.2", "map_price": "", "uom": "1", "push_to_marketplace": "Yes", "push_to_site": "Yes"}
+    products = pairs.filter("offered").join(part, "p_partkey").select(
+        "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand"),
+        F.col("p_retailprice").cast("string").alias("retail_price"), F.col("p_size").cast("string").alias("quantity"),
+        *[F.lit(v).alias(k) for k, v in text.items()])
+    ids = part.select(F.col("p_partkey").cast("string").alias("sku"), F.format_string("B0%08d", "p_partkey").alias("asin"),
+                      F.lit("0.15").alias("referral_fee"), F.lit("true").alias("mpn_match"), F.lit("1").alias("number_of_items"))
+    brand = part.agg(F.min("p_brand")).first()[0]
+    spellings = F.when(F.col("s_acctbal") < 0, F.array(F.lower(F.lit(brand)), F.upper(F.lit(brand)))).otherwise(F.array(F.lit(brand)))
+    rules = s.select(F.col("s_suppkey").cast("string").alias("seller_id"), F.explode(spellings).alias("brand_name"), F.lit("0.1").alias("map_fraction"),
+                     F.lit(None).cast("string").alias("push_to_marketplace"), F.lit("Yes").alias("push_to_site"))
+    live = pairs.select("seller_id", F.col("p_partkey").cast("string").alias("sku"))
+    return products, ids, rules, live, s
+
+
+@query("catalog_quarantine", _SELLERS_SQL + """
+SELECT seller_id, sku, CASE WHEN offered THEN 'UPDATE' ELSE 'DELETE' END AS operation, CAST(NULL AS VARCHAR) AS error
+FROM p WHERE seller_id NOT IN (SELECT seller_id FROM failed)
+UNION ALL SELECT seller_id, NULL, NULL, error FROM failed
+UNION ALL SELECT seller_id, NULL, NULL, 'more than one brand rule for ' || (SELECT min(lower(p_brand)) FROM part) FROM s
+WHERE s_acctbal < 0 AND seller_id NOT IN (SELECT seller_id FROM p)
+""")
+def q_catalog_quarantine(spark, sf):
+    """``plan_feed`` with quarantine: sellers with ambiguous rules or too many deletes come back as errors,
+    every other seller gets its messages."""
+    from adspark.plans.sync import plan_feed
+    products, ids, rules, live, _ = _seller_inputs(spark, sf)
+    history = spark.createDataFrame([], "seller_id string, sku string, status string, product_hash string, ended_at timestamp")
+    plan = plan_feed(products, ids, None, rules, None, history, live, batch_id=BATCH_ID, now=_now(), seed="2001-06-01", quarantine=True)
+    sent = plan.messages.select("seller_id", "sku", F.get_json_object("message_json", "$.operationType").alias("operation"), F.lit(None).cast("string").alias("error"))
+    return sent.unionByName(plan.errors.select("seller_id", F.lit(None).cast("string").alias("sku"), F.lit(None).cast("string").alias("operation"), "error"))
+
+
+@query("run_table", _SELLERS_SQL + f""",
+u AS (SELECT *, seller_id IN (SELECT seller_id FROM p) AS ships, s_nationkey % 6 = 5 AS lacks FROM s),
+r AS (
+  SELECT u.seller_id, CASE WHEN lacks THEN 'incomplete' WHEN s_acctbal < 0 OR failed.error IS NOT NULL THEN 'error' WHEN NOT ships THEN 'no_data'
+      WHEN s_nationkey % 5 = 0 THEN 'error' WHEN s_nationkey % 5 = 1 THEN 'completed_with_errors' WHEN s_nationkey % 5 = 2 THEN 'running' ELSE 'completed' END AS status,
+    CASE WHEN lacks THEN 'missing: refresh_token' WHEN s_acctbal < 0 THEN 'more than one brand rule for ' || (SELECT min(lower(p_brand)) FROM part)
+      WHEN failed.error IS NOT NULL THEN failed.error WHEN ships AND s_nationkey % 5 = 0 THEN 'unexpected result structure' END AS error
+  FROM u LEFT JOIN failed ON failed.seller_id = u.seller_id),
+o AS (SELECT count(*) AS sellers_total, count(*) FILTER (WHERE status = 'completed') AS completed, count(*) FILTER (WHERE status = 'error') AS errors,
+        count(*) FILTER (WHERE status = 'no_data') AS no_data FROM r WHERE status <> 'incomplete')
+SELECT '{BATCH_ID}' AS batch_id, seller_id, status, error, sellers_total, completed, errors, no_data FROM r, o
+""")
+def q_run_table(spark, sf):
+    """``run_plan_feed`` from the eligible sellers, result documents for the sellers that got a feed,
+    ``run_apply_feed``, then the run table and ``run_outcomes`` over it."""
+    from adspark.plans.sync import read_run, run_apply_feed, run_plan_feed
+    from pyspark.sql.types import _parse_datatype_string
+    products, ids, rules, live, s = _seller_inputs(spark, sf)
+    root = _scratch(spark, "run")
+    user = F.col("s_suppkey").cast("string")
+    users = s.select(user.alias("id"), F.lit(False).alias("is_superuser"))
+    oauth = s.select(user.alias("user_id"), F.lit("a").alias("access_token"), F.when(F.col("s_nationkey") % 6 != 5, F.lit("r")).alias("refresh_token"))
+    channels = s.select(user.alias("user_id"), F.concat(F.lit("SP"), user).alias("selling_partner_id"))
+    history = _parse_datatype_string("sku string, batch_id string, seller_id string, asin string, title string, price double, status string, "
+                                     "started_at timestamp, ended_at timestamp, error_description string, product_hash string")
+    batches = _parse_datatype_string("batch_id string, seller_id string, total_messages bigint, status string, failed_message string, "
+                                     "successful_messages bigint, started_at timestamp, ended_at timestamp")
+    kw = dict(history_path=f"{root}/history", history_schema=history, batches_path=f"{root}/batches", batches_schema=batches,
+              staging_root=f"{root}/staging", batch_id=BATCH_ID, now=_now(), runs_path=f"{root}/runs")
+    plan = run_plan_feed(products, ids, None, rules, None, live, feed_path=f"{root}/feed", seed="2001-06-01", sellers=(users, oauth, channels), **kw)
+    kind = F.col("s_nationkey") % 5
+    n, bad = F.col("n"), F.when(kind == 1, 1).otherwise(0)
+    doc = F.to_json(F.struct(F.create_map(F.lit("sellerId"), F.col("seller_id")).alias("header"), F.array().cast("array<struct<messageId:string>>").alias("issues"),
+                             F.struct(n.alias("messagesProcessed"), (n - bad).alias("messagesAccepted"), bad.alias("messagesInvalid")).alias("summary")))
+    sent = plan.messages.groupBy("seller_id").agg(F.count("*").alias("n")).join(s.withColumn("seller_id", user), "seller_id").filter(kind != 2)
+    sent.select("seller_id", F.when(kind == 0, F.lit("{")).otherwise(doc).alias("value")).write.partitionBy("seller_id").text(f"{root}/results")
+    run_apply_feed(spark, f"{root}/results", plan.messages, **kw)
+    rows = read_run(spark, f"{root}/runs", BATCH_ID)
+    counted = A.run_outcomes(rows.filter("status <> 'incomplete'")).withColumnRenamed("error", "errors").withColumn("batch_id", F.lit(BATCH_ID))
+    return rows.select("batch_id", "seller_id", "status", "error").join(counted, "batch_id")
+
+
 @query("feed_fold_back", "WITH " + _HISTORY_SQL + f""",
 ids AS (SELECT seller_id, sku, row_number() OVER (PARTITION BY seller_id ORDER BY sku) AS message_id
         FROM h WHERE batch_id = 'B2'),

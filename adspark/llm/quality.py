@@ -3,25 +3,27 @@
 Every text is cut into overlapping chunks of bytes that together cover the whole document. In a
 chunk, learned filters slide over embedded bytes; each filter's answers are max-pooled and, after
 the rectifier, averaged, and the chunk features are combined over the document (mean and maximum)
-into one logistic output. Training is plain gradient descent (Adam) on the whole texts of a bounded
-sample of labelled rows; scoring is one pass without a shuffle.
+into one logistic output. Training is plain gradient descent (Adam) on the whole texts of a sample of
+labelled rows, bounded in rows and in bytes; it runs in one task, so only the network reaches the
+driver. Scoring is one pass without a shuffle.
 
 Defined results: null and empty texts are scored as an empty chunk (all padding); a null id counts
 as held out; without labelled rows of both kinds every score is the neutral 0.5 and every document
-is kept. Repeated rows are scored row by row; other columns are ignored (and kept by
-``keep_good``).
+is kept. An id labelled both ways is learned from with both labels; a row labelled twice counts once.
+Repeated rows are scored row by row; other columns are ignored (and kept by ``keep_good``).
 """
 
 from __future__ import annotations
 
+import io
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, slices, table, text_bytes
+from .common import held_out, slices, stored, table, text_bytes
 
 CHUNK = 512
 STEP = 384  # chunks overlap by CHUNK - STEP bytes
@@ -29,8 +31,9 @@ WIDTH = 8  # bytes under a filter
 STRIDE = 2
 EMBED = 6
 FILTERS = 32
-#: Expected number of training rows.
+#: Expected number of training rows, and the bytes of their texts, half for each label.
 TRAIN_ROWS = 3000
+TRAIN_BYTES = 16 << 20
 EPOCHS = 14
 THRESHOLD = 0.3
 _PAD = 256  # id of the padding byte
@@ -141,10 +144,12 @@ def _gradient(w: dict, raw: np.ndarray, start: np.ndarray, end: np.ndarray, size
         dz = (dz * (r > 0)).reshape(-1, FILTERS)
         grad["conv"] += p.T @ dz
         grad["bias"] += dz.sum(0)
-        dp = (dz @ w["conv"].T).reshape(len(ids), -1, WIDTH, EMBED)
-        de = np.zeros((len(ids), CHUNK, EMBED), np.float32)
-        for j in range(WIDTH):
-            de[:, j:j + STRIDE * dp.shape[1]:STRIDE][:, :dp.shape[1]] += dp[:, :, j]
+        # a filter's bytes in steps of STRIDE, which is what neighbouring positions are apart
+        dp = (dz @ w["conv"].T).reshape(len(ids), -1, WIDTH // STRIDE, STRIDE * EMBED)
+        de = np.zeros((len(ids), CHUNK // STRIDE, STRIDE * EMBED), np.float32)
+        for j in range(WIDTH // STRIDE):
+            de[:, j:j + dp.shape[1]] += dp[:, :, j]
+        de = de.reshape(len(ids), CHUNK, EMBED)
         flat = ids.reshape(-1)
         grad["embed"] += np.stack([np.bincount(flat, de[:, :, e].reshape(-1), 257) for e in range(EMBED)], 1)
     grad["embed"][_PAD] = 0
@@ -183,25 +188,46 @@ def _fit(raw: np.ndarray, offsets: np.ndarray, label: np.ndarray, seed: int = 5)
     return Network(w["embed"], w["conv"], w["bias"], w["out"], float(w["out_bias"][0]))
 
 
-def draw(labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """About ``rows`` rows of ``labels(doc_id, quality)``, half of each label where there are enough,
-    drawn by the hash of the id. Small by this bound, so it may be broadcast."""
-    labels = labels.where(F.col("quality").isin(0, 1))
+def draw(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> DataFrame:
+    """(key, text, quality): whole texts of about ``rows`` rows of ``docs(doc_id, text)`` that
+    ``labels(doc_id, quality)`` marks, half of each label where there are enough, drawn by the hash of
+    the id, and in this order as many as hold ``size`` bytes in all (half for each label; an id of
+    more is passed over)."""
+    labels = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     have = {r.quality: r.n for r in labels.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = {k: min(1.0, rows / 2 / max(have.get(k, 0), 1)) for k in (0, 1)}
-    return labels.where(unit < F.when(F.col("quality") == 1, share[1]).otherwise(share[0]))
+    some = labels.where(unit < F.when(F.col("quality") == 1, share[1]).otherwise(share[0]))  # about ``rows`` ids
+    picked = stored(docs.join(F.broadcast(some), "doc_id").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"), "quality"), "sample")
+    bytes_of = picked.groupBy("key", "quality").agg(F.sum(F.octet_length("text") + 1).alias("size")).where(F.col("size") <= size // 2)
+    order = Window.partitionBy("quality").orderBy(F.xxhash64("key"), "key").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = bytes_of.withColumn("total", F.sum("size").over(order)).where(F.col("total") <= size // 2).select("key", "quality")
+    return picked.join(F.broadcast(fitting), ["key", "quality"]).select("key", "text", "quality")
 
 
 def train(sample: DataFrame) -> Network | None:
-    """Fit on the whole texts of all rows of ``sample(key, text, quality)``, whose number must be
-    bounded (see ``draw``); the driver holds these texts. None if a label is missing."""
-    rows = sample.select(F.col("key").cast("long"), F.col("quality").cast("int"), F.coalesce("text", F.lit("")).alias("text"))
-    got = rows.toArrow()
-    if len(got["quality"].unique()) < 2:
+    """Fit on the whole texts of all rows of ``sample(key, text, quality)``, which must be bounded (see
+    ``draw``): one task holds them. None if a label is missing."""
+    rows = sample.select(F.col("key").cast("long").alias("key"), F.col("quality").cast("int").alias("quality"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def fit(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        got = pa.Table.from_batches(held)
+        if len(got["quality"].unique()) < 2:
+            return
+        got = got.sort_by([(c, "ascending") for c in got.column_names])  # the same network whatever the task order
+        net = _fit(*text_bytes(got["text"]), got["quality"].to_numpy().astype(float))
+        out = io.BytesIO()
+        np.savez(out, embed=net.embed, conv=net.conv, bias=net.bias, out=net.out, out_bias=net.out_bias)
+        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["net"])
+
+    found = rows.repartition(1).mapInArrow(fit, "net binary").collect()
+    if not found:
         return None
-    got = got.sort_by([(c, "ascending") for c in got.column_names])  # the same network whatever the task order
-    return _fit(*text_bytes(got["text"]), got["quality"].to_numpy().astype(float))
+    with np.load(io.BytesIO(found[0].net)) as got:
+        return Network(got["embed"], got["conv"], got["bias"], got["out"], float(got["out_bias"]))
 
 
 def _scores(net: Network | None, column: pa.Array) -> np.ndarray:
@@ -235,9 +261,8 @@ def keep_good(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD
 
 def learn(spark: SparkSession, sf_dir: str) -> Network | None:
     """Network from the labels that are not held out."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out(F.col("doc_id")))
-    return train(docs.join(F.broadcast(draw(labels)), "doc_id").select(F.col("doc_id").alias("key"), "text", "quality"))
+    return train(draw(table(spark, sf_dir, "documents").select("doc_id", "text"), labels))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -308,3 +308,16 @@ def test_components(spark):
     got = {x.id: x.component for x in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     root = brute.roots({x for e in edges for x in e}, edges)
     assert all(got.get(x, x) == root[x] for x in root)
+
+
+def test_quality_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * (100 + i)) for i in range(400)] + [(900, "y" * 5000), (5, "again"), (None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] * 2 + [(900, 1), (7, 0), (None, 1), (8, None), (9, 3)], "doc_id long, quality int")
+    every = quality.draw(docs, labels, 10_000, 1 << 20).collect()
+    assert len(every) == 400 + 2 + 1 and {r.quality for r in every if r.key == 7} == {0, 1}
+    part = quality.draw(docs, labels, 10_000, 9000).collect()
+    for label in (0, 1):
+        size = sum(len(r.text) + 1 for r in part if r.quality == label)
+        assert 4500 - 600 < size <= 4500
+    assert 900 not in {r.key for r in part} and all(set(r.text) <= {"x"} or r.text == "again" for r in part)
+    assert quality.train(quality.draw(docs.limit(0), labels)) is None and quality.train(quality.draw(docs, labels.limit(0))) is None

@@ -19,6 +19,69 @@ from .url_filter import op9_url_filter
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_mixing, op3_embedding_dedup, op4_decontaminate, op5_sharding, op6_jaccard_join, op7_quality, op8_secret_scan, op9_url_filter, op10_substring_dedup, op11_exact_topk, op12_conversation_trie, op13_collocations)}
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_embedding_dedup": """
+with recursive v as (
+  select vec_id, row_number() over () as rid, label, list_transform(embedding, lambda x: x::double) as e,
+    embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0 as fit
+  from embeddings),
+links as (
+  select a.rid as a, b.rid as b from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.rid <> b.rid
+  where a.fit and b.fit and list_cosine_similarity(case when a.fit then a.e else [1.0] end, case when a.fit and b.fit then b.e else [1.0] end) >= 0.98),
+reach(a, b) as (select rid, rid from v union select reach.a, links.b from reach join links on links.a = reach.b),
+least as (select a, min(vec_id) as component_id from reach join v on v.rid = reach.b group by a),
+n as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from v join least on least.a = v.rid left join n on n.a = v.rid""",
+    "op4_decontaminate": r"""
+with d as (
+  select doc_id, row_number() over () as rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+i as (
+  select item_id, row_number() over () as item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+phrases as (
+  select distinct item_id, item, m, unnest(list_transform(range(1, len(w) - m + 2), lambda p: array_to_string(w[p:p + m - 1], ' '))) as phrase
+  from (select *, least(13, len(w)) as m from i) where m > 0),
+spots as (select rid, w, m, unnest(range(1, len(w) - m + 2)) as p from d, (select distinct m from phrases) where len(w) >= m),
+found as (select rid, p, spots.m, item_id from spots join phrases on phrases.m = spots.m and phrase = array_to_string(w[p:p + spots.m - 1], ' ')),
+hit as (select rid, count(distinct pos) as n_hit from (select rid, unnest(range(p, p + m)) as pos from found) group by rid),
+items as (
+  select rid, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct rid, item_id::varchar as id from found) group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join hit on hit.rid = d.rid left join items on items.rid = d.rid""",
+    "op6_jaccard_join": r"""
+with recursive d as (
+  select doc_id, row_number() over () as rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select rid, list_distinct(case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' ')) end) as s
+  from d),
+e as (select rid, len(s) as n, unnest(s) as x from s),
+links as (
+  select a, b from (select a.rid as a, b.rid as b, a.n as na, b.n as nb, count(*) as common from e a join e b on a.x = b.x and a.rid <> b.rid group by all)
+  where 100 * common >= 80 * (na + nb - common)),
+reach(a, b) as (select rid, rid from d union select reach.a, links.b from reach join links on links.a = reach.b),
+least as (select a, min(doc_id) as component_id from reach join d on d.rid = reach.b group by a)
+select doc_id, len(s)::bigint as n_shingles, component_id from d join s on s.rid = d.rid join least on least.a = d.rid""",
+    "op10_substring_dedup": r"""
+with d as (select doc_id, row_number() over () as rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+spots as (select rid, unnest(range(1, len(w) - 33)) as p, w from d where len(w) >= 35),
+h as (select rid, p, md5(array_to_string(w[p:p + 34], ' ')) as h from spots),
+again as (select rid, p from h qualify count(*) over (partition by h) > 1),
+gone as (select distinct rid, unnest(range(p, p + 35)) as i from again),
+words as (select rid, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d),
+kept as (
+  select words.rid, string_agg(word, ' ' order by words.i) as kept from words left join gone on gone.rid = words.rid and gone.i = words.i
+  where gone.i is null group by words.rid),
+n as (select rid, count(*) as n from gone group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join n on n.rid = d.rid left join kept on kept.rid = d.rid""",
     "op11_exact_topk": """
 with v as (
   select vec_id, row_number() over () as rid, list_transform(embedding, lambda x: floor(x::double * 256)) as e from embeddings

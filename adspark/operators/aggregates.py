@@ -3,9 +3,14 @@ aggregation, so a hot key is combined before the shuffle."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adspark.functions.text import truncate_with_ellipsis
+
+#: Positions whose issues make one piece of text of ``feed_result_by_message`` with a ``limit``.
+ISSUES_A_BIN = 256
+
 
 def row_count(df: DataFrame, *, by=("_file",)) -> DataFrame:
     """A-01: rows per group (per file by default)."""
@@ -25,15 +30,21 @@ def distinct_listing(df: DataFrame, *, sku: str = "seller-sku") -> DataFrame:
 
 def feed_result_by_message(issues: DataFrame, *, group=("batch_id",), message: str = "messageId",
                            pos="pos", severity: str = "severity",
-                           attribute: str = "attributeName", text: str = "message") -> DataFrame:
+                           attribute: str = "attributeName", text: str = "message",
+                           limit: int | None = None) -> DataFrame:
     """A-02: one row per message with issues: ``SUCCESS`` unless an issue has severity ``ERROR``;
     the error text joins ``attribute: message`` of the ERROR issues by ``'; '`` in issue order
     (``pos``; a list such as ``("feed_id", "pos")`` orders across documents), with
-    ``Unknown attribute`` / ``No message`` defaults; blank on success."""
+    ``Unknown attribute`` / ``No message`` defaults; blank on success.
+
+    With ``limit`` a text above that many characters ends in ``...`` (``truncate_with_ellipsis``) and
+    no group is collected whole, however many issues a message has (``_bounded_results``)."""
     order = [pos] if isinstance(pos, str) else list(pos)
     is_err = F.coalesce(F.col(severity) == "ERROR", F.lit(False))
     piece = F.concat(F.coalesce(F.col(attribute), F.lit("Unknown attribute")), F.lit(": "),
                      F.coalesce(F.col(text), F.lit("No message")))
+    if limit is not None:
+        return _bounded_results(issues, [*group, message], order, is_err, piece, limit)
     keys = [F.col(c) for c in group] + [F.col(message)]
     agg = issues.groupBy(*keys).agg(
         F.max(is_err.cast("int")).alias("_err"),
@@ -47,6 +58,26 @@ def feed_result_by_message(issues: DataFrame, *, group=("batch_id",), message: s
     )
 
 
+def _bounded_results(issues: DataFrame, keys: list[str], order: list[str], is_err: Column, piece: Column, limit: int) -> DataFrame:
+    """Issues are first joined to one text per bin of ``ISSUES_A_BIN`` positions (the last column of
+    ``order``, a number that is unique within the others; NULL is a bin of its own), cut beyond
+    ``limit``. Running lengths over a message's bins tell which bins begin within the limit; only
+    those are collected, twice the limit at most. Bins that begin later cannot change the text."""
+    *before, last = order
+    names = [f"_o{i}" for i in range(len(before))] + ["_bin"]
+    bins = issues.groupBy(*keys, *[F.col(b).alias(n) for b, n in zip(before, names, strict=False)], F.floor(F.col(last) / ISSUES_A_BIN).alias("_bin")).agg(
+        F.max(is_err).alias("_err"),
+        F.sort_array(F.collect_list(F.when(is_err, F.struct(F.col(last).alias("p"), F.substring(piece, 1, limit + 1).alias("t"))))).alias("_parts"))
+    bins = bins.withColumn("_text", F.when(F.size("_parts") > 0, F.substring(F.array_join("_parts.t", "; "), 1, limit + 1))).drop("_parts")
+    earlier = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum(F.length("_text") + 2).over(earlier), F.lit(0))
+    kept = F.when((F.col("_begin") <= limit + 2) & F.col("_text").isNotNull(), F.struct(*names, "_text"))
+    out = bins.withColumn("_begin", begin).groupBy(*keys).agg(F.max("_err").alias("_err"), F.sort_array(F.collect_list(kept)).alias("_texts"))
+    return out.select(
+        *keys, F.when(F.col("_err"), F.lit("ERROR")).otherwise(F.lit("SUCCESS")).alias("status"),
+        F.when(F.col("_err"), truncate_with_ellipsis(F.array_join("_texts._text", "; "), limit)).otherwise(F.lit("")).alias("errorMessage"))
+
+
 def feed_summary(summaries: DataFrame, *, by=("seller_id", "batch_id"), processed: str = "messagesProcessed",
                  accepted: str = "messagesAccepted", invalid: str = "messagesInvalid") -> DataFrame:
     """A-03: totals over the feeds of a batch; ``completed`` when nothing failed, else

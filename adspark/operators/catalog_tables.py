@@ -89,16 +89,25 @@ def publish_partitions_to_catalog(df: DataFrame, table: str, partition_by, touch
     spark.catalog.refreshTable(table)
 
 
+def table_partitions(spark: SparkSession, table: str) -> list[tuple[tuple[str, ...], str]]:
+    """(partition values, folder) of each partition of a catalog table."""
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(_quoted(table))
+    names = state.catalog().getTableMetadata(ident).partitionColumnNames()
+    parts, out = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty()).iterator(), []
+    while parts.hasNext():
+        p = parts.next()
+        out.append((tuple(p.spec().apply(names.apply(i)) for i in range(names.size())), spark._jvm.org.apache.hadoop.fs.Path(p.location()).toString()))
+    return out
+
+
 def used_locations(spark: SparkSession, table: str) -> list[str]:
     """The folder of each partition, or of the table if it has none."""
     state = spark._jsparkSession.sessionState()
     ident = state.sqlParser().parseTableIdentifier(_quoted(table))
     if state.catalog().getTableMetadata(ident).partitionColumnNames().isEmpty():
         return [table_location(spark, table)]
-    parts, out = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty()).iterator(), []
-    while parts.hasNext():
-        out.append(parts.next().location().toString())
-    return out
+    return [location for _, location in table_partitions(spark, table)]
 
 
 def remove_unused_loads(spark: SparkSession, table: str, *, root: str | None = None, older_than_hours: float = 24) -> int:

@@ -21,6 +21,7 @@ FULFILLMENT_CHANNEL = "DEFAULT"
 MARKETPLACE_ID = "ATVPDKIKX0DER"
 CURRENCY = "USD"
 CHUNK_SIZE = 10000
+ERROR_CHARS = 65535
 
 
 def _q(c: str):
@@ -150,7 +151,7 @@ def apply_feed_results(history: DataFrame, results: DataFrame, *, batch_id: str,
     res = results.filter(F.col(keys[-1]).isNotNull()).select(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
         F.when(F.col("status") == "SUCCESS", F.lit("success")).otherwise(F.lit("failed")).alias("_r_status"),
-        truncate_with_ellipsis(F.coalesce(F.col("errorMessage"), F.lit("")), 65535).alias("_r_error"))
+        truncate_with_ellipsis(F.coalesce(F.col("errorMessage"), F.lit("")), ERROR_CHARS).alias("_r_error"))
     cond = in_batch
     for k in keys:
         cond = cond & (history[k] == res[f"_r_{k}"])

@@ -20,6 +20,7 @@ from adspark.functions.text import normalize_value
 from adspark.operators import catalog_tables as CT
 from adspark.operators import load as L
 from adspark.operators import normalize as N
+from adspark.operators.evolution import evolve_table
 from adspark.sources.files import parse_report, spec_input_schema
 from adspark.sources.paths import path_metadata
 from adspark.specs import TableSpec
@@ -206,13 +207,16 @@ def read_table(spark: SparkSession, tables_root: str, spec: TableSpec, *, databa
 
 
 def _catalog_table(spark: SparkSession, spec: TableSpec, tables_root: str, database: str, buckets: int) -> str:
-    """The catalog table that a load fills. Data that the catalog does not know (its session has
+    """The catalog table that a load fills, with the columns and types that the specification has now
+    (added or widened in place; a type that needs files rewritten is an error, see ``evolve_table``). Data that the catalog does not know (its session has
     ended) is refused: a new table would hide it."""
     name, path = f"{database_name(spec, database)}.{spec.table_name}", table_path(tables_root, spec)
     if not spark.catalog.tableExists(name):
         if _exists(spark, path):
             raise ValueError(f"{path} holds data of a table that this catalog does not know: {name}")
         L.create_table_from_spec(spark, spec, location=path, database=database_name(spec, database), buckets=buckets)
+    else:
+        evolve_table(spark, name, L.partition_schema(spec))
     kept = CT.table_property(spark, name, "buckets")
     if kept is not None and int(kept) != buckets:
         raise ValueError(f"{name} is stored in {kept} buckets, not {buckets}")

@@ -34,6 +34,7 @@ from adspark.operators import load as L
 from adspark.operators import normalize as N
 from adspark.operators import pricing as P
 from adspark.operators.dates import date_range_list
+from adspark.operators.evolution import evolve_table
 from adspark.session import ensure_checkpoint_dir, scratch_dir
 from adspark.sources import files as SRC
 from adspark.sources.paths import path_metadata
@@ -1246,6 +1247,24 @@ def q_feed_result_by_message(spark, sf):
     return A.feed_result_by_message(_issues(spark, sf), group=())
 
 
+@query("feed_errors_bounded", """
+WITH i AS (SELECT event_id % 7 AS messageId, event_id AS pos,
+  CASE WHEN value > 40 THEN NULL ELSE event_type END AS attributeName,
+  CASE WHEN value < 5 THEN NULL ELSE props END AS message, event_type = 'error' AND event_id % 7 <> 6 AS is_error FROM events),
+t AS (SELECT messageId, bool_or(is_error) AS failed,
+  string_agg(COALESCE(attributeName, 'Unknown attribute') || ': ' || COALESCE(message, 'No message'), '; ' ORDER BY pos)
+    FILTER (WHERE is_error) AS text FROM i GROUP BY messageId)
+SELECT messageId, CASE WHEN failed THEN 'ERROR' ELSE 'SUCCESS' END AS status,
+  CASE WHEN NOT failed THEN '' WHEN length(text) > 2000 THEN substr(text, 1, 1997) || '...' ELSE text END AS errorMessage
+FROM t
+""")
+def q_feed_errors_bounded(spark, sf):
+    """Seven messages hold all issues; their texts are cut at 2,000 characters."""
+    issues = _issues(spark, sf).withColumn("messageId", F.col("pos") % 7)
+    issues = issues.withColumn("severity", F.when(F.col("messageId") == 6, F.lit("WARNING")).otherwise(F.col("severity")))
+    return A.feed_result_by_message(issues, group=(), limit=2000)
+
+
 @query("feed_summary", """
 WITH s AS (SELECT user_id AS seller_id, strftime(ts, '%Y%m%d') AS batch_id, length(props) AS processed,
   CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN length(props) - 1 ELSE length(props) END AS accepted,
@@ -1497,6 +1516,31 @@ def q_create_table_from_spec(spark, sf):
     return _ntz(back.select("campaignId", "profileId", "date", "cost", "marketplace", "clicks"))
 
 
+@query("evolve_table", """
+SELECT o_orderkey, o_totalprice, o_orderstatus AS status, CAST(date_trunc('year', o_orderdate) AS VARCHAR)[:4] AS year,
+  CASE WHEN year(o_orderdate) < 1996 THEN NULL ELSE o_orderpriority END AS priority,
+  CAST(o_custkey AS DOUBLE) AS customer
+FROM orders
+""")
+def q_evolve_table(spark, sf):
+    """Orders up to 1995 are stored by an older layout (price as text, a narrow customer number, no priority),
+    then the table evolves, and the later years are loaded by the new layout."""
+    base = _scratch(spark, "evolve")
+    name = _database(spark, base) + ".orders"
+    o = _t(spark, sf, "orders").withColumn("year", F.date_format("o_orderdate", "yyyy"))
+    old = o.where("year < '1996'").select("o_orderkey", F.col("o_totalprice").cast("string").alias("o_totalprice"), F.col("o_orderstatus").alias("status"),
+                                          F.col("o_custkey").cast("int").alias("customer"), "year")
+    new = o.where("year >= '1996'").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("status"), F.col("o_custkey").cast("double").alias("customer"),
+                                           F.col("o_orderpriority").alias("priority"), "year")
+    spark.sql(f"CREATE TABLE {name} (o_orderkey bigint, o_totalprice string, status string, customer int, year string) USING parquet PARTITIONED BY (year) LOCATION '{base}/orders'")
+    for rows, before in ((old, False), (new, True)):
+        if before:
+            evolve_table(spark, name, new.schema, rewrite=True)
+        years = [tuple(r) for r in rows.select("year").distinct().collect()]  # the partitions of a load
+        CT.publish_partitions_to_catalog(rows, name, ["year"], years)
+    return spark.table(name).select("o_orderkey", "o_totalprice", "status", "year", "priority", "customer")
+
+
 _STREAM_SQL = """
 SELECT o_orderkey AS campaignId, 'P' || o_orderstatus AS profileId, date_trunc('month', o_orderdate) AS date,
   o_totalprice{bump} AS cost,

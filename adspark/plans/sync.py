@@ -171,7 +171,7 @@ def apply_feed(history: DataFrame, batches: DataFrame, results_raw: DataFrame, m
     """Fold the feed results of one batch back: ``(history, batches, errors)``."""
     issues, summary, errors = FD.parse_feed_result(results_raw, keys=keys)
     per_msg = feed_result_by_message(issues, group=[k for k in ("seller_id", "batch_id") if k in issues.columns],
-                                     pos=[k for k in ("feed_id", "pos") if k in issues.columns])
+                                     pos=[k for k in ("feed_id", "pos") if k in issues.columns], limit=FD.ERROR_CHARS)
     with_sku = J.issues_to_messages(per_msg, messages.select("seller_id", F.lit(batch_id).alias("batch_id"),
                                                              F.col("message_id").alias("messageId"), "sku"),
                                     on=("seller_id", "batch_id", "messageId"))

@@ -4,8 +4,11 @@ A rotation of the principal axes is learned so that signs lose little (ITQ, Gong
 on a bounded sample; each rotation gives a balanced binary code. The codes are cut into substrings,
 one hash table each; vectors that agree in a substring meet, and each pair is reranked with the
 original vectors by cosine in double precision, in the first table where it meets. The number of
-tables follows from the substring length: with the chance of a pair at the threshold to differ in
-a bit, the expected recall at the threshold is TARGET; further rotations supply the bits.
+tables follows from the substring length and the recall: at least as many as the chance of a pair at
+the threshold to differ in a bit asks for, then more until TARGET of the probes have met, pairs at
+exactly the threshold made of sampled vectors (centring widens the angles of vectors that share a
+direction, so the plain chance alone is too good there); further rotations supply the bits. Where
+tables would pass MAX_TABLES, substrings get shorter instead.
 
 Every vector is indexed, and buckets have no cap: a bucket beyond BLOCK vectors is split into
 blocks, each pair of blocks being a unit of work. Links are counted and joined to spanning stars
@@ -35,6 +38,11 @@ SAMPLE = 20_000
 ITERATIONS = 40
 BLOCK = 1024
 MAX_BITS = 64
+#: Sampled vectors that the number of tables is measured with, two probes each.
+PROBES = 2_000
+#: Tables beyond which substrings get shorter (larger buckets, the same recall); the least length is MIN_WIDTH.
+MAX_TABLES = 96
+MIN_WIDTH = 4
 
 
 def learn_rotation(x: np.ndarray, bits: int, seed: int) -> np.ndarray:
@@ -57,18 +65,61 @@ def plan_tables(n: int, threshold: float = THRESHOLD, target: float = TARGET) ->
     return width, ceil(log(1 - target) / log(1 - agree))
 
 
+def probe_pairs(unit: np.ndarray, threshold: float, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors whose cosine is the threshold: sampled vectors, each turned by that
+    angle towards a random direction and towards the difference from another sampled vector."""
+    r = np.random.default_rng(seed)
+    u = unit[r.permutation(len(unit))[:PROBES]]
+    left, right = [], []
+    for way in (r.normal(size=u.shape), u[::-1] - u):
+        way = way - (way * u).sum(1, keepdims=True) * u
+        length = np.sqrt((way * way).sum(1))
+        some = length > 1e-9
+        left.append(u[some])
+        right.append(threshold * u[some] + np.sqrt(1 - threshold ** 2) * way[some] / length[some, None])
+    return np.concatenate(left), np.concatenate(right)
+
+
 class Codes:
-    """Substring keys of vectors of one length. fit: sample of unit vectors (rows)."""
+    """Substring keys of vectors of one length. fit: sample of unit vectors (rows); tables: the least
+    number of tables."""
 
-    def __init__(self, fit: np.ndarray, width: int, tables: int):
+    def __init__(self, fit: np.ndarray, width: int, tables: int, threshold: float = THRESHOLD, target: float = TARGET):
         dim = fit.shape[1]
         self.mean = fit.mean(0) if len(fit) else np.zeros(dim)
         bits = min(dim, MAX_BITS)
         self.width = min(width, bits)
+        self.per = max(1, bits // self.width)
         self.tables = tables if self.width > 1 else 1
-        per = max(1, bits // self.width)
-        self.projections = [learn_rotation(fit - self.mean, bits, seed) if len(fit) else np.eye(dim)[:, :bits] for seed in range(ceil(self.tables / per))]
-        self.per = per
+        self.projections = []
+        if not len(fit):
+            self.projections = [np.eye(dim)[:, :bits]] * ceil(self.tables / self.per)
+            return
+        left, right = probe_pairs(fit, threshold)
+        missed = np.ones(len(left), bool)
+        found = 0  # tables so far
+        while found < self.tables or (self.width > 1 and missed.sum() > (1 - target) * len(missed)):
+            if found >= max(MAX_TABLES, self.tables) and self.width > MIN_WIDTH:
+                self.width, found, missed = max(MIN_WIDTH, self.width - 2), 0, np.ones(len(left), bool)
+                self.per = max(1, bits // self.width)
+                kept, self.projections = self.projections, []
+                for p in kept:  # the same rotations, cut into shorter substrings
+                    found, missed = self._add(p, left, right, found, missed)
+                    if found >= self.tables and missed.sum() <= (1 - target) * len(missed):
+                        break
+                continue
+            if found >= 4 * MAX_TABLES:
+                break  # vectors of one or two components, whose rotations hardly differ
+            found, missed = self._add(learn_rotation(fit - self.mean, bits, len(self.projections)), left, right, found, missed)
+        self.tables = found
+
+    def _add(self, projection: np.ndarray, left: np.ndarray, right: np.ndarray, found: int, missed: np.ndarray) -> tuple[int, np.ndarray]:
+        """One more rotation: the tables with it and the probes that have met in none of them."""
+        self.projections.append(projection)
+        differ = ((left - self.mean) @ projection > 0) != ((right - self.mean) @ projection > 0)
+        for k in range(self.per):
+            missed = missed & differ[:, k * self.width:(k + 1) * self.width].any(1)
+        return found + self.per, missed
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """(rows, tables) int32"""
@@ -168,7 +219,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, target: fl
     for (_, dim), n in counts.items():  # one entry per vector length
         fit = [v for d, v in zip(drawn["dim"], drawn["embedding"], strict=True) if d == dim]
         x = _units(np.array(fit, np.float64).reshape(-1), dim) if fit else np.zeros((0, dim))
-        codes[dim] = Codes(x, *plan_tables(n, threshold, target))
+        codes[dim] = Codes(x, *plan_tables(n, threshold, target), threshold, target)
 
     keyed = classes.select("label", "dim", "c", "copies", "embedding").mapInArrow(_keyed(codes), "label long, dim int, tab int, sub long, c long, copies long, keys binary, vector binary")
     keyed = stored(keyed, "hamming-tables")

@@ -302,6 +302,30 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.near_duplicates(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [0.0, 0.5, 0.8])
+def test_embedding_tables_reach_the_target(shared):
+    """Pairs at the threshold meet also where all vectors share a direction (average cosine ``shared``)."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(3000, 32))
+    x = np.sqrt(1 - shared) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    x[:, 0] += np.sqrt(shared)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for n in (500, 1_000_000):
+        codes = embedding_dedup.Codes(x[:2000], *embedding_dedup.plan_tables(n))
+        u = x[2000:]
+        way = r.normal(size=u.shape)
+        way -= (way * u).sum(1, keepdims=True) * u
+        v = 0.9801 * u + np.sqrt(1 - 0.9801 ** 2) * way / np.linalg.norm(way, axis=1, keepdims=True)
+        assert (codes.keys(u) == codes.keys(v)).any(1).mean() >= 0.99
+        assert codes.keys(u).shape[1] == codes.tables
+
+
+def test_embedding_tables_of_few_vectors():
+    for x in (np.ones((1, 1)), np.array([[1.0], [-1.0]]), np.ones((3, 2)) / np.sqrt(2), np.zeros((0, 5)), np.eye(4)):
+        codes = embedding_dedup.Codes(x, *embedding_dedup.plan_tables(len(x)))
+        assert codes.keys(x).shape == (len(x), codes.tables)
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]

@@ -1182,8 +1182,7 @@ def q_write_feed(spark, sf):
     msgs = FD.delete_messages(msgs)
     path = _scratch(spark, "feed")
     FD.write_feed(msgs, path)
-    back = spark.read.schema("value string, seller_id string, chunk_id bigint").text(path)
-    return back.select("seller_id", "chunk_id", F.col("value").alias("document"))
+    return FD.read_documents(spark, path)
 
 
 @query("update_messages", """

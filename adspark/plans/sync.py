@@ -262,8 +262,7 @@ def run_plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFr
     history = _stored(spark, history_path, history_schema)
     plan = plan_feed(products, identifiers, overrides, rules, master, history, live, batch_id=batch_id, now=now,
                      seed=seed, **plan_kw)
-    plan.documents.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy("seller_id", "chunk_id").text(f"{feed_path.rstrip('/')}/batch_id={batch_id}")
+    FD.store_documents(plan.documents, f"{feed_path.rstrip('/')}/batch_id={batch_id}")
     cols = plan_kw.get("cols", PC)
     current = plan.current.select(F.col(f"`{seller}`").cast("string").alias("seller_id"),
                                   F.col(f"`{cols.sku}`").cast("string").alias("sku"))

@@ -443,3 +443,17 @@ def test_run_table(spark, tmpdir_path):
         assert state() == want | {"s1": ("completed", None), "bad": ("error", "unexpected result structure")}
     counted = A.run_outcomes(read_run(spark, paths["runs"], "B1").filter("status <> 'incomplete'")).first().asDict()
     assert counted == {"sellers_total": 6, "completed": 1, "error": 3, "no_data": 1}
+
+
+def test_feed_files_do_not_grow_with_sellers(spark, tmpdir_path):
+    import glob
+    import os
+    rows = spark.range(300).select(F.concat(F.lit("0"), F.col("id").cast("string")).alias("seller_id"), F.lit("a/b \"c\"\n").alias("sku"),
+                                   F.lit(1).alias("message_id")).unionByName(
+        spark.createDataFrame([(None, "x", 1), ("", "y", 10001)], "seller_id string, sku string, message_id int"))
+    messages = FD.delete_messages(FD.chunk_messages(rows))
+    path = os.path.join(tmpdir_path, "feed")
+    FD.write_feed(messages, path)
+    want = {tuple(r) for r in FD.feed_documents(messages).collect()}
+    assert len(want) == 302 and {tuple(r) for r in FD.read_documents(spark, path).collect()} == want
+    assert len(glob.glob(f"{path}/**/part-*", recursive=True)) <= 16

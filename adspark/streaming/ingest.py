@@ -80,6 +80,7 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
     files = path_metadata(files, kind=kind)
     files, bad_format = file_format_gate(files, path="_file")
     files = files.persist(StorageLevel.MEMORY_AND_DISK)
+    bad_header = None
     try:
         named = F.lit(False)
         for spec in load_specs():
@@ -89,7 +90,8 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
         gated = header_gate(_file_headers(files.filter(named)), path="_file", keep=("unreadable",))
         status = F.when(F.col("unreadable"), F.lit("UNREADABLE")).when(F.col("verdict") == "empty", F.lit("EMPTY")) \
             .when(F.col("verdict").isin("error_column", "html"), F.lit("INVALID_HEADER"))
-        bad_header = gated.select("_file", status.alias("status")).filter("status is not null")
+        # The verdict parses every file; it is read by all steps below, so it is kept.
+        bad_header = gated.select("_file", status.alias("status")).filter("status is not null").persist(StorageLevel.MEMORY_AND_DISK)
         rejects = bad_format.select("_file", "status").unionByName(bad_header) \
             .unionByName(files.filter(~named).select("_file", F.lit("UNKNOWN_TABLE").alias("status")))
         _write_status(rejects, tables_root, "_rejects", query_id, batch_id)
@@ -130,6 +132,8 @@ def process_batch(files: DataFrame, batch_id: int, *, tables_root: str, kind: st
             fs.create(marker, True).close()
         D.store_loaded(deliveries, tables_root=tables_root, query_id=query_id, batch_id=batch_id)
     finally:
+        if bad_header is not None:
+            bad_header.unpersist()
         files.unpersist()
 
 

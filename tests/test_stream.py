@@ -408,3 +408,25 @@ def test_deliveries_of_several_files(spark, tmpdir_path):
     assert after() == second
     _part(landing, "d0", 2, 2, "p1", [{"adGroupId": 202, "campaignId": 1}])
     assert after() == second  # complete, but older than what is loaded
+
+
+def test_files_are_judged_once_a_batch(spark, tmpdir_path, monkeypatch):
+    from adspark.streaming import ingest as I
+    seen, headers = spark.sparkContext.accumulator(0), I._file_headers
+
+    def judged(path):
+        seen.add(1)
+        return path
+
+    mark = F.udf(judged, "string").asNondeterministic()
+    monkeypatch.setattr(I, "_file_headers", lambda files: headers(files).withColumn("_file", mark("_file")))
+    landing = os.path.join(tmpdir_path, "landing", "reports", "SP", "campaign", "US", "7", "P1", "20240101-20240131")
+    os.makedirs(landing)
+    for name, text in (("a.json", '[{"campaignId": 1, "date": "2024-01-02", "cost": 2.5}]'), ("b.json", '[{"campaignId": 2, "date"')):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write(text)
+    root = os.path.join(tmpdir_path, "tables")
+    I.ingest_stream(spark, os.path.join(tmpdir_path, "landing"), tables_root=root, checkpoint=os.path.join(tmpdir_path, "ckpt"),
+                    now=F.lit("2024-06-01 00:00:00").cast("timestamp")).awaitTermination()
+    assert [r["status"] for r in spark.read.parquet(f"{root}/_rejects").collect()] == ["UNREADABLE"]
+    assert seen.value == 2

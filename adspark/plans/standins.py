@@ -1805,8 +1805,9 @@ def q_run_table(spark, sf):
     doc = F.to_json(F.struct(F.create_map(F.lit("sellerId"), F.col("seller_id")).alias("header"), F.array().cast("array<struct<messageId:string>>").alias("issues"),
                              F.struct(n.alias("messagesProcessed"), (n - bad).alias("messagesAccepted"), bad.alias("messagesInvalid")).alias("summary")))
     sent = plan.messages.groupBy("seller_id").agg(F.count("*").alias("n")).join(s.withColumn("seller_id", user), "seller_id").filter(kind != 2)
-    sent.select("seller_id", F.when(kind == 0, F.lit("{")).otherwise(doc).alias("value")).write.partitionBy("seller_id").text(f"{root}/results")
-    run_apply_feed(spark, f"{root}/results", plan.messages, **kw)
+    FD.store_results(sent.select("seller_id", F.concat_ws("-", F.lit(BATCH_ID), "seller_id").alias("feed_id"),
+                                 F.when(kind == 0, F.lit("{")).otherwise(doc).alias("value")), f"{root}/results")
+    run_apply_feed(spark, f"{root}/results", plan.messages, stored=True, **kw)
     rows = read_run(spark, f"{root}/runs", BATCH_ID)
     counted = A.run_outcomes(rows.filter("status <> 'incomplete'")).withColumnRenamed("error", "errors").withColumn("batch_id", F.lit(BATCH_ID))
     return rows.select("batch_id", "seller_id", "status", "error").join(counted, "batch_id")

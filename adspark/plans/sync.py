@@ -312,15 +312,19 @@ def start_batch(spark, sellers: DataFrame, *, batches_path: str, batches_schema,
 
 def run_apply_feed(spark, result_paths, messages: DataFrame, *, history_path: str, history_schema,
                    batches_path: str, batches_schema, staging_root: str, batch_id: str, now: Column,
-                   seller: str = "seller_id", runs_path: str | None = None):
+                   seller: str = "seller_id", runs_path: str | None = None, stored: bool = False):
     """Second job: read the feed result documents (one JSON document per file; the seller is the
-    ``seller_id=`` folder of the file), fold them into the stored change history and batch
+    ``seller_id=`` folder of the file; with ``stored`` a folder written by ``store_results``, which
+    does not grow by a file a seller), fold them into the stored change history and batch
     history (only the sellers of this batch are rewritten) and, with ``runs_path``, into the run table.
     Returns the unreadable documents."""
     from adspark.sources.files import whole_files
-    raw = whole_files(spark, result_paths).select(
-        F.regexp_extract("_file", r"seller_id=([^/]+)", 1).alias(seller), F.lit(batch_id).alias("batch_id"),
-        F.col("_file").alias("feed_id"), "value")
+    if stored:
+        raw = FD.read_results(spark, result_paths).select(F.col("seller_id").alias(seller), F.lit(batch_id).alias("batch_id"), "feed_id", "value")
+    else:
+        raw = whole_files(spark, result_paths).select(
+            F.regexp_extract("_file", r"seller_id=([^/]+)", 1).alias(seller), F.lit(batch_id).alias("batch_id"),
+            F.col("_file").alias("feed_id"), "value")
     history = load_history(spark, history_path, history_schema)
     batches = _stored(spark, batches_path, batches_schema)
     new_history, new_batches, errors = apply_feed(history, batches, raw, messages, batch_id=batch_id, now=now)

@@ -457,3 +457,14 @@ def test_feed_files_do_not_grow_with_sellers(spark, tmpdir_path):
     want = {tuple(r) for r in FD.feed_documents(messages).collect()}
     assert len(want) == 302 and {tuple(r) for r in FD.read_documents(spark, path).collect()} == want
     assert len(glob.glob(f"{path}/**/part-*", recursive=True)) <= 16
+
+
+def test_result_files_do_not_grow_with_sellers(spark, tmpdir_path):
+    import glob
+    import os
+    raw = spark.range(300).select(F.concat(F.lit("0"), F.col("id").cast("string")).alias("seller_id"), F.lit("f").alias("feed_id"),
+                                  F.lit('{"header": {}, "issues": []}\n').alias("value"))
+    path = os.path.join(tmpdir_path, "results")
+    FD.store_results(raw, path)
+    assert sorted(map(tuple, FD.read_results(spark, path).collect())) == sorted(map(tuple, raw.collect()))
+    assert len(glob.glob(f"{path}/**/part-*", recursive=True)) <= 16

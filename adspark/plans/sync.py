@@ -136,8 +136,14 @@ def plan_feed(products: DataFrame, identifiers: DataFrame, overrides: DataFrame
     # The annotated products feed the staged rows, the message ids, the update messages, the price
     # updates and the change statistics: materialise them once in the shared checkpoint folder
     # (also cuts the lineage of the whole pricing chain).
+    # Without overrides nothing before has dealt the priced rows by their key. Dealt so once, equal rows
+    # meet and the window below finds its groups; ``dropDuplicates`` alone would deal them by all columns.
+    if overrides is None:
+        priced_by_key = priced.repartition(*[F.col(f"`{k}`") for k in keys])
+    else:
+        priced_by_key = priced
     same_key = Window.partitionBy(*[F.col(f"`{k}`") for k in keys])
-    annotated = K.annotate_changes(priced.dropDuplicates(), hist, keys, now=now, sku=cols.sku, keep_share=keep_share,
+    annotated = K.annotate_changes(priced_by_key.dropDuplicates(), hist, keys, now=now, sku=cols.sku, keep_share=keep_share,
                                    seed=seed).withColumn("_n_key", F.count(F.lit(1)).over(same_key)).checkpoint(eager=True)
     duplicates = annotated.filter("_n_key > 1").drop("_n_key").withColumn("reject_reason", F.lit("duplicate_sku"))
     annotated = annotated.filter("_n_key = 1").drop("_n_key")

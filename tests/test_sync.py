@@ -468,3 +468,21 @@ def test_result_files_do_not_grow_with_sellers(spark, tmpdir_path):
     FD.store_results(raw, path)
     assert sorted(map(tuple, FD.read_results(spark, path).collect())) == sorted(map(tuple, raw.collect()))
     assert len(glob.glob(f"{path}/**/part-*", recursive=True)) <= 16
+
+
+def test_priced_rows_are_dealt_by_their_key_once(spark, monkeypatch):
+    import re
+    seen = []
+    annotate = K.annotate_changes
+    monkeypatch.setattr(K, "annotate_changes", lambda *a, **kw: seen.append(annotate(*a, **kw)) or seen[-1])
+    one = {"title": "t", "brand": "b", "cost": "8", "fulfillment_cost": "10", "requested_margin": "0.2", "retail_price": "5", "map_price": "", "quantity": "3",
+           "uom": "1", "push_to_marketplace": "Yes", "push_to_site": "Yes"}
+    names = ["seller_id", "sku", *one]
+    rows = [("s1", "A", *one.values()), ("s1", "A", *one.values()), ("s1", "B", *one.values()), ("s1", "B", "u", *list(one.values())[1:])]
+    products = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names))
+    ids = spark.createDataFrame([("A", "B000000001", "0.15"), ("B", "B000000002", "0.15")], "sku string, asin string, referral_fee string")
+    history = spark.createDataFrame([], "seller_id string, sku string, status string, product_hash string, ended_at timestamp")
+    plan = plan_feed(products, ids, None, None, None, history, products.select("seller_id", "sku"), batch_id="B", now=_now(), seed="x")
+    assert [(r["sku"], r["message_id"]) for r in plan.messages.collect()] == [("A", 1)] and plan.duplicates.count() == 2
+    dealt = re.findall(r"hashpartitioning\((.*?), \d+\), (?:ENSURE|REPARTITION)", seen[0]._jdf.queryExecution().executedPlan().toString())
+    assert dealt and max(len(d.split(",")) for d in dealt) <= 2

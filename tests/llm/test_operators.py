@@ -345,3 +345,17 @@ def test_quality_sample_is_bounded_in_bytes(spark):
         assert 4500 - 600 < size <= 4500
     assert 900 not in {r.key for r in part} and all(set(r.text) <= {"x"} or r.text == "again" for r in part)
     assert quality.train(quality.draw(docs.limit(0), labels)) is None and quality.train(quality.draw(docs, labels.limit(0))) is None
+
+
+def test_quality_scoring_memory_does_not_grow_with_the_text():
+    import tracemalloc
+    from adspark.llm import quality as Q
+    rng = np.random.default_rng(1)
+    net = Q.Network(rng.normal(size=(257, Q.EMBED)).astype(np.float32), rng.normal(size=(Q.WIDTH * Q.EMBED, Q.FILTERS)).astype(np.float32), np.zeros(Q.FILTERS, np.float32),
+                    rng.normal(size=4 * Q.FILTERS), 0.0)
+    raw, offsets = rng.integers(0, 256, 600_000).astype(np.uint8), np.array([0, 10, 10, 590_000, 600_000])
+    tracemalloc.start()
+    got = Q.score(net, raw, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 4 and ((got >= 0) & (got <= 1)).all() and peak < 60e6

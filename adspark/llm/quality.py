@@ -37,7 +37,7 @@ TRAIN_BYTES = 16 << 20
 EPOCHS = 14
 THRESHOLD = 0.3
 _PAD = 256  # id of the padding byte
-#: Chunks of one numpy step of scoring (30 MB at its peak; 115 MB at 1024) and of fitting.
+#: Chunks of one numpy step of scoring (25 MB at its peak; 98 MB at 1024) and of fitting.
 BLOCK = 256
 FIT_BLOCK = 512
 

@@ -28,8 +28,9 @@ def try_cast(c, type_: str) -> Column:
 
 def is_missing(c, tokens=MISSING_TOKENS) -> Column:
     """True when the value is NULL or, trimmed, one of the missing tokens."""
-    c = _c(c)
-    return c.isNull() | F.trim(c.cast("string")).isin(list(tokens))
+    text = F.trim(_c(c).cast("string"))
+    # The value is named once: a plan would work out what it stands for again at each mention.
+    return F.coalesce(text, F.lit("")).isin(list(tokens)) if "" in tokens else text.isNull() | text.isin(list(tokens))
 
 
 def null_token(c, tokens=MISSING_TOKENS) -> Column:

@@ -35,16 +35,17 @@ def row_hash(df: DataFrame, cols=None, *, out: str = "product_hash") -> DataFram
 def annotate_changes(products: DataFrame, history: DataFrame, on, *, now: Column, sku: str = "sku",
                      max_age_days: int = 10, keep_share: float = 0.03, seed: str = "",
                      hash_col: str = "product_hash", status: str = "status",
-                     ended_at: str = "ended_at") -> DataFrame:
+                     ended_at: str = "ended_at", carry=()) -> DataFrame:
     """K-17 with every product kept: adds ``reason`` (``new``, ``not_processed``, ``hash_changed``,
     ``stale``, ``sampled`` or ``unchanged``) and ``is_changed`` (no history or another hash).
 
     The random re-send of the reference becomes a seeded hash of the SKU and ``seed`` (D10):
-    ``pmod(xxhash64(sku, seed), 10000) < keep_share * 10000``.
+    ``pmod(xxhash64(sku, seed), 10000) < keep_share * 10000``. ``carry`` names columns of the history
+    that the result keeps.
     """
     on = _on(on)
     h = history.select(*[_q(c) for c in on], _q(status).alias("_h_status"), _q(hash_col).alias("_h_hash"),
-                       _q(ended_at).alias("_h_ended"), F.lit(True).alias("_h_present"))
+                       _q(ended_at).alias("_h_ended"), F.lit(True).alias("_h_present"), *[_q(c) for c in carry])
     j = products.join(h, on, "left")
     threshold = int(round(keep_share * 10000))
     sampled = F.pmod(F.xxhash64(_q(sku).cast("string"), F.lit(seed)), F.lit(10000)) < threshold

@@ -126,6 +126,33 @@ def skus_to_delete(live: DataFrame, products: DataFrame, on, *, max_share: float
     return out.join(guard, by, "left").filter(F.coalesce(F.col("_ok"), F.lit(True))).drop("_ok")
 
 
+def listed_skus(live: DataFrame, products: DataFrame, on) -> DataFrame:
+    """J-06 for all live SKUs: each distinct key of ``live`` once, with ``_gone`` where it is no longer among
+    the products (a key with a NULL never is). Live and current keys meet in one aggregate."""
+    on = _on(on)
+    a, b = live.select(*[_q(c) for c in on]), products.select(*[_q(c) for c in on])
+    if [f.dataType for f in a.schema] != [f.dataType for f in b.schema]:
+        known = b.distinct().withColumn("_known", F.lit(True))
+        return a.distinct().join(known, on, "left").select(*[_q(c) for c in on], F.col("_known").isNull().alias("_gone"))
+    flags = a.select("*", F.lit(True).alias("_live"), F.lit(False).alias("_known")).union(b.select("*", F.lit(False), F.lit(True)))
+    keys = flags.groupBy(*[_q(c) for c in on]).agg(F.max("_live").alias("_live"), F.max("_known").alias("_known"))
+    gone = ~F.col("_known")
+    for c in on:
+        gone = gone | F.col(_q(c)).isNull()
+    return keys.filter("_live").select(*[_q(c) for c in on], gone.alias("_gone"))
+
+
+def refuse_deletes(listed: DataFrame, by, *, max_share: float) -> None:
+    """The guard of ``skus_to_delete`` on ``listed_skus``: an error if one group would lose more than ``max_share``."""
+    by, known = _on(by), F.lit(True)
+    for c in by:
+        known = known & F.col(_q(c)).isNotNull()
+    counts = listed.filter(known).groupBy(*[_q(c) for c in by]).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_gone").alias("_d"))
+    group = F.concat_ws("/", *[F.col(_q(c)).cast("string") for c in by])
+    counts.filter(F.col("_d") > F.lit(max_share) * F.col("_n")) \
+        .select(F.raise_error(F.concat(F.lit("refusing to delete more than the allowed share of live SKUs for "), group))).limit(1).collect()
+
+
 def delete_share_errors(live: DataFrame, deletes: DataFrame, by, *, max_share: float = 0.5) -> DataFrame:
     """The guard of ``skus_to_delete`` as rows: one (``by``, ``error``) for each group of which more than
     ``max_share`` of the live SKUs would be deleted."""

@@ -116,19 +116,16 @@ def reduce_overrides(overrides: DataFrame, on, *, seq: str, cols, numeric=()) ->
     (``_ov_<col>``) and the latest numeric value of each column in ``numeric`` (``_ovnum_<col>``).
     One grouped aggregate serves K-11, K-15 and K-16 together."""
     on = [on] if isinstance(on, str) else list(on)
-    aggs = []
-    for c in cols:
-        valid = ~is_missing(_c(c))
-        aggs.append(F.max_by(F.when(valid, _c(c).cast("string")), F.when(valid, _c(seq))).alias(f"_ov_{c}"))
+    # Each value is worked out once, as a column, for the filter, the value and its order.
+    values = {f"_ov_{c}": F.when(~is_missing(_c(c)), _c(c).cast("string")) for c in cols}
+    values |= {f"_ovnum_{c}": to_double(_c(c)) for c in numeric}
+    rows = overrides.select(*[_c(k) for k in on], _c(seq).alias("_seq"), *[v.alias(n) for n, v in values.items()])
     useful = F.lit(False)
-    for c in cols:
-        useful = useful | ~is_missing(_c(c))
-    for c in numeric:
-        num = to_double(_c(c))
-        aggs.append(F.max_by(num, F.when(num.isNotNull(), _c(seq))).alias(f"_ovnum_{c}"))
-        useful = useful | num.isNotNull()
+    for n in values:
+        useful = useful | _c(n).isNotNull()
+    aggs = [F.max_by(_c(n), F.when(_c(n).isNotNull(), F.col("_seq"))).alias(n) for n in values]
     # Rows without any usable value cannot change a result: drop them before the shuffle.
-    return overrides.filter(useful).groupBy(*[_c(k) for k in on]).agg(*aggs)
+    return rows.filter(useful).groupBy(*[_c(k) for k in on]).agg(*aggs)
 
 
 def brand_rules(df: DataFrame, rules: DataFrame | None, cols: ProductColumns = PC, rc: RuleColumns = RC,

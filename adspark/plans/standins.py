@@ -1676,9 +1676,11 @@ def q_catalog_sync(spark, sf):
     # The seller x product table is an input table of the job: derive it once and keep it in the
     # shared checkpoint folder (products, live listing and history all read it).
     ensure_checkpoint_dir(spark)
-    pairs = li.groupBy(F.col("l_suppkey").cast("string").alias("seller_id"),
-                       F.col("l_partkey").alias("p_partkey")).agg(
-        F.min("l_discount").alias("min_discount"), F.min("l_shipdate").alias("first_ship")).checkpoint(eager=True)
+    path = _scratch(spark, "pairs")
+    li.groupBy("l_suppkey", F.col("l_partkey").alias("p_partkey")).agg(
+        F.min("l_discount").alias("min_discount"), F.min("l_shipdate").alias("first_ship")).select(
+        F.col("l_suppkey").cast("string").alias("seller_id"), "p_partkey", "min_discount", "first_ship").write.parquet(path)
+    pairs = spark.read.parquet(path)
     products = pairs.filter("min_discount < 0.09").join(p, "p_partkey").select(
         "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("title"),
         F.col("p_brand").alias("brand"), (F.col("p_retailprice") * 0.5).cast("string").alias("cost"),
@@ -1705,12 +1707,14 @@ def q_catalog_sync(spark, sf):
         F.lit(None).cast("string").alias("product_hash"), _ts("2001-05-01").alias("ended_at"))
     live = pairs.select("seller_id", F.col("p_partkey").cast("string").alias("sku"))
     plan = plan_feed(products, ids, ov, rules, None, history, live, batch_id=BATCH_ID, now=_now(), seed="2001-06-01")
-    m = F.col("message_json")
-    return plan.messages.select(
-        "seller_id", "sku", "message_id", "chunk_id", F.get_json_object(m, "$.operationType").alias("operation"),
-        F.get_json_object(m, "$.attributes.purchasable_offer[0].our_price[0].schedule[0].value_with_tax")
-        .cast("double").alias("our_price"),
-        F.get_json_object(m, "$.attributes.fulfillment_availability[0].quantity").cast("int").alias("quantity"))
+    m = F.from_json("message_json", "operationType string, attributes struct<purchasable_offer: array<struct<our_price: array<struct<"
+                    "schedule: array<struct<value_with_tax: double>>>>>>, fulfillment_availability: array<struct<quantity: int>>>")
+    sent = plan.messages.select("seller_id", "sku", "message_id", "chunk_id", m.alias("m"))
+    offer = F.get(F.col("m.attributes.purchasable_offer"), F.lit(0))["our_price"]
+    return sent.select(
+        "seller_id", "sku", "message_id", "chunk_id", F.col("m.operationType").alias("operation"),
+        F.get(F.get(offer, F.lit(0))["schedule"], F.lit(0))["value_with_tax"].alias("our_price"),
+        F.get(F.col("m.attributes.fulfillment_availability"), F.lit(0))["quantity"].alias("quantity"))
 
 
 # Suppliers are sellers, the parts that they ship their live SKUs. A part is offered while its least

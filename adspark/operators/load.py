@@ -83,8 +83,12 @@ def merge_upsert(target: DataFrame, stage: DataFrame, keys, *, conflict: str = "
     return kept.unionByName(stage)
 
 
+#: Tasks that share the stage rows of one key, and rows of a stage for each task that reduces it.
+VERSION_SHARES, ROWS_PER_TASK = 8, 100_000
+
+
 def merge_upsert_subset(target: DataFrame, stage: DataFrame, keys, *, present: str = "_present",
-                        order_by: str = "_order") -> DataFrame:
+                        order_by: str = "_order", num_partitions: int | None = None) -> DataFrame:
     """L-01 for deliveries that hold some of the columns: each stage row names its columns in the
     array ``present``. Of an existing key only these are replaced; a new key takes the whole stage
     row (the type defaults where a column is absent). Several rows of a key count in the order of
@@ -94,6 +98,9 @@ def merge_upsert_subset(target: DataFrame, stage: DataFrame, keys, *, present: s
     Stage rows are first reduced per key and column set (partial aggregation before the shuffle), so
     what is collected per key is one row per distinct column set. One full outer join reads each side
     once.
+
+    With ``num_partitions`` (which follows the number of rows) stage rows are dealt over so many tasks
+    before anything is sorted: by key and one of ``VERSION_SHARES`` shares of its rows, then by key.
     """
     keys = _on(keys)
     others = [c for c in target.columns if c not in keys]
@@ -102,6 +109,13 @@ def merge_upsert_subset(target: DataFrame, stage: DataFrame, keys, *, present: s
     group = [F.col(_q(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
     rows = stage.select(*group, lone.alias("_lone"), F.sort_array(_q(present)).alias("_has"), F.struct(F.col(_q(order_by)).alias("at"), values.alias("v")).alias("_row"))
     names = [f"_k{i}" for i in range(len(keys))] + ["_lone"]
+    if num_partitions is not None:
+        # A key's rows lie in several shares; rows without a key are told apart by their content.
+        rows = rows.withColumns({"_spread": F.xxhash64("_lone"), "_share": F.pmod(F.xxhash64("_row.at"), F.lit(VERSION_SHARES))})
+        names.append("_spread")
+        dealt = [n for n in names if n != "_lone"]
+        rows = rows.repartition(num_partitions, *dealt, "_share").groupBy(*names, "_has", "_share").agg(F.max("_row").alias("_row")) \
+            .repartition(num_partitions, *dealt)
     latest = rows.groupBy(*names, "_has").agg(F.max("_row").alias("_row"))
     versions = latest.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("_row", "_has")), asc=False).alias("_versions"))
 

@@ -238,7 +238,8 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
         stage = latest_file_rows(stage, spec).drop("_file", "_mtime", DELIVERY)
     parts, schema, path = L.partition_columns(spec), L.partition_schema(spec), table_path(tables_root, spec)
     keys = [L.ACCOUNT, *spec.merge_columns]
-    touched = [tuple(r) for r in stage.select(*parts).distinct().collect()]
+    counts = stage.groupBy(*parts).count().collect()
+    touched = [tuple(r)[:-1] for r in counts]
     if not touched:
         return
     if database is not None:
@@ -252,7 +253,8 @@ def load_stage(spark: SparkSession, stage: DataFrame, spec: TableSpec, *, tables
     current = current.select(*schema.names).where(_touched_condition(touched, parts))
     stage = stage.select(*schema.names, *([PRESENT, ORDER] if subset else []))
     if subset:
-        new = L.merge_upsert_subset(current, stage, keys, present=PRESENT, order_by=ORDER)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sum(r["count"] for r in counts) // L.ROWS_PER_TASK))
+        new = L.merge_upsert_subset(current, stage, keys, present=PRESENT, order_by=ORDER, num_partitions=tasks)
     elif spec.load_method == "merge":
         new = L.merge_upsert(current, stage, keys, conflict="none")
     elif spec.load_method == "delete_insert":

@@ -15,6 +15,12 @@ from adspark.session import ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step works on; only a single longer text exceeds it.
 SLICE_BYTES = 1 << 21
+#: The same where nothing is combined over the texts of a step. Hashing words takes about 45 times
+#: these bytes.
+SMALL_SLICE_BYTES = 1 << 18
+#: Bytes of rows that ``bounded_batches`` lets go to Python at once.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Word separators of ``[^\x20\x09-\x0D]+``.
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -22,6 +28,14 @@ BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on at most BATCH_BYTES of rows go to Python at once, unless the session sets its own
+    limit. A task holds such a batch several times: in the JVM outside the heap, where buffers double
+    as they grow, and in Python. Spark reads the setting when a plan runs, so the session keeps it."""
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -88,7 +102,7 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**i and B**-i modulo 2**64 for i < n, kept for the worker's life up to the slice size."""
     have = _POWERS.get(which)
     if have is None or len(have[0]) < n:
-        m = max(n, SLICE_BYTES + 1)
+        m = max(SMALL_SLICE_BYTES + 1, min(2 * n, SLICE_BYTES + 1), n)
         base = _BASE[which]
         out = []
         for b in (base, pow(base, -1, 1 << 64)):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, components, list_array, mix, run_hashes, slices, sorted_runs, stored, table, text_bytes
+from .common import SMALL_SLICE_BYTES, Words, components, list_array, mix, run_hashes, slices, sorted_runs, stored, table, text_bytes
 
 SHINGLE = 5
 #: Hashes below this take part in the frequency count: a little more of the range than a prefix needs.
@@ -68,8 +68,8 @@ def _set_rows(batches):
     prefix needs beyond them."""
     for b in batches:
         raw, offsets = text_bytes(b.column("text"))
-        size, h1, h2, low, high = [], [], [], [], []
-        for p, q in slices(offsets):
+        for p, q in slices(offsets, SMALL_SLICE_BYTES):
+            size, h1, h2, low, high = [], [], [], [], []
             for s in shingle_sets(raw[offsets[p]:offsets[q]], offsets[p:q + 1] - offsets[p]):
                 n, k = len(s), int(np.searchsorted(s, np.uint64(LOW)))
                 size.append(n)
@@ -77,14 +77,14 @@ def _set_rows(batches):
                 h2.append(int(mix(s, 22).sum().view(np.int64)))
                 low.append(s[:k].view(np.int64))
                 high.append(s[k:max(k, prefix_length(n))].view(np.int64))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), list_array(low), list_array(high)],
-                                         ["doc_id", "n", "h1", "h2", "low", "high"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(p, q - p), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), list_array(low), list_array(high)],
+                                             ["doc_id", "n", "h1", "h2", "low", "high"])
 
 
 def _full_sets(batches):
     for b in batches:
         raw, offsets = text_bytes(b.column("text"))
-        for p, q in slices(offsets):
+        for p, q in slices(offsets, SMALL_SLICE_BYTES):
             sets = shingle_sets(raw[offsets[p]:offsets[q]], offsets[p:q + 1] - offsets[p])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(p, q - p), list_array([s.view(np.int64) for s in sets])], ["g", "set"])
 

@@ -16,6 +16,7 @@ Repeated rows are scored row by row; other columns are ignored (and kept by ``ke
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -230,19 +231,21 @@ def train(sample: DataFrame) -> Network | None:
         return Network(got["embed"], got["conv"], got["bias"], got["out"], float(got["out_bias"]))
 
 
-def _scores(net: Network | None, column: pa.Array) -> np.ndarray:
-    raw, offsets = text_bytes(column)
-    return np.concatenate([np.zeros(0), *(score(net, raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets))])
+def _scored(net: Network | None, batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of the batch, each with the scores of its texts (column ``at``)."""
+    raw, offsets = text_bytes(batch.column(at))
+    for a, b in slices(offsets):
+        yield batch.slice(a, b - a), score(net, raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
 
 
 def predict(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of ``docs(doc_id, text)``; only the text is scored."""
 
     def run(batches):
-        for b in batches:
-            s = _scores(net, b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())],
-                                             ["doc_id", "held_out", "score", "predicted"])
+        for whole in batches:
+            for b, s in _scored(net, whole, whole.schema.get_field_index("text")):
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())],
+                                                 ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
@@ -253,8 +256,9 @@ def keep_good(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD
     at = docs.columns.index("text")
 
     def run(batches):
-        for b in batches:
-            yield b.filter(pa.array(_scores(net, b.column(at)) >= threshold, pa.bool_()))
+        for whole in batches:
+            for b, s in _scored(net, whole, at):
+                yield b.filter(pa.array(s >= threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

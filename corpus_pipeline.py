@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adspark.llm.common import stored, table
+from adspark.llm.common import BATCH_CONF, bounded_batches, stored, table
 from adspark.llm.decontaminate import contamination, text_hash
 from adspark.llm.jaccard_join import link
 from adspark.llm.mixing import mix
@@ -25,6 +25,7 @@ from adspark.llm.sharding import shard
 
 def quality_gate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that the quality classifier rejects go."""
+    bounded_batches(spark)
     return keep_good(docs, learn(spark, sf_dir))
 
 
@@ -46,6 +47,7 @@ def _with_nodes(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: of each component of linked documents the one with the least node (id) stays."""
+    bounded_batches(spark)
     nodes = _with_nodes(docs)
     every, parts = link(nodes.select(F.col("node").alias("doc_id"), F.col("row.text").alias("text")))
     root = every.join(parts, F.col("g") == F.col("id"), "left").select("doc_id", F.coalesce("component", "g", "doc_id").alias("root"))
@@ -96,7 +98,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    before = spark.conf.get(BATCH_CONF, None)
+    try:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        return docs
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_CONF)

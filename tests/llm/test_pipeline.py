@@ -56,3 +56,58 @@ def test_mix_writes_the_copies_taken(spark):
     want = mix(docs.select("doc_id", "text", "source", text_hash(F.col("text")).alias("hash")), carry=("hash",)).agg(F.sum("copies")).first()[0]
     out = corpus_pipeline.mix_sources(spark, docs, "")
     assert out.columns == docs.columns and out.count() == want
+
+
+def test_python_steps_hold_little_of_a_batch():
+    """Memory of a step follows neither the batch nor the words of 2 MB; what leaves is in small batches."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from adspark.llm import common, jaccard_join, quality
+
+    texts = [f"some words of text {i} and {i * 7} more, " * 60 for i in range(3000)]  # about 6 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    size = sum(map(len, texts))
+    common._POWERS.clear()
+    tracemalloc.start()
+    rows = largest = 0
+    for out in jaccard_join._set_rows(iter([batch])):
+        rows, largest = rows + out.num_rows, max(largest, out.num_rows)
+    assert rows == len(texts) and largest < 500
+    assert tracemalloc.get_traced_memory()[1] < 30e6
+    tracemalloc.stop()
+
+    rng = np.random.default_rng(1)
+    net = quality.Network(rng.normal(0, 0.5, (257, 6)), rng.normal(0, 0.1, (48, 32)), np.zeros(32), rng.normal(0, 0.1, 128), 0.0)
+    few = batch.slice(0, 1500)
+    parts = list(quality._scored(net, few, 1))
+    assert [i for b, s in parts for i in b.column("doc_id").to_pylist()] == list(range(1500)) and max(b.num_rows for b, _ in parts) < 1200
+    raw, offsets = common.text_bytes(few.column("text"))
+    assert np.allclose(np.concatenate([s for _, s in parts]), quality.score(net, raw, offsets))
+    assert size > 5e6
+
+
+def test_batches_to_python_are_bounded(spark):
+    """A batch that goes to Python has about BATCH_BYTES, not all rows of a task."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from adspark.llm.common import BATCH_BYTES, BATCH_CONF, bounded_batches
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    docs = spark.range(0, 6000, 1, 1).select("id", F.repeat(F.lit("word "), 800).alias("text"))  # 24 MB
+    spark.conf.unset(BATCH_CONF)  # a stage that ran before has set it
+    try:
+        bounded_batches(spark)
+        got = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert len(got) >= 4 and max(got) < 2 * BATCH_BYTES
+        spark.conf.set(BATCH_CONF, "1000000")  # a session's own limit stays
+        bounded_batches(spark)
+        assert spark.conf.get(BATCH_CONF) == "1000000"
+    finally:
+        spark.conf.unset(BATCH_CONF)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adspark.functions.numbers import round_money
 from adspark.functions.text import try_cast
-from adspark.session import ensure_checkpoint_dir
+from adspark.session import kept_table
 
 
 def _q(c: str):
@@ -114,11 +114,10 @@ def message_ids(changes: DataFrame, *, by=("seller_id",), order=("kind_rank", "s
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
         .withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
     # Positions depend on the physical partitioning, and the frame is read twice below (summary and
-    # join): materialise it once in the shared checkpoint folder so both reads see the same rows
+    # join): keep it once as a table in the shared checkpoint folder so both reads see the same rows
     # (adaptive execution could otherwise coalesce the two reads differently); this also cuts the
-    # lineage, so a lost executor recomputes from the checkpoint.
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    # lineage, so a lost executor reads the table again.
+    ranged = kept_table(ranged, "ids")
     summary = ranged.groupBy("_pid", *[_q(c) for c in by]).agg(
         F.min("_mono").alias("_base"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*[_q(c) for c in by]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,6 +125,8 @@ def message_ids(changes: DataFrame, *, by=("seller_id",), order=("kind_rank", "s
     # Null-safe on the group columns, so a NULL group still gets its ids.
     offsets = offsets.select(F.col("_pid").alias("_o_pid"), *[F.col(_q_name(c)).alias(f"_o_{i}") for i, c in enumerate(by)],
                              "_base", "_off")
+    # A table of known size: the rows are not dealt again where Spark can broadcast it.
+    offsets = kept_table(offsets, "ids")
     cond = F.col("_pid") == F.col("_o_pid")
     for i, c in enumerate(by):
         cond = cond & F.col(_q_name(c)).eqNullSafe(F.col(f"_o_{i}"))

@@ -233,12 +233,14 @@ def history_upsert(history: DataFrame, stage: DataFrame, keys, *, keep_if_null=(
 # Sinks and publishing
 # ---------------------------------------------------------------------------------------------
 
-def write_parquet(df: DataFrame, path: str, *, by=None, single: bool = False, mode: str = "overwrite") -> None:
-    """L-12: Parquet files (one file only on request: ``single`` funnels through one task)."""
+def write_parquet(df: DataFrame, path: str, *, by=None, single: bool = False, mode: str = "overwrite",
+                  compression: str | None = None) -> None:
+    """L-12: Parquet files (one file only on request: ``single`` funnels through one task), by the session's
+    codec or the one given."""
     w = (df.coalesce(1) if single else df).write.mode(mode)
     if by:
         w = w.partitionBy(*_on(by))
-    w.parquet(path)
+    w.parquet(path, compression=compression)
 
 
 def write_csv(df: DataFrame, path: str, *, single: bool = False, mode: str = "overwrite") -> None:
@@ -333,7 +335,8 @@ def create_table_from_spec(spark: SparkSession, spec: TableSpec, *, location: st
 
 
 def publish_partitions(df: DataFrame, table_root: str, partition_by, *, staging_root: str,
-                       cluster_by=None, reads_target: bool = True, touched: DataFrame | None = None) -> None:
+                       cluster_by=None, reads_target: bool = True, touched: DataFrame | None = None,
+                       compression: str | None = None) -> None:
     """Partition-scoped publish for partitioned tables: only the partitions present in ``df`` are
     replaced (dynamic partition overwrite), the others are not touched.
 
@@ -352,13 +355,13 @@ def publish_partitions(df: DataFrame, table_root: str, partition_by, *, staging_
         out = out.sortWithinPartitions(*[_q(c) for c in [*parts, *_on(cluster_by)]])
     emptied, stage_path = [], f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
     if reads_target:
-        write_parquet(out, stage_path, by=parts)
+        write_parquet(out, stage_path, by=parts, compression=compression)
         out = spark.read.schema(df.schema).parquet(stage_path)
         if touched is not None:
             # At most the partitions touched by this load, by folder name.
             gone = touched.select(*parts).dropna().distinct().join(out.select(*parts).distinct(), parts, "left_anti")
             emptied = ["/".join(f"{p}={v}" for p, v in zip(parts, r, strict=True)) for r in gone.collect()]
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_root)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table_root, compression=compression)
     for folder in [f"{table_root.rstrip('/')}/{e}" for e in emptied] + [stage_path] * reads_target:
         fs, p, _ = _fs(spark, folder)
         fs.delete(p, True)

@@ -35,7 +35,7 @@ from adspark.operators import normalize as N
 from adspark.operators import pricing as P
 from adspark.operators.dates import date_range_list
 from adspark.operators.evolution import evolve_table
-from adspark.session import ensure_checkpoint_dir, scratch_dir
+from adspark.session import ensure_checkpoint_dir, kept_table, scratch_dir
 from adspark.sources import files as SRC
 from adspark.sources.paths import path_metadata
 from adspark.sources.tables import read_table_all_strings
@@ -1675,12 +1675,9 @@ def q_catalog_sync(spark, sf):
     li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
     # The seller x product table is an input table of the job: derive it once and keep it in the
     # shared checkpoint folder (products, live listing and history all read it).
-    ensure_checkpoint_dir(spark)
-    path = _scratch(spark, "pairs")
-    li.groupBy("l_suppkey", F.col("l_partkey").alias("p_partkey")).agg(
+    pairs = kept_table(li.groupBy("l_suppkey", F.col("l_partkey").alias("p_partkey")).agg(
         F.min("l_discount").alias("min_discount"), F.min("l_shipdate").alias("first_ship")).select(
-        F.col("l_suppkey").cast("string").alias("seller_id"), "p_partkey", "min_discount", "first_ship").write.parquet(path)
-    pairs = spark.read.parquet(path)
+        F.col("l_suppkey").cast("string").alias("seller_id"), "p_partkey", "min_discount", "first_ship"), "pairs")
     products = pairs.filter("min_discount < 0.09").join(p, "p_partkey").select(
         "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("title"),
         F.col("p_brand").alias("brand"), (F.col("p_retailprice") * 0.5).cast("string").alias("cost"),
@@ -1740,7 +1737,8 @@ def _seller_inputs(spark, sf):
     least = _t(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_discount").alias("least"))
     pairs = least.join(s, F.col("s_suppkey") == F.col("l_suppkey")).select(
         F.col("s_suppkey").cast("string").alias("seller_id"), F.col("l_partkey").alias("p_partkey"),
-        (F.col("least") < F.when(F.col("s_nationkey") < 8, 0.005).otherwise(0.09)).alias("offered")).checkpoint(eager=True)
+        (F.col("least") < F.when(F.col("s_nationkey") < 8, 0.005).otherwise(0.09)).alias("offered"))
+    pairs = kept_table(pairs, "pairs")
     text = {"cost": "8", "fulfillment_cost": "10", "requested_margin": "0.2", "map_price": "", "uom": "1", "push_to_marketplace": "Yes", "push_to_site": "Yes"}
     products = pairs.filter("offered").join(part, "p_partkey").select(
         "seller_id", F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand"),

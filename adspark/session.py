@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job relies on: UTC wall clock, ANSI casts (errors surface, try_* functions handle
 # bad input explicitly), adaptive execution for shuffle sizing / skew, dynamic partition overwrite
@@ -71,3 +76,34 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "adspark", name)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The session's settings changed inside the block, then as before."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_released(spark: SparkSession):
+    """A block whose queries give back their shuffle files when they end. Otherwise these stay until the
+    driver collects garbage, so a job of many steps holds the files of all of them at once."""
+    return session_conf(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
+def kept_table(df: DataFrame, name: str = "plan") -> DataFrame:
+    """``df`` written once to a Parquet table in the shared checkpoint folder: it cuts the lineage, and a
+    step that needs some columns reads only these. Columns without a type are left out and put back."""
+    spark, void = df.sparkSession, [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    stored = df.drop(*void)
+    with shuffles_released(spark):
+        stored.write.option("compression", "zstd").parquet(path)
+    found = spark.read.schema(stored.schema).parquet(path)
+    return found.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns])
